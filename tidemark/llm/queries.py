@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, line_dedup, lm_scoring, mixing, packing, quality, simhash, topk
+from . import exact_dedup, language_id, line_dedup, lm_scoring, mixing, packing, quality, simhash, suffix_dedup, topk
 from .common import documents
 
 
@@ -47,6 +47,10 @@ def op9_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir)).drop("kept", "spans")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -59,6 +63,7 @@ QUERIES = {
         op7_line_dedup,
         op8_mix_sources,
         op9_pack_documents,
+        op10_suffix_dedup,
     )
 }
 #: Where SQL can express a query over the whole table in reasonable time; the others are tested against brute force.
