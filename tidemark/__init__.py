@@ -1,0 +1 @@
+"""Monthly demand planning jobs on Spark: DataFrames in, DataFrames out."""

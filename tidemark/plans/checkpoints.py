@@ -1,0 +1,15 @@
+"""Results that several later steps read are kept in the folder that all executors share."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """df, computed once and read from the checkpoint folder from then on; a temporary one only where none is set."""
+    context = df.sparkSession.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-"))
+    return df.checkpoint(eager=True)
