@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, spread_join
-from .exact_dedup import repeated_bits
+from .exact_dedup import maybe_repeated, repeated_bits
 
 #: Stripped from both ends of a line before it is compared.
 BLANK = " \t\r\x0b\x0c"
@@ -15,7 +15,8 @@ SEGMENT = 256
 
 
 def document_key(doc_id: Column, text: Column) -> Column:
-    return F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("~")), F.lit(" "), F.md5(F.coalesce(text, F.lit("")).cast("binary"))).cast("binary"))
+    """16 bytes for an id and a text together; texts may differ under one id."""
+    return F.unhex(F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("~")), F.lit(" "), F.md5(F.coalesce(text, F.lit("")).cast("binary"))).cast("binary")))
 
 
 def _contexts(role: str) -> str:
@@ -31,51 +32,70 @@ def _contexts(role: str) -> str:
         'context', xxhash64({m}, j, substring(line, 1, cast(j * {width} as int)), substring(line, cast((j + 1) * {width} as int) + {skip}))))"""
 
 
-def near_lines(distinct: DataFrame, texts: DataFrame) -> DataFrame:
-    """(h) of the distinct lines that lie within one edit of an earlier one.
+def half_keys(near_chars: int) -> Column:
+    """Up to four hashes of halves of a line of n characters: of both halves under its own length and under one less.
 
-    distinct: (h, pos, contexts); texts: (h, line), from which only the lines in question are read. A line
-    stays in question while another one has the same context, which is all of it but one segment. Then the
-    deletion neighbourhood of that segment is emitted as hashed keys. Lines that are equal without their
-    character i, or of which one is the other without a character, meet in one key, and the earliest of a
-    key answers for all others, so that no pairs are made.
+    Two lines at one edit are equal in one half, under the shorter one's length. null where a line is too short.
     """
-    asked = distinct.select("h", "pos", F.explode("contexts").alias("x")).select("h", "pos", "x.*")
+
+    def halves(m: str, skip: int) -> list[Column]:
+        return [F.expr(f"if({m} >= {near_chars}, xxhash64({m}, 0, left(line, {m} div 2)), null)"), F.expr(f"if({m} >= {near_chars}, xxhash64({m}, 1, substring(line, {m} div 2 + {skip})), null)")]
+
+    return F.array_compact(F.array(*halves("n", 1), *halves("(n - 1)", 2)))
+
+
+def alike_lines(lines: DataFrame, near_chars: int, filter_bits: int = 1 << 26) -> DataFrame:
+    """(h, pos, line): the first occurrence of each line that shares half of its characters with another line."""
+    asked = lines.withColumn("n", F.length("line")).filter(F.col("n") >= near_chars).withColumn("half", F.explode(half_keys(near_chars)))
+    other = F.xxhash64("h")
+    shared = cut(asked.groupBy("half").agg(F.min(other).alias("low"), F.max(other).alias("high")).filter("low <> high").select("half"))
+    bits = repeated_bits(shared.union(shared), "half", filter_bits, 1)
+    slot = F.pmod(F.xxhash64("half", F.lit(0)), F.lit(filter_bits))
+    some = asked.withColumn("slot", slot).withColumn("word", F.expr("slot div 64")).join(F.broadcast(bits), "word").filter("getbit(bits, cast(slot % 64 as int)) = 1")
+    exact = spread_join(some.select("h", "pos", "line", "half"), shared, "half")
+    return exact.groupBy("h").agg(F.min("pos").alias("pos"), F.first("line").alias("line"))
+
+
+def near_lines(alike: DataFrame, near_chars: int) -> DataFrame:
+    """(pos) of the lines of alike (h, pos, line) that lie within one edit of an earlier one.
+
+    A line stays in question while another one has the same context, which is all of it but one segment.
+    Then the deletion neighbourhood of that segment is emitted as hashed keys. Lines that are equal without
+    their character i, or of which one is the other without a character, meet in one key, and the earliest
+    of a key answers for all others, so that no pairs are made.
+    """
+    contexts = F.when(F.length("line") > near_chars, F.expr(f"concat({_contexts('same')}, {_contexts('longer')})")).otherwise(F.expr(_contexts("same")))
+    asked = cut(alike.withColumn("x", F.explode(contexts)).select("h", "pos", "line", "x.*"))
     shared = asked.groupBy("context").agg(F.count("*").alias("n")).filter("n > 1").select("context")
-    asked = cut(spread_join(asked, shared, "context"))
-    wanted = asked.select("h").distinct()
-    bits = repeated_bits(wanted.union(wanted), "h", 1 << 26, 1)
-    slot = F.pmod(F.xxhash64("h", F.lit(0)), F.lit(1 << 26))
-    some = texts.withColumn("slot", slot).withColumn("word", F.expr("slot div 64")).join(F.broadcast(bits), "word").filter("getbit(bits, cast(slot % 64 as int)) = 1")
-    lines = asked.join(some.groupBy("h").agg(F.first("line").alias("line")), "h")
+    lines = spread_join(asked, shared, "context")
     segment = F.expr("substring(line, begin + 1, width + if(role = 'longer', 1, 0))")
     variants = F.expr("""transform(sequence(1, length(seg)), i -> struct(i as i, concat(substring(seg, 1, i - 1), substring(seg, i + 1)) as v))""")
     deleted = lines.withColumn("seg", segment).filter("length(seg) > 0").withColumn("x", F.explode(variants))
     # Equal lengths: the same deletion at the same place. One longer: a deletion that gives the shorter line.
-    swapped = deleted.filter("role = 'same'").select("h", "pos", "line", F.xxhash64(F.lit("swap"), "context", "x.i", "x.v").alias("key"), F.lit(0).alias("side"))
-    longer = deleted.filter("role = 'longer'").select("h", "pos", "line", F.xxhash64(F.lit("drop"), "context", "x.v").alias("key"), F.lit(1).alias("side"))
-    whole = lines.filter("role = 'same'").select("h", "pos", "line", F.xxhash64(F.lit("drop"), "context", segment).alias("key"), F.lit(2).alias("side"))
+    swapped = deleted.filter("role = 'same'").select("pos", "line", F.xxhash64(F.lit("swap"), "context", "x.i", "x.v").alias("key"), F.lit(0).alias("side"))
+    longer = deleted.filter("role = 'longer'").select("pos", "line", F.xxhash64(F.lit("drop"), "context", "x.v").alias("key"), F.lit(1).alias("side"))
+    whole = lines.filter("role = 'same'").select("pos", "line", F.xxhash64(F.lit("drop"), "context", segment).alias("key"), F.lit(2).alias("side"))
     keys = swapped.union(longer).union(whole)
     mates = Window.partitionBy("key")
     first = lambda side: F.min(F.when(F.col("side") == side, F.struct("pos", "line"))).over(mates)
     paired = keys.withColumn("mate", F.when(F.col("side") == 0, first(0)).when(F.col("side") == 1, first(2)).otherwise(first(1)))
     verified = F.levenshtein(F.col("line"), F.col("mate.line"), 1).between(0, 1)
-    return paired.filter((F.col("mate.pos") < F.col("pos")) & verified).select("h").distinct()
+    return paired.filter((F.col("mate.pos") < F.col("pos")) & verified).select("pos").distinct()
 
 
 def line_drops(docs: DataFrame, near_chars: int = 20) -> DataFrame:
-    """(key, exact, near): per document the numbers of its lines that go. docs: (doc_id, text, key)."""
-    lines = docs.select("doc_id", "key", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("nr", "line"))
+    """(key, exact, near): per document the numbers of its lines that go. docs: (doc_id, text, key).
+
+    Bits of a Bloom filter tell which lines may be repeated; only those are grouped. Neither pass moves a
+    line's text, but for the few lines that share half of theirs with another.
+    """
+    lines = docs.select("doc_id", "key", F.posexplode(F.split("text", "\n")).alias("nr", "line"))
     lines = lines.select(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key", "nr").alias("pos"), F.btrim("line", F.lit(BLANK)).alias("line")).filter("line <> ''")
     lines = lines.withColumn("h", F.unhex(F.md5(F.col("line").cast("binary"))))
-    marked = cut(lines.select("h", "pos", F.length("line").alias("n")))
-    firsts = marked.groupBy("h").agg(F.min("pos").alias("pos"), F.count("*").alias("n"))
-    repeated = firsts.filter("n > 1").select("h", F.col("pos").alias("first"))
-    exact = spread_join(marked, repeated, "h").filter("pos > first").select("pos.key", "pos.nr", F.lit("exact").alias("kind"))
-    keyed = lines.filter(F.length("line") >= near_chars).select("h", "pos", F.when(F.length("line") > near_chars, F.expr(f"concat({_contexts('same')}, {_contexts('longer')})")).otherwise(F.expr(_contexts("same"))).alias("contexts"))
-    distinct = keyed.groupBy("h").agg(F.min("pos").alias("pos"), F.first("contexts").alias("contexts"))
-    near = near_lines(distinct, lines.select("h", "line"))
-    near = spread_join(firsts.select("h", "pos"), near, "h").select("pos.key", "pos.nr", F.lit("near").alias("kind"))
+    repeated = maybe_repeated(lines.select("h", "pos"), "h").filter("maybe_repeated").select("h", "pos")
+    firsts = repeated.groupBy("h").agg(F.min("pos").alias("first"), F.count("*").alias("n")).filter("n > 1").select("h", "first")
+    exact = spread_join(repeated, firsts, "h").filter("pos > first").select("pos.key", "pos.nr", F.lit("exact").alias("kind"))
+    near = near_lines(alike_lines(lines, near_chars), near_chars).select("pos.key", "pos.nr", F.lit("near").alias("kind"))
     pick = lambda kind: F.collect_set(F.when(F.col("kind") == kind, F.col("nr")))
     return exact.union(near).groupBy("key").agg(pick("exact").alias("exact"), pick("near").alias("near"))
 
