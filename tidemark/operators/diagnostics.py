@@ -89,12 +89,12 @@ def vif_report(data: DataFrame, columns: list[str], min_obs: int, keys: tuple[st
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         valid = [c for c in columns if pdf[c].notna().sum() >= min_obs and pdf[c].nunique() > 1]
         clean = pdf[valid].dropna().to_numpy(dtype=float)
-        out = pd.DataFrame({"variable": valid, "n_obs": [int(pdf[c].notna().sum()) for c in valid]}).assign(vif=None, condition_number=None, notes="")
-        if len(valid) < 2 or len(clean) < len(valid) + 1 or not (clean.std(axis=0) > 0).all():
-            out["notes"] = "Insufficient data for VIF calculation."
-        else:
-            out["vif"], out["condition_number"] = vif_of(clean)
-        return out.assign(**{k: pdf[k].iloc[0] for k in keys})[[*keys, "variable", "vif", "condition_number", "n_obs", "notes"]]
+        enough = len(valid) >= 2 and len(clean) >= len(valid) + 1 and (clean.std(axis=0) > 0).all()
+        vif, condition = vif_of(clean) if enough else ([None] * len(valid), None)
+        note = "" if enough else "Insufficient data for VIF calculation."
+        head = {k: pdf[k].iloc[0] for k in keys}
+        rows = [head | {"variable": c, "vif": v, "condition_number": condition, "n_obs": int(pdf[c].notna().sum()), "notes": note} for c, v in zip(valid, vif, strict=True)]
+        return pd.DataFrame(rows, columns=[*keys, "variable", "vif", "condition_number", "n_obs", "notes"]).astype({"vif": float, "condition_number": float})
 
     head = ", ".join(f"{k} string" for k in keys)
     return data.select(*keys, *columns).groupBy(*keys).applyInPandas(one, f"{head}, variable string, vif double, condition_number double, n_obs bigint, notes string")
@@ -126,7 +126,7 @@ def stationarity_report(data: DataFrame, columns: list[str], min_obs: int = 12,
             except (ValueError, ZeroDivisionError) as e:
                 notes.append(f"KPSS: {e}")
             row["notes"] = " | ".join(notes)
-        return pd.DataFrame([row]).astype({c: "Int32" for c in ("adf_lags", "adf_nobs", "kpss_lags")})
+        return pd.DataFrame([row]).astype(dict.fromkeys(("adf_lags", "adf_nobs", "kpss_lags"), object))
 
     head = ", ".join(f"{k} string" for k in (*keys, "variable"))
     return unpivoted(data, columns, keys).groupBy(*keys, "variable").applyInPandas(one, f"{head}, {STATIONARITY}")
@@ -175,7 +175,7 @@ def backlog_diagnostics(features: DataFrame, actuals: DataFrame, alpha: float =
                 except (ValueError, np.linalg.LinAlgError) as e:
                     own.append(f"ADF failed: {e}")
             rows.append(row | {"_notes": own + shared})
-        return pd.DataFrame(rows).astype({"adf_used_lag": "Int32", "adf_nobs": "Int32"})
+        return pd.DataFrame(rows).astype(dict.fromkeys(("adf_used_lag", "adf_nobs"), object))
 
     kinds = {"adf_used_lag": "int", "adf_nobs": "int", "adf_stationary_flag": "boolean"}
     schema = "Product string, BU string, variable string, vif_value double, vif_observations bigint, vif_flag_high boolean, " + ", ".join(f"{c} {kinds.get(c, 'double')}" for c in ADF_COLUMNS) + ", _notes array<string>"

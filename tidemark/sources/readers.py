@@ -28,7 +28,9 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     Columns are named by their header, case and all, before anything refers to them.
     """
     raw = read_table(spark, path, multi_line=True)
-    headers = [c.lstrip("﻿").strip() for c in raw.columns]
+    # Spark adds a column's number to names that differ by case alone.
+    bare = [c.lstrip("﻿").strip() for c in raw.columns]
+    headers = [c.removesuffix(str(i)) if c.removesuffix(str(i)) in CATALOG_HEADERS else c for i, c in enumerate(bare)]
     if missing := [h for h in CATALOG_HEADERS if h not in headers]:
         raise ValueError(f"catalog misses columns: {', '.join(missing)}")
     known = dict(zip(CATALOG_HEADERS, CATALOG_COLUMNS, strict=True))
