@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, spread_join
+from .common import spread_join, write_out
 
 #: Odd multiplier of the rolling hash modulo 2^64, and its inverse.
 BASE = 0x9E3779B97F4A7C15
@@ -57,8 +57,8 @@ class Plan:
 
     Anchors are the first smallest of each run of reach + 1 hashes of seed bytes, which depend on the bytes
     of that run alone. A string of the threshold's length that holds an anchor at offset o of 0..reach lies
-    within [p - reach, p + threshold) of the anchor's position p. parts cuts 0..reach in three; all strings
-    of a part share the bytes [p - first offset, p + threshold - last offset).
+    within [p - reach, p + threshold) of the anchor's position p. parts cuts 0..reach in three, and fine cuts
+    each of them in four; all strings of a part share the bytes [p - first offset, p + threshold - last offset).
     """
 
     def __init__(self, threshold: int):
@@ -66,14 +66,19 @@ class Plan:
         self.reach = threshold - self.seed
         cuts = np.linspace(0, self.reach + 1, 4).astype(int).tolist()
         self.parts = [(a, b - 1) for a, b in zip(cuts, cuts[1:], strict=False) if b > a]
+        self.fine = [[(int(x[0]), int(x[-1])) for x in np.array_split(np.arange(a, b + 1), 4) if len(x)] for a, b in self.parts]
 
-    def anchors(self, rolling: Rolling, begin: np.ndarray, end: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(positions, seed hashes) in a chunk whose texts are [begin, end); row gives each byte's text."""
+    def anchors(self, rolling: Rolling, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(positions, seed hashes, first and last string of each) in a chunk; row gives each byte's text.
+
+        Every string has one anchor that counts for it, and an anchor's strings start side by side.
+        """
         seeds = rolling.all(self.seed)
         width = self.reach + 1
         n = len(seeds) - width + 1
         if n <= 0:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+            none = np.zeros(0, dtype=np.int64)
+            return none, np.zeros(0, dtype=np.uint64), none, none
         bits = np.uint64(max(1, len(seeds).bit_length()))
         low = (seeds >> bits << bits) | np.arange(len(seeds), dtype=np.uint64)
         span = 1
@@ -82,8 +87,8 @@ class Plan:
             span *= 2
         low = np.minimum(low[:n], low[width - span : width - span + n])
         inside = np.flatnonzero(row[:n] == row[self.threshold - 1 : self.threshold - 1 + n])
-        found = np.unique((low[inside] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64))
-        return found, seeds[found]
+        found, at, n_strings = np.unique((low[inside] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64), return_index=True, return_counts=True)
+        return found, seeds[found], inside[at], inside[at] + n_strings - 1
 
 
 class Filter:
@@ -143,21 +148,39 @@ def contexts(plan: Plan, c: Chunk, p: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return low, high, mixed(c.rolling.at(low, high) + (p - low).astype(np.uint64) * np.uint64(BASE))
 
 
-def part_keys(plan: Plan, c: Chunk, p: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each part: (which of p have one, its hash)."""
+def cover_of(plan: Plan, c: Chunk, p: np.ndarray, first: int, last: int, tag: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(begin, end, hash) of all bytes that the strings of one part cover; the hash knows the part and where p is."""
+    low = np.maximum(c.begin[c.row[p]], p - last)
+    high = np.minimum(c.end[c.row[p]], p - first + plan.threshold)
+    return low, high, mixed(c.rolling.at(low, high) + (p - low).astype(np.uint64) * np.uint64(BASE) + np.uint64(tag + 1))
+
+
+def part_keys(plan: Plan, c: Chunk, p: np.ndarray, parts: list[tuple[int, int]], tag: int = 1) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each part: (which of p have one, its hash); tag keeps the hashes of different parts apart."""
     out = []
-    for k, (first, last) in enumerate(plan.parts):
+    for k, (first, last) in enumerate(parts):
         low, high = p - first, p + plan.threshold - last
         ok = np.flatnonzero((low >= c.begin[c.row[p]]) & (high <= c.end[c.row[p]]))
-        out.append((ok, mixed(c.rolling.at(low[ok], high[ok]) + np.uint64(k + 1))))
+        out.append((ok, mixed(c.rolling.at(low[ok], high[ok]) + np.uint64(k + tag))))
     return out
 
 
+def counted(h: np.ndarray) -> pa.RecordBatch:
+    """Different hashes, and whether one or more times."""
+    h, n = np.unique(h, return_counts=True)
+    return pa.RecordBatch.from_arrays([_signed(h), pa.array(np.minimum(n, 2))], names=["h", "n"])
+
+
 def _ids(batch: pa.RecordBatch, rows: np.ndarray) -> list[pa.Array]:
     at = pa.array(rows)
     return [batch.column(0).take(at), batch.column(1).take(at)]
 
 
+def spots(text_hash: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A hash of a text and a place in it."""
+    return mixed(text_hash.view(np.uint64) * np.uint64(BASE) + place.astype(np.uint64))
+
+
 def _signed(h: np.ndarray) -> pa.Array:
     return pa.array(h.view(np.int64))
 
@@ -178,11 +201,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     1. seed bytes at anchors, which are sampled so that no string of the threshold's length is without one;
     2. all bytes that a string with the anchor can cover: of equal ones the first is kept, and the others
        are known to be repeats on their whole length;
-    3. for the kept ones, the bytes that a third of the strings around the anchor share;
-    4. the strings that are left, as pairs of the ranks of their halves: the pair's first position stays,
+    3. for the kept ones, the bytes that a third, and then a twelfth, of the strings around the anchor share;
+    4. all bytes that the strings of such a twelfth can cover, as in step 2;
+    5. the strings that are left, as pairs of the ranks of their halves: the pair's first position stays,
        every later one is a repeat.
 
-    Ranks are 64-bit hashes. Ranks repeated at steps 1 and 3 become Bloom filters of a fixed size, by which
+    Ranks are 64-bit hashes. Ranks repeated at steps 1, 3 and 4 become Bloom filters of a fixed size, by which
     the next pass over the texts emits its positions; a filter that is too small emits more and changes no
     result. Only the last step moves texts, once, to meet their document's positions.
     """
@@ -193,79 +217,121 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     long = rows.filter(F.octet_length("text") >= threshold)
     share = spark.sparkContext.broadcast
-    order = lambda place: F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", F.col(place).alias("place"))
+    order = lambda *more: F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", *more)
 
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for c in chunks(batch.column(2)):
-                h, n = np.unique(plan.anchors(c.rolling, c.begin, c.end, c.row)[1], return_counts=True)
-                yield pa.RecordBatch.from_arrays([_signed(h), pa.array(np.minimum(n, 2))], names=["h", "n"])
+                yield counted(plan.anchors(c.rolling, c.row)[1])
 
-    repeated = long.mapInArrow(seeds, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h")
-    seen = share(bloom(repeated))
+    twice = lambda find: share(bloom(long.mapInArrow(find, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h")))
+    seen = twice(seeds)
 
     def context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Filter(seen.value)
         for batch in batches:
             for c in chunks(batch.column(2)):
-                p, h = plan.anchors(c.rolling, c.begin, c.end, c.row)
+                p, h, *_ = plan.anchors(c.rolling, c.row)
                 p = p[known(h)]
                 keys = [np.zeros(len(p), dtype=np.uint64) for _ in plan.parts]
                 valid = [np.ones(len(p), dtype=bool) for _ in plan.parts]
-                for k, (ok, key) in enumerate(part_keys(plan, c, p)):
+                for k, (ok, key) in enumerate(part_keys(plan, c, p, plan.parts)):
                     keys[k][ok] = key
                     valid[k][ok] = False
                 columns = [pa.array(key.view(np.int64), mask=none) for key, none in zip(keys, valid, strict=True)]
-                yield pa.RecordBatch.from_arrays([*_ids(batch, c.rows[c.row[p]]), pa.array(p - c.begin[c.row[p]]), _signed(contexts(plan, c, p)[2]), *columns], names=["doc_id", "text_hash", "place", "context", *names])
+                ids, place = _ids(batch, c.rows[c.row[p]]), p - c.begin[c.row[p]]
+                yield pa.RecordBatch.from_arrays([*ids, pa.array(place), _signed(spots(ids[1].to_numpy(), place)), _signed(contexts(plan, c, p)[2]), *columns], names=["doc_id", "text_hash", "place", "spot", "context", *names])
 
     names = [f"part{k}" for k in range(len(plan.parts))]
-    anchors = long.mapInArrow(context_rows, f"doc_id {kind}, text_hash bigint, place bigint, context bigint, " + ", ".join(f"{n} bigint" for n in names))
-    firsts = cut(anchors.groupBy("context").agg(F.min(order("place")).alias("at"), *[F.first(n).alias(n) for n in names]))
+    anchors = long.mapInArrow(context_rows, f"doc_id {kind}, text_hash bigint, place bigint, spot bigint, context bigint, " + ", ".join(f"{n} bigint" for n in names))
+    firsts = anchors.groupBy("context").agg(F.min(order("place", "spot")).alias("at"), *[F.first(n).alias(n) for n in names])
+    firsts = write_out(firsts.select("at.doc_id", "at.text_hash", "at.place", "at.spot", *names))
     # One key is shared by as many firsts as there are different contexts around it.
     shared = firsts.select(F.explode(F.array(*names)).alias("h")).filter("h is not null").groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    asked = share(bloom(shared))
+    asked, heads = share(bloom(shared)), share(bloom(firsts.select(F.col("spot").alias("h"))))
+
+    def in_question(batch: pa.RecordBatch, c: Chunk) -> Iterator[tuple[int, tuple[int, int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(number, fine part, anchors, hashes, first and last string) for the parts of firsts that other firsts share."""
+        p, h, a, z = plan.anchors(c.rolling, c.row)
+        keep = np.flatnonzero(Filter(seen.value)(h))
+        keep = keep[Filter(heads.value)(spots(batch.column(1).to_numpy()[c.rows[c.row[p[keep]]]], p[keep] - c.begin[c.row[p[keep]]]))]
+        p, a, z = p[keep], a[keep], z[keep]
+        for k, (ok, key) in enumerate(part_keys(plan, c, p, plan.parts)):
+            ok = ok[Filter(asked.value)(key)]
+            for j, (own, fine) in enumerate(part_keys(plan, c, p[ok], plan.fine[k], 100 * (k + 1))):
+                first, last = plan.fine[k][j]
+                at = ok[own]
+                low, high = np.maximum(p[at] - last, a[at]), np.minimum(p[at] - first, z[at])
+                some = low <= high
+                yield 10 * k + j, plan.fine[k][j], p[at[some]], fine[some], low[some], high[some]
+
+    def fine_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for c in chunks(batch.column(2)):
+                yield counted(np.concatenate([np.zeros(0, dtype=np.uint64), *[h for _, _, _, h, _, _ in in_question(batch, c)]]))
+
+    sharp = twice(fine_keys)
+
+    def covers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """All bytes that the strings of a shared fine part can cover."""
+        wanted = Filter(sharp.value)
+        for batch in batches:
+            for c in chunks(batch.column(2)):
+                for n, (first, last), at, h, _, _ in in_question(batch, c):
+                    keep = wanted(h)
+                    at, h = at[keep], h[keep]
+                    low, high, cover = cover_of(plan, c, at, first, last, n)
+                    base = c.begin[c.row[at]]
+                    ids = _ids(batch, c.rows[c.row[at]])
+                    spot = spots(ids[1].to_numpy(), (at - base) * 1000 + n)
+                    yield pa.RecordBatch.from_arrays([*ids, pa.array(low - base), pa.array((high - low).astype(np.int32)), _signed(spot), _signed(h), _signed(cover)], names=["doc_id", "text_hash", "place", "length", "spot", "part", "cover"])
+
+    rows_of = f"doc_id {kind}, text_hash bigint, place bigint, length int, spot bigint, part bigint, cover bigint"
+    fine_rows = write_out(long.mapInArrow(covers, rows_of))
+    fine_firsts = write_out(fine_rows.groupBy("cover").agg(F.min(order("place", "spot")).alias("at"), F.first("part").alias("part"), F.count("*").alias("n")))
+    fine_later = spread_join(fine_rows, fine_firsts.filter("n > 1").select("cover", F.col("at").alias("first")), "cover").filter(order("place", "spot") > F.col("first")).select("doc_id", "text_hash", "place", "length")
+    open_parts = fine_firsts.groupBy(F.col("part").alias("h")).agg(F.count("*").alias("n")).filter("n > 1").select("h")
+    edges, edge_heads = share(bloom(open_parts)), share(bloom(fine_firsts.select(F.col("at.spot").alias("h"))))
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, wanted, half = Filter(seen.value), Filter(asked.value), threshold // 2
+        wanted, new, half = Filter(edges.value), Filter(edge_heads.value), threshold // 2
         for batch in batches:
             for c in chunks(batch.column(2)):
-                p, h = plan.anchors(c.rolling, c.begin, c.end, c.row)
-                p = p[known(h)]
-                found = []
-                for (first, last), (ok, key) in zip(plan.parts, part_keys(plan, c, p), strict=True):
-                    at = p[ok[wanted(key)]]
-                    x = (at[:, None] - np.arange(first, last + 1)[None, :]).reshape(-1)
-                    of = np.repeat(c.row[at], last + 1 - first)
-                    found.append(x[(x >= c.begin[of]) & (x + threshold <= c.end[of])])
+                found = [np.zeros(0, dtype=np.int64)]
+                for n, _, at, h, low, high in in_question(batch, c):
+                    keep = wanted(h) & new(spots(batch.column(1).to_numpy()[c.rows[c.row[at]]], (at - c.begin[c.row[at]]) * 1000 + n))
+                    low, size = low[keep], (high - low + 1)[keep]
+                    found.append(np.repeat(low, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size))
                 x = np.unique(np.concatenate(found))
                 ranks = [c.rolling.at(x, x + half), c.rolling.at(x + half, x + threshold)]
                 yield pa.RecordBatch.from_arrays([*_ids(batch, c.rows[c.row[x]]), pa.array(x - c.begin[c.row[x]]), *map(_signed, ranks)], names=["doc_id", "text_hash", "place", "rank", "next_rank"])
 
     pairs = long.mapInArrow(strings, f"doc_id {kind}, text_hash bigint, place bigint, rank bigint, next_rank bigint")
-    pairs = cut(pairs.select(order("place").alias("at"), F.xxhash64("rank", "next_rank").alias("pair")))
-    classes = pairs.groupBy("pair").agg(F.min("at").alias("first"), F.count("*").alias("n")).filter("n > 1").select("pair", "first")
-    later = spread_join(pairs, classes, "pair").filter("at > first").select("at.*")
+    pairs = write_out(pairs.select("doc_id", "text_hash", "place", F.xxhash64("rank", "next_rank").alias("pair")))
+    classes = pairs.groupBy("pair").agg(F.min(order("place")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("pair", "first")
+    later = spread_join(pairs, classes, "pair").filter(order("place") > F.col("first")).select("doc_id", "text_hash", "place")
 
-    facts = firsts.select("at.*", F.lit(0).alias("what")).union(later.withColumn("what", F.lit(1)))
-    pick = lambda what: F.collect_list(F.when(F.col("what") == what, F.col("place")))
+    none = F.lit(0)
+    facts = firsts.select("doc_id", "text_hash", "place", none.alias("length")).union(later.select("doc_id", "text_hash", "place", F.lit(threshold))).union(fine_later)
     document = F.md5(F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("~")), F.col("text_hash").cast("string")).cast("binary"))
-    facts = facts.withColumn("document", document).groupBy("document").agg(pick(0).alias("firsts"), pick(1).alias("repeats"))
-    joined = spread_join(rows.withColumn("document", document), facts, "document", "left").select("doc_id", "text_hash", "text", "firsts", "repeats")
+    facts = facts.withColumn("document", document).groupBy("document").agg(F.collect_list(F.when(F.col("length") == 0, F.col("place"))).alias("firsts"), F.collect_list(F.when(F.col("length") > 0, F.col("place"))).alias("repeats"), F.collect_list(F.when(F.col("length") > 0, F.col("length"))).alias("lengths"))
+    joined = spread_join(rows.withColumn("document", document), facts, "document", "left").select("doc_id", "text_hash", "text", "firsts", "repeats", "lengths")
 
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Filter(seen.value)
         for batch in batches:
             n_bytes, n_removed, n_spans, digest, rest, all_spans = [], [], [], [], [], []
-            lists = [batch.column(k) for k in (3, 4)]
+            lists = [batch.column(k) for k in (3, 4, 5)]
             for c in chunks(batch.column(2)):
-                p, h = plan.anchors(c.rolling, c.begin, c.end, c.row)
+                p, h, *_ = plan.anchors(c.rolling, c.row)
                 p = p[known(h)]
                 low, high, _ = contexts(plan, c, p)
-                first, repeat = (np.concatenate([np.zeros(0, dtype=np.int64), *[b + np.asarray(x[i].values, dtype=np.int64) for b, i in zip(c.begin, c.rows.tolist(), strict=True) if x[i].is_valid]]) for x in lists)
+                gather = lambda x, shift: np.concatenate([np.zeros(0, dtype=np.int64), *[shift * b + np.asarray(x[i].values, dtype=np.int64) for b, i in zip(c.begin, c.rows.tolist(), strict=True) if x[i].is_valid]])
+                first, repeat, length = gather(lists[0], 1), gather(lists[1], 1), gather(lists[2], 0)
                 whole = ~np.isin(p, first) & (high - low >= threshold)
                 edge = np.zeros(len(c.data) + 1, dtype=np.int32)
                 np.add.at(edge, np.concatenate([low[whole], repeat]), 1)
-                np.add.at(edge, np.concatenate([high[whole], repeat + threshold]), -1)
+                np.add.at(edge, np.concatenate([high[whole], repeat + length]), -1)
                 gone = np.cumsum(edge[:-1]) > 0
                 for b, e in zip(c.begin.tolist(), c.end.tolist(), strict=True):
                     g = gone[b:e]
