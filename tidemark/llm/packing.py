@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -16,31 +17,63 @@ from .common import cut
 #: Documents of one length are ranked within so many buckets.
 BUCKETS = 1024
 #: Words whose ids a worker remembers; the memory is emptied when it is full.
-REMEMBERED = 200_000
+REMEMBERED = 600_000
+#: The tokenizer splits words where letters end and a run of other signs begins.
+TAIL = re.compile(rb"(.*[a-z])([!-/:-@\[-`{-~]+)", re.S)
+#: Bytes of text whose new words are encoded together.
+GROUP = 1_000_000
 
 
 class WordIds:
-    """Ids of a text by a tokenizer whose words never reach across white space; words are remembered."""
+    """Ids of a text by a tokenizer whose words never reach across white space; words are remembered.
+
+    New words are encoded together, with a bar between them, which is a token of its own there. Words that
+    hold a bar are encoded one by one, as is any run for which the bars do not come out even.
+    """
+
+    BAR = b"|"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.bar = self.ids(self.BAR)
 
-    def __call__(self, text: bytes) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        words = (text if b"<|" in text else text.lower()).split()
+    def ids(self, text: bytes) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def meet(self, words: set[bytes]) -> None:
+        """Makes all words known. A word that ends in a-z and then ASCII punctuation has the ids of both parts."""
+        known = self.known
+        parts = {w: m.groups() for w in words if b"<|" not in w and (m := TAIL.fullmatch(w))}
+        new = list({x for w in words for x in parts.get(w, (w,)) if x not in known})
+        for at in range(0, len(new), 2_000):
+            self.learn(new[at : at + 2_000])
+        known.update((w, known[a] + known[b]) for w, (a, b) in parts.items())
+
+    def learn(self, words: list[bytes]) -> None:
+        plain = [w for w in words if self.BAR not in w]
+        ids = self.ids(b" | ".join(plain)) if plain else np.zeros(0, dtype="<u4")
+        ends = [*np.flatnonzero(ids == self.bar[0]).tolist(), len(ids)] if len(self.bar) == 1 else []
+        packed, begin = ids.tobytes(), 0
+        if len(ends) != len(plain):
+            plain, ends = [], []
+        for word, end in zip(plain, ends, strict=True):
+            self.known[word] = packed[4 * begin : 4 * end]
+            begin = end + 1
+        for word in words:
+            if word not in self.known:
+                self.known[word] = self.ids(word).tobytes()
+
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        words = [(t if b"<|" in t else t.lower()).split() for t in texts]
         known = self.known
-        if missing := [w for w in set(words) if w not in known]:
-            if len(known) > REMEMBERED:
-                known.clear()
-                missing = list(set(words))
-            for at in range(0, len(missing), 10_000):
-                part = missing[at : at + 10_000]
-                for word, code in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False), strict=True):
-                    known[word] = np.array(code.ids, dtype="<u4").tobytes()
-        return b"".join(map(known.__getitem__, words))
+        if len(known) > REMEMBERED:
+            known.clear()
+        self.meet({w for w in set().union(*words) if w not in known})
+        return [b"".join(map(known.__getitem__, w)) for w in words]
 
 
 _loaded: dict[str, WordIds] = {}
@@ -60,11 +93,17 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, ma
             _loaded[tokenizer] = WordIds(tokenizer_path(tokenizer))
         ids_of, end = _loaded[tokenizer], np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            rows = []
+            rows, group, size = [], [], 0
             for at, x in enumerate(batch.column(1)):
-                ids = (ids_of(x.as_buffer().to_pybytes()) if x.is_valid else b"") + end
-                n = len(ids) // 4
-                rows += [(at, s, min(max_tokens, n - s), zlib.crc32(ids[4 * s : 4 * (s + max_tokens)]), n) for s in range(0, n, max_tokens)]
+                group.append(x.as_buffer().to_pybytes() if x.is_valid else b"")
+                size += len(group[-1])
+                if size < GROUP and at + 1 < batch.num_rows:
+                    continue
+                for i, ids in enumerate(ids_of(group), at + 1 - len(group)):
+                    ids += end
+                    n = len(ids) // 4
+                    rows += [(i, s, min(max_tokens, n - s), zlib.crc32(ids[4 * s : 4 * (s + max_tokens)]), n) for s in range(0, n, max_tokens)]
+                group, size = [], 0
             table = np.array(rows, dtype=np.int64).reshape(-1, 5)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(table[:, 0])), *[pa.array(table[:, k]) for k in range(1, 5)]], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
