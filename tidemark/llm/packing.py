@@ -17,7 +17,7 @@ from .common import cut
 #: Documents of one length are ranked within so many buckets.
 BUCKETS = 1024
 #: Words whose ids a worker remembers; the memory is emptied when it is full.
-REMEMBERED = 600_000
+REMEMBERED = 1_500_000
 #: The tokenizer splits words where letters end and a run of other signs begins.
 TAIL = re.compile(rb"(.*[a-z])([!-/:-@\[-`{-~]+)", re.S)
 #: Bytes of text whose new words are encoded together.
