@@ -72,15 +72,20 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame, head_tokens: int, own: int, tail_classes: int) -> tuple[Vocabulary, int, int]:
-    """The vocabulary, and the number of training tokens and of distinct ones. The driver gets head_tokens rows."""
-    head = {bytes(r.token): r.c for r in counts.orderBy(F.desc("c"), "token").limit(head_tokens).select("token", "c").collect()}
-    if END in head:  # the end always has a class of its own
-        head = {END: head[END]} | head
-    own = min(own, len(head))
+    """The vocabulary, and the number of training tokens and of distinct ones.
+
+    Frequent are tokens that make up 1 / head_tokens of all or more: there cannot be more than head_tokens
+    of them, and no task sends the driver any other.
+    """
     total = np.zeros((tail_classes, 2))
     for r in counts.groupBy("cls").agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect():
         total[r.cls] = r.c, r.v
     n_tokens, n_distinct = int(total[:, 0].sum()), int(total[:, 1].sum())
+    frequent = counts.filter(F.col("c") * head_tokens >= n_tokens).select("token", "c").collect()
+    head = {t: c for c, t in sorted(((r.c, bytes(r.token)) for r in frequent), key=lambda x: (-x[0], x[1]))}
+    if END in head:  # the end always has a class of its own
+        head = {END: head[END]} | head
+    own = min(own, len(head))
     for (token, c), _ in zip(head.items(), range(own), strict=False):
         total[tail_class(token, tail_classes)] -= c, 1
     denominator = total[:, 0] + ADD * (total[:, 1] + 1)
@@ -211,7 +216,7 @@ def baum_welch(rows: DataFrame, vocab: Vocabulary, states: int, rounds: int, pri
     return model
 
 
-def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = 8, rounds: int = 6, head_tokens: int = 1 << 17, own_classes: int = 8192, tail_classes: int = 1024) -> DataFrame:
+def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = 8, rounds: int = 6, head_tokens: int = 1 << 20, own_classes: int = 8192, tail_classes: int = 1024) -> DataFrame:
     """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens are the words in lower case (A-Z) and one end. Learning sees the texts outside the fold (crc32 of
@@ -221,8 +226,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     tail_classes by the token's last three bytes, within which a token has its smoothed share.
 
     Baum-Welch runs over windows of WINDOW tokens of all training texts; each round's expected counts are
-    summed across partitions. Counts of the head_tokens most frequent tokens are broadcast (that is their
-    bound); all rarer tokens are joined with the full count table, token by token.
+    summed across partitions. Counts of tokens with a share of 1 / head_tokens or more are broadcast (there
+    are head_tokens of them at most); all rarer tokens are joined with the full count table, token by token.
 
     A null or empty text is the end alone. With no training text every probability comes from smoothing. A
     null id is hashed as empty text. Repeated rows are scored each; other columns are not read.
