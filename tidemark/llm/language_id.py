@@ -83,8 +83,8 @@ class CrossParser:
         """Phrases of each block; blocks are in order of falling length, and step together, character by character."""
         size = self.alphabet.size
         root = table[size : 2 * size]
-        state = np.ones(len(starts), dtype=np.int32)
-        count = np.ones(len(starts), dtype=np.int32)
+        state = np.zeros(len(starts), dtype=np.int32)  # from which every character fails, and begins a phrase
+        count = np.zeros(len(starts), dtype=np.int32)
         alive = np.searchsorted(-lengths, -np.arange(lengths[0] if len(lengths) else 0), side="left")
         for t, n in enumerate(alive.tolist()):
             c = codes[starts[:n] + t]
