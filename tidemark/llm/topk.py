@@ -15,6 +15,8 @@ from .common import cut
 QUERY_BLOCK = 16_384
 #: Integer components up to this size keep all products within a long.
 LARGEST = 1 << 27
+#: Pairs whose products are taken at once, and rows of a block that give its queries a first score to beat.
+PAIRS, SEEDS = 1 << 15, 1024
 #: Segments at each resolution, coarse to fine.
 RESOLUTIONS = (4, 16)
 
@@ -58,17 +60,22 @@ class Searcher:
     def show(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         norm = np.linalg.norm(vectors, axis=1)
         coarse = [segment_statistics(vectors, s) for s in RESOLUTIONS]
-        step = max(1, 4_000_000 // max(1, len(self.ids)))
+        step = max(1, 2_000_000 // max(1, len(self.ids)))
         for at in range(0, len(ids), step):
             part = slice(at, at + step)
             # Bounds are rounded: the slack is far above their error.
             slack = 1e-9 * self.norm[:, None] * norm[None, part] + 0.5
-            q, x = np.nonzero(self.coarse[0] @ coarse[0][part].T + slack >= self.floor[:, None])
-            fits = np.einsum("ij,ij->i", self.coarse[1][q], coarse[1][part][x]) + slack[q, x] >= self.floor[q]
-            q, x = q[fits], x[fits]
-            score = np.einsum("ij,ij->i", self.vectors[q].astype(np.int64), vectors[part][x].astype(np.int64))
-            found = np.stack([q, score, ids[part][x]], axis=1)[(score >= self.floor[q]) & (ids[part][x] != self.ids[q])]
-            self.keep(np.concatenate([self.best, found]))
+            pairs = np.argwhere(self.coarse[0] @ coarse[0][part].T + slack >= self.floor[:, None])
+            found = [self.exact(pairs[i : i + PAIRS], ids[part], vectors[part], coarse[1][part], slack) for i in range(0, len(pairs), PAIRS)]
+            self.keep(np.concatenate([self.best, *found]))
+
+    def exact(self, pairs: np.ndarray, ids: np.ndarray, vectors: np.ndarray, fine: np.ndarray, slack: np.ndarray) -> np.ndarray:
+        """(query, score, id) of the pairs that the finer bound leaves and that reach the floor."""
+        q, x = pairs.T
+        fits = np.einsum("ij,ij->i", self.coarse[1][q], fine[x]) + slack[q, x] >= self.floor[q]
+        q, x = q[fits], x[fits]
+        score = np.einsum("ij,ij->i", self.vectors[q].astype(np.int64), vectors[x].astype(np.int64))
+        return np.stack([q, score, ids[x]], axis=1)[(score >= self.floor[q]) & (ids[x] != self.ids[q])]
 
     def keep(self, rows: np.ndarray) -> None:
         rows = rows[np.lexsort((rows[:, 2], -rows[:, 1], rows[:, 0]))]
@@ -93,7 +100,7 @@ def exact_top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
 
     Queries go in blocks of about QUERY_BLOCK: a block is broadcast, and every task scans its candidates once
     against it. Bounds from the means and deviations of 4 and then 16 segments rule pairs out; only survivors
-    get exact products. The block's own rows give each query a first score to beat, so that a task returns
+    get exact products. Some of the block's own rows give each query a first score to beat, so that a task returns
     only rows that may be among the best, whatever the number of tasks.
     """
     spark = vectors.sparkSession
@@ -106,7 +113,7 @@ def exact_top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
         block = {}
         for n, (ids, x) in integer_rows(pdf["vec_id"], pdf["vector"], scale).items():
             own = Searcher(ids, x, k)
-            own.show(ids, x)
+            own.show(ids[:SEEDS], x[:SEEDS])
             block[n] = (ids, x, own.floor)
         shared = spark.sparkContext.broadcast(block)
 
