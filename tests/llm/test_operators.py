@@ -400,6 +400,24 @@ class TestMixing:
         assert all(r.taken <= 3 * r.size for r in rows)
         assert mixing.mix_sources(awkward.limit(0))[0].count() == 0
 
+    def test_small_sources_beside_a_large_one(self, spark):
+        sizes = {"a": [1000] * 2000, "b": [100] * 3, "c": [70] * 100, "d": [1]}
+        rows = [(s, i, n) for s, own in sizes.items() for i, n in enumerate(own)]
+        docs = spark.createDataFrame(rows, "source string, i int, n int").selectExpr("concat(source, i) as doc_id", "repeat('w ', n) as text", "source")
+        taken, schedule = mixing.mix_sources(docs, least_slots=1 << 11)
+        per = defaultdict(list)
+        for r in taken.collect():
+            assert 0 <= r.taken <= 3 * r.size
+            per[r.source].append(r)
+        for own in per.values():
+            assert own[0].source == "a" or all(r.taken > 0 for r in own)
+            assert abs(sum(r.taken for r in own) - own[0].target) <= max(3, 0.01 * own[0].target)
+        words, total = Counter(), sum(own[0].target for own in per.values())
+        order = schedule.orderBy("slot").collect()
+        for r in order[: len(order) // 2]:
+            words[r.source] += r.length
+        assert all(abs(words[s] / words.total() - own[0].target / total) < 0.005 for s, own in per.items())
+
 
 class TestPacking:
     def ids(self, text):

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut
 
 #: Fractional part of the golden ratio, as a double.
 GOLDEN = 0.6180339887498949
-#: Buckets of a source's documents, most runs of slots, and cells of the unit interval.
+#: Buckets of a source's documents, most runs of slots, and least cells of the unit interval.
 BUCKETS, RUNS, CELLS = 4096, 4096, 1024
+#: A source has so many blocks at least, if it has the words.
+LEAST_BLOCKS = 512
 #: Targets are broadcast up to so many sources.
 FEW_SOURCES = 100_000
 
@@ -38,24 +40,36 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_e
     return leveled.select("src", "source_size", target.alias("target"))
 
 
+def block_length(block: int) -> Column:
+    """Words in a block of a source: block, or fewer so that a small source has LEAST_BLOCKS of them."""
+    return F.expr(f"greatest(1, least({block}, source_size div {LEAST_BLOCKS}))")
+
+
 def schedule_slots(targets: DataFrame, total: int, block: int, max_epochs: int = 3) -> DataFrame:
-    """(slot, src, rank, block): slot i maps frac(i * golden ratio) through the cumulative targets."""
-    n_slots = total // block + 1
-    high = F.sum("target").over(Window.orderBy("src").rowsBetween(Window.unboundedPreceding, 0))
-    ranges = targets.withColumn("high", high).withColumn("low", F.col("high") - F.col("target")).filter("target > 0")
-    cell = lambda end, by: F.floor(F.col(end) * CELLS / F.lit(float(max(total, 1))) + by).cast("long")
+    """(slot, src, rank, block, length): slot i maps frac(i * golden ratio) through the cumulative slots of the targets.
+
+    A source whose blocks are shorter than block takes as many more slots for its target.
+    """
+    targets = targets.withColumn("length", block_length(block)).withColumn("share", F.col("target") * (F.lit(float(block)) / F.col("length")))
+    # The shares' sum is the total, exactly where all blocks are equally long, and what short blocks add.
+    more, n_sources = targets.agg(F.coalesce(F.sum(F.col("share") - F.col("target")), F.lit(0.0)), F.count("*")).first()
+    whole, cells = max(total, 1) + more, max(CELLS, n_sources)
+    n_slots = int((total + more) // block) + 1
+    high = F.sum("share").over(Window.orderBy("src").rowsBetween(Window.unboundedPreceding, 0))
+    ranges = targets.withColumn("high", high).withColumn("low", F.col("high") - F.col("share")).filter("target > 0")
+    cell = lambda end, by: F.floor(F.col(end) * cells / F.lit(float(whole)) + by).cast("long")
     ranges = ranges.withColumn("cell", F.explode(F.sequence(cell("low", -0.001), cell("high", 0.001))))
     slots = targets.sparkSession.range(n_slots).select(F.col("id").alias("slot"), (F.col("id") * F.lit(GOLDEN) - F.floor(F.col("id") * F.lit(GOLDEN))).alias("point"))
-    slots = slots.withColumn("cell", F.floor(F.col("point") * CELLS)).withColumn("at", F.col("point") * F.lit(float(total)))
+    slots = slots.withColumn("cell", F.floor(F.col("point") * cells)).withColumn("at", F.col("point") * F.lit(float(whole)))
     slots = slots.join(ranges, "cell").filter("at >= low AND at < high")
-    slots = slots.select("slot", "src", "source_size", F.expr(f"slot div {max(256, n_slots // RUNS)}").alias("run"))
+    slots = slots.select("slot", "src", "source_size", "length", F.expr(f"slot div {max(256, n_slots // RUNS)}").alias("run"))
     counts = slots.groupBy("src", "run").agg(F.count("*").alias("n"))
     starts = counts.select("src", "run", (F.sum("n").over(Window.partitionBy("src").orderBy("run")) - F.col("n")).alias("start"))
     ranked = slots.withColumn("in_run", F.row_number().over(Window.partitionBy("src", "run").orderBy("slot")) - 1)
     ranked = ranked.join(starts, ["src", "run"]).withColumn("rank", F.col("start") + F.col("in_run"))
-    blocks = F.expr(f"(source_size + {block - 1}) div {block}")
+    blocks = F.expr("(source_size + length - 1) div length")
     ranked = ranked.withColumn("blocks", blocks).filter(F.expr("rank div blocks") < max_epochs)
-    return ranked.select("slot", "src", "rank", F.expr("rank % blocks").alias("block"))
+    return ranked.select("slot", "src", "rank", F.expr("rank % blocks").alias("block"), "length")
 
 
 def mix_sources(
@@ -70,13 +84,14 @@ def mix_sources(
 ) -> tuple[DataFrame, DataFrame]:
     """(taken, schedule): per document how many of its words the mix takes, and the mix's blocks in order.
 
-    taken: doc_id, source, size, source_size, target, taken. schedule: slot, source, rank, block.
+    taken: doc_id, source, size, source_size, target, taken. schedule: slot, source, rank, block, length.
 
     Each source's documents are put in hash order, as one stream of words that is cut into blocks of equal
-    length (max_block words, or fewer so that the mix has least_slots of them). Slot i of the mix maps the
-    point frac(i * golden ratio) through the sources' cumulative targets; the r-th slot of a source takes its
-    block r modulo its number of blocks, so a source is used up evenly and every prefix of the mix has about
-    the target weights. No block is scheduled more than max_epochs times, nor any document's word.
+    length (max_block words, or fewer so that the mix has least_slots of them); a source of under LEAST_BLOCKS
+    such blocks has shorter ones, down to a word, and more slots. Slot i of the mix maps the point
+    frac(i * golden ratio) through the sources' cumulative numbers of slots; the r-th slot of a source takes
+    its block r modulo its number of blocks, so a source is used up evenly and every prefix of the mix has
+    about the target weights in words. No block is scheduled more than max_epochs times, nor any document's word.
 
     A null text has size 0 and takes nothing; a null source is a source of its own, after all others. Rows
     that repeat an id are documents of their own. An empty table gives no rows. Other columns are not read.
@@ -94,19 +109,22 @@ def mix_sources(
     targets = cut(source_targets(totals.groupBy("src").agg(F.sum("bucket_size").alias("source_size")), weights, max_epochs))
     total, n_sources = targets.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.count("*")).first()
     block = max(1, min(max_block, total // least_slots))
+    known = lambda rows, sources: rows.join(F.broadcast(sources) if n_sources <= FEW_SOURCES else sources, "src")
     schedule = schedule_slots(targets, total, block, max_epochs)
 
     ahead = totals.select("src", "bucket", (F.sum("bucket_size").over(Window.partitionBy("src").orderBy("bucket")) - F.col("bucket_size")).alias("ahead"))
     inside = Window.partitionBy("src", "bucket").orderBy("place", "doc_id", "size", "row").rowsBetween(Window.unboundedPreceding, 0)
+    # One row for each bucket carries the length of its source's blocks.
+    ahead = known(ahead, targets.select("src", block_length(block).alias("length")))
     placed = sized.withColumn("upto", F.sum("size").over(inside)).join(ahead, ["src", "bucket"]).withColumn("begin", F.col("ahead") + F.col("upto") - F.col("size"))
-    covered = F.when(F.col("size") > 0, F.expr(f"sequence(begin div {block}, (begin + size - 1) div {block})"))
-    parts = placed.select("row", "doc_id", "src", "size", "begin", F.explode_outer(covered).alias("block"))
-    overlap = F.least(F.col("begin") + F.col("size"), (F.col("block") + 1) * block) - F.greatest(F.col("begin"), F.col("block") * block)
+    covered = F.when(F.col("size") > 0, F.expr("sequence(begin div length, (begin + size - 1) div length)"))
+    parts = placed.select("row", "doc_id", "src", "size", "begin", "length", F.explode_outer(covered).alias("block"))
+    overlap = F.least(F.col("begin") + F.col("size"), (F.col("block") + 1) * F.col("length")) - F.greatest(F.col("begin"), F.col("block") * F.col("length"))
     uses = schedule.groupBy("src", "block").agg(F.count("*").alias("uses"))
     taken = parts.join(uses, ["src", "block"], "left").groupBy("row", "doc_id", "src", "size").agg(F.coalesce(F.sum(overlap * F.col("uses")), F.lit(0)).alias("taken"))
-    taken = taken.join(F.broadcast(targets) if n_sources <= FEW_SOURCES else targets, "src")
+    taken = known(taken, targets)
     source = F.when(F.col("src") != "1", F.expr("substring(src, 2)")).alias("source")
-    return taken.select("doc_id", source, "size", "source_size", "target", "taken"), schedule.select("slot", source, "rank", "block")
+    return taken.select("doc_id", source, "size", "source_size", "target", "taken"), schedule.select("slot", source, "rank", "block", "length")
 
 
 SQL = r"""
