@@ -275,6 +275,12 @@ class TestModels:
         got = arima.fit(y, (1, 0, 0), x=x)
         assert got.n_missing == 1 and got.beta == pytest.approx([3, -2], abs=0.2)
 
+    @pytest.mark.parametrize("seed", [22, 52])
+    def test_iterations_are_those_of_the_setting(self, seed):
+        y = np.random.default_rng(seed).normal(size=60).cumsum() + 10
+        assert arima.fit(y, (2, 0, 1), stationary=True, max_iterations=Settings().max_iterations).converged
+        assert not arima.fit(y, (2, 0, 1), stationary=True, max_iterations=40).converged
+
     def test_too_short(self):
         with pytest.raises(ValueError, match="too short"):
             arima.fit(np.arange(10.0), (1, 1, 1), (1, 1, 1, 12))

@@ -154,7 +154,7 @@ def fit(
     b[k:] = 0.1
     e = errors(b[None])[0]
     cost, damping, converged = float(e @ e), 1e-2, False
-    for _ in range(min(max_iterations, 40)):
+    for _ in range(max_iterations):
         step = 1e-5 * np.maximum(1.0, np.abs(b))
         jacobian = ((errors(b + np.diag(step)) - e) / step[:, None]).T
         if not np.isfinite(jacobian).all():
@@ -171,7 +171,7 @@ def fit(
             converged = True  # no step lowers the sum any more
             break
         gain, b, e, cost, damping = cost - new, b + move, tried, new, max(damping / 5, 1e-9)
-        if gain <= 1e-6 * (cost + 1e-12):
+        if gain <= 1e-8 * (cost + 1e-12):
             converged = True
             break
     ar, ma = (m[0] for m in polys(b[None]))
