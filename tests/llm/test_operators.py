@@ -81,6 +81,17 @@ class TestLanguage:
     def test_empty(self, awkward):
         assert language_id.identify_languages(awkward.limit(0)).count() == 0
 
+    def test_languages_of_long_texts_only(self, spark):
+        said = {"de": "der schnelle braune fuchs springt über den faulen hund am ufer ", "fr": "le renard brun saute par dessus le chien paresseux près de la rivière "}
+        rows = [(i, text * 200, lang) for lang, text in said.items() for i in range(len(lang), 40)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2)
+        asked = spark.createDataFrame([(1000, said["de"], None), (1001, said["fr"], None)], docs.schema)
+        got = language_id.identify_languages(docs.union(asked)).collect()
+        assert {r.doc_id: r.lang_pred for r in got if r.doc_id >= 1000} == {1000: "de", 1001: "fr"}
+        assert Counter(r.lang_pred for r in got if r.doc_id < 1000) == Counter(lang for _, _, lang in rows)
+        sample = language_id.training_texts(docs.selectExpr("*", "false as held_out"), 40, 30_000, 700)
+        assert {k: len(v) for k, v in sample.items()} == dict.fromkeys(said, 38 * 701 - 1)
+
     def test_automaton_holds_exactly_the_substrings(self):
         text = "abracadabra"
         alphabet = language_id.Alphabet([text])

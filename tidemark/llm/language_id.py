@@ -123,10 +123,10 @@ class CrossParser:
         return names, np.where(lettered, score, 0.0)
 
 
-def training_texts(rows: DataFrame, max_docs: int, max_chars: int) -> dict[str, str]:
-    """lang -> text of a bounded sample: by hash order, at most max_docs documents and max_chars characters each."""
-    usable = rows.filter("lang is not null and text is not null and length(text) between 1 and 5000 and not held_out")
-    first = usable.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")))).filter(F.col("n") <= max_docs)
+def training_texts(rows: DataFrame, max_docs: int, max_chars: int, max_chars_per_doc: int) -> dict[str, str]:
+    """lang -> text of a bounded sample: by hash order, the beginnings of at most max_docs documents, max_chars characters in all."""
+    usable = rows.filter("lang is not null and length(text) > 0 and not held_out").withColumn("at", F.xxhash64("text")).withColumn("text", F.substring("text", 1, max_chars_per_doc))
+    first = usable.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "at"))).filter(F.col("n") <= max_docs)
     found: dict[str, str] = {}
     for r in first.select("lang", "n", "text").collect():
         found.setdefault(r.lang, []).append((r.n, r.text))
@@ -136,12 +136,13 @@ def training_texts(rows: DataFrame, max_docs: int, max_chars: int) -> dict[str,
 _parsers: dict[tuple, CrossParser] = {}
 
 
-def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = 40, max_chars: int = 30_000, block: int = 512) -> DataFrame:
+def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = 40, max_chars: int = 30_000, block: int = 512, max_chars_per_doc: int = 5_000) -> DataFrame:
     """One row per input row: doc_id, held_out, lang_pred, score.
 
     Learns from labelled rows outside the fold (crc32 of the id modulo 4 is not 2): per language a sample of
-    max_docs documents of up to 5,000 characters, cut at max_chars characters, becomes a suffix automaton
-    (letters in lower case, everything else one separator). A whole text is then parsed into longest matches
+    max_docs documents of any length, each cut at max_chars_per_doc characters and together at max_chars,
+    becomes a suffix automaton (letters in lower case, everything else one separator). max_chars_per_doc
+    bounds a document's share of the training sample only. A whole text is then parsed into longest matches
     by each automaton, and the language that needs the fewest bits of phrases wins; ties go to the smaller
     name. No phrase crosses a multiple of block characters, so that all blocks are parsed side by side.
 
@@ -151,7 +152,7 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.withColumn("held_out", id_bucket(F.col("doc_id"), 4) == 2)
-    sample = training_texts(rows, max_docs, max_chars)
+    sample = training_texts(rows, max_docs, max_chars, max_chars_per_doc)
     texts = docs.sparkSession.sparkContext.broadcast(sample)
     key = (zlib.crc32(repr(sorted(sample.items())).encode("utf-8", "surrogatepass")), block)
 
