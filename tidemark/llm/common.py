@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import re
 import tempfile
 import uuid
 
@@ -17,10 +19,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share; a temporary one only where the session names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that all executors share, from spark.checkpoint.dir.
+
+    Where the session names none, a local session gets a temporary folder; a cluster raises, as its executors
+    would not see one.
+    """
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidemark-"))
     return context._jsc.sc().getCheckpointDir().get()
 
@@ -33,9 +41,27 @@ def cut(df: DataFrame) -> DataFrame:
 
 def write_out(df: DataFrame) -> DataFrame:
     """As cut, for many small rows: a compressed Parquet table in the shared folder."""
-    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4()}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return Scratch(df.sparkSession).write("table", df)
+
+
+class Scratch:
+    """Parquet tables of one job in the shared folder; those that are no longer read can go before it ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder = spark, f"{shared_folder(spark)}/tables-{uuid.uuid4()}"
+
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{self.folder}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+
+    def drop(self, *names: str) -> None:
+        """Deletes tables, and lets Spark's cleaner take the shuffle files of steps that nothing refers to."""
+        jvm = self.spark.sparkContext._jvm
+        for name in names:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        gc.collect()
+        jvm.System.gc()
 
 
 def id_bucket(column: Column, modulus: int) -> Column:
@@ -43,11 +69,12 @@ def id_bucket(column: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """An equi-join on key in which neither side can reuse an earlier partitioning.
+def spread_join(left: DataFrame, right: DataFrame, key: str | list[str], how: str = "inner") -> DataFrame:
+    """An equi-join on one or more columns in which neither side can reuse an earlier partitioning.
 
     Both sides then have an exchange of their own, which adaptive execution can split where one key holds
     a large share of the rows. right's key must be unique if left has hot keys.
     """
-    salted = [df.withColumn("_spread", F.xxhash64(key)) for df in (left, right)]
-    return salted[0].join(salted[1], [key, "_spread"], how).drop("_spread")
+    keys = [key] if isinstance(key, str) else key
+    salted = [df.withColumn("_spread", F.xxhash64(*keys)) for df in (left, right)]
+    return salted[0].join(salted[1], [*keys, "_spread"], how).drop("_spread")

@@ -1,4 +1,4 @@
-"""Removal of repeated passages by distributed prefix doubling over sampled positions."""
+"""Removal of repeated passages by distributed prefix doubling over positions that may repeat."""
 
 from __future__ import annotations
 
@@ -7,18 +7,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from xxhash import xxh3_128_digest
 
-from .common import spread_join, write_out
+from .common import Scratch, spread_join
 
 #: Odd multiplier of the rolling hash modulo 2^64, and its inverse.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
-#: Bits of a filter that goes to every task: 16 MB, whatever the input.
-FILTER_BITS = 27
-#: Bytes of text that are hashed side by side; a longer text is hashed alone.
-CHUNK = 2_000_000
+#: Filter bits for each key, and at most: 32 MB go to every task, whatever the input.
+BITS_PER_KEY, MOST_BITS = 12, 1 << 28
+#: Bytes of text that are hashed side by side; a longer text is hashed in overlapping pieces.
+CHUNK = 1_500_000
+#: Bits of a position in a chunk, which is of less than two CHUNKs. They take the place of a hash's lowest bits.
+PLACE = np.uint64(22)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -27,6 +31,15 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+def spots(text_hash: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A hash of a text and a place in it."""
+    return mixed(text_hash.view(np.uint64) * np.uint64(BASE) + place.astype(np.uint64))
+
+
+def signed(h: np.ndarray) -> pa.Array:
+    return pa.array(h.view(np.int64))
+
+
 class Rolling:
     """Hashes of any substrings of one byte string."""
 
@@ -52,137 +65,139 @@ class Rolling:
         return mixed((self.sums[end] - self.sums[begin]) * Rolling.inverses[begin] + (end - begin).astype(np.uint64))
 
 
-class Plan:
-    """Lengths that follow from the threshold: a repeated string of that length has an anchor in it.
+class Lengths:
+    """Lengths that follow from the threshold.
 
-    Anchors are the first smallest of each run of reach + 1 hashes of seed bytes, which depend on the bytes
-    of that run alone. A string of the threshold's length that holds an anchor at offset o of 0..reach lies
-    within [p - reach, p + threshold) of the anchor's position p. parts cuts 0..reach in three, and fine cuts
-    each of them in four; all strings of a part share the bytes [p - first offset, p + threshold - last offset).
+    Each string of threshold bytes is led by the first smallest hash of seed bytes among its first width
+    positions, which its own bytes decide. Strings side by side with one leader p make a tile; they begin at
+    p - width + 1 or later and at p or earlier, so all of them hold the bytes [p, p + core).
     """
 
     def __init__(self, threshold: int):
-        self.threshold, self.seed = threshold, max(4, threshold // 6)
-        self.reach = threshold - self.seed
-        cuts = np.linspace(0, self.reach + 1, 4).astype(int).tolist()
-        self.parts = [(a, b - 1) for a, b in zip(cuts, cuts[1:], strict=False) if b > a]
-        self.fine = [[(int(x[0]), int(x[-1])) for x in np.array_split(np.arange(a, b + 1), 4) if len(x)] for a, b in self.parts]
-
-    def anchors(self, rolling: Rolling, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(positions, seed hashes, first and last string of each) in a chunk; row gives each byte's text.
-
-        Every string has one anchor that counts for it, and an anchor's strings start side by side.
-        """
-        seeds = rolling.all(self.seed)
-        width = self.reach + 1
-        n = len(seeds) - width + 1
-        if n <= 0:
-            none = np.zeros(0, dtype=np.int64)
-            return none, np.zeros(0, dtype=np.uint64), none, none
-        bits = np.uint64(max(1, len(seeds).bit_length()))
-        low = (seeds >> bits << bits) | np.arange(len(seeds), dtype=np.uint64)
-        span = 1
-        while span * 2 <= width:
+        self.threshold = threshold
+        self.width = max(1, threshold // 2 - 2)
+        self.seed = max(1, min(12, threshold - self.width))
+        self.core = threshold - self.width + 1
+        self.part = max(1, self.width // 8)
+        # Ranks of a quarter, a half and then all of the threshold: a half is two overlapping quarters, and so on.
+        self.quarter, half = -(-threshold // 4), -(-threshold // 2)
+        steps = half - self.quarter, threshold - half
+        self.offsets = [0, steps[0], steps[1], sum(steps)]
+
+
+class Chunk:
+    """Some texts, or a piece of one, one behind the other, and the tiles of their strings."""
+
+    def __init__(self, lengths: Lengths, parts: list[tuple[int, int, bytes]]):
+        self.lengths, self.bytes = lengths, b"".join(t for *_, t in parts)
+        sizes = np.array([len(t) for *_, t in parts], dtype=np.int64)
+        begin = np.cumsum(sizes) - sizes
+        self.batch_row, shift = np.array([r for r, *_ in parts]), begin - np.array([b for _, b, _ in parts])
+        data = np.frombuffer(self.bytes, dtype=np.uint8)
+        of = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        self.rolling = Rolling(data)
+        low = self.rolling.all(lengths.seed) >> PLACE << PLACE
+        low |= np.arange(len(low), dtype=np.uint64)
+        span, n = 1, len(data) - lengths.threshold + 1
+        while span * 2 <= lengths.width:
             low = np.minimum(low[:-span], low[span:])
             span *= 2
-        low = np.minimum(low[:n], low[width - span : width - span + n])
-        inside = np.flatnonzero(row[:n] == row[self.threshold - 1 : self.threshold - 1 + n])
-        found, at, n_strings = np.unique((low[inside] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64), return_index=True, return_counts=True)
-        return found, seeds[found], inside[at], inside[at] + n_strings - 1
+        low = np.minimum(low[:n], low[lengths.width - span : lengths.width - span + n])
+        x = np.flatnonzero(of[:n] == of[lengths.threshold - 1 :])
+        leader = (low[x] & np.uint64((1 << int(PLACE)) - 1)).astype(np.int64)
+        new = np.flatnonzero(np.concatenate([[True], (leader[1:] != leader[:-1]) | (x[1:] != x[:-1] + 1)])) if len(x) else x
+        self.leader, self.first, self.last = leader[new], x[new], x[np.append(new[1:], len(x)) - 1] if len(x) else x
+        self.row, self.shift = self.batch_row[of[self.first]], shift[of[self.first]]
+
+    def cores(self) -> np.ndarray:
+        return self.rolling.at(self.leader, self.leader + self.lengths.core)
+
+    def ranges(self, at: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[list[bytes], list[bytes]]:
+        """(hash of all bytes that the strings from first to last cover and of the leader's place in them, the bytes)."""
+        end = (last + self.lengths.threshold).tolist()
+        slices = [self.bytes[a:z] for a, z in zip(first.tolist(), end, strict=True)]
+        return [xxh3_128_digest(s, o) for s, o in zip(slices, (self.leader[at] - first).tolist(), strict=True)], slices
+
+
+def chunks(lengths: Lengths, column: pa.Array) -> Iterator[Chunk]:
+    parts, size, more = [], 0, lengths.threshold - 1
+    for i, x in enumerate(column):
+        text = x.as_buffer()
+        for base in range(0, max(1, text.size - more), CHUNK):
+            piece = text.slice(base, min(CHUNK + more, text.size - base)).to_pybytes()
+            if parts and size + len(piece) > CHUNK:
+                yield Chunk(lengths, parts)
+                parts, size = [], 0
+            parts.append((i, base, piece))
+            size += len(piece)
+    if parts:
+        yield Chunk(lengths, parts)
 
 
 class Filter:
-    """A Bloom filter of hashes, with two probes."""
+    """A Bloom filter of well-mixed 64-bit hashes, with two probes."""
 
     def __init__(self, words: np.ndarray):
-        self.words = words
+        self.words, self.mask = words, np.uint64(64 * len(words) - 1)
 
     def __call__(self, h: np.ndarray) -> np.ndarray:
-        mask = np.uint64((1 << FILTER_BITS) - 1)
         one = lambda s: (self.words[(s >> np.uint64(6)).astype(np.int64)] >> (s & np.uint64(63))) & np.uint64(1) > 0
-        return one(h & mask) & one(h >> np.uint64(FILTER_BITS) & mask)
+        return one(h & self.mask) & one(h >> np.uint64(32) & self.mask)
 
 
 def bloom(hashes: DataFrame) -> np.ndarray:
-    """The filter of a column h; its bits are set by Spark, and the driver gets the words that have any."""
-    mask = (1 << FILTER_BITS) - 1
-    slots = F.array(F.expr(f"h & {mask}L"), F.expr(f"shiftrightunsigned(h, {FILTER_BITS}) & {mask}L"))
+    """The filter of a written column h, sized by its rows; Spark sets the bits, the driver gets the words that have any."""
+    n_bits = min(MOST_BITS, 1 << max(10, (BITS_PER_KEY * hashes.count()).bit_length()))
+    slots = F.array(F.expr(f"h & {n_bits - 1}L"), F.expr(f"shiftrightunsigned(h, 32) & {n_bits - 1}L"))
     words = hashes.select(F.explode(slots).alias("slot")).groupBy(F.expr("slot div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits"))
-    out = np.zeros((1 << FILTER_BITS) // 64, dtype=np.uint64)
+    out = np.zeros(n_bits // 64, dtype=np.uint64)
     table = words.toArrow()
     out[table.column("word").to_numpy()] = table.column("bits").to_numpy().view(np.uint64)
     return out
 
 
-class Chunk:
-    """Some whole texts, one behind the other."""
+def order(place: str) -> Column:
+    """Sorts strings by document and then by where they begin."""
+    return F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", F.col(place).alias("place"))
 
-    def __init__(self, rows: list[int], texts: list[bytes]):
-        self.rows = np.array(rows)
-        self.data = np.frombuffer(b"".join(texts), dtype=np.uint8)
-        sizes = np.array([len(t) for t in texts], dtype=np.int64)
-        self.end = np.cumsum(sizes)
-        self.begin = self.end - sizes
-        self.row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-        self.rolling = Rolling(self.data)
 
-
-def chunks(column: pa.Array) -> Iterator[Chunk]:
-    rows, texts, size = [], [], 0
-    for i, x in enumerate(column):
-        text = x.as_buffer().to_pybytes() if x.is_valid else b""
-        if rows and size + len(text) > CHUNK:
-            yield Chunk(rows, texts)
-            rows, texts, size = [], [], 0
-        rows.append(i)
-        texts.append(text)
-        size += len(text)
-    if rows:
-        yield Chunk(rows, texts)
-
-
-def contexts(plan: Plan, c: Chunk, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(begin, end, hash) of all bytes that strings with the anchors p can cover; the hash knows where p is."""
-    low = np.maximum(c.begin[c.row[p]], p - plan.reach)
-    high = np.minimum(c.end[c.row[p]], p + plan.threshold)
-    return low, high, mixed(c.rolling.at(low, high) + (p - low).astype(np.uint64) * np.uint64(BASE))
-
-
-def cover_of(plan: Plan, c: Chunk, p: np.ndarray, first: int, last: int, tag: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(begin, end, hash) of all bytes that the strings of one part cover; the hash knows the part and where p is."""
-    low = np.maximum(c.begin[c.row[p]], p - last)
-    high = np.minimum(c.end[c.row[p]], p - first + plan.threshold)
-    return low, high, mixed(c.rolling.at(low, high) + (p - low).astype(np.uint64) * np.uint64(BASE) + np.uint64(tag + 1))
-
-
-def part_keys(plan: Plan, c: Chunk, p: np.ndarray, parts: list[tuple[int, int]], tag: int = 1) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each part: (which of p have one, its hash); tag keeps the hashes of different parts apart."""
-    out = []
-    for k, (first, last) in enumerate(parts):
-        low, high = p - first, p + plan.threshold - last
-        ok = np.flatnonzero((low >= c.begin[c.row[p]]) & (high <= c.end[c.row[p]]))
-        out.append((ok, mixed(c.rolling.at(low[ok], high[ok]) + np.uint64(k + tag))))
-    return out
+def later(rows: DataFrame, classes: DataFrame, key: str | list[str], place: str) -> DataFrame:
+    """The rows that are not the first of their class; classes has the first of each."""
+    keys = [key] if isinstance(key, str) else key
+    return spread_join(rows, classes.filter("n > 1").select(*keys, "first"), key).filter(order(place) > F.col("first"))
 
 
-def counted(h: np.ndarray) -> pa.RecordBatch:
-    """Different hashes, and whether one or more times."""
-    h, n = np.unique(h, return_counts=True)
-    return pa.RecordBatch.from_arrays([_signed(h), pa.array(np.minimum(n, 2))], names=["h", "n"])
+def in_question(classes: DataFrame) -> DataFrame:
+    """First ones whose core is that of another class's first one too; all others share no string."""
+    shared = classes.groupBy("core").agg(F.count("*").alias("m")).filter("m > 1").select("core")
+    return spread_join(classes, shared, "core")
 
 
-def _ids(batch: pa.RecordBatch, rows: np.ndarray) -> list[pa.Array]:
-    at = pa.array(rows)
-    return [batch.column(0).take(at), batch.column(1).take(at)]
+def classes_of(rows: DataFrame, place: str) -> DataFrame:
+    return rows.groupBy("whole").agg(F.min(order(place)).alias("first"), F.first("core").alias("core"), F.count("*").alias("n"))
 
 
-def spots(text_hash: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """A hash of a text and a place in it."""
-    return mixed(text_hash.view(np.uint64) * np.uint64(BASE) + place.astype(np.uint64))
+def doubled(scratch: Scratch, slices: DataFrame, lengths: Lengths) -> DataFrame:
+    """(doc_id, text_hash, begin) of the strings that repeat an earlier one; slices: (doc_id, text_hash, begin, n, bytes).
 
-
-def _signed(h: np.ndarray) -> pa.Array:
-    return pa.array(h.view(np.int64))
+    Prefix doubling: positions are sorted by their first quarter of the threshold and ranked; then by the
+    pairs of ranks here and a quarter on, and by the pairs of those ranks here and a half on. Positions
+    whose pair is unique drop out of each round, and with them the strings that they belong to.
+    """
+    begins = slices.select("doc_id", "text_hash", "begin", "bytes", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("j"))
+    places = F.posexplode(F.array(*[F.expr(f"substring(bytes, j + {o + 1}, {lengths.quarter})") for o in lengths.offsets])).alias("k", "piece")
+    rows = begins.select("doc_id", "text_hash", (F.col("begin") + F.col("j")).alias("begin"), places)
+    rows, key = scratch.write("positions-1", rows), ["piece"]
+    for size in (2, 1):
+        repeated = scratch.write(f"repeated-{size}", rows.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1").select(*key))
+        ranks = scratch.write(f"ranks-{size}", repeated.sort(*key).withColumn("rank", F.monotonically_increasing_id()))
+        ranked = spread_join(rows, ranks, key)
+        half = lambda k: F.max(F.when(F.col("k") % 2 == k, F.col("rank")))
+        pairs = ranked.groupBy("doc_id", "text_hash", "begin", F.expr("k div 2").alias("k")).agg(half(0).alias("here"), half(1).alias("further"))
+        rows, key = scratch.write(f"positions-{size + 2}", pairs.filter("here is not null and further is not null")), ["here", "further"]
+        scratch.drop(f"repeated-{size}", f"ranks-{size}", f"positions-{1 if size == 2 else 4}")
+    classes = rows.groupBy(*key).agg(F.min(order("begin")).alias("first"), F.count("*").alias("n"))
+    return later(rows, classes, key, "begin").select("doc_id", "text_hash", "begin")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 100) -> DataFrame:
@@ -193,157 +208,131 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kept is the rest as binary, spans the removed runs (begin, end). A null text is empty. Null ids come
     last; rows with one id and different texts are ordered by a hash of the text, and rows that repeat id
     and text are one document: they are judged alike and lose nothing to each other. Texts shorter than the
-    threshold stay whole. An empty table gives no rows. Other columns are not read. A task needs about 70
-    bytes of memory for each byte of the longest text.
-
-    Positions are ranked at growing lengths, and those that are unique drop out before the next:
-
-    1. seed bytes at anchors, which are sampled so that no string of the threshold's length is without one;
-    2. all bytes that a string with the anchor can cover: of equal ones the first is kept, and the others
-       are known to be repeats on their whole length;
-    3. for the kept ones, the bytes that a third, and then a twelfth, of the strings around the anchor share;
-    4. all bytes that the strings of such a twelfth can cover, as in step 2;
-    5. the strings that are left, as pairs of the ranks of their halves: the pair's first position stays,
-       every later one is a repeat.
-
-    Ranks are 64-bit hashes. Ranks repeated at steps 1, 3 and 4 become Bloom filters of a fixed size, by which
-    the next pass over the texts emits its positions; a filter that is too small emits more and changes no
-    result. Only the last step moves texts, once, to meet their document's positions.
+    threshold stay whole. An empty table gives no rows. Other columns are not read.
+
+    Most positions are settled before any is sorted, by classes of longer strings:
+
+    1. Strings side by side make tiles (see Lengths); tiles whose core is unique hold no repeat.
+    2. Tiles equal on all bytes that their strings cover are one class. All but its first are repeats, and a
+       first tile whose core no other first one has holds none.
+    3. The first tiles that are left are cut in parts, and those are settled as in step 2.
+    4. What is left, at the edges of repeated runs, is settled string by string by prefix doubling (doubled).
+
+    Cores are compared by 64-bit hashes, which only choose candidates; classes of tiles and parts are equal
+    in 128-bit hashes, and prefix doubling compares bytes. Two Bloom filters, sized by their keys up to a
+    bound, choose what a pass over the texts emits: a full filter emits more and changes no result.
+    Texts move once, to meet their removed runs.
     """
-    spark = docs.sparkSession
-    plan = Plan(threshold)
+    if threshold < 4:
+        raise ValueError("threshold must be 4 or more")
+    spark, lengths = docs.sparkSession, Lengths(threshold)
+    scratch, share = Scratch(spark), spark.sparkContext.broadcast
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     long = rows.filter(F.octet_length("text") >= threshold)
-    share = spark.sparkContext.broadcast
-    order = lambda *more: F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", *more)
 
-    def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for c in chunks(batch.column(2)):
-                yield counted(plan.anchors(c.rolling, c.row)[1])
+            for c in chunks(lengths, batch.column(2)):
+                h, n = np.unique(c.cores(), return_counts=True)
+                yield pa.RecordBatch.from_arrays([signed(h), pa.array(np.minimum(n, 2))], names=["h", "n"])
 
-    twice = lambda find: share(bloom(long.mapInArrow(find, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h")))
-    seen = twice(seeds)
+    repeated = long.mapInArrow(cores, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h")
+    seen = share(bloom(scratch.write("cores", repeated)))
+    scratch.drop("cores")
 
-    def context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Filter(seen.value)
         for batch in batches:
-            for c in chunks(batch.column(2)):
-                p, h, *_ = plan.anchors(c.rolling, c.row)
-                p = p[known(h)]
-                keys = [np.zeros(len(p), dtype=np.uint64) for _ in plan.parts]
-                valid = [np.ones(len(p), dtype=bool) for _ in plan.parts]
-                for k, (ok, key) in enumerate(part_keys(plan, c, p, plan.parts)):
-                    keys[k][ok] = key
-                    valid[k][ok] = False
-                columns = [pa.array(key.view(np.int64), mask=none) for key, none in zip(keys, valid, strict=True)]
-                ids, place = _ids(batch, c.rows[c.row[p]]), p - c.begin[c.row[p]]
-                yield pa.RecordBatch.from_arrays([*ids, pa.array(place), _signed(spots(ids[1].to_numpy(), place)), _signed(contexts(plan, c, p)[2]), *columns], names=["doc_id", "text_hash", "place", "spot", "context", *names])
-
-    names = [f"part{k}" for k in range(len(plan.parts))]
-    anchors = long.mapInArrow(context_rows, f"doc_id {kind}, text_hash bigint, place bigint, spot bigint, context bigint, " + ", ".join(f"{n} bigint" for n in names))
-    firsts = anchors.groupBy("context").agg(F.min(order("place", "spot")).alias("at"), *[F.first(n).alias(n) for n in names])
-    firsts = write_out(firsts.select("at.doc_id", "at.text_hash", "at.place", "at.spot", *names))
-    # One key is shared by as many firsts as there are different contexts around it.
-    shared = firsts.select(F.explode(F.array(*names)).alias("h")).filter("h is not null").groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    asked, heads = share(bloom(shared)), share(bloom(firsts.select(F.col("spot").alias("h"))))
-
-    def in_question(batch: pa.RecordBatch, c: Chunk) -> Iterator[tuple[int, tuple[int, int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """(number, fine part, anchors, hashes, first and last string) for the parts of firsts that other firsts share."""
-        p, h, a, z = plan.anchors(c.rolling, c.row)
-        keep = np.flatnonzero(Filter(seen.value)(h))
-        keep = keep[Filter(heads.value)(spots(batch.column(1).to_numpy()[c.rows[c.row[p[keep]]]], p[keep] - c.begin[c.row[p[keep]]]))]
-        p, a, z = p[keep], a[keep], z[keep]
-        for k, (ok, key) in enumerate(part_keys(plan, c, p, plan.parts)):
-            ok = ok[Filter(asked.value)(key)]
-            for j, (own, fine) in enumerate(part_keys(plan, c, p[ok], plan.fine[k], 100 * (k + 1))):
-                first, last = plan.fine[k][j]
-                at = ok[own]
-                low, high = np.maximum(p[at] - last, a[at]), np.minimum(p[at] - first, z[at])
-                some = low <= high
-                yield 10 * k + j, plan.fine[k][j], p[at[some]], fine[some], low[some], high[some]
-
-    def fine_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for c in chunks(lengths, batch.column(2)):
+                core = c.cores()
+                at = np.flatnonzero(known(core))
+                whole, _ = c.ranges(at, c.first[at], c.last[at])
+                ids = pa.array(c.row[at])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(ids), batch.column(1).take(ids), pa.array(c.first[at] - c.shift[at]), pa.array((c.last - c.first)[at] + 1), signed(core[at]), pa.array(whole, pa.binary())],
+                    names=["doc_id", "text_hash", "begin", "n", "core", "whole"],
+                )
+
+    columns = f"doc_id {kind}, text_hash bigint, begin bigint, n bigint, core bigint, whole binary"
+    tiled = scratch.write("tiles", long.mapInArrow(tiles, columns))
+    firsts = scratch.write("firsts", classes_of(tiled, "begin"))
+    run = lambda df: df.select("doc_id", "text_hash", "begin", (F.col("begin") + F.col("n") - 1 + threshold).alias("end"))
+    scratch.write("runs-1", merged(run(later(tiled, firsts, "whole", "begin"))))
+    scratch.drop("tiles")
+
+    def spot_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for c in chunks(batch.column(2)):
-                yield counted(np.concatenate([np.zeros(0, dtype=np.uint64), *[h for _, _, _, h, _, _ in in_question(batch, c)]]))
+            yield pa.RecordBatch.from_arrays([signed(spots(batch.column(0).to_numpy(), batch.column(1).to_numpy()))], names=["h"])
 
-    sharp = twice(fine_keys)
+    asked = share(bloom(scratch.write("asked", in_question(firsts).select("first.text_hash", "first.place").mapInArrow(spot_hashes, "h bigint"))))
+    scratch.drop("asked", "firsts")
 
-    def covers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """All bytes that the strings of a shared fine part can cover."""
-        wanted = Filter(sharp.value)
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, wanted = Filter(seen.value), Filter(asked.value)
         for batch in batches:
-            for c in chunks(batch.column(2)):
-                for n, (first, last), at, h, _, _ in in_question(batch, c):
-                    keep = wanted(h)
-                    at, h = at[keep], h[keep]
-                    low, high, cover = cover_of(plan, c, at, first, last, n)
-                    base = c.begin[c.row[at]]
-                    ids = _ids(batch, c.rows[c.row[at]])
-                    spot = spots(ids[1].to_numpy(), (at - base) * 1000 + n)
-                    yield pa.RecordBatch.from_arrays([*ids, pa.array(low - base), pa.array((high - low).astype(np.int32)), _signed(spot), _signed(h), _signed(cover)], names=["doc_id", "text_hash", "place", "length", "spot", "part", "cover"])
-
-    rows_of = f"doc_id {kind}, text_hash bigint, place bigint, length int, spot bigint, part bigint, cover bigint"
-    fine_rows = write_out(long.mapInArrow(covers, rows_of))
-    fine_firsts = write_out(fine_rows.groupBy("cover").agg(F.min(order("place", "spot")).alias("at"), F.first("part").alias("part"), F.count("*").alias("n")))
-    fine_later = spread_join(fine_rows, fine_firsts.filter("n > 1").select("cover", F.col("at").alias("first")), "cover").filter(order("place", "spot") > F.col("first")).select("doc_id", "text_hash", "place", "length")
-    open_parts = fine_firsts.groupBy(F.col("part").alias("h")).agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    edges, edge_heads = share(bloom(open_parts)), share(bloom(fine_firsts.select(F.col("at.spot").alias("h"))))
-
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, new, half = Filter(edges.value), Filter(edge_heads.value), threshold // 2
-        for batch in batches:
-            for c in chunks(batch.column(2)):
-                found = [np.zeros(0, dtype=np.int64)]
-                for n, _, at, h, low, high in in_question(batch, c):
-                    keep = wanted(h) & new(spots(batch.column(1).to_numpy()[c.rows[c.row[at]]], (at - c.begin[c.row[at]]) * 1000 + n))
-                    low, size = low[keep], (high - low + 1)[keep]
-                    found.append(np.repeat(low, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size))
-                x = np.unique(np.concatenate(found))
-                ranks = [c.rolling.at(x, x + half), c.rolling.at(x + half, x + threshold)]
-                yield pa.RecordBatch.from_arrays([*_ids(batch, c.rows[c.row[x]]), pa.array(x - c.begin[c.row[x]]), *map(_signed, ranks)], names=["doc_id", "text_hash", "place", "rank", "next_rank"])
-
-    pairs = long.mapInArrow(strings, f"doc_id {kind}, text_hash bigint, place bigint, rank bigint, next_rank bigint")
-    pairs = write_out(pairs.select("doc_id", "text_hash", "place", F.xxhash64("rank", "next_rank").alias("pair")))
-    classes = pairs.groupBy("pair").agg(F.min(order("place")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("pair", "first")
-    later = spread_join(pairs, classes, "pair").filter(order("place") > F.col("first")).select("doc_id", "text_hash", "place")
-
-    none = F.lit(0)
-    facts = firsts.select("doc_id", "text_hash", "place", none.alias("length")).union(later.select("doc_id", "text_hash", "place", F.lit(threshold))).union(fine_later)
-    document = F.md5(F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("~")), F.col("text_hash").cast("string")).cast("binary"))
-    facts = facts.withColumn("document", document).groupBy("document").agg(F.collect_list(F.when(F.col("length") == 0, F.col("place"))).alias("firsts"), F.collect_list(F.when(F.col("length") > 0, F.col("place"))).alias("repeats"), F.collect_list(F.when(F.col("length") > 0, F.col("length"))).alias("lengths"))
-    joined = spread_join(rows.withColumn("document", document), facts, "document", "left").select("doc_id", "text_hash", "text", "firsts", "repeats", "lengths")
+            text_hash = batch.column(1).to_numpy()
+            for c in chunks(lengths, batch.column(2)):
+                tile = np.flatnonzero(known(c.cores()))
+                tile = tile[wanted(spots(text_hash[c.row[tile]], c.first[tile] - c.shift[tile]))]
+                for k in range(0, lengths.width, lengths.part):  # strings that begin k or more, and less than k + part, before the leader
+                    leader, last = c.leader[tile] - k, k + lengths.part - 1
+                    first, end = np.maximum(c.first[tile], c.leader[tile] - last), np.minimum(c.last[tile], leader)
+                    some = np.flatnonzero(first <= end)
+                    at, first, end, leader = tile[some], first[some], end[some], leader[some]
+                    core = mixed(c.rolling.at(leader, leader + threshold + 1 - lengths.part) + np.uint64(k))
+                    whole, slices = c.ranges(at, first, end)
+                    ids = pa.array(c.row[at])
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(ids), batch.column(1).take(ids), pa.array(first - c.shift[at]), pa.array(end - first + 1), signed(core), pa.array(whole, pa.binary()), pa.array(slices, pa.binary())],
+                        names=["doc_id", "text_hash", "begin", "n", "core", "whole", "bytes"],
+                    )
+
+    cut_up = scratch.write("parts", long.mapInArrow(parts, columns + ", bytes binary"))
+    seen.destroy()
+    asked.destroy()
+    firsts = scratch.write("part-firsts", classes_of(cut_up, "begin"))
+    scratch.write("runs-2", merged(run(later(cut_up.drop("bytes"), firsts, "whole", "begin"))))
+    left = in_question(firsts).select("whole", "first")
+    slices = spread_join(cut_up, left, "whole").filter(order("begin") == F.col("first")).select("doc_id", "text_hash", F.col("begin").cast("int").alias("begin"), F.col("n").cast("int").alias("n"), "bytes")
+    slices = scratch.write("slices", slices)
+    scratch.drop("parts", "part-firsts")
+    last = doubled(scratch, slices, lengths).select("doc_id", "text_hash", F.col("begin").cast("long").alias("begin"), (F.col("begin") + threshold).cast("long").alias("end"))
+    runs = [spark.read.parquet(f"{scratch.folder}/runs-{i}") for i in (1, 2)]
+    spans = scratch.write("spans", merged(runs[0].union(runs[1]).union(last)).groupBy(document_key().alias("key")).agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("spans")))
+    scratch.drop("slices", "runs-1", "runs-2", "positions-3")
+    joined = spread_join(rows.withColumn("key", document_key()), spans, "key", "left").select("doc_id", "text", "spans")
 
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Filter(seen.value)
         for batch in batches:
-            n_bytes, n_removed, n_spans, digest, rest, all_spans = [], [], [], [], [], []
-            lists = [batch.column(k) for k in (3, 4, 5)]
-            for c in chunks(batch.column(2)):
-                p, h, *_ = plan.anchors(c.rolling, c.row)
-                p = p[known(h)]
-                low, high, _ = contexts(plan, c, p)
-                gather = lambda x, shift: np.concatenate([np.zeros(0, dtype=np.int64), *[shift * b + np.asarray(x[i].values, dtype=np.int64) for b, i in zip(c.begin, c.rows.tolist(), strict=True) if x[i].is_valid]])
-                first, repeat, length = gather(lists[0], 1), gather(lists[1], 1), gather(lists[2], 0)
-                whole = ~np.isin(p, first) & (high - low >= threshold)
-                edge = np.zeros(len(c.data) + 1, dtype=np.int32)
-                np.add.at(edge, np.concatenate([low[whole], repeat]), 1)
-                np.add.at(edge, np.concatenate([high[whole], repeat + length]), -1)
-                gone = np.cumsum(edge[:-1]) > 0
-                for b, e in zip(c.begin.tolist(), c.end.tolist(), strict=True):
-                    g = gone[b:e]
-                    turns = np.flatnonzero(np.diff(np.concatenate([[False], g, [False]]).astype(np.int8))).reshape(-1, 2)
-                    kept = c.data[b:e][~g].tobytes()
-                    n_bytes.append(e - b)
-                    n_removed.append(int(g.sum()))
-                    n_spans.append(len(turns))
-                    digest.append(hashlib.sha256(kept).hexdigest())
-                    rest.append(kept)
-                    all_spans.append([{"begin": int(a), "end": int(z)} for a, z in turns])
-            spans = pa.array(all_spans, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(digest, pa.string()), pa.array(rest, pa.binary()), spans], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"])
+            out: list[list] = [[], [], [], [], []]
+            begins, ends = (batch.column(2).flatten().field(k).to_numpy() for k in (0, 1))
+            counts = batch.column(2).value_lengths().fill_null(0).to_numpy()
+            upto = np.cumsum(counts)
+            for x, a, z in zip(batch.column(1), (upto - counts).tolist(), upto.tolist(), strict=True):
+                data, at, kept = x.as_buffer().to_pybytes(), 0, []
+                for b, e in zip(begins[a:z].tolist(), ends[a:z].tolist(), strict=True):
+                    kept.append(data[at:b])
+                    at = e
+                rest = b"".join([*kept, data[at:]])
+                for values, v in zip(out, (len(data), len(data) - len(rest), z - a, hashlib.sha256(rest).hexdigest(), rest), strict=True):
+                    values.append(v)
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+            empty = pa.array([[]], batch.column(2).type)
+            spans = pa.compute.coalesce(batch.column(2), empty[0])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, out, kinds), spans], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"])
 
     return joined.mapInArrow(removed, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary, spans array<struct<begin:bigint,end:bigint>>")
+
+
+def document_key() -> Column:
+    return F.md5(F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("~")), F.col("text_hash").cast("string")).cast("binary"))
+
+
+def merged(runs: DataFrame) -> DataFrame:
+    """Runs (doc_id, text_hash, begin, end) of which none touches another; they cover the same bytes."""
+    own = W.partitionBy("doc_id", "text_hash").orderBy("begin", "end")
+    before = F.max("end").over(own.rowsBetween(W.unboundedPreceding, -1))
+    starts = runs.withColumn("new", F.when(F.col("begin") <= before, 0).otherwise(1)).withColumn("island", F.sum("new").over(own.rowsBetween(W.unboundedPreceding, 0)))
+    return starts.groupBy("doc_id", "text_hash", "island").agg(F.min("begin").alias("begin"), F.max("end").alias("end")).drop("island")
