@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
@@ -18,9 +18,9 @@ from .common import Scratch, spread_join
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 #: Filter bits for each key, and at most: 32 MB go to every task, whatever the input.
-BITS_PER_KEY, MOST_BITS = 12, 1 << 28
+BITS_PER_KEY, MOST_BITS = 16, 1 << 28
 #: Bytes of text that are hashed side by side; a longer text is hashed in overlapping pieces.
-CHUNK = 1_500_000
+CHUNK = 1_000_000
 #: Bits of a position in a chunk, which is of less than two CHUNKs. They take the place of a hash's lowest bits.
 PLACE = np.uint64(22)
 
@@ -31,11 +31,6 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def spots(text_hash: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """A hash of a text and a place in it."""
-    return mixed(text_hash.view(np.uint64) * np.uint64(BASE) + place.astype(np.uint64))
-
-
 def signed(h: np.ndarray) -> pa.Array:
     return pa.array(h.view(np.int64))
 
@@ -112,11 +107,12 @@ class Chunk:
     def cores(self) -> np.ndarray:
         return self.rolling.at(self.leader, self.leader + self.lengths.core)
 
-    def ranges(self, at: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[list[bytes], list[bytes]]:
+    def ranges(self, at: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
         """(hash of all bytes that the strings from first to last cover and of the leader's place in them, the bytes)."""
         end = (last + self.lengths.threshold).tolist()
         slices = [self.bytes[a:z] for a, z in zip(first.tolist(), end, strict=True)]
-        return [xxh3_128_digest(s, o) for s, o in zip(slices, (self.leader[at] - first).tolist(), strict=True)], slices
+        hashes = b"".join([xxh3_128_digest(s, o) for s, o in zip(slices, (self.leader[at] - first).tolist(), strict=True)])
+        return np.frombuffer(hashes, dtype="<i8").reshape(-1, 2), slices
 
 
 def chunks(lengths: Lengths, column: pa.Array) -> Iterator[Chunk]:
@@ -156,15 +152,9 @@ def bloom(hashes: DataFrame) -> np.ndarray:
     return out
 
 
-def order(place: str) -> Column:
-    """Sorts strings by document and then by where they begin."""
-    return F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", F.col(place).alias("place"))
-
-
-def later(rows: DataFrame, classes: DataFrame, key: str | list[str], place: str) -> DataFrame:
+def later(rows: DataFrame, classes: DataFrame, key: list[str]) -> DataFrame:
     """The rows that are not the first of their class; classes has the first of each."""
-    keys = [key] if isinstance(key, str) else key
-    return spread_join(rows, classes.filter("n > 1").select(*keys, "first"), key).filter(order(place) > F.col("first"))
+    return spread_join(rows, classes.filter("n > 1").select(*key, "first"), key).filter("at > first")
 
 
 def in_question(classes: DataFrame) -> DataFrame:
@@ -173,31 +163,61 @@ def in_question(classes: DataFrame) -> DataFrame:
     return spread_join(classes, shared, "core")
 
 
-def classes_of(rows: DataFrame, place: str) -> DataFrame:
-    return rows.groupBy("whole").agg(F.min(order(place)).alias("first"), F.first("core").alias("core"), F.count("*").alias("n"))
+#: The hash of all bytes of a tile or a part.
+WHOLE = ["whole", "whole2"]
+
+
+def classes_of(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*WHOLE).agg(F.min("at").alias("first"), F.first("core").alias("core"), F.count("*").alias("n"))
+
+
+def merged(runs: DataFrame) -> DataFrame:
+    """Runs (base, at, end) of which none touches another; they cover the same bytes."""
+    own = W.partitionBy("base").orderBy("at", "end")
+    before = F.max("end").over(own.rowsBetween(W.unboundedPreceding, -1))
+    starts = runs.withColumn("new", F.when(F.col("at") <= before, 0).otherwise(1)).withColumn("island", F.sum("new").over(own.rowsBetween(W.unboundedPreceding, 0)))
+    return starts.groupBy("base", "island").agg(F.min("at").alias("at"), F.max("end").alias("end")).drop("island")
+
+
+def corpus_places(scratch: Scratch, rows: DataFrame) -> DataFrame:
+    """(t1, t2, first, base): the first row of each text, and where the text begins if all lie one behind the other, a byte apart.
+
+    rows: (doc_id, t1, t2, size). The order is that of the first rows' ids, null last, and then of text hashes.
+    """
+    id_order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id")
+    firsts = scratch.write("texts-unordered", rows.groupBy("t1", "t2").agg(F.min(id_order).alias("first"), F.first("size").alias("size")))
+    ordered = scratch.write("texts-ordered", firsts.sort("first", "t1", "t2").withColumn("part", F.spark_partition_id()))
+    inside = W.partitionBy("part").orderBy("first", "t1", "t2").rowsBetween(W.unboundedPreceding, -1)
+    # One row for each partition of the sort.
+    parts = ordered.groupBy("part").agg(F.sum(F.col("size") + 1).alias("bytes"))
+    ahead = parts.select("part", F.coalesce(F.sum("bytes").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))
+    placed = ordered.withColumn("inside", F.coalesce(F.sum(F.col("size") + 1).over(inside), F.lit(0))).join(F.broadcast(ahead), "part")
+    placed = scratch.write("places", placed.select("t1", "t2", F.col("first.doc_id").alias("first_id"), (F.col("ahead") + F.col("inside")).alias("base")))
+    scratch.drop("texts-unordered", "texts-ordered")
+    return placed
 
 
 def doubled(scratch: Scratch, slices: DataFrame, lengths: Lengths) -> DataFrame:
-    """(doc_id, text_hash, begin) of the strings that repeat an earlier one; slices: (doc_id, text_hash, begin, n, bytes).
+    """(base, at) of the strings that repeat an earlier one; slices: (base, at, n, bytes), n strings from at on.
 
     Prefix doubling: positions are sorted by their first quarter of the threshold and ranked; then by the
     pairs of ranks here and a quarter on, and by the pairs of those ranks here and a half on. Positions
     whose pair is unique drop out of each round, and with them the strings that they belong to.
     """
-    begins = slices.select("doc_id", "text_hash", "begin", "bytes", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("j"))
+    begins = slices.select("base", "at", "bytes", F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)).alias("j"))
     places = F.posexplode(F.array(*[F.expr(f"substring(bytes, j + {o + 1}, {lengths.quarter})") for o in lengths.offsets])).alias("k", "piece")
-    rows = begins.select("doc_id", "text_hash", (F.col("begin") + F.col("j")).alias("begin"), places)
-    rows, key = scratch.write("positions-1", rows), ["piece"]
-    for size in (2, 1):
+    rows, key = scratch.write("positions-4", begins.select("base", (F.col("at") + F.col("j")).alias("at"), places)), ["piece"]
+    for size in (4, 2):
         repeated = scratch.write(f"repeated-{size}", rows.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1").select(*key))
         ranks = scratch.write(f"ranks-{size}", repeated.sort(*key).withColumn("rank", F.monotonically_increasing_id()))
-        ranked = spread_join(rows, ranks, key)
+        ranked = scratch.write(f"ranked-{size}", spread_join(rows, ranks, key).select("base", "at", "k", "rank"))
+        scratch.drop(f"repeated-{size}", f"ranks-{size}", f"positions-{size}")
         half = lambda k: F.max(F.when(F.col("k") % 2 == k, F.col("rank")))
-        pairs = ranked.groupBy("doc_id", "text_hash", "begin", F.expr("k div 2").alias("k")).agg(half(0).alias("here"), half(1).alias("further"))
-        rows, key = scratch.write(f"positions-{size + 2}", pairs.filter("here is not null and further is not null")), ["here", "further"]
-        scratch.drop(f"repeated-{size}", f"ranks-{size}", f"positions-{1 if size == 2 else 4}")
-    classes = rows.groupBy(*key).agg(F.min(order("begin")).alias("first"), F.count("*").alias("n"))
-    return later(rows, classes, key, "begin").select("doc_id", "text_hash", "begin")
+        pairs = ranked.groupBy("base", "at", F.expr("k div 2").alias("k")).agg(half(0).alias("here"), half(1).alias("further"))
+        rows, key = scratch.write(f"positions-{size // 2}", pairs.filter("here is not null and further is not null")), ["here", "further"]
+        scratch.drop(f"ranked-{size}")
+    classes = rows.groupBy(*key).agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    return later(rows, classes, key).select("base", "at")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 100) -> DataFrame:
@@ -207,10 +227,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     row with a smaller id, or before it in the same row (overlaps count). Strings are judged on the input.
     kept is the rest as binary, spans the removed runs (begin, end). A null text is empty. Null ids come
     last; rows with one id and different texts are ordered by a hash of the text, and rows that repeat id
-    and text are one document: they are judged alike and lose nothing to each other. Texts shorter than the
-    threshold stay whole. An empty table gives no rows. Other columns are not read.
+    and text are one document: they are judged alike and lose nothing to each other. Rows without an id that
+    have the same text are one document too. Texts shorter than the threshold stay whole. An empty table
+    gives no rows. Other columns are not read.
 
-    Most positions are settled before any is sorted, by classes of longer strings:
+    Different texts lie one behind the other in a corpus, and a position there is a number. Later copies of a
+    whole text go entirely. Most positions are settled before any is sorted, by classes of longer strings:
 
     1. Strings side by side make tiles (see Lengths); tiles whose core is unique hold no repeat.
     2. Tiles equal on all bytes that their strings cover are one class. All but its first are repeats, and a
@@ -218,10 +240,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     3. The first tiles that are left are cut in parts, and those are settled as in step 2.
     4. What is left, at the edges of repeated runs, is settled string by string by prefix doubling (doubled).
 
-    Cores are compared by 64-bit hashes, which only choose candidates; classes of tiles and parts are equal
-    in 128-bit hashes, and prefix doubling compares bytes. Two Bloom filters, sized by their keys up to a
+    Cores are compared by 64-bit hashes, which only choose candidates; texts, tiles and parts are equal in
+    128-bit hashes, and prefix doubling compares bytes. Two Bloom filters, sized by their keys up to a
     bound, choose what a pass over the texts emits: a full filter emits more and changes no result.
-    Texts move once, to meet their removed runs.
     """
     if threshold < 4:
         raise ValueError("threshold must be 4 or more")
@@ -229,12 +250,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     scratch, share = Scratch(spark), spark.sparkContext.broadcast
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    long = rows.filter(F.octet_length("text") >= threshold)
+    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
+    rows = rows.select("doc_id", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"), F.octet_length("text").cast("long").alias("size"), "text")
+    sizes = scratch.write("rows", rows.drop("text"))
+    places = corpus_places(scratch, sizes)
+    # Rows meet their text's place by id and text: copies are spread, and those that go stay behind.
+    keyed = lambda df, c: df.withColumn("id_key", F.coalesce(F.col(c).cast("string"), F.lit("~")))
+    own = spread_join(keyed(rows, "doc_id"), keyed(places, "first_id").select("id_key", "t1", "t2", "base"), ["id_key", "t1", "t2"], "left")
+    own = own.filter(F.col("base").isNotNull() | (F.col("size") < threshold))
+    # A short copy has no place, and needs none but to meet no runs.
+    texts = scratch.write("texts", own.select("doc_id", F.coalesce("base", -1 - F.pmod("t1", F.lit(1 << 40))).alias("base"), "text"))
+    long = texts.filter(F.octet_length("text") >= threshold).select("base", "text")
+    scratch.drop()
 
     def cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for c in chunks(lengths, batch.column(2)):
+            for c in chunks(lengths, batch.column(1)):
                 h, n = np.unique(c.cores(), return_counts=True)
                 yield pa.RecordBatch.from_arrays([signed(h), pa.array(np.minimum(n, 2))], names=["h", "n"])
 
@@ -245,37 +276,38 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Filter(seen.value)
         for batch in batches:
-            for c in chunks(lengths, batch.column(2)):
+            bases = batch.column(0).to_numpy()
+            for c in chunks(lengths, batch.column(1)):
                 core = c.cores()
                 at = np.flatnonzero(known(core))
                 whole, _ = c.ranges(at, c.first[at], c.last[at])
-                ids = pa.array(c.row[at])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(ids), batch.column(1).take(ids), pa.array(c.first[at] - c.shift[at]), pa.array((c.last - c.first)[at] + 1), signed(core[at]), pa.array(whole, pa.binary())],
-                    names=["doc_id", "text_hash", "begin", "n", "core", "whole"],
-                )
-
-    columns = f"doc_id {kind}, text_hash bigint, begin bigint, n bigint, core bigint, whole binary"
-    tiled = scratch.write("tiles", long.mapInArrow(tiles, columns))
-    firsts = scratch.write("firsts", classes_of(tiled, "begin"))
-    run = lambda df: df.select("doc_id", "text_hash", "begin", (F.col("begin") + F.col("n") - 1 + threshold).alias("end"))
-    scratch.write("runs-1", merged(run(later(tiled, firsts, "whole", "begin"))))
+                base = bases[c.row[at]]
+                columns = [base, base + c.first[at] - c.shift[at], (c.last - c.first)[at] + 1, core[at].view(np.int64), whole[:, 0], whole[:, 1]]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=names)
+
+    names = ["base", "at", "n", "core", *WHOLE]
+    schema = ", ".join(f"{n} bigint" for n in names)
+    tiled = scratch.write("tiles", long.mapInArrow(tiles, schema))
+    firsts = scratch.write("firsts", classes_of(tiled))
+    scratch.drop()
+    run = lambda df: df.select("base", "at", (F.col("at") + F.col("n") - 1 + threshold).alias("end"))
+    scratch.write("runs-1", merged(run(later(tiled.drop("core"), firsts, WHOLE))))
     scratch.drop("tiles")
 
-    def spot_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def mixed_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([signed(spots(batch.column(0).to_numpy(), batch.column(1).to_numpy()))], names=["h"])
+            yield pa.RecordBatch.from_arrays([signed(mixed(batch.column(0).to_numpy().view(np.uint64)))], names=["h"])
 
-    asked = share(bloom(scratch.write("asked", in_question(firsts).select("first.text_hash", "first.place").mapInArrow(spot_hashes, "h bigint"))))
+    asked = share(bloom(scratch.write("asked", in_question(firsts).select("first").mapInArrow(mixed_places, "h bigint"))))
     scratch.drop("asked", "firsts")
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, wanted = Filter(seen.value), Filter(asked.value)
         for batch in batches:
-            text_hash = batch.column(1).to_numpy()
-            for c in chunks(lengths, batch.column(2)):
+            bases = batch.column(0).to_numpy()
+            for c in chunks(lengths, batch.column(1)):
                 tile = np.flatnonzero(known(c.cores()))
-                tile = tile[wanted(spots(text_hash[c.row[tile]], c.first[tile] - c.shift[tile]))]
+                tile = tile[wanted(mixed((bases[c.row[tile]] + c.first[tile] - c.shift[tile]).view(np.uint64)))]
                 for k in range(0, lengths.width, lengths.part):  # strings that begin k or more, and less than k + part, before the leader
                     leader, last = c.leader[tile] - k, k + lengths.part - 1
                     first, end = np.maximum(c.first[tile], c.leader[tile] - last), np.minimum(c.last[tile], leader)
@@ -283,26 +315,25 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     at, first, end, leader = tile[some], first[some], end[some], leader[some]
                     core = mixed(c.rolling.at(leader, leader + threshold + 1 - lengths.part) + np.uint64(k))
                     whole, slices = c.ranges(at, first, end)
-                    ids = pa.array(c.row[at])
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(ids), batch.column(1).take(ids), pa.array(first - c.shift[at]), pa.array(end - first + 1), signed(core), pa.array(whole, pa.binary()), pa.array(slices, pa.binary())],
-                        names=["doc_id", "text_hash", "begin", "n", "core", "whole", "bytes"],
-                    )
+                    base = bases[c.row[at]]
+                    columns = [base, base + first - c.shift[at], end - first + 1, core.view(np.int64), whole[:, 0], whole[:, 1]]
+                    yield pa.RecordBatch.from_arrays([*[pa.array(x) for x in columns], pa.array(slices, pa.binary())], names=[*names, "bytes"])
 
-    cut_up = scratch.write("parts", long.mapInArrow(parts, columns + ", bytes binary"))
+    cut_up = scratch.write("parts", long.mapInArrow(parts, schema + ", bytes binary"))
     seen.destroy()
     asked.destroy()
-    firsts = scratch.write("part-firsts", classes_of(cut_up, "begin"))
-    scratch.write("runs-2", merged(run(later(cut_up.drop("bytes"), firsts, "whole", "begin"))))
-    left = in_question(firsts).select("whole", "first")
-    slices = spread_join(cut_up, left, "whole").filter(order("begin") == F.col("first")).select("doc_id", "text_hash", F.col("begin").cast("int").alias("begin"), F.col("n").cast("int").alias("n"), "bytes")
-    slices = scratch.write("slices", slices)
+    firsts = scratch.write("part-firsts", classes_of(cut_up.drop("bytes")))
+    scratch.write("runs-2", merged(run(later(cut_up.drop("core", "bytes"), firsts, WHOLE))))
+    scratch.drop()
+    left = in_question(firsts).select(*WHOLE, "first")
+    slices = scratch.write("slices", spread_join(cut_up.drop("core"), left, WHOLE).filter("at = first").select("base", "at", "n", "bytes"))
     scratch.drop("parts", "part-firsts")
-    last = doubled(scratch, slices, lengths).select("doc_id", "text_hash", F.col("begin").cast("long").alias("begin"), (F.col("begin") + threshold).cast("long").alias("end"))
+    last = doubled(scratch, slices, lengths).withColumn("end", F.col("at") + threshold)
     runs = [spark.read.parquet(f"{scratch.folder}/runs-{i}") for i in (1, 2)]
-    spans = scratch.write("spans", merged(runs[0].union(runs[1]).union(last)).groupBy(document_key().alias("key")).agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("spans")))
-    scratch.drop("slices", "runs-1", "runs-2", "positions-3")
-    joined = spread_join(rows.withColumn("key", document_key()), spans, "key", "left").select("doc_id", "text", "spans")
+    place = lambda c: (F.col(c) - F.col("base")).alias("begin" if c == "at" else c)
+    spans = merged(runs[0].union(runs[1]).union(last)).groupBy("base").agg(F.array_sort(F.collect_list(F.struct(place("at"), place("end")))).alias("spans"))
+    spans = scratch.write("spans", spans)
+    scratch.drop("slices", "runs-1", "runs-2", "positions-1")
 
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -319,20 +350,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 for values, v in zip(out, (len(data), len(data) - len(rest), z - a, hashlib.sha256(rest).hexdigest(), rest), strict=True):
                     values.append(v)
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
-            empty = pa.array([[]], batch.column(2).type)
-            spans = pa.compute.coalesce(batch.column(2), empty[0])
+            spans = pa.compute.coalesce(batch.column(2), pa.array([[]], batch.column(2).type)[0])
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, out, kinds), spans], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"])
 
-    return joined.mapInArrow(removed, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary, spans array<struct<begin:bigint,end:bigint>>")
-
-
-def document_key() -> Column:
-    return F.md5(F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("~")), F.col("text_hash").cast("string")).cast("binary"))
-
-
-def merged(runs: DataFrame) -> DataFrame:
-    """Runs (doc_id, text_hash, begin, end) of which none touches another; they cover the same bytes."""
-    own = W.partitionBy("doc_id", "text_hash").orderBy("begin", "end")
-    before = F.max("end").over(own.rowsBetween(W.unboundedPreceding, -1))
-    starts = runs.withColumn("new", F.when(F.col("begin") <= before, 0).otherwise(1)).withColumn("island", F.sum("new").over(own.rowsBetween(W.unboundedPreceding, 0)))
-    return starts.groupBy("doc_id", "text_hash", "island").agg(F.min("begin").alias("begin"), F.max("end").alias("end")).drop("island")
+    result = f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary, spans array<struct<begin:bigint,end:bigint>>"
+    judged = spread_join(texts, spans, "base", "left").select("doc_id", "text", "spans").mapInArrow(removed, result)
+    copies = spread_join(keyed(sizes.filter(F.col("size") >= threshold), "doc_id"), keyed(places, "first_id").select("id_key", "t1", "t2", "base"), ["id_key", "t1", "t2"], "left_anti")
+    gone = copies.select(
+        "doc_id",
+        F.col("size").alias("n_bytes"),
+        F.col("size").alias("n_removed"),
+        F.lit(1).cast("long").alias("n_spans"),
+        F.sha2(F.lit(""), 256).alias("kept_sha256"),
+        F.lit(b"").alias("kept"),
+        F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.col("size").alias("end"))).alias("spans"),
+    )
+    return judged.unionByName(gone)
