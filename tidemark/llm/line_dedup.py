@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, spread_join
-from .exact_dedup import maybe_repeated, repeated_bits
+from .common import Scratch, spread_join
+from .exact_dedup import repeated_bits
 
 #: Stripped from both ends of a line before it is compared.
 BLANK = " \t\r\x0b\x0c"
 #: Characters of a segment in long lines; shorter lines have two segments.
 SEGMENT = 256
+#: Bits of the filter by which the second scan picks lines: 2^20 words at most, whatever the input.
+FILTER_BITS = 1 << 26
 
 
 def document_key(doc_id: Column, text: Column) -> Column:
@@ -19,85 +21,131 @@ def document_key(doc_id: Column, text: Column) -> Column:
     return F.unhex(F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("~")), F.lit(" "), F.md5(F.coalesce(text, F.lit("")).cast("binary"))).cast("binary")))
 
 
-def _contexts(role: str) -> str:
-    """Hashes of a line without each of its segments, under a base length m of its own or one character less.
-
-    Two lines at one edit agree, under the shorter one's length, in all but one segment.
-    """
-    m = "length(line)" if role == "same" else "(length(line) - 1)"
-    skip = 1 if role == "same" else 2
-    segments = f"greatest(2, ({m} + {SEGMENT - 1}) div {SEGMENT})"
-    width = f"(({m} + {segments} - 1) div {segments})"
-    return f"""transform(sequence(0, cast({segments} as int) - 1), j -> named_struct('role', '{role}', 'begin', cast(j * {width} as int), 'width', cast({width} as int),
-        'context', xxhash64({m}, j, substring(line, 1, cast(j * {width} as int)), substring(line, cast((j + 1) * {width} as int) + {skip}))))"""
-
-
 def half_keys(near_chars: int) -> Column:
     """Up to four hashes of halves of a line of n characters: of both halves under its own length and under one less.
 
-    Two lines at one edit are equal in one half, under the shorter one's length. null where a line is too short.
+    Two lines at one edit are equal in one half, under the shorter one's length. Empty where a line is too short.
     """
 
     def halves(m: str, skip: int) -> list[Column]:
-        return [F.expr(f"if({m} >= {near_chars}, xxhash64({m}, 0, left(line, {m} div 2)), null)"), F.expr(f"if({m} >= {near_chars}, xxhash64({m}, 1, substring(line, {m} div 2 + {skip})), null)")]
+        return [
+            F.expr(f"if({m} >= {near_chars}, xxhash64({m}, 0, left(line, {m} div 2)), null)"),
+            F.expr(f"if({m} >= {near_chars}, xxhash64({m}, 1, substring(line, {m} div 2 + {skip})), null)"),
+        ]
 
     return F.array_compact(F.array(*halves("n", 1), *halves("(n - 1)", 2)))
 
 
-def alike_lines(lines: DataFrame, near_chars: int, filter_bits: int = 1 << 26) -> DataFrame:
-    """(h, pos, line): the first occurrence of each line that shares half of its characters with another line."""
-    asked = lines.withColumn("n", F.length("line")).filter(F.col("n") >= near_chars).withColumn("half", F.explode(half_keys(near_chars)))
-    other = F.xxhash64("h")
-    shared = cut(asked.groupBy("half").agg(F.min(other).alias("low"), F.max(other).alias("high")).filter("low <> high").select("half"))
-    bits = repeated_bits(shared.union(shared), "half", filter_bits, 1)
-    slot = F.pmod(F.xxhash64("half", F.lit(0)), F.lit(filter_bits))
-    some = asked.withColumn("slot", slot).withColumn("word", F.expr("slot div 64")).join(F.broadcast(bits), "word").filter("getbit(bits, cast(slot % 64 as int)) = 1")
-    exact = spread_join(some.select("h", "pos", "line", "half"), shared, "half")
-    return exact.groupBy("h").agg(F.min("pos").alias("pos"), F.first("line").alias("line"))
+def lines_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, nr, line, h, g) for each line that is not blank; h and g together are 128 bits of its hash."""
+    lines = docs.select("doc_id", "key", F.posexplode(F.split("text", "\n")).alias("nr", "line"))
+    lines = lines.withColumn("line", F.btrim("line", F.lit(BLANK))).filter("line <> ''")
+    return lines.withColumn("h", F.xxhash64("line")).withColumn("g", F.xxhash64(F.lit(1), "line"))
+
+
+def position() -> Column:
+    return F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key", "nr")
+
 
+def first_lines(scratch: Scratch, lines: DataFrame) -> DataFrame:
+    """(h, g, pos, n, halves): the first occurrence of each line, and how many there are."""
+    firsts = lines.groupBy("h", "g").agg(F.min(position()).alias("pos"), F.count("*").alias("n"), F.first("halves").alias("halves"))
+    return scratch.write("firsts", firsts)
 
-def near_lines(alike: DataFrame, near_chars: int) -> DataFrame:
-    """(pos) of the lines of alike (h, pos, line) that lie within one edit of an earlier one.
+
+def alike_lines(scratch: Scratch, docs: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(h, g, pos, line): the first occurrence of each line that shares half of its characters with another line.
+
+    Halves are counted before anything else moves with them. A Bloom filter picks the lines in a second scan
+    of the texts, and an exact join has the last word.
+    """
+    halves = firsts.select("h", "g", "pos", F.explode("halves").alias("half"))
+    shared = scratch.write("shared", halves.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half"))
+    asked = scratch.write("asked", spread_join(halves, shared, "half").select("h", "g", "pos").distinct())
+    wanted = asked.select("h").distinct()
+    bits = repeated_bits(wanted.union(wanted), "h", FILTER_BITS, 1)
+    slot = F.pmod(F.xxhash64("h", F.lit(0)), F.lit(FILTER_BITS))
+    some = lines_of(docs).withColumn("slot", slot).withColumn("word", F.expr("slot div 64")).join(F.broadcast(bits), "word").filter("getbit(bits, cast(slot % 64 as int)) = 1")
+    rows = spread_join(some.select("h", "g", position().alias("at"), "line"), asked, ["h", "g"]).filter("at = pos")
+    return scratch.write("alike", rows.dropDuplicates(["h", "g"]).select("h", "g", "pos", "line"))
+
+
+def _segments(m: str) -> str:
+    """Width of the segments under a base length m."""
+    return f"if({m} > {2 * SEGMENT}, {SEGMENT}, ({m} + 1) div 2)"
+
+
+def contexts(scratch: Scratch, alike: DataFrame, near_chars: int) -> DataFrame:
+    """(ord, role, context, segment): each line of alike without each of its segments; ord is its place among them.
+
+    A line is cut under its own length (role same) and under one character less (role longer): there the
+    segment has one character more. Two lines at one edit agree, under the shorter one's length, in all but
+    one segment. The rest of a line is known by the exclusive or of its segments' hashes, before and behind,
+    so a line of n characters takes about n operations.
+    """
+    # Written, so that no hash is computed again for each segment.
+    cut_up = lambda line, m: F.expr(f"regexp_extract_all({line}, concat('(?s).{{1,', {_segments(m)}, '}}'), 0)")
+    rows = alike.select("ord", "line", F.length("line").alias("n")).withColumn("m", F.explode(F.expr(f"if(n > {near_chars}, array(n, n - 1), array(n))")))
+    rows = rows.withColumn("longer", F.col("m") < F.col("n"))
+    rows = rows.select("ord", "m", "longer", cut_up("line", "m").alias("here"), F.when(F.col("longer"), cut_up("substring(line, 2)", "m")).alias("behind"))
+    hashes = lambda c: f"transform({c}, (s, i) -> xxhash64(s, i))"
+    rows = scratch.write("segments", rows.withColumn("h_here", F.expr(hashes("here"))).withColumn("h_behind", F.expr(hashes("coalesce(behind, here)"))))
+    running = lambda c: f"aggregate({c}, array(0L), (a, x) -> concat(a, array(a[size(a) - 1] ^ x)))"
+    rows = scratch.write("running", rows.select("ord", "m", "longer", "here", "behind", F.expr(running("h_here")).alias("r_here"), F.expr(running("h_behind")).alias("r_behind")))
+    each = """transform(coalesce(behind, here), (s, j) -> named_struct(
+        'context', xxhash64(m, j, r_here[j] ^ r_behind[size(r_behind) - 1] ^ r_behind[j + 1]),
+        'segment', if(longer, concat(left(here[j], 1), s), s)))"""
+    return rows.select("ord", "longer", F.explode(F.expr(each)).alias("x")).select("ord", "longer", "x.context", "x.segment")
+
+
+def near_lines(scratch: Scratch, alike: DataFrame, near_chars: int) -> DataFrame:
+    """(pos) of the lines of alike (pos, line) that lie within one edit of an earlier one.
 
     A line stays in question while another one has the same context, which is all of it but one segment.
     Then the deletion neighbourhood of that segment is emitted as hashed keys. Lines that are equal without
     their character i, or of which one is the other without a character, meet in one key, and the earliest
-    of a key answers for all others, so that no pairs are made.
+    of a key answers for all others, so that no pairs are made. Keys are counted before they are joined, and
+    lines move only to verify the edit distance of the pairs that are found.
     """
-    contexts = F.when(F.length("line") > near_chars, F.expr(f"concat({_contexts('same')}, {_contexts('longer')})")).otherwise(F.expr(_contexts("same")))
-    asked = cut(alike.withColumn("x", F.explode(contexts)).select("h", "pos", "line", "x.*"))
+    alike = scratch.write("ordered", alike.select("pos", "line").sort("pos").withColumn("ord", F.monotonically_increasing_id()))
+    asked = scratch.write("contexts", contexts(scratch, alike, near_chars))
     shared = asked.groupBy("context").agg(F.count("*").alias("n")).filter("n > 1").select("context")
-    lines = spread_join(asked, shared, "context")
-    segment = F.expr("substring(line, begin + 1, width + if(role = 'longer', 1, 0))")
-    variants = F.expr("""transform(sequence(1, length(seg)), i -> struct(i as i, concat(substring(seg, 1, i - 1), substring(seg, i + 1)) as v))""")
-    deleted = lines.withColumn("seg", segment).filter("length(seg) > 0").withColumn("x", F.explode(variants))
+    lines = scratch.write("open", spread_join(asked, shared, "context").filter("segment <> ''"))
     # Equal lengths: the same deletion at the same place. One longer: a deletion that gives the shorter line.
-    swapped = deleted.filter("role = 'same'").select("pos", "line", F.xxhash64(F.lit("swap"), "context", "x.i", "x.v").alias("key"), F.lit(0).alias("side"))
-    longer = deleted.filter("role = 'longer'").select("pos", "line", F.xxhash64(F.lit("drop"), "context", "x.v").alias("key"), F.lit(1).alias("side"))
-    whole = lines.filter("role = 'same'").select("pos", "line", F.xxhash64(F.lit("drop"), "context", segment).alias("key"), F.lit(2).alias("side"))
-    keys = swapped.union(longer).union(whole)
-    mates = Window.partitionBy("key")
-    first = lambda side: F.min(F.when(F.col("side") == side, F.struct("pos", "line"))).over(mates)
-    paired = keys.withColumn("mate", F.when(F.col("side") == 0, first(0)).when(F.col("side") == 1, first(2)).otherwise(first(1)))
-    verified = F.levenshtein(F.col("line"), F.col("mate.line"), 1).between(0, 1)
-    return paired.filter((F.col("mate.pos") < F.col("pos")) & verified).select("pos").distinct()
-
-
-def line_drops(docs: DataFrame, near_chars: int = 20) -> DataFrame:
-    """(key, exact, near): per document the numbers of its lines that go. docs: (doc_id, text, key).
-
-    Bits of a Bloom filter tell which lines may be repeated; only those are grouped. Neither pass moves a
-    line's text, but for the few lines that share half of theirs with another.
+    without = "concat(substring(segment, 1, i - 1), substring(segment, i + 1))"
+    own = "array(named_struct('key', xxhash64('drop', context, segment), 'side', 2))"
+    swaps = f"transform(sequence(1, length(segment)), i -> named_struct('key', xxhash64('swap', context, i, {without}), 'side', 0))"
+    drops = f"transform(sequence(1, length(segment)), i -> named_struct('key', xxhash64('drop', context, {without}), 'side', 1))"
+    keys = lines.select("ord", F.explode(F.expr(f"if(longer, {drops}, concat({swaps}, {own}))")).alias("x")).select("ord", "x.key", "x.side")
+    keys = scratch.write("keys", keys)
+    first = lambda side: F.min(F.when(F.col("side") == side, F.col("ord")))
+    mates = keys.groupBy("key").agg(F.count("*").alias("n"), first(0).alias("swap"), first(1).alias("longer"), first(2).alias("whole")).filter("n > 1")
+    mate = F.when(F.col("side") == 0, F.col("swap")).when(F.col("side") == 1, F.col("whole")).otherwise(F.col("longer"))
+    pairs = spread_join(keys, mates, "key").select("ord", mate.alias("mate")).filter("mate < ord").distinct()
+    pairs = spread_join(spread_join(pairs, alike, "ord"), alike.select(F.col("ord").alias("mate"), F.col("line").alias("other")), "mate")
+    return scratch.write("near", pairs.filter(F.levenshtein("line", "other", 1).between(0, 1)).select("pos").distinct())
+
+
+def line_drops(scratch: Scratch, docs: DataFrame, near_chars: int) -> DataFrame:
+    """(key, gone, n_exact, n_near): per document its lines that go, as a byte 1 at their numbers. docs: (doc_id, text, key).
+
+    One scan of the texts writes each line's hashes; all grouping is on those.
     """
-    lines = docs.select("doc_id", "key", F.posexplode(F.split("text", "\n")).alias("nr", "line"))
-    lines = lines.select(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key", "nr").alias("pos"), F.btrim("line", F.lit(BLANK)).alias("line")).filter("line <> ''")
-    lines = lines.withColumn("h", F.unhex(F.md5(F.col("line").cast("binary"))))
-    repeated = maybe_repeated(lines.select("h", "pos"), "h").filter("maybe_repeated").select("h", "pos")
-    firsts = repeated.groupBy("h").agg(F.min("pos").alias("first"), F.count("*").alias("n")).filter("n > 1").select("h", "first")
-    exact = spread_join(repeated, firsts, "h").filter("pos > first").select("pos.key", "pos.nr", F.lit("exact").alias("kind"))
-    near = near_lines(alike_lines(lines, near_chars), near_chars).select("pos.key", "pos.nr", F.lit("near").alias("kind"))
+    hashed = lines_of(docs).withColumn("n", F.length("line")).withColumn("halves", half_keys(near_chars))
+    lines = scratch.write("lines", hashed.select("doc_id", "key", "nr", "h", "g", "halves"))
+    firsts = first_lines(scratch, lines)
+    repeated = firsts.filter("n > 1").select("h", "g", F.col("pos").alias("first"))
+    exact = spread_join(lines.select("h", "g", position().alias("pos")), repeated, ["h", "g"]).filter("pos > first").select("pos.key", "pos.nr", F.lit("exact").alias("kind"))
+    exact = scratch.write("exact", exact)
+    scratch.drop("lines")
+    near = near_lines(scratch, alike_lines(scratch, docs, firsts), near_chars).select("pos.key", "pos.nr", F.lit("near").alias("kind"))
     pick = lambda kind: F.collect_set(F.when(F.col("kind") == kind, F.col("nr")))
-    return exact.union(near).groupBy("key").agg(pick("exact").alias("exact"), pick("near").alias("near"))
+    sets = exact.union(near).groupBy("key").agg(pick("exact").alias("exact"), pick("near").alias("near"))
+    sets = scratch.write("sets", sets.select("key", F.array_sort(F.array_union("exact", "near")).alias("at"), F.size("exact").alias("n_exact"), F.size(F.array_except("near", "exact")).alias("n_near")))
+    gone = F.expr("cast(array_join(transform(at, (x, i) -> concat(repeat('0', x - if(i = 0, 0, at[i - 1] + 1)), '1')), '') as binary)")
+    drops = scratch.write("drops", sets.select("key", gone.alias("gone"), "n_exact", "n_near"))
+    scratch.drop("firsts", "shared", "asked", "alike", "ordered", "segments", "running", "contexts", "open", "keys", "exact", "near", "sets")
+    return drops
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near_chars: int = 20, prefix: str = "_lines") -> DataFrame:
@@ -111,19 +159,24 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A null text stays null and has one (empty) line; so has an empty one. Null ids come last, ordered by a
     hash of the text, as are rows with one id and different texts. Rows that repeat id and text are one
     document: they are judged alike and lose nothing to each other. All columns of docs are kept; no other
-    name is touched but prefix. Empty tables give no rows.
+    name is touched but prefix, which docs must not have. Empty tables give no rows. Texts and lines may be
+    long: the work grows in proportion to them.
+
+    Equal lines are found by 128 bits of hashes; candidates for similar ones by hashes of halves, and of all
+    but one segment, and then by the deletion neighbourhood of that segment.
     """
+    if prefix in docs.columns:
+        raise ValueError(f"docs has a column {prefix}; name another prefix")
     text = F.col(text_col)
     key = document_key(F.col(id_col), text)
-    drops = line_drops(docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), key.alias("key")), near_chars)
-    whole = docs.select(F.struct("*").alias("doc"), key.alias("key"))
-    joined = spread_join(whole, drops, "key", "left")
+    drops = line_drops(Scratch(docs.sparkSession), docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), key.alias("key")), near_chars)
+    joined = spread_join(docs.select(F.struct("*").alias("doc"), key.alias("key")), drops, "key", "left")
     inner = F.col("doc").getField(text_col)
     lines = F.split(inner, "\n")
-    gone = F.array_union(F.coalesce("exact", F.array().cast("array<int>")), F.coalesce("near", F.array().cast("array<int>")))
-    kept = F.when(F.size(gone) == 0, inner).otherwise(F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(gone, i)), "\n"))
-    n = lambda c: F.coalesce(F.size(c), F.lit(0))
-    counts = F.struct(F.coalesce(F.size(lines), F.lit(1)).alias("n_lines"), F.when(F.col("exact").isNull(), 0).otherwise(n("exact")).alias("n_exact"), F.when(F.col("near").isNull(), 0).otherwise(F.size(F.array_except("near", "exact"))).alias("n_near"))
+    stays = lambda _, i: F.substring("gone", i + 1, F.lit(1)) != F.lit(b"1")
+    kept = F.when(F.col("gone").isNull(), inner).otherwise(F.array_join(F.filter(lines, stays), "\n"))
+    none = lambda c: F.coalesce(c, F.lit(0))
+    counts = F.struct(F.coalesce(F.size(lines), F.lit(1)).alias("n_lines"), none("n_exact").alias("n_exact"), none("n_near").alias("n_near"))
     columns = [kept.alias(c) if c == text_col else F.col("doc").getField(c).alias(c) for c in docs.columns]
     return joined.select(*columns, counts.alias(prefix))
 
