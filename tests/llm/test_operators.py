@@ -362,6 +362,20 @@ class TestLines:
         assert [(r["_lines"].n_exact, r["_lines"].n_near, r.text) for r in got] == want
         assert sum(w[1] for w in want) > 20
 
+    def test_long_texts_and_lines(self, spark):
+        rng = np.random.default_rng(9)
+        many = "\n".join(["the same line again and again"] * 100_000)
+        line = "".join(rng.choice(list("abcdefgh "), 1_000_000)).strip() * 5
+        edits = [line[:3_000_000] + "X" + line[3_000_001:], line[:700] + line[701:], line + "Y", "Z" + line, line[:10] + "XX" + line[10:]]
+        texts = [many, line, *edits, many]
+        rows = line_dedup.line_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+        assert [(r["_lines"].n_exact, r["_lines"].n_near) for r in rows] == [(99_999, 0), (0, 0), (0, 1), (0, 1), (0, 1), (0, 1), (0, 0), (100_000, 0)]
+        assert [r.text for r in rows] == ["the same line again and again", line, "", "", "", "", edits[-1], ""]
+
+    def test_clash_of_the_prefix(self, awkward):
+        with pytest.raises(ValueError, match="n"):
+            line_dedup.line_dedup(awkward, prefix="n")
+
     def test_awkward(self, awkward):
         rows = line_dedup.line_dedup(awkward).collect()
         assert len(rows) == len(ROWS) and rows[0].kept == "clash" and rows[0].n == "clash"

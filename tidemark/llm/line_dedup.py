@@ -10,7 +10,7 @@ from .exact_dedup import repeated_bits
 
 #: Stripped from both ends of a line before it is compared.
 BLANK = " \t\r\x0b\x0c"
-#: Characters of a segment in long lines; shorter lines have two segments.
+#: Least characters of a segment in long lines, which are cut in as many as a segment has characters; shorter ones have two.
 SEGMENT = 256
 #: Bits of the filter by which the second scan picks lines: 2^20 words at most, whatever the input.
 FILTER_BITS = 1 << 26
@@ -72,16 +72,16 @@ def alike_lines(scratch: Scratch, docs: DataFrame, firsts: DataFrame) -> DataFra
 
 def _segments(m: str) -> str:
     """Width of the segments under a base length m."""
-    return f"if({m} > {2 * SEGMENT}, {SEGMENT}, ({m} + 1) div 2)"
+    return f"if({m} > {2 * SEGMENT}, greatest({SEGMENT}, cast(ceil(sqrt({m})) as int)), ({m} + 1) div 2)"
 
 
 def contexts(scratch: Scratch, alike: DataFrame, near_chars: int) -> DataFrame:
-    """(ord, role, context, segment): each line of alike without each of its segments; ord is its place among them.
+    """(ord, longer, m, j, context, segment): each line of alike without each of its segments; ord is its place among them.
 
-    A line is cut under its own length (role same) and under one character less (role longer): there the
+    A line is cut under its own length as base length m, and under one character less (longer): there the
     segment has one character more. Two lines at one edit agree, under the shorter one's length, in all but
     one segment. The rest of a line is known by the exclusive or of its segments' hashes, before and behind,
-    so a line of n characters takes about n operations.
+    so the work is in proportion to a line's length.
     """
     # Written, so that no hash is computed again for each segment.
     cut_up = lambda line, m: F.expr(f"regexp_extract_all({line}, concat('(?s).{{1,', {_segments(m)}, '}}'), 0)")
@@ -93,9 +93,18 @@ def contexts(scratch: Scratch, alike: DataFrame, near_chars: int) -> DataFrame:
     running = lambda c: f"aggregate({c}, array(0L), (a, x) -> concat(a, array(a[size(a) - 1] ^ x)))"
     rows = scratch.write("running", rows.select("ord", "m", "longer", "here", "behind", F.expr(running("h_here")).alias("r_here"), F.expr(running("h_behind")).alias("r_behind")))
     each = """transform(coalesce(behind, here), (s, j) -> named_struct(
-        'context', xxhash64(m, j, r_here[j] ^ r_behind[size(r_behind) - 1] ^ r_behind[j + 1]),
+        'j', j, 'context', xxhash64(m, j, r_here[j] ^ r_behind[size(r_behind) - 1] ^ r_behind[j + 1]),
         'segment', if(longer, concat(left(here[j], 1), s), s)))"""
-    return rows.select("ord", "longer", F.explode(F.expr(each)).alias("x")).select("ord", "longer", "x.context", "x.segment")
+    return rows.select("ord", "longer", "m", F.explode(F.expr(each)).alias("x")).select("ord", "longer", "m", "x.*")
+
+
+def one_edit() -> Column:
+    """Whether line and other are equal outside segment j of base length m, and at one edit in it."""
+    begin, width = f"(j * {_segments('m')})", _segments("m")
+    rest = lambda c: f"substring({c}, {begin} + {width} + 1 + length({c}) - m)"
+    segment = lambda c: f"substring({c}, {begin} + 1, {width} + length({c}) - m)"
+    same = f"left(line, {begin}) = left(other, {begin}) AND {rest('line')} = {rest('other')}"
+    return F.expr(f"{same} AND levenshtein({segment('line')}, {segment('other')}, 1) BETWEEN 0 AND 1")
 
 
 def near_lines(scratch: Scratch, alike: DataFrame, near_chars: int) -> DataFrame:
@@ -116,14 +125,14 @@ def near_lines(scratch: Scratch, alike: DataFrame, near_chars: int) -> DataFrame
     own = "array(named_struct('key', xxhash64('drop', context, segment), 'side', 2))"
     swaps = f"transform(sequence(1, length(segment)), i -> named_struct('key', xxhash64('swap', context, i, {without}), 'side', 0))"
     drops = f"transform(sequence(1, length(segment)), i -> named_struct('key', xxhash64('drop', context, {without}), 'side', 1))"
-    keys = lines.select("ord", F.explode(F.expr(f"if(longer, {drops}, concat({swaps}, {own}))")).alias("x")).select("ord", "x.key", "x.side")
+    keys = lines.select("ord", "m", "j", F.explode(F.expr(f"if(longer, {drops}, concat({swaps}, {own}))")).alias("x")).select("ord", "m", "j", "x.*")
     keys = scratch.write("keys", keys)
     first = lambda side: F.min(F.when(F.col("side") == side, F.col("ord")))
     mates = keys.groupBy("key").agg(F.count("*").alias("n"), first(0).alias("swap"), first(1).alias("longer"), first(2).alias("whole")).filter("n > 1")
     mate = F.when(F.col("side") == 0, F.col("swap")).when(F.col("side") == 1, F.col("whole")).otherwise(F.col("longer"))
-    pairs = spread_join(keys, mates, "key").select("ord", mate.alias("mate")).filter("mate < ord").distinct()
+    pairs = spread_join(keys, mates, "key").select("ord", "m", "j", mate.alias("mate")).filter("mate < ord").distinct()
     pairs = spread_join(spread_join(pairs, alike, "ord"), alike.select(F.col("ord").alias("mate"), F.col("line").alias("other")), "mate")
-    return scratch.write("near", pairs.filter(F.levenshtein("line", "other", 1).between(0, 1)).select("pos").distinct())
+    return scratch.write("near", pairs.filter(one_edit()).select("pos").distinct())
 
 
 def line_drops(scratch: Scratch, docs: DataFrame, near_chars: int) -> DataFrame:
