@@ -5,10 +5,12 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,43 +20,49 @@ from .common import cut
 BUCKETS = 1024
 #: Words whose ids a worker remembers; the memory is emptied when it is full.
 REMEMBERED = 1_500_000
-#: The tokenizer splits words where letters end and a run of other signs begins.
-TAIL = re.compile(rb"(.*[a-z])([!-/:-@\[-`{-~]+)", re.S)
-#: Bytes of text whose new words are encoded together.
-GROUP = 1_000_000
+#: The tokenizer splits words where letters or digits end and a run of other signs begins.
+TAIL = re.compile(r"(.*[^\W_])([!-/:-@\[-`{-~]+)", re.S)
+LETTERS = re.compile(r"[a-z]+")
+#: Bytes of text whose words are found together; a longer text is taken alone.
+GROUP = 8_000_000
 
 
 class WordIds:
-    """Ids of a text by a tokenizer whose words never reach across white space; words are remembered.
+    """Ids of texts by a tokenizer whose words never reach across white space; words are remembered.
 
+    A group of texts is split and its different words are found by Arrow; Python sees each of those once.
     New words are encoded together, with a bar between them, which is a token of its own there. Words that
     hold a bar are encoded one by one, as is any run for which the bars do not come out even.
     """
 
-    BAR = b"|"
+    BAR = "|"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-        self.bar = self.ids(self.BAR)
+        self.tokenizer, self.known = Tokenizer.from_file(path), {"": b""}
+        self.bar, self.model = self.ids(self.BAR), self.tokenizer.model
 
-    def ids(self, text: bytes) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, dtype="<u4")
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
-    def meet(self, words: set[bytes]) -> None:
-        """Makes all words known. A word that ends in a-z and then ASCII punctuation has the ids of both parts."""
+    def meet(self, words: list[str]) -> None:
+        """Makes all words known. A word that ends in ASCII punctuation after a letter has the ids of both parts."""
         known = self.known
-        parts = {w: m.groups() for w in words if b"<|" not in w and (m := TAIL.fullmatch(w))}
+        parts = {w: m.groups() for w in words if not w[-1].isalpha() and "<|" not in w and (m := TAIL.fullmatch(w))}
         new = list({x for w in words for x in parts.get(w, (w,)) if x not in known})
         for at in range(0, len(new), 2_000):
             self.learn(new[at : at + 2_000])
         known.update((w, known[a] + known[b]) for w, (a, b) in parts.items())
 
-    def learn(self, words: list[bytes]) -> None:
+    def learn(self, words: list[str]) -> None:
+        for w in words:
+            if LETTERS.fullmatch(w):  # neither normalised nor split: the model alone has a say
+                self.known[w] = array("I", [t.id for t in self.model.tokenize(w)]).tobytes()
+        words = [w for w in words if w not in self.known]
         plain = [w for w in words if self.BAR not in w]
-        ids = self.ids(b" | ".join(plain)) if plain else np.zeros(0, dtype="<u4")
+        ids = self.ids(" | ".join(plain)) if plain else np.zeros(0, dtype="<u4")
         ends = [*np.flatnonzero(ids == self.bar[0]).tolist(), len(ids)] if len(self.bar) == 1 else []
         packed, begin = ids.tobytes(), 0
         if len(ends) != len(plain):
@@ -66,14 +74,28 @@ class WordIds:
             if word not in self.known:
                 self.known[word] = self.ids(word).tobytes()
 
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        words = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        known = self.known
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, one behind the other; where each text's ids end). texts: strings without null."""
+        special = pc.match_substring(texts, "<|")
+        lists = pc.ascii_split_whitespace(pc.if_else(special, texts, pc.ascii_lower(texts)))
+        words = lists.values.slice(lists.offsets[0].as_py(), lists.offsets[-1].as_py() - lists.offsets[0].as_py()).dictionary_encode()
+        different, known = words.dictionary.to_numpy(zero_copy_only=False).tolist(), self.known
         if len(known) > REMEMBERED:
             known.clear()
-        self.meet({w for w in set().union(*words) if w not in known})
-        return [b"".join(map(known.__getitem__, w)) for w in words]
+            known[""] = b""
+        found = list(map(known.get, different))
+        if missing := [i for i, ids in enumerate(found) if ids is None]:
+            self.meet([different[i] for i in missing])
+            for i in missing:
+                found[i] = known[different[i]]
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        begins = np.cumsum(sizes) - sizes
+        codes = words.indices.to_numpy()
+        n = sizes[codes]
+        upto = np.concatenate([[0], np.cumsum(n)])
+        at = np.arange(upto[-1]) + np.repeat(begins[codes] - upto[:-1], n)
+        ends = lists.offsets.to_numpy()
+        return np.frombuffer(b"".join(found), dtype="<u4")[at], upto[ends[1:] - ends[0]]
 
 
 _loaded: dict[str, WordIds] = {}
@@ -93,17 +115,17 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, ma
             _loaded[tokenizer] = WordIds(tokenizer_path(tokenizer))
         ids_of, end = _loaded[tokenizer], np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            rows, group, size = [], [], 0
-            for at, x in enumerate(batch.column(1)):
-                group.append(x.as_buffer().to_pybytes() if x.is_valid else b"")
-                size += len(group[-1])
-                if size < GROUP and at + 1 < batch.num_rows:
-                    continue
-                for i, ids in enumerate(ids_of(group), at + 1 - len(group)):
-                    ids += end
-                    n = len(ids) // 4
-                    rows += [(i, s, min(max_tokens, n - s), zlib.crc32(ids[4 * s : 4 * (s + max_tokens)]), n) for s in range(0, n, max_tokens)]
-                group, size = [], 0
+            texts = batch.column(1).fill_null("")
+            sizes = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64))
+            rows, at = [], 0
+            while at < batch.num_rows:
+                beyond = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + GROUP)))
+                ids, ends = ids_of(texts.slice(at, beyond - at))
+                packed = ids.tobytes()
+                for i, (a, z) in enumerate(zip([0, *ends.tolist()], ends.tolist(), strict=False), at):
+                    own, n = packed[4 * a : 4 * z] + end, z - a + 1
+                    rows += [(i, s, min(max_tokens, n - s), zlib.crc32(own[4 * s : 4 * (s + max_tokens)]), n) for s in range(0, n, max_tokens)]
+                at = beyond
             table = np.array(rows, dtype=np.int64).reshape(-1, 5)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(table[:, 0])), *[pa.array(table[:, k]) for k in range(1, 5)]], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
