@@ -202,22 +202,29 @@ def doubled(scratch: Scratch, slices: DataFrame, lengths: Lengths) -> DataFrame:
 
     Prefix doubling: positions are sorted by their first quarter of the threshold and ranked; then by the
     pairs of ranks here and a quarter on, and by the pairs of those ranks here and a half on. Positions
-    whose pair is unique drop out of each round, and with them the strings that they belong to.
+    whose pair is unique drop out of each round, and with them the strings that they belong to. A row's
+    place is its string's position times the parts of it that are left, and the number of its part.
     """
     begins = slices.select("base", "at", "bytes", F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)).alias("j"))
-    places = F.posexplode(F.array(*[F.expr(f"substring(bytes, j + {o + 1}, {lengths.quarter})") for o in lengths.offsets])).alias("k", "piece")
-    rows, key = scratch.write("positions-4", begins.select("base", (F.col("at") + F.col("j")).alias("at"), places)), ["piece"]
-    for size in (4, 2):
-        repeated = scratch.write(f"repeated-{size}", rows.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1").select(*key))
-        ranks = scratch.write(f"ranks-{size}", repeated.sort(*key).withColumn("rank", F.monotonically_increasing_id()))
-        ranked = scratch.write(f"ranked-{size}", spread_join(rows, ranks, key).select("base", "at", "k", "rank"))
-        scratch.drop(f"repeated-{size}", f"ranks-{size}", f"positions-{size}")
-        half = lambda k: F.max(F.when(F.col("k") % 2 == k, F.col("rank")))
-        pairs = ranked.groupBy("base", "at", F.expr("k div 2").alias("k")).agg(half(0).alias("here"), half(1).alias("further"))
-        rows, key = scratch.write(f"positions-{size // 2}", pairs.filter("here is not null and further is not null")), ["here", "further"]
-        scratch.drop(f"ranked-{size}")
+    begins = begins.select("base", (F.col("at") + F.col("j")).alias("at"), "bytes", "j")
+    pieces = F.posexplode(F.array(*[F.expr(f"substring(bytes, j + {o + 1}, {lengths.quarter})") for o in lengths.offsets])).alias("k", "piece")
+    rows, key = scratch.write("places-4", begins.select("at", pieces).select((F.col("at") * 4 + F.col("k")).alias("place"), "piece")), ["piece"]
+    for left in (4, 2):
+        repeated = scratch.write(f"repeated-{left}", rows.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1").select(*key))
+        scratch.drop()
+        ranks = scratch.write(f"ranks-{left}", repeated.sort(*key).withColumn("rank", F.monotonically_increasing_id()))
+        ranked = scratch.write(f"ranked-{left}", spread_join(rows, ranks, key).select("place", "rank"))
+        scratch.drop(f"repeated-{left}", f"ranks-{left}", f"places-{left}")
+        half = lambda k: F.max(F.when(F.col("place") % 2 == k, F.col("rank")))
+        pairs = ranked.groupBy(F.expr("place div 2").alias("pair")).agg(half(0).alias("here"), half(1).alias("further"))
+        pairs = pairs.filter("here is not null and further is not null").withColumnRenamed("pair", "place")
+        rows, key = scratch.write(f"places-{left // 2}", pairs), ["here", "further"]
+        scratch.drop(f"ranked-{left}")
+    rows = rows.withColumnRenamed("place", "at")
     classes = rows.groupBy(*key).agg(F.min("at").alias("first"), F.count("*").alias("n"))
-    return later(rows, classes, key).select("base", "at")
+    found = scratch.write("found", later(rows, classes, key).select("at"))
+    scratch.drop("places-1")
+    return spread_join(begins.select("base", "at"), found, "at").select("base", "at")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 100) -> DataFrame:
@@ -333,7 +340,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     place = lambda c: (F.col(c) - F.col("base")).alias("begin" if c == "at" else c)
     spans = merged(runs[0].union(runs[1]).union(last)).groupBy("base").agg(F.array_sort(F.collect_list(F.struct(place("at"), place("end")))).alias("spans"))
     spans = scratch.write("spans", spans)
-    scratch.drop("slices", "runs-1", "runs-2", "positions-1")
+    scratch.drop("slices", "runs-1", "runs-2", "found")
 
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
