@@ -4,6 +4,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -286,19 +287,23 @@ class TestSimHash:
 
 
 class TestTopK:
-    def test_brute_force(self, spark):
+    @pytest.mark.parametrize("pass_bytes", [64_000_000, 1000])
+    def test_brute_force(self, spark, monkeypatch, pass_bytes):
+        monkeypatch.setattr(topk, "PASS_BYTES", pass_bytes)
         rng = np.random.default_rng(3)
         base = rng.standard_normal((30, 24))
         rows = [(i, (base[i % 30] + 0.1 * rng.standard_normal(24)).tolist()) for i in range(400)]
-        rows += [(400, None), (401, [None] + [1.0] * 23), (402, [float("nan")] * 24), (403, [float("inf")] * 24), (404, []), (450, rows[0][1]), (None, rows[1][1]), (500, [1.0, 2.0]), (501, [3.0, -1.0]), (502, [1e30] * 24)]
+        rows += [(400, None), (401, [None] + [1.0] * 23), (402, [float("nan")] * 24), (403, [float("inf")] * 24), (404, []), (450, rows[0][1]), (None, rows[1][1]), (500, [1.0, 2.0]), (501, [3.0, -1.0]), (550, []), (502, [1e30] * 24)]
+        rows += [(503, [-1e30] * 24), (600, [1e30] * 23 + [1.0]), (504, [1e308] + [0.5] * 23), (505, [2.0**40] * 24), (650, [2.0**41 + 0.5] * 24), (506, [1e6, 1e6]), (507, [1.0, 1.0])]
         rows += [(7, rows[7][1])]
         df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, score string")
-        usable = [(i, np.floor(np.array(v) * 256)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) and abs(x) < 1e9 for x in v)]
+        whole = lambda v: [int(Fraction(x) * 256 // 1) for x in v]
+        usable = [(i, whole(v)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
         want = []
         for q, x in usable:
             if q % 50 == 0:
-                scores = sorted((-int(x @ y), i) for i, y in usable if i != q and len(y) == len(x))[:5]
-                want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores)]
+                scores = sorted((-sum(a * b for a, b in zip(x, y, strict=True)), i) for i, y in usable if i != q and len(y) == len(x))[:5]
+                want += [(q, k + 1, i, min(max(-s, -(2**63)), 2**63 - 1)) for k, (s, i) in enumerate(scores)]
         assert sorted(map(tuple, topk.exact_top_k(df).collect())) == sorted(want)
         assert topk.exact_top_k(df.limit(0)).count() == 0
 
