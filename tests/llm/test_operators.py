@@ -1,6 +1,7 @@
 """Operators against brute force on the small table, and on rows that are awkward."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -93,36 +94,63 @@ class TestLanguage:
         sample = language_id.training_texts(docs.selectExpr("*", "false as held_out"), 40, 30_000, 700)
         assert {k: len(v) for k, v in sample.items()} == dict.fromkeys(said, 38 * 701 - 1)
 
-    def test_automaton_holds_exactly_the_substrings(self):
+    @pytest.mark.parametrize("dense", [1 << 23, 0])
+    def test_automaton_holds_exactly_the_substrings(self, dense):
         text = "abracadabra"
         alphabet = language_id.Alphabet([text])
-        table = language_id.suffix_automaton(alphabet(language_id.letters_only(text)), alphabet.size)
+        table = language_id.suffix_automaton(alphabet(language_id.letters_only(text)), alphabet.size, dense)
 
         def held(s):
-            state = 1
+            state = np.array([1])
             for c in alphabet(language_id.letters_only(s)).tolist():
-                state = table[state * alphabet.size + c]
-                if not state:
+                state = table(state, np.array([c]))
+                if not state[0]:
                     return False
             return True
 
         pool = {text[i:j] for i in range(len(text)) for j in range(i + 1, len(text) + 1)}
         assert all(map(held, pool)) and not any(held(s) for s in ("aa", "rab", "dac", "abraa"))
 
+    def test_large_alphabets_take_little_room(self):
+        rng = np.random.default_rng(6)
+        text = "".join(map(chr, rng.integers(0x4E00, 0x4E00 + 4000, 30_000)))
+        parser = language_id.CrossParser({"a": text, "b": text[::-1]}, 512)
+        assert all(len(t.to) < 1_000_000 for t in parser.tables)
+        assert parser([text[5000:6000], text[::-1][5000:6000]])[0] == ["a", "b"]
+
+    def phrases(self, text, training):
+        n, at = 0, 0
+        while at < len(text):
+            size = 1
+            while at + size < len(text) and text[at : at + size + 1] in training:
+                size += 1
+            at, n = at + size, n + 1
+        return n
+
     def test_phrases_are_longest_matches(self):
         parser = language_id.CrossParser({"a": "abcabd", "b": "xyzxyw"}, 512)
         text = "abcabdabxyz"
         codes = parser.alphabet(language_id.letters_only(text))
-
-        def phrases(training):
-            n, at = 0, 0
-            while at < len(text):
-                size = max([k for k in range(1, len(text) - at + 1) if text[at : at + k] in training], default=1)
-                at, n = at + size, n + 1
-            return n
-
         got = [int(parser.phrases(codes, np.array([0]), np.array([len(text)]), t)[0]) for t in parser.tables]
-        assert got == [phrases("abcabd"), phrases("xyzxyw")]
+        assert got == [self.phrases(text, "abcabd"), self.phrases(text, "xyzxyw")]
+
+    def test_predictions_against_a_slow_parser(self, spark, docs, texts):
+        rows = docs.selectExpr("doc_id", "text", "lang", "crc32(cast(cast(doc_id as string) as binary)) % 4 = 2 as held_out")
+        sample = language_id.training_texts(rows, 10, 6_000, 5_000)
+        plain = lambda t: "".join(c if c.isalpha() else " " for c in t.lower())
+        learned = {k: plain(t) for k, t in sample.items()}
+        few = docs.filter("length(text) between 20 and 2000").limit(40)
+        got = {r.doc_id: r.lang_pred for r in language_id.identify_languages(few.union(docs.filter("length(text) > 2000")), max_docs=10, max_chars=6_000).collect()}
+        parser = language_id.CrossParser(sample, 512)
+        whole = language_id.CrossParser(sample, 1 << 30)
+        ids = [r.doc_id for r in few.collect()]
+        for i, fast in zip(ids, parser([texts[i] for i in ids])[0], strict=True):
+            text = plain(texts[i])
+            cost = {k: math.log2(len(sample[k]) + 2) * sum(self.phrases(text[a : a + 512], learned[k]) for a in range(0, len(text), 512)) for k in sample}
+            assert fast == min(sorted(cost), key=cost.get)
+        # Where phrases end at multiples of 512 changes no prediction.
+        assert parser(list(texts.values()))[0] == whole(list(texts.values()))[0]
+        assert set(got) >= set(ids)
 
 
 class TestQuality:

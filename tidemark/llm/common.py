@@ -64,6 +64,19 @@ class Scratch:
         jvm.System.gc()
 
 
+def document_key(doc_id: Column, text: Column) -> Column:
+    """16 bytes for an id and a text together; texts may differ under one id."""
+    return F.unhex(F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("~")), F.lit(" "), F.md5(F.coalesce(text, F.lit("")).cast("binary"))).cast("binary")))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """name, with as many underscores behind it as it takes to be no column of df."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def id_bucket(column: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo; a null id counts as empty text."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % modulus

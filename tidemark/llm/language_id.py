@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import id_bucket
 
@@ -35,8 +36,47 @@ class Alphabet:
         return self.codes[points]
 
 
-def suffix_automaton(codes: np.ndarray, size: int) -> np.ndarray:
-    """Transitions of the automaton of all substrings, flat by state and code; state 1 is the root, 0 is none."""
+class Transitions:
+    """The next states of an automaton, as an array by state and code if it has at most dense entries.
+
+    Otherwise the rows of all states lie over one another where their codes leave room, and each entry tells
+    whose it is: the size follows the number of transitions, whatever the alphabet.
+    """
+
+    def __init__(self, step: list[dict[int, int]], size: int, dense: int):
+        self.size, self.owner = size, None
+        if len(step) * size <= dense:
+            self.to = np.zeros(len(step) * size, dtype=np.int32)
+            for state, out in enumerate(step):
+                if out:
+                    self.to[[state * size + c for c in out]] = list(out.values())
+            return
+        self.base = np.zeros(len(step), dtype=np.int64)
+        taken, low, room = bytearray(4 * size), 0, 2 * size
+        for state in sorted(range(len(step)), key=lambda s: -len(step[s])):
+            out, at, tries = step[state], low, 0
+            while out and any(taken[at + c] for c in out):
+                at, tries = at + 1, tries + 1
+                if at + 2 * size > len(taken):
+                    taken.extend(bytes(len(taken)))
+            low = at if tries > 64 else low
+            for c in out:
+                taken[at + c] = 1
+            self.base[state], room = at, max(room, at + size)
+        self.to, self.owner = np.zeros(room, dtype=np.int32), np.zeros(room, dtype=np.int32)
+        for state, out in enumerate(step):
+            for c, to in out.items():
+                self.to[self.base[state] + c], self.owner[self.base[state] + c] = to, state
+
+    def __call__(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        if self.owner is None:
+            return self.to.take(state * np.int32(self.size) + code)
+        at = self.base[state] + code
+        return np.where(self.owner[at] == state, self.to[at], 0)
+
+
+def suffix_automaton(codes: np.ndarray, size: int, dense: int = 1 << 23) -> Transitions:
+    """The automaton of all substrings; state 1 is the root, 0 is none."""
     step: list[dict[int, int]] = [{}, {}]
     link, length, last = [0, 0], [0, 0], 1
     for c in codes.tolist():
@@ -62,11 +102,7 @@ def suffix_automaton(codes: np.ndarray, size: int) -> np.ndarray:
                     at = link[at]
                 link[to] = link[new] = copy
         last = new
-    table = np.zeros((len(step), size), dtype=np.int32)
-    for state, out in enumerate(step):
-        if out:
-            table[state, list(out)] = list(out.values())
-    return table.reshape(-1)
+    return Transitions(step, size, dense)
 
 
 class CrossParser:
@@ -79,16 +115,15 @@ class CrossParser:
         # A phrase costs the bits that point into the training text, as in the cross-entropy of parsing.
         self.bits = [math.log2(len(texts[k]) + 2) for k in self.langs]
 
-    def phrases(self, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, table: np.ndarray) -> np.ndarray:
+    def phrases(self, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, table: Transitions) -> np.ndarray:
         """Phrases of each block; blocks are in order of falling length, and step together, character by character."""
-        size = self.alphabet.size
-        root = table[size : 2 * size]
+        root = table(np.ones(self.alphabet.size, dtype=np.int32), np.arange(self.alphabet.size))
         state = np.zeros(len(starts), dtype=np.int32)  # from which every character fails, and begins a phrase
         count = np.zeros(len(starts), dtype=np.int32)
         alive = np.searchsorted(-lengths, -np.arange(lengths[0] if len(lengths) else 0), side="left")
         for t, n in enumerate(alive.tolist()):
             c = codes[starts[:n] + t]
-            to = table.take(state[:n] * np.int32(size) + c)
+            to = table(state[:n], c)
             failed = np.flatnonzero(to == 0)
             count[failed] += 1
             to[failed] = root[c[failed]]
@@ -123,9 +158,14 @@ class CrossParser:
         return names, np.where(lettered, score, 0.0)
 
 
-def training_texts(rows: DataFrame, max_docs: int, max_chars: int, max_chars_per_doc: int) -> dict[str, str]:
-    """lang -> text of a bounded sample: by hash order, the beginnings of at most max_docs documents, max_chars characters in all."""
-    usable = rows.filter("lang is not null and length(text) > 0 and not held_out").withColumn("at", F.xxhash64("text")).withColumn("text", F.substring("text", 1, max_chars_per_doc))
+def training_texts(rows: DataFrame, max_docs: int, max_chars: int, max_chars_per_doc: int, max_langs: int = 200) -> dict[str, str]:
+    """lang -> text of a bounded sample: by hash order, the beginnings of at most max_docs documents, max_chars characters in all.
+
+    Of more than max_langs values of lang those with the most labelled rows are learned.
+    """
+    labelled = rows.filter("lang is not null and not held_out")
+    langs = [r.lang for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()]
+    usable = labelled.filter(F.col("lang").isin(langs) & (F.length("text") > 0)).withColumn("at", F.xxhash64("text")).withColumn("text", F.substring("text", 1, max_chars_per_doc))
     first = usable.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "at"))).filter(F.col("n") <= max_docs)
     found: dict[str, str] = {}
     for r in first.select("lang", "n", "text").collect():
@@ -141,7 +181,7 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     Learns from labelled rows outside the fold (crc32 of the id modulo 4 is not 2): per language a sample of
     max_docs documents of any length, each cut at max_chars_per_doc characters and together at max_chars,
-    becomes a suffix automaton (letters in lower case, everything else one separator). max_chars_per_doc
+    of at most 200 languages, those with the most labelled rows, becomes a suffix automaton (letters in lower case, everything else one separator). max_chars_per_doc
     bounds a document's share of the training sample only. A whole text is then parsed into longest matches
     by each automaton, and the language that needs the fewest bits of phrases wins; ties go to the smaller
     name. No phrase crosses a multiple of block characters, so that all blocks are parsed side by side.
@@ -152,9 +192,22 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.withColumn("held_out", id_bucket(F.col("doc_id"), 4) == 2)
-    sample = training_texts(rows, max_docs, max_chars, max_chars_per_doc)
-    texts = docs.sparkSession.sparkContext.broadcast(sample)
-    key = (zlib.crc32(repr(sorted(sample.items())).encode("utf-8", "surrogatepass")), block)
+    out = predicted(rows.select("doc_id", "held_out", "text"), training_texts(rows, max_docs, max_chars, max_chars_per_doc), block, ["doc_id", "held_out"])
+    return out.select("doc_id", "held_out", "found.lang_pred", "found.score")
+
+
+def add_languages(docs: DataFrame, prefix: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = 40, max_chars: int = 30_000, block: int = 512, max_chars_per_doc: int = 5_000) -> DataFrame:
+    """docs, all columns and rows as they are, with a struct column prefix (lang_pred, score) as identify_languages finds it."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    sample = training_texts(rows.withColumn("held_out", id_bucket(F.col("doc_id"), 4) == 2), max_docs, max_chars, max_chars_per_doc)
+    packed = docs.select(F.struct("*").alias("doc"), F.col(text_col).cast("string").alias("text"))
+    return predicted(packed, sample, block, ["doc"]).select("doc.*", F.col("found").alias(prefix))
+
+
+def predicted(rows: DataFrame, sample: dict[str, str], block: int, others: list[str]) -> DataFrame:
+    """The columns others of rows, and found: a struct of the language of the last column, text, and its score."""
+    texts = rows.sparkSession.sparkContext.broadcast(sample)
+    key = (hashlib.sha256(repr(sorted(sample.items())).encode("utf-8", "surrogatepass")).digest(), block)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _parsers:
@@ -162,7 +215,7 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             _parsers[key] = CrossParser(texts.value, block)
         parse = _parsers[key]
         for batch in batches:
-            column, names, scores, at = batch.column(2), [], [], 0
+            column, names, scores, at = batch.column(len(others)), [], [], 0
             sizes = np.cumsum([len(x.as_buffer()) if x.is_valid else 0 for x in column])
             while at < batch.num_rows:  # a few million bytes at once bound the memory
                 end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + 8_000_000)))
@@ -170,7 +223,8 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 names += got[0]
                 scores.append(got[1])
                 at = end
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(np.concatenate([np.zeros(0), *scores]))], names=["doc_id", "held_out", "lang_pred", "score"])
+            found = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(np.concatenate([np.zeros(0), *scores]))], names=["lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], found], names=[*others, "found"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return rows.select("doc_id", "held_out", "text").mapInArrow(predict, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    kinds = T.StructType([rows.schema[c] for c in others]).add("found", T.StructType().add("lang_pred", "string").add("score", "double"))
+    return rows.mapInArrow(predict, kinds)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, spread_join
+from .common import Scratch, document_key, spread_join
 from .exact_dedup import repeated_bits
 
 #: Stripped from both ends of a line before it is compared.
@@ -16,11 +16,6 @@ SEGMENT = 256
 FILTER_BITS = 1 << 26
 
 
-def document_key(doc_id: Column, text: Column) -> Column:
-    """16 bytes for an id and a text together; texts may differ under one id."""
-    return F.unhex(F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("~")), F.lit(" "), F.md5(F.coalesce(text, F.lit("")).cast("binary"))).cast("binary")))
-
-
 def half_keys(near_chars: int) -> Column:
     """Up to four hashes of halves of a line of n characters: of both halves under its own length and under one less.
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import cut, spread_join
+from .common import cut, document_key, spread_join
 from .components import connected_components
 
 BITS = 64
@@ -36,17 +36,18 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int, seed: int) -> DataFrame:
-    """(doc_id, fp) for each row; whole texts, hashed batch by batch."""
+def fingerprints(rows: DataFrame, shingle: int, seed: int) -> DataFrame:
+    """rows with the column text replaced by fp, its fingerprint; whole texts, hashed batch by batch."""
+    others = [c for c in rows.columns if c != "text"]
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = np.fromiter((fingerprint(x.as_buffer().to_pybytes() if x.is_valid else b"", shingle, seed) for x in batch.column(1)), dtype=np.uint64, count=batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
+            texts = (x.as_buffer().to_pybytes() if x.is_valid else b"" for x in batch.column(len(others)))
+            prints = np.fromiter((fingerprint(x, shingle, seed) for x in texts), dtype=np.uint64, count=batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(prints.view(np.int64))], names=[*others, "fp"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(hashed, f"doc_id {kind}, fp bigint")
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in others)
+    return rows.select(*others, "text").mapInArrow(hashed, f"{kinds}, fp bigint")
 
 
 def covering_masks(radius: int) -> list[int]:
@@ -94,9 +95,32 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Equal fingerprints are first gathered to their smallest id, so copies cost one row; the links and the
     components are between those representatives.
     """
-    prints = cut(fingerprints(docs, id_col, text_col, shingle, seed))
-    nodes = cut(prints.filter("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node")))
-    components = connected_components(links(nodes))
-    classes = nodes.join(components, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    prints = cut(fingerprints(rows, shingle, seed))
+    classes = fingerprint_classes(prints.filter("doc_id is not null"))
     out = spread_join(prints, classes, "fp", "left")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def fingerprint_classes(prints: DataFrame) -> DataFrame:
+    """(fp, component_id): the smallest doc_id reachable from each fingerprint of prints (doc_id, fp)."""
+    nodes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("node")))
+    components = connected_components(links(nodes))
+    return nodes.join(components, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
+    """docs less its near-duplicates: one row of each component of simhash_components stays, with all its columns.
+
+    The row with the smallest id stays, null ids coming last; of rows with one id and different texts the one
+    with the smallest hash of both; of rows that repeat id and text any one. Rows are told apart by id and
+    text, so that a text stays whatever becomes of another one under its id. An empty table gives no rows.
+    """
+    keyed = docs.select(F.struct("*").alias("doc"), document_key(F.col(id_col), F.col(text_col)).alias("key"))
+    rows = docs.select(F.col(id_col).alias("id"), document_key(F.col(id_col), F.col(text_col)).alias("key"), F.col(text_col).cast("string").alias("text"))
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "key")
+    prints = cut(fingerprints(rows, shingle, seed).select("key", order.alias("doc_id"), "fp"))
+    first = fingerprint_classes(prints).select(F.col("component_id.key").alias("key")).distinct()
+    kept = spread_join(prints.groupBy("key").agg(F.count("*").alias("times")), first, "key")
+    once, again = (spread_join(keyed, kept.filter(f"times {sign} 1").select("key"), "key") for sign in ("=", ">"))
+    return once.unionByName(again.dropDuplicates(["key"])).select("doc.*")
