@@ -4,6 +4,7 @@ import hashlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.conftest import SMALL
@@ -69,6 +70,46 @@ def test_run_is_the_stages(spark, stages):
     assert digest(corpus_pipeline.run(spark, SMALL)) == digest(stages[5])
 
 
+CLASHES = ["_lines", "_found", "_key", "key", "doc", "copy", "copies", "_spread_", "times", "fp"]
+
+
+def written(df, path):
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def test_repeated_ids_rows_and_clashing_names(spark, tmp_path):
+    a = " ".join(f"the first story has word{i} and more of it" for i in range(60))
+    b = " ".join(f"quite another tale number{i} goes on here" for i in range(60))
+    near_a = a.replace("word59", "word58")
+    rows = [(3, b), (5, a), (5, b), (7, near_a), (8, b), (8, b), (None, "a text without any number of its own that stays"), (None, b), (9, None), (10, ""), (11, "123 456")]
+    docs = spark.createDataFrame([(i, t, "en", f"s{(i or 0) % 2}", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    for c in CLASHES:
+        docs = docs.withColumn(c, F.lit("clash"))
+    stages = dict(corpus_pipeline.STAGES)
+    kept = lambda df: sorted((str(r.doc_id), r.text, r["_lines"], r["key"]) for r in df.collect())
+    want = lambda pairs: sorted((str(i), t, "clash", "clash") for i, t in pairs)
+    known = written(stages["language_id"](spark, docs, SMALL), f"{tmp_path}/1")
+    assert known.columns == docs.columns and kept(known) == want([r for r in rows if r[1] and r[1] != "123 456"])
+    # Later equal lines go, and rows that repeat id and text lose nothing to each other, but here all do to row 3.
+    lined = written(stages["line_dedup"](spark, known, SMALL), f"{tmp_path}/2")
+    assert kept(lined) == want([(3, b), (5, a), (None, rows[6][1])])
+    near = written(stages["simhash_near_dedup"](spark, known, SMALL), f"{tmp_path}/3")
+    prints = {t: hamming(a, t) for t in (b, near_a)}
+    assert prints[near_a] <= 2 < prints[b]
+    assert kept(near) == want([(3, b), (5, a), (None, rows[6][1])])
+    only_repeats = written(stages["simhash_near_dedup"](spark, known.filter("doc_id = 8"), SMALL), f"{tmp_path}/4")
+    assert kept(only_repeats) == want([(8, b)])
+    mixed = written(stages["mix_sources"](spark, near, SMALL), f"{tmp_path}/5")
+    assert set(kept(mixed)) <= set(kept(near)) and max(Counter(kept(mixed)).values()) <= 3
+    packed = stages["pack"](spark, mixed, SMALL).collect()
+    assert sum(r.start == 0 for r in packed) == mixed.count()
+
+
+def hamming(x, y):
+    return (t.simhash_of(x) ^ t.simhash_of(y)).bit_count()
+
+
 def test_awkward_rows(spark, tmp_path):
     docs = spark.createDataFrame([(*r, 0) for r in t.ROWS], "doc_id long, text string, lang string, source string, n_chars long")
     for rows in (docs, docs.limit(0)):
