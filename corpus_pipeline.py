@@ -8,51 +8,47 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import shared_folder, spread_join
-from tidemark.llm.language_id import UNKNOWN, identify_languages
+from tidemark.llm.common import document_key, free_name, shared_folder, spread_join
+from tidemark.llm.language_id import UNKNOWN, add_languages
 from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.packing import pack_documents
-from tidemark.llm.simhash import simhash_components
+from tidemark.llm.simhash import drop_near_duplicates
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language, which becomes their lang; those without a letter go.
-
-    Rows are joined by id: rows that repeat an id share the smallest known language found for it, and rows
-    without an id are judged by whether they have a letter, and keep their lang.
-    """
-    found = identify_languages(docs).filter((F.col("lang_pred") != UNKNOWN) & F.col("doc_id").isNotNull())
-    found = found.groupBy("doc_id").agg(F.min("lang_pred").alias("_lang"))
-    known = docs.join(found, "doc_id", "left").filter(F.col("_lang").isNotNull() | F.col("doc_id").isNull() & F.col("text").rlike(r"\p{L}"))
-    return known.select(*[F.coalesce("_lang", "lang").alias("lang") if c == "lang" else c for c in docs.columns])
+    """Documents in a known language, which becomes their lang; those without a letter go. Each row is judged by itself."""
+    found = free_name(docs, "_found")
+    known = add_languages(docs, found).filter(F.col(found)["lang_pred"] != UNKNOWN)
+    return known.select(*[F.col(found)["lang_pred"].alias("lang") if c == "lang" else c for c in docs.columns])
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents less their repeated lines; those of which nothing but blanks is left go."""
-    left = line_dedup(docs)
-    changed = F.col("_lines.n_exact") + F.col("_lines.n_near") > 0
+    lines = free_name(docs, "_lines")
+    left = line_dedup(docs, prefix=lines)
+    changed = F.col(lines)["n_exact"] + F.col(lines)["n_near"] > 0
     left = left.filter(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return left.select(*[F.length("text").cast(docs.schema["n_chars"].dataType).alias("n_chars") if c == "n_chars" else c for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id; rows without an id stay."""
-    others = simhash_components(docs).filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group of near-duplicates, the one with the smallest id; null ids come last."""
+    return drop_near_duplicates(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix as whole documents: each as many times as the schedule takes its words, to the nearest number.
 
-    The schedule goes round each source, so one document of a source at most is taken in part.
+    The schedule goes round each source, so one document of a source at most is taken in part. Rows that
+    repeat id and text are taken alike.
     """
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    taken, _ = mix_sources(docs)
+    keyed = docs.select(F.struct("*").alias("doc"), F.hex(document_key(F.col("doc_id"), F.col("text"))).alias("key"))
+    taken, _ = mix_sources(keyed.select("key", "doc.text", "doc.source"), id_col="key")
     share = F.try_divide(F.sum("taken"), F.sum("size"))
-    copies = taken.withColumn("_key", key).groupBy("_key").agg(F.floor(F.coalesce(share, F.lit(0)) + 0.5).cast("int").alias("_copies")).filter("_copies > 0")
-    mixed = spread_join(docs.withColumn("_key", key), copies, "_key")
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    copies = taken.groupBy(F.col("doc_id").alias("key")).agg(F.floor(F.coalesce(share, F.lit(0)) + 0.5).cast("int").alias("copies")).filter("copies > 0")
+    mixed = spread_join(keyed, copies, "key")
+    return mixed.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("doc.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
