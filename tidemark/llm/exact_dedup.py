@@ -18,6 +18,14 @@ def repeated_bits(hashed: DataFrame, key: str, filter_bits: int, probes: int) ->
     return twice.groupBy(F.expr("slot div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits"))
 
 
+def maybe_among(rows: DataFrame, keys: DataFrame, key: str, filter_bits: int = 1 << 26) -> DataFrame:
+    """The rows whose key is in keys (which may repeat), and some others: a filter of at most filter_bits / 64 words is broadcast."""
+    wanted = keys.select(key).distinct()
+    words = repeated_bits(wanted.union(wanted), key, filter_bits, 1)
+    slot = rows.withColumn("_slot", F.pmod(F.xxhash64(key, F.lit(0)), F.lit(filter_bits))).withColumn("word", F.expr("_slot div 64"))
+    return slot.join(F.broadcast(words), "word").filter("getbit(bits, cast(_slot % 64 as int)) = 1").select(*rows.columns)
+
+
 def maybe_repeated(hashed: DataFrame, key: str, filter_bits: int = 1 << 26, probes: int = 2) -> DataFrame:
     """hashed with a boolean column maybe_repeated: false only where key surely occurs once."""
     words = repeated_bits(hashed, key, filter_bits, probes)

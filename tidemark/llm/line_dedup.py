@@ -6,14 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, document_key, spread_join
-from .exact_dedup import repeated_bits
+from .exact_dedup import maybe_among
 
 #: Stripped from both ends of a line before it is compared.
 BLANK = " \t\r\x0b\x0c"
 #: Least characters of a segment in long lines, which are cut in as many as a segment has characters; shorter ones have two.
 SEGMENT = 256
-#: Bits of the filter by which the second scan picks lines: 2^20 words at most, whatever the input.
-FILTER_BITS = 1 << 26
 
 
 def half_keys(near_chars: int) -> Column:
@@ -57,10 +55,7 @@ def alike_lines(scratch: Scratch, docs: DataFrame, firsts: DataFrame) -> DataFra
     halves = firsts.select("h", "g", "pos", F.explode("halves").alias("half"))
     shared = scratch.write("shared", halves.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half"))
     asked = scratch.write("asked", spread_join(halves, shared, "half").select("h", "g", "pos").distinct())
-    wanted = asked.select("h").distinct()
-    bits = repeated_bits(wanted.union(wanted), "h", FILTER_BITS, 1)
-    slot = F.pmod(F.xxhash64("h", F.lit(0)), F.lit(FILTER_BITS))
-    some = lines_of(docs).withColumn("slot", slot).withColumn("word", F.expr("slot div 64")).join(F.broadcast(bits), "word").filter("getbit(bits, cast(slot % 64 as int)) = 1")
+    some = maybe_among(lines_of(docs), asked, "h")
     rows = spread_join(some.select("h", "g", position().alias("at"), "line"), asked, ["h", "g"]).filter("at = pos")
     return scratch.write("alike", rows.dropDuplicates(["h", "g"]).select("h", "g", "pos", "line"))
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
 from .common import Scratch, spread_join
+from .exact_dedup import maybe_among
 
 #: Odd multiplier of the rolling hash modulo 2^64, and its inverse.
 BASE = 0x9E3779B97F4A7C15
@@ -332,9 +333,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     firsts = scratch.write("part-firsts", classes_of(cut_up.drop("bytes")))
     scratch.write("runs-2", merged(run(later(cut_up.drop("core", "bytes"), firsts, WHOLE))))
     scratch.drop()
-    left = in_question(firsts).select(*WHOLE, "first")
-    slices = scratch.write("slices", spread_join(cut_up.drop("core"), left, WHOLE).filter("at = first").select("base", "at", "n", "bytes"))
-    scratch.drop("parts", "part-firsts")
+    left = scratch.write("left", in_question(firsts).select(*WHOLE, F.col("first").alias("at")))
+    scratch.drop("part-firsts")
+    # Few of the parts are left: a filter keeps the bytes of the others from moving.
+    slices = spread_join(maybe_among(cut_up.drop("core"), left, "at"), left, [*WHOLE, "at"])
+    slices = scratch.write("slices", slices.select("base", "at", "n", "bytes"))
+    scratch.drop("parts", "left")
     last = doubled(scratch, slices, lengths).withColumn("end", F.col("at") + threshold)
     runs = [spark.read.parquet(f"{scratch.folder}/runs-{i}") for i in (1, 2)]
     place = lambda c: (F.col(c) - F.col("base")).alias("begin" if c == "at" else c)
