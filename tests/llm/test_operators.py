@@ -213,26 +213,43 @@ class TestModel:
 
     def test_forward_is_the_sum_over_paths(self):
         rng = np.random.default_rng(0)
-        hmm = lm_scoring.HMM(rng.dirichlet([1] * 3), rng.dirichlet([1] * 3, 3), rng.dirichlet([1] * 5, 3).T)
+        hmm = lm_scoring.HMM(rng.dirichlet([1] * 3), rng.dirichlet([1] * 3, 3), rng.dirichlet([1] * 5, 3))
         codes = rng.integers(0, 5, 6)
         total = 0.0
         for path in np.ndindex(*[3] * 6):
-            p = hmm.start[path[0]] * hmm.emit[codes[0], path[0]]
+            p = hmm.start[path[0]] * hmm.emit[path[0], codes[0]]
             for t in range(1, 6):
-                p *= hmm.move[path[t - 1], path[t]] * hmm.emit[codes[t], path[t]]
+                p *= hmm.move[path[t - 1], path[t]] * hmm.emit[path[t], codes[t]]
             total += p
         got = hmm.forward(codes, np.array([0]), np.array([6]))
         assert got[0] == pytest.approx(np.log10(total))
 
+    def test_segments_of_long_texts(self, monkeypatch):
+        rng = np.random.default_rng(7)
+        hmm = lm_scoring.HMM(rng.dirichlet([1] * 3), rng.dirichlet([1] * 3, 3), rng.dirichlet([1] * 5, 3))
+        codes, lengths = rng.integers(0, 5, 1500), np.array([1000, 400, 100])
+        starts = np.array([0, 1000, 1400])
+        whole = hmm.forward(codes, starts, lengths)
+        monkeypatch.setattr(lm_scoring, "LONG", 300)
+        monkeypatch.setattr(lm_scoring, "SEGMENT", 64)
+        assert hmm.forward(codes, starts, lengths) == pytest.approx(whole)
+
+    def test_the_head_does_not_change_results(self, docs):
+        few = docs.filter("doc_id < 60")
+        rows = [{r.doc_id: r for r in lm_scoring.score_texts(few, rounds=1, states=2, head_tokens=n, own_classes=20).collect()} for n in (50, 1 << 19)]
+        for i, r in rows[0].items():
+            other = rows[1][i]
+            assert (r.n_known, r.base_score, r.score) == (other.n_known, pytest.approx(other.base_score), pytest.approx(other.score))
+
     def test_expected_counts(self):
         rng = np.random.default_rng(1)
-        hmm = lm_scoring.HMM(rng.dirichlet([1] * 2), rng.dirichlet([1] * 2, 2), rng.dirichlet([1] * 3, 2).T)
+        hmm = lm_scoring.HMM(rng.dirichlet([1] * 2), rng.dirichlet([1] * 2, 2), rng.dirichlet([1] * 3, 2))
         codes = np.array([0, 2, 1, 1, 0])
         want, total = np.zeros((3 + 2 + 1, 2)), 0.0
         for path in np.ndindex(*[2] * 5):
-            p = hmm.start[path[0]] * hmm.emit[codes[0], path[0]]
+            p = hmm.start[path[0]] * hmm.emit[path[0], codes[0]]
             for t in range(1, 5):
-                p *= hmm.move[path[t - 1], path[t]] * hmm.emit[codes[t], path[t]]
+                p *= hmm.move[path[t - 1], path[t]] * hmm.emit[path[t], codes[t]]
             total += p
             for t in range(5):
                 want[codes[t], path[t]] += p
@@ -240,7 +257,7 @@ class TestModel:
                     want[3 + path[t - 1], path[t]] += p
             want[5, path[0]] += p
         out = np.zeros_like(want)
-        hmm.expected(codes, np.array([0]), np.array([5]), out)
+        hmm.expected(codes, np.array([0]), np.array([5]), np.array([True]), out)
         assert np.allclose(out, want / total)
 
     def test_awkward(self, awkward):
