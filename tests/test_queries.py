@@ -1,6 +1,9 @@
 """Registered queries against their SQL on the small table."""
 
 import os
+import shutil
+import subprocess
+import sys
 from collections import Counter
 from datetime import date, datetime
 from decimal import Decimal
@@ -47,6 +50,15 @@ def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
 
 
+@pytest.mark.parametrize("gone", [["tidemark/llm"], ["tidemark/llm", "corpus_pipeline.py"], ["corpus_pipeline.py"]])
+def test_without_the_corpus_operators(tmp_path, gone):
+    root = os.path.dirname(os.path.abspath(__spark_entry__.__file__))
+    copy = shutil.copytree(root, tmp_path / "copy", ignore=lambda d, names: [n for n in names if n in (".git", "tests", "__pycache__") or os.path.relpath(os.path.join(d, n), root) in gone])
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    said = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, check=True).stdout.split()
+    assert int(said[0]) >= int(said[1]) > 40
+
+
 def test_every_oracle_has_a_query():
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
