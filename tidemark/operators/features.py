@@ -11,11 +11,12 @@ from pyspark.sql import types as T
 
 from ..config import BACKLOG_FEATURES, FEATURES, KEY, TAIL_WEIGHTS, Settings
 from ..functions.columns import clean_key, double_or_null, lag_for, month_start, stripped, zero_number
+from ..kept import kept
 from .catalog import Catalog
 from .mapping import map_names, map_products, normalize_units, resolve_names, valid_units
 from .series import month_grid
 
-#: Target column -> source columns, by preference after the configured one.
+#: Target column -> source columns, by preference after the configured one.
 PIPELINE_SYNONYMS = {
     "Timestamp": ("Timestamp", "CloseDate", "Date"),
     "SF_Product_Name": ("Product", "SF_Product_Name", "Product_Name"),
@@ -28,7 +29,9 @@ PIPELINE_SYNONYMS = {
     "Quantity_new_orders": ("Quantity_new_orders",),
 }
 BACKLOG_SYNONYMS = {"Product": ("product", "product_code", "sku", "item"), "Month": ("month", "date"), "BU": ("bu", "business_unit", "business_unit_code"), "Backlog": ("backlog",)}
-_NOT_FEATURES = {"Timestamp", "Date", "SF_Product_Name", "BU", "Product_Group"}
+#: How many facts a loaded row stands for.
+ROWS = "_rows"
+_NOT_FEATURES = {"Timestamp", "Date", "SF_Product_Name", "BU", "Product_Group", ROWS}
 
 
 def rename_pipeline(pipeline: DataFrame, configured: dict[str, str] | None = None) -> DataFrame:
@@ -69,21 +72,25 @@ def feature_columns(pipeline: DataFrame) -> list[str]:
 
 
 def load_pipeline(pipeline: DataFrame, catalog: Catalog, reference: DataFrame, configured: dict[str, str] | None = None, check_units: bool = True) -> DataFrame:
-    """(Product_Group, BU, Date, features): named, dated, mapped to groups and units, with numbers for features.
+    """(Product_Group, BU, Date, features, rows): named, dated, mapped to groups and units, with numbers for features.
 
-    Rows without a date, a known group or a unit go; so do units that the group does not list.
+    Rows without a date, a known group or a unit go; so do units that the group does not list. Facts are
+    summed by name, unit and month as they are written, and kept: only those sums, of rows facts each, meet
+    the catalog, and the facts are read once for names and sums.
     """
     renamed = rename_pipeline(pipeline, configured)
     features = feature_columns(renamed)
     dated = renamed.withColumn("Date", month_start(as_date(renamed, "Timestamp"))).filter("Date is not null")
+    sums = [F.coalesce(F.sum(zero_number(F.col(c))), F.lit(0.0)).alias(c) for c in features]
+    dated = kept(dated.groupBy("SF_Product_Name", "BU", "Date").agg(*sums, F.count("*").alias(ROWS)))
     resolved = resolve_names(dated.select(F.col("SF_Product_Name").alias("name")), catalog, reference)
     mapped = normalize_units(map_names(dated, resolved), catalog).filter("BU is not null")
     checked = valid_units(mapped, catalog.units, "pass") if check_units else mapped
-    return checked.select("Product_Group", "BU", "Date", *[zero_number(F.col(c)).alias(c) for c in features])
+    return checked.select("Product_Group", "BU", "Date", *features, ROWS)
 
 
 def coverage(loaded: DataFrame) -> DataFrame:
-    return loaded.agg(F.count("*").alias("rows"), F.min("Date").alias("first_month"), F.max("Date").alias("last_month"))
+    return loaded.agg(F.coalesce(F.sum(ROWS), F.lit(0)).alias("rows"), F.min("Date").alias("first_month"), F.max("Date").alias("last_month"))
 
 
 def pipeline_monthly(loaded: DataFrame, by_bu: bool = True) -> DataFrame:

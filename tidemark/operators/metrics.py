@@ -36,14 +36,15 @@ def volatility_class(series: DataFrame, threshold: float = 0.5, value: str = "Ac
 def seasonal_parts(series: DataFrame, value: str = "Actuals", keys: tuple[str, ...] = KEY) -> DataFrame:
     """series with trend (2x12 moving average, null at the edges), seasonal (centred) and resid."""
     w = Window.partitionBy(*keys).orderBy("Date")
-    position = F.row_number().over(w) - 1
     total = lambda a, b: F.sum(value).over(w.rowsBetween(a, b))
     full = F.count(value).over(w.rowsBetween(-6, 6)) == 13
-    out = series.withColumn("position", position % 12).withColumn("trend", F.when(full, (total(-6, 5) + total(-5, 6)) / 24))
-    detrended = F.col(value) - F.col("trend")
-    by_month = out.groupBy(*keys, "position").agg(F.avg(detrended).alias("_level"))
-    centre = by_month.withColumn("seasonal", F.col("_level") - F.avg("_level").over(Window.partitionBy(*keys))).drop("_level")
-    return out.join(centre, [*keys, "position"]).withColumn("resid", F.col(value) - F.col("trend") - F.col("seasonal"))
+    rn = F.row_number().over(w)
+    out = series.withColumns({"_rn": rn, "position": (rn - 1) % 12, "trend": F.when(full, (total(-6, 5) + total(-5, 6)) / 24)})
+    # All windows have the series' partitioning; a position's level counts once, at its first month.
+    out = out.withColumn("_level", F.avg(F.col(value) - F.col("trend")).over(Window.partitionBy(*keys, "position")))
+    centre = F.avg(F.when(F.col("_rn") <= 12, F.col("_level"))).over(Window.partitionBy(*keys))
+    out = out.withColumn("seasonal", F.col("_level") - centre).drop("_rn", "_level")
+    return out.withColumn("resid", F.col(value) - F.col("trend") - F.col("seasonal"))
 
 
 def seasonal_strength(series: DataFrame, threshold: float = 0.3, min_obs: int = 24, value: str = "Actuals", keys: tuple[str, ...] = KEY) -> DataFrame:

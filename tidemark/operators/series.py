@@ -59,18 +59,22 @@ def demand_levels(cleaned: DataFrame, skus: DataFrame, match: str = "lower") ->
 def month_grid(series: DataFrame, keys: tuple[str, ...] = KEY, end: date | None = None, only_end: bool = False, fill: float | None = 0.0, max_months: int = 1200) -> DataFrame:
     """Every month from a series' first to its last (or to end, if that is later; or to end alone with only_end).
 
-    Missing months get fill, or stay null. Rows after the end go. A grid longer than max_months raises.
+    Missing months get fill, or stay null. Rows after the end go. A grid longer than max_months raises. series
+    has one row per month, whose start is its date; each row brings the months up to the next one's, so that
+    the input is read once and moves once.
     """
-    last = F.max("Date")
-    if end is not None:
-        last = F.lit(end) if only_end else F.greatest(last, F.lit(end))
-    bounds = series.groupBy(*keys).agg(F.min("Date").alias("_from"), last.alias("_to"))
-    span = F.months_between("_to", "_from")
-    bounds = bounds.filter("_from <= _to").withColumn("_to", F.when(span < max_months, F.col("_to")).otherwise(F.raise_error(F.lit(f"a series spans more than {max_months} months"))))
-    grid = bounds.select(*keys, F.explode(F.sequence("_from", "_to", F.expr("interval 1 month"))).alias("Date"))
-    out = grid.join(series, [*keys, "Date"], "left")
+    rows = series.filter("Date is not null") if end is None or not only_end else series.filter(F.col("Date") <= F.lit(end))
+    own = Window.partitionBy(*keys).orderBy("Date")
+    last = F.col("Date") if end is None else F.lit(end) if only_end else F.greatest("Date", F.lit(end))
+    until = F.coalesce(F.add_months(F.lead("Date").over(own), -1), last)
+    spaced = rows.withColumns({"_first": F.first("Date").over(own), "_until": until})
+    too_long = F.raise_error(F.lit(f"a series spans more than {max_months} months")).cast("date")
+    steps = F.sequence("Date", F.when(F.months_between("_until", "_first") < max_months, F.col("_until")).otherwise(too_long), F.expr("interval 1 month"))
+    filled = spaced.withColumn("_month", F.explode(steps))
+    here = F.col("_month") == F.col("Date")
     values = [c for c in series.columns if c not in (*keys, "Date")]
-    return out.fillna(fill, values) if fill is not None else out
+    value = lambda c: F.when(here, F.col(c)) if fill is None else F.coalesce(F.when(here, F.col(c)), F.lit(fill).cast(series.schema[c].dataType))
+    return filled.select(*keys, F.col("_month").alias("Date"), *[value(c).alias(c) for c in values])
 
 
 def trim_trailing_zeros(series: DataFrame, value: str = "Actuals", keys: tuple[str, ...] = KEY) -> DataFrame:

@@ -10,7 +10,7 @@ from ..config import KEY, Settings
 from ..models import arima
 from ..operators.metrics import best_lags
 from ..operators.series import as_arrays, month_grid
-from .checkpoints import kept
+from ..kept import kept
 from .tasks import run_tasks
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..config import FEATURES, KEY, Settings
 from ..functions.columns import currency_number, lag_for, normalize_code, parse_month, split_list, zero_number
+from ..kept import kept
 from ..operators import diagnostics, features, mapping, metrics, series
 from ..operators.catalog import Catalog, parse_catalog
 from ..sources import star_schema as star
@@ -38,7 +39,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _catalog(spark: SparkSession, folder: str) -> Catalog:
-    return parse_catalog(star.catalog(spark, folder))
+    """Kept, as each of its lookups reads it."""
+    return parse_catalog(kept(star.catalog(spark, folder)))
 
 
 def _demand(spark: SparkSession, folder: str) -> DataFrame:

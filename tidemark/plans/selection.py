@@ -11,7 +11,7 @@ from ..functions.columns import series_label
 from ..models import arima, smoothing
 from ..operators.metrics import ljung_box, volatility_class
 from ..operators.series import as_arrays, fold_cuts
-from .checkpoints import kept
+from ..kept import kept
 from .tasks import run_tasks
 
 NEVER = 1 << 30

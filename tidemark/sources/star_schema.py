@@ -71,11 +71,9 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def reference(spark: SparkSession, folder: str) -> DataFrame:
-    """(row_id, salesforce_product_name, group_key): one row per part name and brand, in their order."""
-    from pyspark.sql import Window
-
+    """(row_id, salesforce_product_name, group_key): one row per part name and brand, ordered by both."""
     pairs = table(spark, folder, "part").select(F.col("p_name").alias("salesforce_product_name"), F.col("p_brand").alias("group_key")).distinct()
-    return pairs.withColumn("row_id", F.row_number().over(Window.orderBy("salesforce_product_name", "group_key")).cast("long"))
+    return pairs.withColumn("row_id", F.struct("salesforce_product_name", "group_key"))
 
 
 def backlog(spark: SparkSession, folder: str) -> DataFrame:
