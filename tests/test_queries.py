@@ -13,8 +13,9 @@ import pytest
 
 import __spark_entry__
 from tests.conftest import SMALL
+from tidemark.plans import registry
 
-SOME = ["monthly_demand", "trim_trailing_zeros", "name_cascade", "pipeline_configured_lag", "feature_store", "future_extrapolation", "seasonal_strength", "candidate_grid", "prepared_dataset_rows", "ljung_box"]
+SOME = sorted(registry.ORACLES)
 
 
 @pytest.fixture(scope="module")

@@ -9,7 +9,7 @@ ORDER_COLUMNS = ("sarima_p", "sarima_d", "sarima_q", "seas_p", "seas_d", "seas_q
 CATALOG_COLUMNS = ("group_key", "sku_list", "business_unit_code", "business_unit_name", "salesforce_feature_mode", *ORDER_COLUMNS)
 FEATURES = ("Revenue", "Quantity", "Open_Opportunities", "New_Quotes", "Revenue_new_orders", "Quantity_new_orders")
 BACKLOG_FEATURES = ("Backlog", "Backlog_Lag1", "Backlog_Lag3", "Backlog_MA3")
-#: Optional catalog column -> the feature that its lag specification shifts.
+#: Optional catalog column -> the feature that its lag specification shifts.
 LAG_COLUMNS = {
     "sf_quantity_lag": "Quantity",
     "sf_new_quotes_lag": "New_Quotes",
@@ -18,7 +18,7 @@ LAG_COLUMNS = {
     "sf_revenue_new_orders_lag": "Revenue_new_orders",
     "sf_quantity_new_orders_lag": "Quantity_new_orders",
 }
-#: Weights of the six months before, from the oldest on, for features beyond their last month.
+#: Weights of the six months before, from the oldest on, for features beyond their last month.
 TAIL_WEIGHTS = (0.10, 0.10, 0.15, 0.15, 0.25, 0.25)
 KEY = ("Product_Group", "BU")
 

@@ -6,10 +6,12 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..models.unit_root import adf_test, kpss_test
+from ..tasks import run_tasks
+from .series import as_arrays
 
 ANALYSIS_KEY = ("Product_Group", "BU")
 
@@ -65,15 +67,12 @@ def feature_summary(data: DataFrame, columns: list[str], keys: tuple[str, ...])
     )
 
 
-def vif_of(matrix: np.ndarray) -> tuple[np.ndarray, float]:
-    """Variance inflation of each column, and the condition number of the standardised matrix.
+def vif_of(r: np.ndarray) -> tuple[np.ndarray, float]:
+    """Variance inflation of each column from the correlations r, and the condition number of the standardised matrix.
 
     With a constant, inflation is the diagonal of the inverse correlation matrix; it is infinite for columns
     that the others determine.
     """
-    z = matrix - matrix.mean(axis=0)
-    z = z / z.std(axis=0)
-    r = z.T @ z / len(z)
     values, vectors = np.linalg.eigh(r)
     if values[0] > 1e-12 * values[-1]:
         return np.diag(np.linalg.inv(r)), float(np.sqrt(values[-1] / values[0]))
@@ -83,21 +82,54 @@ def vif_of(matrix: np.ndarray) -> tuple[np.ndarray, float]:
     return np.where(infinite, np.inf, safe), np.inf
 
 
+def complete_moments(data: DataFrame, columns: list[str], min_obs: int, keys: tuple[str, ...]) -> DataFrame:
+    """(keys, valid, counts, n_complete, cov): per series one row of sums over the rows in which no valid column is null.
+
+    A column is valid with min_obs values or more that differ; cov lists covariances of all pairs, by rows of
+    the upper triangle, null where a column is not valid. All of it is one exchange on the keys.
+    """
+    own = Window.partitionBy(*keys)
+    marked = data.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
+    marked = marked.withColumns({f"_ok_{c}": F.coalesce((F.count(c).over(own) >= min_obs) & (F.min(c).over(own) != F.max(c).over(own)), F.lit(False)) for c in columns})
+    full = F.lit(True)
+    for c in columns:
+        full = full & (~F.col(f"_ok_{c}") | F.col(c).isNotNull())
+    value = lambda c: F.when(F.col("_full") & F.col(f"_ok_{c}"), F.col(c))
+    pairs = [F.covar_pop(value(x), value(y)) for i, x in enumerate(columns) for y in columns[i:]]
+    return marked.withColumn("_full", full).groupBy(*keys).agg(
+        F.array(*[F.bool_or(f"_ok_{c}") for c in columns]).alias("valid"), F.array(*[F.count(c) for c in columns]).alias("counts"), F.count_if("_full").alias("n_complete"), F.array(*pairs).alias("cov")
+    )
+
+
+def correlations_of(cov: list[float], valid: list[bool]) -> np.ndarray | None:
+    """The correlation matrix of the valid columns; None where one has no variance."""
+    k = len(valid)
+    full = np.zeros((k, k))
+    full[np.triu_indices(k)] = [np.nan if v is None else v for v in cov]
+    at = np.flatnonzero(valid)
+    c = (full + np.triu(full, 1).T)[np.ix_(at, at)]
+    sd = np.sqrt(np.diag(c))
+    return c / np.outer(sd, sd) if len(at) and (sd > 0).all() else None
+
+
 def vif_report(data: DataFrame, columns: list[str], min_obs: int, keys: tuple[str, ...] = ANALYSIS_KEY) -> DataFrame:
-    """(keys, variable, vif, condition_number, n_obs, notes) of the valid columns over complete rows."""
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        valid = [c for c in columns if pdf[c].notna().sum() >= min_obs and pdf[c].nunique() > 1]
-        clean = pdf[valid].dropna().to_numpy(dtype=float)
-        enough = len(valid) >= 2 and len(clean) >= len(valid) + 1 and (clean.std(axis=0) > 0).all()
-        vif, condition = vif_of(clean) if enough else ([None] * len(valid), None)
-        note = "" if enough else "Insufficient data for VIF calculation."
-        head = {k: pdf[k].iloc[0] for k in keys}
-        rows = [head | {"variable": c, "vif": v, "condition_number": condition, "n_obs": int(pdf[c].notna().sum()), "notes": note} for c, v in zip(valid, vif, strict=True)]
-        return pd.DataFrame(rows, columns=[*keys, "variable", "vif", "condition_number", "n_obs", "notes"]).astype({"vif": float, "condition_number": float})
+    """(keys, variable, vif, condition_number, n_obs, notes) of the valid columns over complete rows.
+
+    Spark sums all moments; the helper sees one row of k x k numbers per series.
+    """
+
+    def one(row) -> list[dict]:
+        valid = [bool(v) for v in row.valid]
+        n = sum(valid)
+        r = correlations_of(list(row.cov), valid) if n >= 2 and row.n_complete >= n + 1 else None
+        vif, condition = vif_of(r) if r is not None else ([None] * n, None)
+        note = "" if r is not None else "too few complete rows or columns for inflation factors"
+        head = {k: getattr(row, k) for k in keys}
+        named = [(c, int(m)) for c, m, ok in zip(columns, row.counts, valid, strict=True) if ok]
+        return [head | {"variable": c, "vif": v, "condition_number": condition, "n_obs": m, "notes": note} for (c, m), v in zip(named, vif, strict=True)]
 
     head = ", ".join(f"{k} string" for k in keys)
-    return data.select(*keys, *columns).groupBy(*keys).applyInPandas(one, f"{head}, variable string, vif double, condition_number double, n_obs bigint, notes string")
+    return run_tasks(complete_moments(data, columns, min_obs, keys), one, f"{head}, variable string, vif double, condition_number double, n_obs bigint, notes string")
 
 
 STATIONARITY = "n_obs bigint, is_constant boolean, adf_stat double, adf_pvalue double, adf_lags int, adf_nobs int, kpss_stat double, kpss_pvalue double, kpss_lags int, adf_stationary boolean, kpss_stationary boolean, notes string"
@@ -106,13 +138,13 @@ STATIONARITY = "n_obs bigint, is_constant boolean, adf_stat double, adf_pvalue d
 def stationarity_report(data: DataFrame, columns: list[str], min_obs: int = 12, keys: tuple[str, ...] = ANALYSIS_KEY) -> DataFrame:
     """Unit-root and level-stationarity tests of each variable of each series, one small task each."""
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf.sort_values("Date")["value"].dropna().to_numpy(dtype=float)
-        row = {k: pdf[k].iloc[0] for k in (*keys, "variable")} | dict.fromkeys([c.split()[0] for c in STATIONARITY.split(", ")]) | {"n_obs": len(x), "is_constant": False, "notes": ""}
+    def one(task) -> list[dict]:
+        x = np.array([v for v in task.value if v is not None and v == v], dtype=float)
+        row = {k: getattr(task, k) for k in (*keys, "variable")} | dict.fromkeys([c.split()[0] for c in STATIONARITY.split(", ")]) | {"n_obs": len(x), "is_constant": False, "notes": ""}
         if len(x) < min_obs:
-            row["notes"] = f"Insufficient observations (<{min_obs})."
+            row["notes"] = f"fewer than {min_obs} values"
         elif len(np.unique(x)) <= 1:
-            row |= {"is_constant": True, "notes": "Series is constant; stationarity tests are not informative."}
+            row |= {"is_constant": True, "notes": "all values are equal, so no test applies"}
         else:
             notes = []
             try:
@@ -126,24 +158,43 @@ def stationarity_report(data: DataFrame, columns: list[str], min_obs: int = 12,
             except (ValueError, ZeroDivisionError) as e:
                 notes.append(f"KPSS: {e}")
             row["notes"] = " | ".join(notes)
-        return pd.DataFrame([row]).astype(dict.fromkeys(("adf_lags", "adf_nobs", "kpss_lags"), object))
+        return [row]
 
     head = ", ".join(f"{k} string" for k in (*keys, "variable"))
-    return unpivoted(data, columns, keys).groupBy(*keys, "variable").applyInPandas(one, f"{head}, {STATIONARITY}")
+    tasks = as_arrays(unpivoted(data, columns, keys), ["value"], (*keys, "variable")).drop("dates")
+    return run_tasks(tasks, one, f"{head}, {STATIONARITY}")
 
 
 BACKLOG_COLUMNS = ["raw_data", "log_raw_data", "backlog_standardized"]
 ADF_COLUMNS = ("adf_statistic", "adf_pvalue", "adf_used_lag", "adf_nobs", "adf_icbest", "adf_stationary_flag", "adf_crit_1pct", "adf_crit_5pct", "adf_crit_10pct")
 
 
+def with_actuals(features: DataFrame, actuals: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """features with the actuals of their product, unit and month, null where there are none."""
+    return features.join(actuals.select(*keys, "Date", "Actuals"), [*keys, "Date"], "left")
+
+
+def backlog_relations(data: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """(keys, first_month, last_month, n_target, correlations) in one pass over features with actuals."""
+    full = F.lit(True)
+    for c in BACKLOG_COLUMNS:
+        full = full & F.col(c).isNotNull()
+    return data.groupBy(*keys).agg(
+        F.min("Date").alias("first_month"),
+        F.max("Date").alias("last_month"),
+        F.count("Actuals").alias("n_target"),
+        *[pearson(x, y, full).alias(f"corr_{x}__{y}") for x, y in combinations(BACKLOG_COLUMNS, 2)],
+        *[pearson(c, "Actuals").alias(f"corr_{c}__actuals") for c in BACKLOG_COLUMNS],
+    )
+
+
 def backlog_diagnostics(features: DataFrame, actuals: DataFrame, alpha: float = 0.05, vif_threshold: float = 5.0, min_obs: int = 12) -> DataFrame:
     """One row per (Product, BU, feature): span, summary, unit-root test, VIF, correlations and notes.
 
     features: (Product, BU, Date, backlog features); actuals: (Product, BU, Date, Actuals).
     """
     keys = ("Product", "BU")
-    data = features.join(actuals.select(*keys, "Date", "Actuals"), [*keys, "Date"], "left")
-    span = data.groupBy(*keys).agg(F.min("Date").alias("first_month"), F.max("Date").alias("last_month"))
+    data = with_actuals(features, actuals, keys)
     summary = feature_summary(data, BACKLOG_COLUMNS, keys)
     least = max(3, min_obs)
 
@@ -155,37 +206,35 @@ def backlog_diagnostics(features: DataFrame, actuals: DataFrame, alpha: float =
         used = len(clean)
         if len(varied) < 2:
             used = 0
-            shared.append("VIF skipped (requires at least two features with non-zero variance).")
+            shared.append("no VIF: fewer than two features vary")
         elif used <= len(varied) or used < min_obs or not (clean.std(axis=0) > 0).all():
-            shared.append(f"VIF skipped (needs > {len(varied)} complete rows; has {used}).")
+            shared.append(f"no VIF: {used} complete rows for {len(varied)} features")
         else:
-            vif |= dict(zip(varied, vif_of(clean)[0].tolist(), strict=True))
-            shared += [f"VIF infinite for {c} (perfect collinearity detected)." for c in varied if np.isinf(vif[c])]
+            vif |= dict(zip(varied, vif_of(np.atleast_2d(np.corrcoef(clean, rowvar=False)))[0].tolist(), strict=True))
+            shared += [f"{c} follows from the other features, its VIF is infinite" for c in varied if np.isinf(vif[c])]
         rows = []
         for c in BACKLOG_COLUMNS:
             x = pdf[c].dropna().to_numpy(dtype=float)
             row = {k: pdf[k].iloc[0] for k in keys} | {"variable": c, "vif_value": vif[c], "vif_observations": used, "vif_flag_high": vif[c] is not None and vif[c] >= vif_threshold} | dict.fromkeys(ADF_COLUMNS) | {"adf_stationary_flag": False}
             own = []
             if len(x) < least:
-                own.append(f"ADF skipped (needs >= {least} observations, has {len(x)}).")
+                own.append(f"no ADF: {len(x)} values, {least} are needed")
             else:
                 try:
                     t = adf_test(x)
                     row |= dict(zip(ADF_COLUMNS, (t.statistic, t.p_value, t.lags, t.n_obs, t.criterion, bool(t.p_value <= alpha), *t.critical), strict=True))
                 except (ValueError, np.linalg.LinAlgError) as e:
-                    own.append(f"ADF failed: {e}")
+                    own.append(f"ADF: {e}")
             rows.append(row | {"_notes": own + shared})
         return pd.DataFrame(rows).astype(dict.fromkeys(("adf_used_lag", "adf_nobs"), object))
 
     kinds = {"adf_used_lag": "int", "adf_nobs": "int", "adf_stationary_flag": "boolean"}
     schema = "Product string, BU string, variable string, vif_value double, vif_observations bigint, vif_flag_high boolean, " + ", ".join(f"{c} {kinds.get(c, 'double')}" for c in ADF_COLUMNS) + ", _notes array<string>"
     tested = data.select(*keys, "Date", *BACKLOG_COLUMNS).groupBy(*keys).applyInPandas(tests, schema)
-    pairs = complete_correlations(data, BACKLOG_COLUMNS, keys)
-    target = target_correlations(data, BACKLOG_COLUMNS, "Actuals", keys)
-    out = tested.join(summary, [*keys, "variable"]).join(span, list(keys)).join(pairs, list(keys)).join(target, list(keys))
+    out = tested.join(summary, [*keys, "variable"]).join(backlog_relations(data, keys), list(keys))
     names = [f"corr_{x}__{y}" for x, y in combinations(BACKLOG_COLUMNS, 2)]
-    no_pairs = F.when(F.coalesce(*[F.col(c) for c in names]).isNull(), "Insufficient data for pairwise correlations.")
-    no_target = F.when(F.col("n_target") < 2, "Insufficient actuals data for feature-to-actual correlations.")
+    no_pairs = F.when(F.coalesce(*[F.col(c) for c in names]).isNull(), "no correlations: too few complete rows")
+    no_target = F.when(F.col("n_target") < 2, "no correlations with actuals: fewer than two of them")
     notes = F.array_join(F.array_distinct(F.concat("_notes", F.array_compact(F.array(no_pairs, no_target)))), "; ")
     own = [f"corr_{c}__actuals" for c in BACKLOG_COLUMNS]
     # Without actuals no correlation with them is told.

@@ -225,6 +225,13 @@ def prefer_future(history: DataFrame, future: DataFrame) -> DataFrame:
     return both.withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n", "_f")
 
 
+def last_per_date(rows: DataFrame, order: str, keys: tuple[str, ...] = KEY) -> DataFrame:
+    """Of several rows of a series on one date, the last by order; for input that is not summed yet."""
+    values = [c for c in rows.columns if c not in ("Date", *keys)]
+    last = rows.groupBy(*keys, "Date").agg(F.max_by(F.struct(*values), order).alias("_last"))
+    return last.select(*keys, "Date", "_last.*")
+
+
 def log_features(backlog: DataFrame) -> DataFrame:
     """(Product, BU, Date, backlog_standardized, raw_data, log_raw_data); rows without any value go."""
     raw, standard = double_or_null(F.col("raw_data")), double_or_null(F.col("Backlog"))

@@ -26,6 +26,13 @@ def unmapped_count(facts: DataFrame) -> DataFrame:
     return facts.agg(F.count_if(F.col("Product_Group").isNull()).alias("unmapped"))
 
 
+def mapping_totals(mapped: DataFrame) -> DataFrame:
+    """One row: how many lines, groups, units and products there are after mapping, and lines that no group lists."""
+    return mapped.agg(
+        F.count("*").alias("lines"), F.count_distinct("Product_Group").alias("groups"), F.count_distinct("BU").alias("units"), F.count_distinct(normalize_code(F.col("Product"))).alias("products"), F.count_if(F.col("Product_Group").isNull()).alias("unmapped")
+    )
+
+
 def reference_names(reference: DataFrame, groups: DataFrame) -> DataFrame:
     """(name, Product_Group, row_id): pipeline names in lower case with a known group; the first row counts."""
     named = reference.select("row_id", F.lower(stripped(F.col("salesforce_product_name"))).alias("name"), stripped(F.col("group_key")).alias("Product_Group")).filter("name <> '' and Product_Group <> ''")

@@ -108,3 +108,14 @@ def best_lags(scores: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """(keys, best_lag, validation_mae, lags_evaluated): the smallest error, the smaller lag on ties."""
     rows = scores.filter("mae is not null and not isnan(mae)")
     return rows.groupBy(*keys).agg(F.min_by("lag", F.struct("mae", "lag")).alias("best_lag"), F.min("mae").alias("validation_mae"), F.count("*").alias("lags_evaluated"))
+
+
+def fold_summary(runs: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """(keys, folds_h1, ok_h1, mean_mae_h1, mae_std_h1, folds_h3, ok_h3, mae_h3) from (keys, horizon, fold, mae): folds, those
+    with an error, its mean and its population deviation, one and three months ahead."""
+    at = lambda h, c: F.when(F.col("horizon") == h, c)
+    one, three = (at(h, F.col("mae")) for h in (1, 3))
+    return runs.groupBy(*keys).agg(
+        F.count(at(1, F.lit(1))).alias("folds_h1"), F.count(one).alias("ok_h1"), F.avg(one).alias("mean_mae_h1"), F.stddev_pop(one).alias("mae_std_h1"),
+        F.count(at(3, F.lit(1))).alias("folds_h3"), F.count(three).alias("ok_h3"), F.avg(three).alias("mae_h3"),
+    )

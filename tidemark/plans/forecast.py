@@ -15,7 +15,7 @@ from ..operators.features import extrapolate, feature_store, select_backlog, sel
 from ..operators.metrics import choose_strategy, holdout_metrics, usable_order
 from ..operators.series import as_arrays, long_enough, prepared_series
 from ..kept import kept
-from .tasks import run_tasks
+from ..tasks import run_tasks
 
 REPORT = ("Product_Group", "BU", "BU_Name", "Model_Type", "Model_Used", "SARIMA_Params", "Exogenous_Used", "Date", "Forecast", "Lower_CI", "Upper_CI", "MAE%", "Bias%", "RMSE", "MAPE", "CoV")
 DEFAULT_ORDER = (1, 1, 1, 1, 1, 1, 12)

@@ -11,7 +11,7 @@ from ..models import arima
 from ..operators.metrics import best_lags
 from ..operators.series import as_arrays, month_grid
 from ..kept import kept
-from .tasks import run_tasks
+from ..tasks import run_tasks
 
 
 def lag_sweep(demand: DataFrame, features: DataFrame, groups: DataFrame, settings: Settings) -> DataFrame:

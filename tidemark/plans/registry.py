@@ -6,11 +6,11 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import FEATURES, KEY, Settings
-from ..functions.columns import currency_number, lag_for, normalize_code, parse_month, split_list, zero_number
+from ..functions.columns import clipped, currency_number, lag_for, normalize_code, parse_month, series_label, two_digits, zero_number
 from ..kept import kept
 from ..operators import diagnostics, features, mapping, metrics, series
 from ..operators.catalog import Catalog, parse_catalog
@@ -18,7 +18,7 @@ from ..sources import star_schema as star
 from .forecast import compare_scenarios, forecast_run
 from .lag_sweep import lag_sweep
 from .prepared import prepared_dataset
-from .selection import candidates, order_selection, shortlist
+from .selection import best_candidate, candidates, order_selection, shortlist
 
 SETTINGS = Settings(current_month=date.fromisoformat(star.CURRENT_MONTH))
 Query = Callable[[SparkSession, str], DataFrame]
@@ -453,12 +453,9 @@ def vif_report(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def backlog_diagnostics(spark: SparkSession, folder: str) -> DataFrame:
-    """By product group as product, which has months enough for the tests."""
-    skus = _catalog(spark, folder).skus
-    rows = mapping.map_products(star.backlog(spark, folder), skus, "normalized")
-    monthly = rows.groupBy(F.col("Product_Group").alias("Product"), "BU", F.col("Month").alias("Date")).agg(F.sum("Backlog").alias("Backlog"), F.sum("raw_data").alias("raw_data"))
+    """By product group as product."""
     actuals = _demand(spark, folder).withColumnRenamed("Product_Group", "Product")
-    return diagnostics.backlog_diagnostics(features.log_features(monthly), actuals)
+    return diagnostics.backlog_diagnostics(_backlog_log(spark, folder), actuals)
 
 
 @query()
@@ -468,3 +465,160 @@ def scenario_compare(spark: SparkSession, folder: str) -> DataFrame:
     past = replace(SETTINGS, current_month=date(2000, 12, 1))
     pipe = features.pipeline_features(_pipe(spark, folder).filter("Date <= date'2000-12-01'"), read.groups, past)
     return compare_scenarios(demand, read.groups, read.unit_names, past, pipe, None)
+
+
+@query("""SELECT grp AS Product_Group, bu AS BU, s.d AS Date, v AS Actuals, round(coalesce(Revenue, 0), 2) AS Revenue, round(coalesce(Quantity, 0), 2) AS Quantity
+FROM demand s LEFT JOIN pipe USING (grp, bu, d)""")
+def actuals_with_features(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(features.merge_with_actuals(_demand(spark, folder), _pipe(spark, folder).select(*KEY, "Date", "Revenue", "Quantity")), 2)
+
+
+@query("""SELECT count(*) AS lines, count(DISTINCT grp) AS groups, count(DISTINCT bu) AS units, count(DISTINCT part) AS products, count(*) FILTER (grp IS NULL) AS unmapped
+FROM v_actuals LEFT JOIN part_groups USING (part)""")
+def mapping_totals(spark: SparkSession, folder: str) -> DataFrame:
+    rows = mapping.map_products(star.actuals(spark, folder), _catalog(spark, folder).skus, keep_unmapped=True)
+    return mapping.mapping_totals(rows)
+
+
+@query("SELECT grp AS Product_Group, bu AS BU, d AS Date, CASE WHEN d >= DATE '2001-01-01' THEN 2 * v ELSE v END AS Actuals FROM demand")
+def future_over_history(spark: SparkSession, folder: str) -> DataFrame:
+    """History, and a future that begins within it."""
+    demand = _demand(spark, folder)
+    future = demand.filter("Date >= date'2001-01-01'").withColumn("Actuals", 2 * F.col("Actuals"))
+    return features.prefer_future(demand, future)
+
+
+@query("""SELECT grp AS Product_Group, bu AS BU, d AS Date, round(sum(Revenue), 2) AS Revenue, round(sum(Quantity), 2) AS Quantity, round(sum(2 * Quantity), 2) AS Deal_Size
+FROM mapped WHERE grp IS NOT NULL GROUP BY ALL""")
+def pipeline_synonyms(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns under other names that are known, and one more numeric column, which becomes a feature."""
+    rows = star.pipeline(spark, folder).select(
+        F.col("Timestamp").alias("CloseDate"),
+        F.col("SF_Product_Name").alias("Product_Name"),
+        F.col("BU").alias("Business_Unit"),
+        F.col("Revenue").alias("Weighted_Pipeline_Amount"),
+        F.col("Quantity").alias("Weighted_Pipeline_Quantity"),
+        (2 * F.col("Quantity")).alias("Deal_Size"),
+    )
+    return _rounded(features.pipeline_monthly(features.load_pipeline(rows, _catalog(spark, folder), star.reference(spark, folder))), 2)
+
+
+@query("""SELECT number::BIGINT AS row_id, grp AS group_key, 'blank columns: sarima_p, sarima_d, sarima_q, seas_p, seas_d, seas_q, sarima_s' AS reason FROM brands WHERE number = 7""")
+def catalog_rejections(spark: SparkSession, folder: str) -> DataFrame:
+    return _catalog(spark, folder).rejected
+
+
+@query("SELECT DISTINCT 'month ' || (o_orderkey % 4) AS Month FROM orders WHERE o_orderkey % 50 = 0")
+def bad_month_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """Order dates of which some are no dates."""
+    text = F.when(F.col("o_orderkey") % 50 == 0, F.concat(F.lit("month "), (F.col("o_orderkey") % 4).cast("string"))).otherwise(F.col("o_orderdate").cast("date").cast("string"))
+    rows = star.table(spark, folder, "orders").select(F.lit("x").alias("Product"), text.alias("Month"), F.col("o_totalprice").alias("Actuals"))
+    return series.bad_months(series.clean_actuals(rows))
+
+
+@query("SELECT o_orderstatus AS BU, o_orderdate::DATE AS Date, arg_max(o_totalprice, o_orderkey) AS price, arg_max(o_custkey, o_orderkey) AS customer FROM orders GROUP BY ALL")
+def last_per_date(spark: SparkSession, folder: str) -> DataFrame:
+    rows = star.table(spark, folder, "orders").select(F.col("o_orderstatus").alias("BU"), F.col("o_orderdate").cast("date").alias("Date"), "o_orderkey", F.col("o_totalprice").alias("price"), F.col("o_custkey").alias("customer"))
+    return features.last_per_date(rows, "o_orderkey", ("BU",)).select("BU", "Date", "price", "customer")
+
+
+_BACKLOG_LOG = """backlog_log AS (
+  SELECT grp, bu, d, sum(backlog) AS backlog_standardized, sum(raw) AS raw_data, CASE WHEN sum(raw) > 0 THEN ln(sum(raw)) END AS log_raw_data
+  FROM v_backlog JOIN part_groups USING (part) GROUP BY ALL)"""
+
+
+def _backlog_log(spark: SparkSession, folder: str) -> DataFrame:
+    """By product group as product, which has months enough for the tests."""
+    rows = mapping.map_products(star.backlog(spark, folder), _catalog(spark, folder).skus, "normalized")
+    monthly = rows.groupBy(F.col("Product_Group").alias("Product"), "BU", F.col("Month").alias("Date")).agg(F.sum("Backlog").alias("Backlog"), F.sum("raw_data").alias("raw_data"))
+    return features.log_features(monthly)
+
+
+@query(f"SELECT * FROM (WITH {_BACKLOG_LOG} SELECT grp AS Product, bu AS BU, d AS Date, backlog_standardized, round(raw_data, 2) AS raw_data, round(log_raw_data, 6) AS log_raw_data FROM backlog_log)")
+def backlog_log_features(spark: SparkSession, folder: str) -> DataFrame:
+    out = _backlog_log(spark, folder)
+    return out.select("Product", "BU", "Date", "backlog_standardized", F.round("raw_data", 2).alias("raw_data"), F.round("log_raw_data", 6).alias("log_raw_data"))
+
+
+@query(
+    f"""SELECT * FROM (WITH {_BACKLOG_LOG}, both_sides AS (SELECT l.*, q.v AS Actuals FROM backlog_log l LEFT JOIN demand q ON l.grp = q.grp AND l.bu = q.bu AND l.d = q.d)
+SELECT grp AS Product, bu AS BU, min(d) AS first_month, max(d) AS last_month, count(Actuals) AS n_target, """
+    + ", ".join(f"{_corr(x, y)} AS corr_{x}__{y}" for x, y in _pairs(diagnostics.BACKLOG_COLUMNS))
+    + ", "
+    + ", ".join(f"{_corr(x, 'Actuals')} AS corr_{x}__actuals" for x in diagnostics.BACKLOG_COLUMNS)
+    + " FROM both_sides GROUP BY grp, bu)"
+)
+def backlog_relations(spark: SparkSession, folder: str) -> DataFrame:
+    """The relational columns of the backlog diagnostics: span, correlations of features, and those with actuals."""
+    keys = ("Product", "BU")
+    data = diagnostics.with_actuals(_backlog_log(spark, folder), _demand(spark, folder).withColumnRenamed("Product_Group", "Product"), keys)
+    return _rounded(diagnostics.backlog_relations(data, keys))
+
+
+@query("""SELECT grp AS Product_Group, bu AS BU, d AS Date, Backlog, Backlog_MA3, 0.0::DOUBLE AS Backlog_Next FROM (SELECT grp, bu, d, Backlog, round(Backlog_MA3, 6) AS Backlog_MA3 FROM backlog_feat)""")
+def backlog_column_choice(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns of the store by name; one that it does not have is 0."""
+    return _rounded(features.select_backlog(features.feature_store(None, _backlog(spark, folder)), ("Backlog", "Backlog_MA3", "Backlog_Next")))
+
+
+_FOLDS = """folds AS (SELECT grp, bu, n, h, unnest(range(greatest(24, n - h - 5), n - h + 1)) AS cut FROM (SELECT grp, bu, count(*) AS n FROM dense GROUP BY ALL), (VALUES (1), (3)) hs(h) WHERE n - h > 24),
+fold_errors AS (
+  SELECT f.grp, f.bu, k AS candidate, h, cut, avg(abs(a.v - b.v)) AS mae FROM folds f JOIN numbered a ON a.grp = f.grp AND a.bu = f.bu AND a.rn > cut AND a.rn <= cut + h, (VALUES (3), (6), (12)) ks(k)
+  JOIN numbered b ON b.grp = a.grp AND b.bu = a.bu AND b.rn = a.rn - k GROUP BY ALL),
+fold_sums AS (
+  SELECT grp, bu, candidate, count(*) FILTER (h = 1) AS folds_h1, avg(mae) FILTER (h = 1) AS mean_mae_h1, stddev_pop(mae) FILTER (h = 1) AS mae_std_h1, count(*) FILTER (h = 3) AS folds_h3, avg(mae) FILTER (h = 3) AS mae_h3
+  FROM fold_errors GROUP BY grp, bu, candidate)"""
+
+
+def _naive_folds(spark: SparkSession, folder: str) -> DataFrame:
+    """Folds of three naive models, each of which repeats the value some months before."""
+    dense, w = _dense(spark, folder), series.window_order()
+    rows = dense.withColumns({"_at": F.row_number().over(w), **{f"_{k}": F.lag("Actuals", k).over(w) for k in (3, 6, 12)}})
+    lengths = series.series_lengths(dense)
+    cuts = series.fold_cuts(lengths, SETTINGS, 1).unionByName(series.fold_cuts(lengths, SETTINGS, 3)).select(*KEY, "horizon", "cut", "fold")
+    errors = F.array(*[F.struct(F.lit(k).alias("candidate"), F.abs(F.col("Actuals") - F.col(f"_{k}")).alias("e")) for k in (3, 6, 12)])
+    tested = cuts.join(rows, list(KEY)).filter("_at > cut and _at <= cut + horizon").select(*KEY, "horizon", "fold", F.explode(errors).alias("x"))
+    return tested.groupBy(*KEY, "horizon", "fold", F.col("x.candidate").alias("candidate")).agg(F.avg("x.e").alias("mae"))
+
+
+@query(f"""SELECT * FROM (WITH {_FOLDS} SELECT grp AS Product_Group, bu AS BU, candidate, folds_h1, folds_h1 AS ok_h1, round(mean_mae_h1, 6) AS mean_mae_h1, round(mae_std_h1, 6) AS mae_std_h1,
+  folds_h3, folds_h3 AS ok_h3, round(mae_h3, 6) AS mae_h3 FROM fold_sums)""")
+def fold_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(metrics.fold_summary(_naive_folds(spark, folder), (*KEY, "candidate")))
+
+
+@query(f"""SELECT * FROM (WITH {_FOLDS}, classes AS (SELECT grp, bu, coalesce(avg(v) <= 0 OR stddev_samp(v) / avg(v) >= 0.5, false) AS vol FROM dense GROUP BY ALL)
+SELECT grp AS Product_Group, bu AS BU, candidate, round(mean_mae_h1, 6) AS mean_mae_h1, round(mae_h3, 6) AS mae_h3 FROM fold_sums JOIN classes USING (grp, bu)
+QUALIFY row_number() OVER (PARTITION BY grp, bu ORDER BY round(CASE WHEN vol THEN coalesce(mae_h3, mean_mae_h1) ELSE mean_mae_h1 END, 6), round(0.5 * (mean_mae_h1 + coalesce(mae_h3, mean_mae_h1)), 6), candidate) = 1)""")
+def best_candidate_choice(spark: SparkSession, folder: str) -> DataFrame:
+    """The best of the naive models by their folds; aicc is the same for all, and complexity is the lag."""
+    sums = _rounded(metrics.fold_summary(_naive_folds(spark, folder), (*KEY, "candidate")))
+    classes = metrics.volatility_class(_dense(spark, folder)).select(*KEY, "is_volatile")
+    tried = sums.join(classes, list(KEY)).withColumns({"aicc": F.lit(0.0), "complexity": F.col("candidate"), "place": F.col("candidate")})
+    return best_candidate(tried).select(*KEY, "candidate", "mean_mae_h1", "mae_h3")
+
+
+_R = {f"r{x}{y}": f"corr({a}, {b})" for x, y, a, b in ((1, 2, "Revenue", "Quantity"), (1, 3, "Revenue", "Revenue_new_orders"), (2, 3, "Quantity", "Revenue_new_orders"))}
+
+
+@query(
+    _with_prepared(
+        "SELECT grp AS Product_Group, bu AS BU, x.variable, round(x.vif, 3) AS vif, n AS n_obs FROM (SELECT grp, bu, n, unnest(["
+        + ", ".join(f"{{'variable': '{v}', 'vif': (1 - {r} * {r}) / (1 + 2 * r12 * r13 * r23 - r12 * r12 - r13 * r13 - r23 * r23)}}" for v, r in (("Revenue", "r23"), ("Quantity", "r13"), ("Revenue_new_orders", "r12")))
+        + "]) AS x FROM (SELECT grp, bu, count(*) AS n, "
+        + ", ".join(f"{c} AS {n}" for n, c in _R.items())
+        + " FROM prepared GROUP BY grp, bu HAVING count(*) >= 12 AND min(Revenue) <> max(Revenue) AND min(Quantity) <> max(Quantity) AND min(Revenue_new_orders) <> max(Revenue_new_orders)))"
+    )
+)
+def vif_three_features(spark: SparkSession, folder: str) -> DataFrame:
+    out = diagnostics.vif_report(_prepared(spark, folder), ["Revenue", "Quantity", "Revenue_new_orders"], 12).filter("vif is not null")
+    whole = out.withColumn("_n", F.count("*").over(Window.partitionBy(*KEY))).filter("_n = 3")
+    return _rounded(whole.select(*KEY, "variable", "vif", "n_obs"), 3)
+
+
+@query(f"""SELECT CASE WHEN bu <> '' THEN grp || '__' || bu ELSE grp END AS series_key, name AS BU_Name, d AS Date, greatest(v - 10.0, 0.0)::DOUBLE AS clipped, round_even(v / 7.0, 2)::DOUBLE AS two_digits
+FROM demand JOIN units ON code = bu""")
+def report_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """How reports write a series' name, its unit's name, bounds at zero, and numbers of two digits."""
+    rows = _demand(spark, folder).join(_catalog(spark, folder).unit_names, "BU")
+    return rows.select(series_label(F.col("Product_Group"), F.col("BU")).alias("series_key"), "BU_Name", "Date", clipped(F.col("Actuals") - 10.0).alias("clipped"), two_digits(F.col("Actuals") / 7.0).alias("two_digits"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import product
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -9,10 +11,10 @@ from pyspark.sql import functions as F
 from ..config import KEY, Settings
 from ..functions.columns import series_label
 from ..models import arima, smoothing
-from ..operators.metrics import ljung_box, volatility_class
+from ..operators.metrics import fold_summary, ljung_box, volatility_class
 from ..operators.series import as_arrays, fold_cuts
 from ..kept import kept
-from .tasks import run_tasks
+from ..tasks import run_tasks
 
 NEVER = 1 << 30
 SELECTION = ("series_key", "group", "bu", "status", "order", "seasonal_order", "mean_mae_h1", "mae_h3", "aicc", "ljung_box_pvalue", "fallback_model", "volatility_class", "warnings")
@@ -25,25 +27,25 @@ def candidate_table(season: int = 12) -> list[tuple]:
     series), seasonal parts with two and four seasons. A pair is matched if both differences are equal;
     volatile series try matched pairs only, beginning with the preferred ones.
     """
+    # Levels open with lengths, seasonal parts with (stable, volatile) lengths, and pairs come first in this order.
     two, four = 2 * season, 4 * season
-    opens = {False: {1: 0, 2: 48, 3: 60, 4: 60}, True: {1: 0, 2: 32, 3: 36, 4: 36}}
+    opens = {False: {1: 0, 2: 48, 3: 60}, True: {1: 0, 2: 32, 3: 36}}
     seasonal = [((0, 0, 0), 0, 0), ((0, 1, 0), two, two), ((1, 0, 0), two, two), ((0, 0, 1), two, two), ((0, 1, 1), NEVER, two), ((1, 0, 1), four, four), ((1, 1, 0), NEVER, four), ((1, 1, 1), four, four)]
+    first_seasonal = [(0, 1, 1), (1, 1, 0), (1, 1, 1)]
+    first_orders = [(1, 1, 0), (0, 1, 1), (1, 1, 1), (2, 1, 1)]
+    preferred = {(o, s): 4 * i + j for i, s in enumerate(first_seasonal) for j, o in enumerate(first_orders)}
     rows = []
-    for volatile in (False, True):
-        for d in (0, 1):
-            for p in range(3):
-                for q in range(3):
-                    if (p, d, q) == (0, 0, 0):
-                        continue
-                    # single terms up to order 1, a pure second order, then mixed ones with a second order
-                    level = 1 if max(p, q) < 2 else 2 if min(p, q) == 0 else 3
-                    least = 0 if volatile and d == 1 and p * q else opens[volatile][level]
-                    for (sp, sd, sq), stable_n, volatile_n in seasonal:
-                        if volatile and d != sd:
-                            continue
-                        first = (0, 1, 1), (1, 1, 0), (1, 1, 1)
-                        preferred = first.index((sp, sd, sq)) * 4 + ((1, 1, 0), (0, 1, 1), (1, 1, 1), (2, 1, 1)).index((p, d, q)) if volatile and (sp, sd, sq) in first and (p, d, q) in ((1, 1, 0), (0, 1, 1), (1, 1, 1), (2, 1, 1)) else NEVER
-                        rows.append((volatile, p, d, q, sp, sd, sq, max(least, volatile_n if volatile else stable_n), d == sd, preferred, p + d + q + sp + sd + sq))
+    for volatile, p, d, q in product((False, True), range(3), (0, 1), range(3)):
+        if (p, d, q) == (0, 0, 0):
+            continue
+        # Single terms up to order 1, a pure second order, then mixed ones with a second order.
+        level = 1 if max(p, q) < 2 else 2 if min(p, q) == 0 else 3
+        least = 0 if volatile and d == 1 and p * q else opens[volatile][level]
+        for (sp, sd, sq), stable_n, volatile_n in seasonal:
+            if volatile and d != sd:
+                continue
+            place = preferred.get(((p, d, q), (sp, sd, sq)), NEVER) if volatile else NEVER
+            rows.append((volatile, p, d, q, sp, sd, sq, max(least, volatile_n if volatile else stable_n), d == sd, place, p + d + q + sp + sd + sq))
     return [r for r in rows if r[7] < NEVER]
 
 
@@ -122,11 +124,8 @@ def order_selection(series: DataFrame, settings: Settings) -> DataFrame:
 
     columns = [*KEY, "candidate", *MODEL, "Actuals", "cut", "fold", "horizon"]
     runs = kept(run_tasks(folds.select(*columns).unionByName(whole.select(*columns)), validate, f"{ID_SCHEMA}, horizon int, fold int, mae double, resid array<double>"))
-    at = lambda h, c: F.when(F.col("horizon") == h, c)
-    maes = runs.groupBy(*KEY, "candidate").agg(
-        F.count(at(1, F.lit(1))).alias("folds_h1"), F.count(at(1, F.col("mae"))).alias("ok_h1"), F.avg(at(1, F.col("mae"))).alias("mean_mae_h1"), F.stddev_pop(at(1, F.col("mae"))).alias("mae_std_h1"),
-        F.count(at(3, F.lit(1))).alias("folds_h3"), F.count(at(3, F.col("mae"))).alias("ok_h3"), F.avg(at(3, F.col("mae"))).alias("mae_h3"), F.max(at(0, F.col("resid"))).alias("resid"),
-    )
+    own = runs.filter("horizon = 0").groupBy(*KEY, "candidate").agg(F.max("resid").alias("resid"))
+    maes = fold_summary(runs, (*KEY, "candidate")).join(own, [*KEY, "candidate"], "left")
     good = maes.filter(F.expr(f"ok_h1 = folds_h1 and ok_h1 >= least({settings.min_folds}, folds_h1) and ok_h1 > 0 and resid is not null"))
     good = good.withColumn("mae_h3", F.when(F.expr("ok_h3 = folds_h3 and ok_h3 > 0"), F.col("mae_h3")))
     best = kept(best_candidate(good.join(keep, [*KEY, "candidate"])))
