@@ -170,6 +170,59 @@ class TestQuality:
         assert {r.score for r in quality.score_quality(awkward, labels.limit(0)).collect()} == {0.5}
 
 
+    def test_ftrl_against_plain_python(self):
+        rng = np.random.default_rng(11)
+        rows = [(np.sort(rng.choice(12, 4, replace=False)), rng.random(4) * 3, int(rng.integers(2))) for _ in range(25)]
+        alpha, beta, l1, l2 = 0.5, 1.0, 0.02, 0.1
+        z, n = [0.0] * 13, [0.0] * 13
+
+        def weight(i):
+            if abs(z[i]) <= l1:
+                return 0.0
+            return -(z[i] - math.copysign(l1, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+        for _ in range(3):
+            for at, value, label in rows:
+                x = {**dict(zip(at.tolist(), value.tolist(), strict=True)), 12: 1.0}
+                w = {i: weight(i) for i in x}
+                p = 1 / (1 + math.exp(-sum(w[i] * v for i, v in x.items())))
+                for i, v in x.items():
+                    g = (p - label) * v
+                    z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha * w[i]
+                    n[i] += g * g
+        got = quality.train_ftrl(rows, 12, 3, alpha, beta, l1, l2)
+        assert got == pytest.approx([weight(i) for i in range(13)])
+
+    def test_scores_against_plain_python(self, spark, docs, texts):
+        """Counts, weights and scores of the whole way again, with one shard and dictionaries."""
+        labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+        bits, epochs = 10, 2
+        y = {}
+        for r in labels.collect():
+            if r.quality in (0, 1) and crc(r.doc_id, 3) != 1:
+                y[r.doc_id] = max(y.get(r.doc_id, 0), r.quality)
+        index = quality.Features(bits)
+        vectors = {i: Counter(index((t or "").encode()).tolist()) for i, t in texts.items()}
+        z, n = Counter(), Counter()
+
+        def weight(i):
+            return 0.0 if abs(z[i]) <= 0.02 else -(z[i] - math.copysign(0.02, z[i])) / ((1 + math.sqrt(n[i])) / 0.5 + 0.1)
+
+        def logit(v):
+            return sum(weight(i) * c for i, c in v.items()) * 8.0 / v.total() + weight("bias")
+
+        for _ in range(epochs):
+            for i in sorted((i for i in y if i in texts), key=lambda i: (zlib.crc32(str(i).encode()), i)):
+                v, p = vectors[i], 1 / (1 + math.exp(-logit(vectors[i])))
+                w = {k: weight(k) for k in [*v, "bias"]}
+                for k in w:
+                    g = (p - y[i]) * (1.0 if k == "bias" else v[k] * 8.0 / v.total())
+                    z[k] += g - (math.sqrt(n[k] + g * g) - math.sqrt(n[k])) / 0.5 * w[k]
+                    n[k] += g * g
+        for r in quality.score_quality(docs, labels, shards=1, bits=bits, epochs=epochs).collect():
+            assert r.score == pytest.approx(1 / (1 + math.exp(-logit(vectors[r.doc_id]))), abs=1e-6)
+
+
 class TestExact:
     def brute(self, rows):
         norm = [(i, re.sub(r"[\x20\x09-\x0D]+", " ", t or "")) for i, t in rows]
@@ -186,7 +239,7 @@ class TestExact:
                 out.append((i, keep, len(ids), kept, hashlib.sha256(t.encode()).hexdigest()))
         return Counter(out)
 
-    @pytest.mark.parametrize("bits", [64, 1 << 20])
+    @pytest.mark.parametrize("bits", [None, 64, 1 << 20, 1 << 30])
     def test_awkward(self, awkward, bits):
         got = Counter(map(tuple, exact_dedup.exact_dedup(awkward, filter_bits=bits).collect()))
         assert got == self.brute([(i, t) for i, t, _, _ in ROWS])

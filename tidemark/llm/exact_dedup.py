@@ -11,7 +11,7 @@ from .common import SPACE, cut, spread_join
 def repeated_bits(hashed: DataFrame, key: str, filter_bits: int, probes: int) -> DataFrame:
     """First pass: the filter's bits that two or more rows set, as 64-bit words (word, bits).
 
-    There are at most filter_bits / 64 words, whatever the input, so the result may be broadcast.
+    There are at most filter_bits / 64 words.
     """
     slots = hashed.select(F.explode(F.array(*[F.pmod(F.xxhash64(key, F.lit(i)), F.lit(filter_bits)) for i in range(probes)])).alias("slot"))
     twice = slots.groupBy("slot").agg(F.count("*").alias("n")).filter("n > 1")
@@ -34,7 +34,7 @@ def maybe_repeated(hashed: DataFrame, key: str, filter_bits: int = 1 << 26, prob
         slot = F.pmod(F.xxhash64(key, F.lit(i)), F.lit(filter_bits))
         out = out.withColumn(f"_slot{i}", slot).withColumn(f"_word{i}", F.expr(f"_slot{i} div 64"))
         side = words.select(F.col("word").alias(f"_word{i}"), F.col("bits").alias(f"_bits{i}"))
-        out = out.join(F.broadcast(side), f"_word{i}", "left")
+        out = out.join(F.broadcast(side) if filter_bits <= BROADCAST_BITS else side, f"_word{i}", "left")
         tests.append(F.expr(f"coalesce(getbit(_bits{i}, cast(_slot{i} % 64 as int)), 0) = 1"))
     flag = tests[0]
     for test in tests[1:]:
@@ -42,7 +42,16 @@ def maybe_repeated(hashed: DataFrame, key: str, filter_bits: int = 1 << 26, prob
     return out.select(*hashed.columns, flag.alias("maybe_repeated"))
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_bits: int = 1 << 26, probes: int = 2) -> DataFrame:
+#: Filter bits for each row, and the bits up to which a filter's words are broadcast; beyond, rows meet them in a join.
+BITS_PER_ROW, BROADCAST_BITS, MOST_BITS = 16, 1 << 26, 1 << 36
+
+
+def bits_for(n_rows: int) -> int:
+    """A power of two that leaves room for each row."""
+    return min(MOST_BITS, 1 << max(16, (BITS_PER_ROW * n_rows).bit_length()))
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_bits: int | None = None, probes: int = 2) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when they are identical after each run of ASCII white space becomes one space; a null
@@ -52,12 +61,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     The text is read once; the rows (id, SHA-256) are written, a first pass over them sets the filter's
     bits, and a second one splits them: rows whose bits no other row has set are unique and pass straight
-    through, the rest are grouped by SHA-256. A filter too small for the input sends more rows to the
-    exact grouping and never changes the result.
+    through, the rest are grouped by SHA-256. The filter is sized by the number of rows (filter_bits, if
+    given); one too small sends more rows to the exact grouping and never changes the result. Words of a
+    filter of up to BROADCAST_BITS are broadcast, those of a larger one are joined by number.
     """
     norm = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), SPACE, " ")
     hashed = cut(docs.select(F.col(id_col).alias("doc_id"), F.unhex(F.sha2(norm, 256)).alias("sha")))
-    flagged = maybe_repeated(hashed, "sha", filter_bits, probes)
+    flagged = maybe_repeated(hashed, "sha", filter_bits or bits_for(hashed.count()), probes)
     unique = flagged.filter(~F.col("maybe_repeated")).select("doc_id", "sha", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
     rows = flagged.filter("maybe_repeated").groupBy("sha", "doc_id").agg(F.count("*").alias("n"))
     groups = rows.groupBy("sha").agg(F.min("doc_id").alias("keep_id"), F.sum("n").alias("group_size"))

@@ -58,18 +58,15 @@ def sigmoid(z: float) -> float:
     return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
 
 
-def train_ftrl(rows: list[tuple[np.ndarray, int]], size: int, epochs: int, alpha: float, beta: float, l1: float, l2: float) -> np.ndarray:
-    """Weights, the bias last, after epochs of follow-the-regularised-leader (proximal) over the rows."""
+def train_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], size: int, epochs: int, alpha: float, beta: float, l1: float, l2: float) -> np.ndarray:
+    """Weights, the bias last, after epochs of follow-the-regularised-leader (proximal) over rows (indices, values, label)."""
     z, n = np.zeros(size + 1), np.zeros(size + 1)
 
     def weights(at: np.ndarray) -> np.ndarray:
         pull = z[at]
         return np.where(np.abs(pull) <= l1, 0.0, -(pull - np.sign(pull) * l1) / ((beta + np.sqrt(n[at])) / alpha + l2))
 
-    sparse = []
-    for found, label in rows:
-        at, count = np.unique(found, return_counts=True)
-        sparse.append((np.append(at, size), np.append(count * (MASS / len(found)), 1.0), label))
+    sparse = [(np.append(at, size), np.append(value, 1.0), label) for at, value, label in rows]
     for _ in range(epochs):
         for at, value, label in sparse:
             w = weights(at)
@@ -85,14 +82,26 @@ def train(rows: DataFrame, labels: DataFrame, label_col: str, max_rows: int, sha
     sample = usable.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     texts = rows.select("doc_id", "text").join(F.broadcast(sample), "doc_id").withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(shards)))
 
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each text as the indices of its features and how often they occur, so that no text is shuffled."""
+        features = Features(bits)
+        for batch in batches:
+            found = [np.unique(features(x.as_buffer().to_pybytes() if x.is_valid else b""), return_counts=True) for x in batch.column(3)]
+            packed = [pa.array([f[k].astype("<u4").tobytes() for f in found], pa.binary()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *packed], names=["doc_id", "label", "shard", "at", "count"])
+
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.assign(order=[zlib.crc32(str(i).encode()) for i in pdf.doc_id]).sort_values(["order", "doc_id"])
-        features = Features(bits)
-        examples = [(features((t or "").encode()), int(y)) for t, y in zip(pdf.text, pdf.label, strict=True)]
+        examples = []
+        for at, count, y in zip(pdf["at"], pdf["count"], pdf["label"], strict=True):
+            n = np.frombuffer(count, dtype="<u4")
+            examples.append((np.frombuffer(at, dtype="<u4").astype(np.int64), n * (MASS / n.sum()), int(y)))
         w = train_ftrl(examples, 1 << bits, epochs, alpha, beta, l1, l2)
         at = np.flatnonzero(w)
         return pd.DataFrame({"feature": at, "weight": w[at]})
 
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    texts = texts.select("doc_id", "label", "shard", "text").mapInArrow(hashed, f"doc_id {kind}, label int, shard bigint, at binary, count binary")
     parts = texts.groupBy("shard").applyInPandas(fit, "feature bigint, weight double")
     out = np.zeros((1 << bits) + 1, dtype=np.float64)
     for r in parts.groupBy("feature").agg((F.sum("weight") / F.lit(shards)).alias("weight")).toLocalIterator():
