@@ -12,7 +12,7 @@ import pytest
 import xxhash
 
 from tests.conftest import SMALL
-from tidemark.llm import exact_dedup, language_id, line_dedup, lm_scoring, mixing, packing, quality, simhash, suffix_dedup, topk
+from tidemark.llm import common, exact_dedup, language_id, line_dedup, lm_scoring, mixing, packing, quality, simhash, suffix_dedup, topk
 
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 LONG = "\n".join(f"line {i} of a rather long text that goes on" for i in range(3000))
@@ -492,7 +492,7 @@ class TestLines:
 class TestMixing:
     def test_targets(self, spark):
         sizes = spark.createDataFrame([("0a", 10), ("0b", 1000), ("0c", 100), ("1", 0)], "src string, source_size long")
-        got = {r.src: r.target for r in mixing.source_targets(sizes).collect()}
+        got = {r.src: r.target for r in mixing.source_targets(common.Scratch(spark), sizes).collect()}
         left, open_, target = 1110.0, {"0a": (5, 30), "0b": (2, 3000), "0c": (1, 300), "1": (5, 0)}, {}
         while True:
             level = left / sum(w for w, _ in open_.values())

@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: ASCII white space, as Java, DuckDB and Python patterns all read it.
@@ -64,6 +65,21 @@ class Scratch:
         jvm.System.gc()
 
 
+def running_totals(scratch: Scratch, name: str, df: DataFrame, order: list[str], sums: dict[str, Column]) -> DataFrame:
+    """df and the totals of sums over all rows before a row; order's columns tell rows apart.
+
+    Rows are sorted in ranges; a range's totals are one row, and no task sees more than one range's rows.
+    """
+    ordered = scratch.write(name, df.withColumns(sums).sort(*order).withColumn("_range", F.spark_partition_id()))
+    before = W.rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("_range").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    ranges = ordered.groupBy("_range").agg(*[F.sum(c).alias(c) for c in sums])
+    zero = lambda c, over: F.coalesce(F.sum(c).over(over), F.lit(0))
+    ahead = ranges.select("_range", *[zero(c, before.orderBy("_range")).alias(f"_ahead_{c}") for c in sums])
+    placed = ordered.withColumns({c: zero(c, inside) for c in sums}).join(F.broadcast(ahead), "_range")
+    return placed.select(*df.columns, *[(F.col(c) + F.col(f"_ahead_{c}")).alias(c) for c in sums])
+
+
 def document_key(doc_id: Column, text: Column) -> Column:
     """16 bytes for an id and a text together; texts may differ under one id."""
     return F.unhex(F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("~")), F.lit(" "), F.md5(F.coalesce(text, F.lit("")).cast("binary"))).cast("binary")))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import Scratch, cut, running_totals
 
-#: Fractional part of the golden ratio, as a double.
-GOLDEN = 0.6180339887498949
+#: 2^64 over the golden ratio, as an odd whole number: its multiples modulo 2^64 are the points of the schedule.
+GOLDEN = 0x9E3779B97F4A7C15
 #: Buckets of a source's documents, most runs of slots, and least cells of the unit interval.
 BUCKETS, RUNS, CELLS = 4096, 4096, 1024
 #: A source has so many blocks at least, if it has the words.
@@ -17,7 +19,7 @@ LEAST_BLOCKS = 512
 FEW_SOURCES = 100_000
 
 
-def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epochs: int = 3) -> DataFrame:
+def source_targets(scratch: Scratch, sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epochs: int = 3) -> DataFrame:
     """(src, source_size, target) from (src, source_size); src sorts by code point with null last.
 
     All sizes together are shared by weight, the weights repeating in the order of src; a target stops at
@@ -25,17 +27,18 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_e
     the level at which sources stop, one is open if it cannot be filled by its part of what is left.
     """
     cycle = F.array(*[F.lit(w).cast("long") for w in weights])
-    fill = Window.orderBy(F.col("cap") / F.col("weight"), "src").rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy()
+    named = running_totals(scratch, "sources", sizes, ["src"], {"at": F.lit(1).cast("long")})
+    named = named.withColumn("weight", F.element_at(cycle, (F.col("at") % len(weights) + 1).cast("int"))).withColumn("cap", F.col("source_size") * max_epochs)
+    named = named.withColumn("stops", F.col("cap") / F.col("weight"))
+    size, weight = named.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0))).first()
+    filled = running_totals(scratch, "levels", named, ["stops", "src"], {"filled": F.col("cap"), "passed": F.col("weight")})
     leveled = (
-        sizes.withColumn("weight", F.element_at(cycle, ((F.row_number().over(Window.orderBy("src")) - 1) % len(weights) + 1).cast("int")))
-        .withColumn("cap", F.col("source_size") * max_epochs)
-        .withColumn("left_size", F.sum("source_size").over(every) - F.coalesce(F.sum("cap").over(fill), F.lit(0)))
-        .withColumn("left_weight", F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(fill), F.lit(0)))
-        .withColumn("level", F.col("left_size").cast("double") / F.col("left_weight"))
+        filled.withColumn("left_weight", F.lit(weight) - F.col("passed"))
+        .withColumn("level", (F.lit(size) - F.col("filled")).cast("double") / F.col("left_weight"))
         .withColumn("open", F.col("cap") > F.col("level") * F.col("weight"))
-        .withColumn("water", F.max(F.when(F.col("open"), F.struct("left_weight", "level"))).over(every)["level"])
     )
+    first = leveled.filter("open").agg(F.max(F.struct("left_weight", "level"))["level"]).first()[0]
+    leveled = leveled.withColumn("water", F.lit(first).cast("double"))
     target = F.when(F.col("open"), F.col("water") * F.col("weight")).otherwise(F.col("cap").cast("double"))
     return leveled.select("src", "source_size", target.alias("target"))
 
@@ -45,8 +48,14 @@ def block_length(block: int) -> Column:
     return F.expr(f"greatest(1, least({block}, source_size div {LEAST_BLOCKS}))")
 
 
-def schedule_slots(targets: DataFrame, total: int, block: int, max_epochs: int = 3) -> DataFrame:
-    """(slot, src, rank, block, length): slot i maps frac(i * golden ratio) through the cumulative slots of the targets.
+def point() -> Column:
+    """slot times GOLDEN modulo 2^64, as a part of 2^64: as exact for late slots as for early ones."""
+    product = F.col("slot").cast("decimal(18,0)") * F.lit(Decimal(GOLDEN)).cast("decimal(20,0)")
+    return (product % F.lit(Decimal(1 << 64)).cast("decimal(20,0)")).cast("double") / F.lit(2.0**64)
+
+
+def schedule_slots(scratch: Scratch, targets: DataFrame, total: int, block: int, max_epochs: int = 3) -> DataFrame:
+    """(slot, src, rank, block, length): slot i maps the i-th point through the cumulative slots of the targets.
 
     A source whose blocks are shorter than block takes as many more slots for its target.
     """
@@ -55,11 +64,11 @@ def schedule_slots(targets: DataFrame, total: int, block: int, max_epochs: int =
     more, n_sources = targets.agg(F.coalesce(F.sum(F.col("share") - F.col("target")), F.lit(0.0)), F.count("*")).first()
     whole, cells = max(total, 1) + more, max(CELLS, n_sources)
     n_slots = int((total + more) // block) + 1
-    high = F.sum("share").over(Window.orderBy("src").rowsBetween(Window.unboundedPreceding, 0))
-    ranges = targets.withColumn("high", high).withColumn("low", F.col("high") - F.col("share")).filter("target > 0")
+    ranges = running_totals(scratch, "ranges", targets, ["src"], {"low": F.col("share")})
+    ranges = ranges.withColumn("high", F.col("low") + F.col("share")).filter("target > 0")
     cell = lambda end, by: F.floor(F.col(end) * cells / F.lit(float(whole)) + by).cast("long")
     ranges = ranges.withColumn("cell", F.explode(F.sequence(cell("low", -0.001), cell("high", 0.001))))
-    slots = targets.sparkSession.range(n_slots).select(F.col("id").alias("slot"), (F.col("id") * F.lit(GOLDEN) - F.floor(F.col("id") * F.lit(GOLDEN))).alias("point"))
+    slots = targets.sparkSession.range(n_slots).withColumnRenamed("id", "slot").withColumn("point", point())
     slots = slots.withColumn("cell", F.floor(F.col("point") * cells)).withColumn("at", F.col("point") * F.lit(float(whole)))
     slots = slots.join(ranges, "cell").filter("at >= low AND at < high")
     slots = slots.select("slot", "src", "source_size", "length", F.expr(f"slot div {max(256, n_slots // RUNS)}").alias("run"))
@@ -88,8 +97,8 @@ def mix_sources(
 
     Each source's documents are put in hash order, as one stream of words that is cut into blocks of equal
     length (max_block words, or fewer so that the mix has least_slots of them); a source of under LEAST_BLOCKS
-    such blocks has shorter ones, down to a word, and more slots. Slot i of the mix maps the point
-    frac(i * golden ratio) through the sources' cumulative numbers of slots; the r-th slot of a source takes
+    such blocks has shorter ones, down to a word, and more slots. Slot i of the mix maps the point i over the
+    golden ratio, less its whole part, through the sources' cumulative numbers of slots; the r-th slot of a source takes
     its block r modulo its number of blocks, so a source is used up evenly and every prefix of the mix has
     about the target weights in words. No block is scheduled more than max_epochs times, nor any document's word.
 
@@ -106,11 +115,12 @@ def mix_sources(
         .withColumn("row", F.monotonically_increasing_id())
     )
     totals = sized.groupBy("src", "bucket").agg(F.sum("size").alias("bucket_size"))
-    targets = cut(source_targets(totals.groupBy("src").agg(F.sum("bucket_size").alias("source_size")), weights, max_epochs))
+    scratch = Scratch(docs.sparkSession)
+    targets = cut(source_targets(scratch, totals.groupBy("src").agg(F.sum("bucket_size").alias("source_size")), weights, max_epochs))
     total, n_sources = targets.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.count("*")).first()
     block = max(1, min(max_block, total // least_slots))
     known = lambda rows, sources: rows.join(F.broadcast(sources) if n_sources <= FEW_SOURCES else sources, "src")
-    schedule = schedule_slots(targets, total, block, max_epochs)
+    schedule = schedule_slots(scratch, targets, total, block, max_epochs)
 
     ahead = totals.select("src", "bucket", (F.sum("bucket_size").over(Window.partitionBy("src").orderBy("bucket")) - F.col("bucket_size")).alias("ahead"))
     inside = Window.partitionBy("src", "bucket").orderBy("place", "doc_id", "size", "row").rowsBetween(Window.unboundedPreceding, 0)
@@ -146,14 +156,14 @@ targets AS (
   SELECT src, source_size, CASE WHEN is_open THEN (SELECT max_by(level, left_weight) FROM opened WHERE is_open) * weight ELSE cap::DOUBLE END AS target
   FROM opened),
 ranges AS (
-  SELECT *, sum(target) OVER (ORDER BY src ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS high FROM targets),
+  SELECT *, coalesce(sum(target) OVER (ORDER BY src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS low FROM targets),
 params AS (SELECT t AS total, greatest(1, least(1024, t // 131072)) AS block FROM (SELECT sum(source_size)::BIGINT AS t FROM sizes)),
 slots AS (
-  SELECT i AS slot, (i * 0.6180339887498949::DOUBLE - floor(i * 0.6180339887498949::DOUBLE)) * total::DOUBLE AS place
+  SELECT i AS slot, ((i::HUGEINT * 11400714819323198485::HUGEINT) % 18446744073709551616::HUGEINT)::DOUBLE / 18446744073709551616::DOUBLE * total::DOUBLE AS place
   FROM (SELECT unnest(range(total // block + 1)) AS i, total FROM params)),
 ranked AS (
   SELECT r.src, row_number() OVER (PARTITION BY r.src ORDER BY slot) - 1 AS rank, (r.source_size + block - 1) // block AS blocks
-  FROM slots JOIN ranges r ON place < r.high AND place >= r.high - r.target, params),
+  FROM slots JOIN ranges r ON place < r.low + r.target AND place >= r.low, params),
 uses AS (SELECT src, rank % blocks AS block_no, count(*) AS uses FROM ranked WHERE rank // blocks < 3 GROUP BY ALL),
 placed AS (
   SELECT *, sum(size) OVER (PARTITION BY src ORDER BY place, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT - size AS begin FROM sized),

@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from .common import Scratch, spread_join
+from .common import Scratch, running_totals, spread_join
 from .exact_dedup import maybe_among
 
 #: Odd multiplier of the rolling hash modulo 2^64, and its inverse.
@@ -186,15 +186,10 @@ def corpus_places(scratch: Scratch, rows: DataFrame) -> DataFrame:
     rows: (doc_id, t1, t2, size). The order is that of the first rows' ids, null last, and then of text hashes.
     """
     id_order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id")
-    firsts = scratch.write("texts-unordered", rows.groupBy("t1", "t2").agg(F.min(id_order).alias("first"), F.first("size").alias("size")))
-    ordered = scratch.write("texts-ordered", firsts.sort("first", "t1", "t2").withColumn("part", F.spark_partition_id()))
-    inside = W.partitionBy("part").orderBy("first", "t1", "t2").rowsBetween(W.unboundedPreceding, -1)
-    # One row for each partition of the sort.
-    parts = ordered.groupBy("part").agg(F.sum(F.col("size") + 1).alias("bytes"))
-    ahead = parts.select("part", F.coalesce(F.sum("bytes").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))
-    placed = ordered.withColumn("inside", F.coalesce(F.sum(F.col("size") + 1).over(inside), F.lit(0))).join(F.broadcast(ahead), "part")
-    placed = scratch.write("places", placed.select("t1", "t2", F.col("first.doc_id").alias("first_id"), (F.col("ahead") + F.col("inside")).alias("base")))
-    scratch.drop("texts-unordered", "texts-ordered")
+    firsts = scratch.write("texts", rows.groupBy("t1", "t2").agg(F.min(id_order).alias("first"), F.first("size").alias("size")))
+    placed = running_totals(scratch, "texts-ordered", firsts, ["first", "t1", "t2"], {"base": F.col("size") + 1})
+    placed = scratch.write("places", placed.select("t1", "t2", F.col("first.doc_id").alias("first_id"), "base"))
+    scratch.drop("texts", "texts-ordered")
     return placed
 
 
