@@ -361,6 +361,13 @@ class TestSimHash:
         assert len(rows) == len(texts)
         assert all((r.fingerprint, r.component_id) == (f"{prints[r.doc_id]:016x}", want[r.doc_id]) for r in rows)
 
+    def test_long_texts(self, spark):
+        text = " ".join(f"word{i % 977} and{i % 31}" for i in range(150_000))
+        rows = [(1, text), (2, text + " more"), (3, text.upper())]
+        got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.simhash_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert {i: v[0] for i, v in got.items()} == {i: f"{simhash_of(t):016x}" for i, t in rows}
+        assert {v[1] for v in got.values()} == {1}
+
     def test_chains_of_links(self, spark):
         rng = np.random.default_rng(5)
         fps, at = [], int(rng.integers(1 << 62))
