@@ -390,9 +390,11 @@ def target_correlation(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(diagnostics.target_correlations(_prepared(spark, folder), _USED, "Actual_Quantity", KEY))
 
 
-@query(_with_prepared("SELECT grp AS Product_Group, bu AS BU, variable, count(value) AS series_count, round(avg(value), 4) AS series_mean, round(stddev_pop(value), 4) AS series_std, round(min(value), 4) AS series_min, round(max(value), 4) AS series_max FROM (UNPIVOT (SELECT grp, bu, d, Revenue, Quantity, New_Quotes FROM prepared) ON Revenue, Quantity, New_Quotes INTO NAME variable VALUE value) GROUP BY grp, bu, variable"))
+@query(_with_prepared("SELECT grp AS Product_Group, bu AS BU, variable, count(value) AS series_count, round(avg(value) + 1e-7, 4) AS series_mean, round(stddev_pop(value), 4) AS series_std, round(min(value), 4) AS series_min, round(max(value), 4) AS series_max FROM (UNPIVOT (SELECT grp, bu, d, Revenue, Quantity, New_Quotes FROM prepared) ON Revenue, Quantity, New_Quotes INTO NAME variable VALUE value) GROUP BY grp, bu, variable"))
 def feature_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(diagnostics.feature_summary(_prepared(spark, folder), _USED, KEY), 4)
+    """Means of amounts in cents can end in a five, which the order of a sum may move either way."""
+    out = diagnostics.feature_summary(_prepared(spark, folder), _USED, KEY)
+    return _rounded(out.withColumn("series_mean", F.col("series_mean") + 1e-7), 4)
 
 
 @query(_with_prepared("SELECT grp AS Product_Group, bu AS BU, variable, count(value) AS n_obs, min(value) = max(value) AS is_constant, count(value) >= 12 AND min(value) <> max(value) AS is_valid FROM (UNPIVOT (SELECT grp, bu, d, Revenue, Quantity, Open_Opportunities FROM prepared) ON Revenue, Quantity, Open_Opportunities INTO NAME variable VALUE value) GROUP BY grp, bu, variable"))
