@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, line_dedup, lm_scoring, mixing, packing, quality, simhash, suffix_dedup, topk
-from .common import documents
+from . import exact_dedup, filter_audit, language_id, line_dedup, lm_scoring, mixing, nearest, packing, quality, simhash, source_audit, suffix_dedup, topk
+from .common import documents, free_name
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,8 +26,10 @@ def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.line_dedup(documents(spark, sf_dir))
-    return out.select("doc_id", "_lines.*", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    docs = documents(spark, sf_dir)
+    lines = free_name(docs, "_lines")
+    out = line_dedup.line_dedup(docs, prefix=lines)
+    return out.select("doc_id", f"{lines}.*", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,6 +53,18 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(documents(spark, sf_dir)).drop("kept", "spans")
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.source_divergence(documents(spark, sf_dir))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest_neighbours(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -64,6 +78,9 @@ QUERIES = {
         op8_mix_sources,
         op9_pack_documents,
         op10_suffix_dedup,
+        op11_source_audit,
+        op12_filter_audit,
+        op13_nearest,
     )
 }
 #: Where SQL can express a query over the whole table in reasonable time; the others are tested against brute force.
@@ -72,4 +89,7 @@ ORACLES = {
     "op6_top_k": topk.SQL,
     "op7_line_dedup": line_dedup.SQL,
     "op8_mix_sources": mixing.SQL,
+    "op11_source_audit": source_audit.SQL,
+    "op12_filter_audit": filter_audit.SQL,
+    "op13_nearest": nearest.SQL,
 }
