@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from .common import Scratch
 
-#: Queries of a block on average, cells of a tile, and pairs whose products are computed at once.
-QUERY_BLOCK, CELLS, PAIRS = 32_768, 2_000_000, 1 << 14
+#: Queries of a block on average, candidates of a part at least, cells of a tile, and pairs whose products are computed at once.
+QUERY_BLOCK, PART, CELLS, PAIRS = 32_768, 2048, 2_000_000, 1 << 14
 
 
 class Quantised:
@@ -65,7 +65,14 @@ class Heaps:
             bound *= rows.scale
             bound *= q.scale[:, None]
             # The slack is far above what rounding does to the bound.
-            bound += np.stack([q.rest, q.near, 1e-9 * q.norm], axis=1) @ np.stack([rows.norm, rows.rest, rows.norm])
+            error = np.stack([q.rest, q.near, 1e-9 * q.norm], axis=1) @ np.stack([rows.norm, rows.rest, rows.norm])
+            new = np.flatnonzero(self.floor == -np.inf)
+            if len(new) and len(rows.ids) > self.k:
+                # k rows have a product of at least their lower bounds, so that the first tile is no different from later ones.
+                least = np.where(rows.ids == q.ids[new, None], -np.inf, bound[new] - error[new])
+                least = np.partition(least, -self.k, axis=1)[:, -self.k]
+                self.floor[new] = np.where(np.isnan(least), -np.inf, least)
+            bound += error
             pairs = np.argwhere(~(bound < self.floor[:, None]))  # what is no number rules nothing out
         for i in range(0, len(pairs), PAIRS):
             a, b = pairs[i : i + PAIRS].T
@@ -84,7 +91,7 @@ class Heaps:
         of, score, ids = of[order], score[order], ids[order]
         place = np.arange(len(of)) - np.searchsorted(of, of)
         last = place == self.k - 1
-        self.floor[of[last]] = score[last]
+        self.floor[of[last]] = np.maximum(self.floor[of[last]], score[last])
         self.best = tuple(x[place < self.k] for x in (of, score, ids))
 
 
@@ -153,8 +160,8 @@ def nearest_neighbours(vectors: DataFrame, id_col: str = "vec_id", vector_col: s
     The search is exact: its recall is 1. Queries are dealt to blocks and candidates to parts; every block meets
     every part in one tile, which holds its queries and sees its candidates pass by. int8 codes give each
     product within a bound, and only pairs that may be among the best so far are computed in full. Candidates move
-    once for each block of queries and queries once for each part; a tile returns k rows a query. With
-    queries in proportion to rows, the pairs bounded and the copies moved grow with the square of the table.
+    once for each block of queries and queries once for each part, of which there are two a task, or fewer
+    where parts would have under PART rows; a tile returns k rows a query. With queries in proportion to rows, the pairs bounded and the copies moved grow with the square of the table.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark)
@@ -165,7 +172,7 @@ def nearest_neighbours(vectors: DataFrame, id_col: str = "vec_id", vector_col: s
     queries = scratch.write("queries", rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("vector").alias("vector")))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    parts = -(-2 * tasks // blocks)
+    parts = max(1, min(-(-2 * tasks // blocks), -(-rows.count() // PART)))
     dealt = lambda n, *of: F.pmod(F.xxhash64(*of), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     # Sides of a query block: it goes to every part, and a candidate to every block.
