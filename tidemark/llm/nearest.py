@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .common import Scratch
 
 #: Queries of a block on average, candidates of a part at least, cells of a tile, and pairs whose products are computed at once.
-QUERY_BLOCK, PART, CELLS, PAIRS = 32_768, 2048, 2_000_000, 1 << 14
+QUERY_BLOCK, PART, CELLS, PAIRS = 32_768, 8192, 2_000_000, 1 << 14
 
 
 class Quantised:
