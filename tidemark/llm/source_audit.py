@@ -84,8 +84,8 @@ def gap(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) * (p - q) // (p + q)
 
 
-def compare(shard: pa.Table, groups: pa.Table, block: int, top: int) -> tuple[list[np.ndarray], tuple[np.ndarray, pa.Array, np.ndarray]]:
-    """What a shard of terms adds to the pairs whose one side is in block, and the best terms of the block's sources.
+def compare(shard: pa.Table, groups: pa.Table, first: int, top: int, block: int, cells: int) -> tuple[list[np.ndarray], tuple[np.ndarray, pa.Array, np.ndarray]]:
+    """What a shard of terms adds to the pairs of block sources from first on, and the best terms of these sources.
 
     shard: (place, term, n), n > 0; groups: (place, total, lang_total, terms), every source of the language.
     A pair's terms are counted by the source that has them, and by the first one where both do; terms that
@@ -99,9 +99,9 @@ def compare(shard: pa.Table, groups: pa.Table, block: int, top: int) -> tuple[li
     term, place, n = term[order], place[order], n[order]
     p = share(n, totals[place], terms)
     absent, size = share(np.zeros(len(totals)), totals, terms), len(totals)
-    first, last = block * BLOCK, min(size, (block + 1) * BLOCK)
+    last = min(size, first + block)
     value, seen = np.zeros((last - first, size), dtype=np.int64), np.zeros((last - first, size), dtype=np.int64)
-    width = max(1, CELLS // size)
+    width = max(1, cells // size)
     for at in range(0, len(codes.dictionary), width):
         rows = slice(*np.searchsorted(term, (at, at + width)))
         column, own = term[rows] - at, place[rows]
@@ -170,10 +170,10 @@ def source_divergence(docs: DataFrame, lang_col: str = "lang", source_col: str =
     entries = placed.select("lang", F.pmod(F.xxhash64("term"), F.col("shards")).cast("int").alias("shard"), blocks, "place", "term", "n")
     sides = groups.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).select("lang", "shard", blocks, "place", "total", "lang_total", "terms")
     sides = sides.toDF(*[f"own_{c}" for c in sides.columns]).toDF(*sides.columns)  # columns of their own beside those that entries have from groups
-    key = ["lang", "shard", "block"]
+    key, size, cells = ["lang", "shard", "block"], BLOCK, CELLS
 
     def compared(at: tuple, shard: pa.Table, own: pa.Table) -> pa.Table:
-        pairs, (place, term, value) = compare(shard, own, at[2].as_py(), top) if shard.num_rows else ([], (np.zeros(0, np.int64), pa.array([], pa.string()), np.zeros(0, np.int64)))
+        pairs, (place, term, value) = compare(shard, own, size * at[2].as_py(), top, size, cells) if shard.num_rows else ([], (np.zeros(0, np.int64), pa.array([], pa.string()), np.zeros(0, np.int64)))
         a, b, far, seen = np.concatenate([np.zeros((4, 0), dtype=np.int64), *pairs], axis=1)
         numbers = lambda x, y: pa.array(np.concatenate([x, y]).astype(np.int64))
         none = np.zeros(len(place), dtype=np.int64)
