@@ -34,6 +34,11 @@ def test_forecast_job(spark, inputs, tmp_path):
     assert readers.read_table(spark, f"{tmp_path}/metrics").count() == 1
     assert [r.Product_Group for r in readers.read_table(spark, f"{tmp_path}/skipped").collect()] == ["G2"]
     assert [r.group_key for r in readers.read_table(spark, f"{tmp_path}/rejected").collect()] == ["G3"]
+    counts = {(r.source, r.reason): int(r.rows) for r in readers.read_table(spark, f"{tmp_path}/counts").collect()}
+    # C3 is in the catalog; G3, which is not, lists nothing.
+    assert counts == {("actuals", "read"): 102, ("actuals", "no_date"): 0, ("actuals", "bad_date"): 0, ("actuals", "no_unit"): 0, ("actuals", "no_group"): 0} | {
+        ("pipeline", r): n for r, n in {"read": 48, "no_date": 0, "no_group": 0, "no_unit": 0, "unit_not_listed": 0, "loaded": 48}.items()
+    } | {("backlog", r): n for r, n in {"read": 48, "no_date": 0, "no_unit": 0, "no_group": 0}.items()}
     # A rerun overwrites.
     assert jobs.forecast_job(spark, inputs, str(tmp_path), SETTINGS, ["G1"]).first().forecasts == 12
     assert readers.read_table(spark, f"{tmp_path}/forecast").count() == 12
@@ -47,6 +52,19 @@ def test_unknown_groups_and_months(spark, inputs, tmp_path):
         jobs.forecast_job(spark, jobs.Inputs(str(tmp_path / "bad.csv"), inputs.catalog), str(tmp_path), SETTINGS)
 
 
+def test_counts_of_what_goes(spark, inputs, tmp_path):
+    sold = ["2021-01-01,A1,EU,1", "never,A1,EU,1", ",A1,EU,1", "2021-01-01,NOPE,EU,1", "2021-01-01,NOPE,EU,2", "2021-01-01,A1,,1", "2021-01-01,A1,XX,1", "2021-01-01,A1,Europe,1"]
+    (tmp_path / "pipeline.csv").write_text("CloseDate,Product_Name,Business_Unit_Code,Revenue\n" + "\n".join(sold) + "\n")
+    owed = ["A1,2021-01-01,EU,1", "A1,,EU,1", "A1,2021-01-01,,1", "Q9,2021-01-01,EU,1", "Q9,2021-01-01,EU,1"]
+    (tmp_path / "backlog.csv").write_text("SKU,Date,Business_Unit,Backlog\n" + "\n".join(owed) + "\n")
+    few = jobs.Inputs(inputs.actuals, inputs.catalog, str(tmp_path / "pipeline.csv"), None, str(tmp_path / "backlog.csv"))
+    jobs.forecast_job(spark, few, str(tmp_path / "out"), SETTINGS, ["G1"], kind="parquet")
+    counts = {(r.source, r.reason): r.rows for r in spark.read.parquet(f"{tmp_path}/out/counts").collect()}
+    assert counts["actuals", "no_group"] == 6  # those of G2, which is not asked for
+    assert [counts["pipeline", r] for r in ("read", "no_date", "no_group", "no_unit", "unit_not_listed", "loaded")] == [8, 2, 2, 1, 1, 2]
+    assert [counts["backlog", r] for r in ("read", "no_date", "no_unit", "no_group")] == [5, 1, 1, 2]
+
+
 def test_order_selection_and_lag_jobs(spark, inputs, tmp_path):
     orders = jobs.order_selection_job(spark, inputs, str(tmp_path), SETTINGS).collect()
     report = spark.read.parquet(f"{tmp_path}/order_selection").collect()

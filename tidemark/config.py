@@ -69,5 +69,7 @@ class Settings:
     extended_below: int = 48
     max_iterations: int = 200
     max_lag: int = 6
+    #: Lags of the residual test, of which the least probability counts; without any, the season.
+    ljung_box_lags: tuple[int, ...] = ()
     #: A month grid longer than this is taken for a bad date.
     max_months: int = 1200

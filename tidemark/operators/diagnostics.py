@@ -1,4 +1,4 @@
-"""Correlation and validity diagnostics in built-in functions; tests and matrix work per series in small helpers."""
+"""Correlation, collinearity and validity diagnostics in built-in functions; unit-root tests per series in a small helper."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.matrices import condition_number, correlation_matrix, inflation_factors
 from ..models.unit_root import adf_test, kpss_test
 from ..tasks import run_tasks
 from .series import as_arrays
@@ -67,21 +68,6 @@ def feature_summary(data: DataFrame, columns: list[str], keys: tuple[str, ...])
     )
 
 
-def vif_of(r: np.ndarray) -> tuple[np.ndarray, float]:
-    """Variance inflation of each column from the correlations r, and the condition number of the standardised matrix.
-
-    With a constant, inflation is the diagonal of the inverse correlation matrix; it is infinite for columns
-    that the others determine.
-    """
-    values, vectors = np.linalg.eigh(r)
-    if values[0] > 1e-12 * values[-1]:
-        return np.diag(np.linalg.inv(r)), float(np.sqrt(values[-1] / values[0]))
-    tied = values <= 1e-12 * values[-1]
-    infinite = (vectors[:, tied] ** 2).sum(axis=1) > 1e-9
-    safe = (vectors[:, ~tied] ** 2 / values[~tied]).sum(axis=1)
-    return np.where(infinite, np.inf, safe), np.inf
-
-
 def complete_moments(data: DataFrame, columns: list[str], min_obs: int, keys: tuple[str, ...]) -> DataFrame:
     """(keys, valid, counts, n_complete, cov): per series one row of sums over the rows in which no valid column is null.
 
@@ -101,35 +87,35 @@ def complete_moments(data: DataFrame, columns: list[str], min_obs: int, keys: tu
     )
 
 
-def correlations_of(cov: list[float], valid: list[bool]) -> np.ndarray | None:
-    """The correlation matrix of the valid columns; None where one has no variance."""
-    k = len(valid)
-    full = np.zeros((k, k))
-    full[np.triu_indices(k)] = [np.nan if v is None else v for v in cov]
-    at = np.flatnonzero(valid)
-    c = (full + np.triu(full, 1).T)[np.ix_(at, at)]
-    sd = np.sqrt(np.diag(c))
-    return c / np.outer(sd, sd) if len(at) and (sd > 0).all() else None
+def inflation(moments: DataFrame, columns: list[str], min_complete: int, keys: tuple[str, ...]) -> DataFrame:
+    """(keys, valid, counts, n_complete, vif, condition_number) from complete_moments: inflation factors of all columns as an array.
+
+    Both are null with fewer than two valid columns, with no more complete rows than those, or fewer than
+    min_complete, and where a valid column does not vary over the complete rows.
+    """
+    k = len(columns)
+    n_valid = F.size(F.filter("valid", lambda v: v))
+    enough = (n_valid >= 2) & (F.col("n_complete") > n_valid) & (F.col("n_complete") >= min_complete)
+    rows = moments.select(*keys, "valid", "counts", "n_complete", F.when(enough, correlation_matrix(F.col("cov"), F.col("valid"), k)).alias("_r"))
+    rows = rows.withColumn("vif", inflation_factors(F.col("_r"), k)).withColumn("condition_number", condition_number(F.col("_r"), k))
+    infinite = F.exists("vif", lambda v: v == float("inf"))
+    return rows.withColumn("condition_number", F.when(infinite, F.lit(float("inf"))).otherwise(F.col("condition_number"))).drop("_r")
+
+
+TOO_FEW = "too few complete rows or columns for inflation factors"
 
 
 def vif_report(data: DataFrame, columns: list[str], min_obs: int, keys: tuple[str, ...] = ANALYSIS_KEY) -> DataFrame:
     """(keys, variable, vif, condition_number, n_obs, notes) of the valid columns over complete rows.
 
-    Spark sums all moments; the helper sees one row of k x k numbers per series.
+    A column that follows from the others has an infinite factor, and so have those; the condition number is
+    then infinite. Sums are one exchange on the keys, and matrices are worked on as arrays, a row a series.
     """
-
-    def one(row) -> list[dict]:
-        valid = [bool(v) for v in row.valid]
-        n = sum(valid)
-        r = correlations_of(list(row.cov), valid) if n >= 2 and row.n_complete >= n + 1 else None
-        vif, condition = vif_of(r) if r is not None else ([None] * n, None)
-        note = "" if r is not None else "too few complete rows or columns for inflation factors"
-        head = {k: getattr(row, k) for k in keys}
-        named = [(c, int(m)) for c, m, ok in zip(columns, row.counts, valid, strict=True) if ok]
-        return [head | {"variable": c, "vif": v, "condition_number": condition, "n_obs": m, "notes": note} for (c, m), v in zip(named, vif, strict=True)]
-
-    head = ", ".join(f"{k} string" for k in keys)
-    return run_tasks(complete_moments(data, columns, min_obs, keys), one, f"{head}, variable string, vif double, condition_number double, n_obs bigint, notes string")
+    solved = inflation(complete_moments(data, columns, min_obs, keys), columns, 0, keys)
+    each = F.posexplode(F.array(*map(F.lit, columns))).alias("_at", "variable")
+    rows = solved.select(*keys, "valid", "counts", "vif", "condition_number", each).filter(F.get("valid", F.col("_at")))
+    note = F.when(F.col("vif").isNull(), TOO_FEW).otherwise("")
+    return rows.select(*keys, "variable", F.get("vif", F.col("_at")).alias("vif"), "condition_number", F.get("counts", F.col("_at")).alias("n_obs"), note.alias("notes"))
 
 
 STATIONARITY = "n_obs bigint, is_constant boolean, adf_stat double, adf_pvalue double, adf_lags int, adf_nobs int, kpss_stat double, kpss_pvalue double, kpss_lags int, adf_stationary boolean, kpss_stationary boolean, notes string"
@@ -188,6 +174,18 @@ def backlog_relations(data: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     )
 
 
+def backlog_inflation(data: DataFrame, keys: tuple[str, ...], threshold: float = 5.0, min_obs: int = 12) -> DataFrame:
+    """(keys, variable, vif_value, vif_observations, vif_flag_high, _vif_notes) of each backlog feature, of those that vary."""
+    solved = inflation(complete_moments(data, BACKLOG_COLUMNS, 1, keys), BACKLOG_COLUMNS, min_obs, keys)
+    n_valid = F.size(F.filter("valid", lambda v: v))
+    used = F.when(n_valid >= 2, F.col("n_complete")).otherwise(F.lit(0))
+    value = F.when(F.get("valid", F.col("_at")), F.get("vif", F.col("_at")))
+    few = F.when(n_valid < 2, F.lit("no VIF: fewer than two features vary")).when(F.col("vif").isNull(), F.format_string("no VIF: %d complete rows for %d features", used, n_valid))
+    tied = [F.when(F.get("valid", F.lit(i)) & (F.get("vif", F.lit(i)) == float("inf")), F.lit(f"{c} follows from the other features, its VIF is infinite")) for i, c in enumerate(BACKLOG_COLUMNS)]
+    rows = solved.select(*keys, "valid", "vif", "n_complete", F.array(few, *tied).alias("_vif_notes"), F.posexplode(F.array(*map(F.lit, BACKLOG_COLUMNS))).alias("_at", "variable"))
+    return rows.select(*keys, "variable", value.alias("vif_value"), used.cast("long").alias("vif_observations"), F.coalesce(value >= threshold, F.lit(False)).alias("vif_flag_high"), "_vif_notes")
+
+
 def backlog_diagnostics(features: DataFrame, actuals: DataFrame, alpha: float = 0.05, vif_threshold: float = 5.0, min_obs: int = 12) -> DataFrame:
     """One row per (Product, BU, feature): span, summary, unit-root test, VIF, correlations and notes.
 
@@ -198,44 +196,32 @@ def backlog_diagnostics(features: DataFrame, actuals: DataFrame, alpha: float =
     summary = feature_summary(data, BACKLOG_COLUMNS, keys)
     least = max(3, min_obs)
 
+
     def tests(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("Date")
-        varied = [c for c in BACKLOG_COLUMNS if pdf[c].notna().any() and pdf[c].dropna().std(ddof=0) > 0]
-        clean = pdf[varied].dropna().to_numpy(dtype=float)
-        vif, shared = dict.fromkeys(BACKLOG_COLUMNS), []
-        used = len(clean)
-        if len(varied) < 2:
-            used = 0
-            shared.append("no VIF: fewer than two features vary")
-        elif used <= len(varied) or used < min_obs or not (clean.std(axis=0) > 0).all():
-            shared.append(f"no VIF: {used} complete rows for {len(varied)} features")
-        else:
-            vif |= dict(zip(varied, vif_of(np.atleast_2d(np.corrcoef(clean, rowvar=False)))[0].tolist(), strict=True))
-            shared += [f"{c} follows from the other features, its VIF is infinite" for c in varied if np.isinf(vif[c])]
         rows = []
         for c in BACKLOG_COLUMNS:
             x = pdf[c].dropna().to_numpy(dtype=float)
-            row = {k: pdf[k].iloc[0] for k in keys} | {"variable": c, "vif_value": vif[c], "vif_observations": used, "vif_flag_high": vif[c] is not None and vif[c] >= vif_threshold} | dict.fromkeys(ADF_COLUMNS) | {"adf_stationary_flag": False}
-            own = []
+            row = {k: pdf[k].iloc[0] for k in keys} | {"variable": c} | dict.fromkeys(ADF_COLUMNS) | {"adf_stationary_flag": False, "_note": None}
             if len(x) < least:
-                own.append(f"no ADF: {len(x)} values, {least} are needed")
+                row["_note"] = f"no ADF: {len(x)} values, {least} are needed"
             else:
                 try:
                     t = adf_test(x)
                     row |= dict(zip(ADF_COLUMNS, (t.statistic, t.p_value, t.lags, t.n_obs, t.criterion, bool(t.p_value <= alpha), *t.critical), strict=True))
                 except (ValueError, np.linalg.LinAlgError) as e:
-                    own.append(f"ADF: {e}")
-            rows.append(row | {"_notes": own + shared})
+                    row["_note"] = f"ADF: {e}"
+            rows.append(row)
         return pd.DataFrame(rows).astype(dict.fromkeys(("adf_used_lag", "adf_nobs"), object))
 
     kinds = {"adf_used_lag": "int", "adf_nobs": "int", "adf_stationary_flag": "boolean"}
-    schema = "Product string, BU string, variable string, vif_value double, vif_observations bigint, vif_flag_high boolean, " + ", ".join(f"{c} {kinds.get(c, 'double')}" for c in ADF_COLUMNS) + ", _notes array<string>"
+    schema = "Product string, BU string, variable string, " + ", ".join(f"{c} {kinds.get(c, 'double')}" for c in ADF_COLUMNS) + ", _note string"
     tested = data.select(*keys, "Date", *BACKLOG_COLUMNS).groupBy(*keys).applyInPandas(tests, schema)
-    out = tested.join(summary, [*keys, "variable"]).join(backlog_relations(data, keys), list(keys))
+    out = tested.join(summary, [*keys, "variable"]).join(backlog_inflation(data, keys, vif_threshold, min_obs), [*keys, "variable"]).join(backlog_relations(data, keys), list(keys))
     names = [f"corr_{x}__{y}" for x, y in combinations(BACKLOG_COLUMNS, 2)]
     no_pairs = F.when(F.coalesce(*[F.col(c) for c in names]).isNull(), "no correlations: too few complete rows")
     no_target = F.when(F.col("n_target") < 2, "no correlations with actuals: fewer than two of them")
-    notes = F.array_join(F.array_distinct(F.concat("_notes", F.array_compact(F.array(no_pairs, no_target)))), "; ")
+    notes = F.array_join(F.array_distinct(F.array_compact(F.concat(F.array("_note"), "_vif_notes", F.array(no_pairs, no_target)))), "; ")
     own = [f"corr_{c}__actuals" for c in BACKLOG_COLUMNS]
     # Without actuals no correlation with them is told.
     return out.select(

@@ -13,7 +13,8 @@ from ..config import BACKLOG_FEATURES, FEATURES, KEY, TAIL_WEIGHTS, Settings
 from ..functions.columns import clean_key, double_or_null, lag_for, month_start, stripped, zero_number
 from ..kept import kept
 from .catalog import Catalog
-from .mapping import map_names, map_products, normalize_units, resolve_names, valid_units
+from .counters import Counters, rows_where
+from .mapping import map_names, map_products, normalize_units, resolve_names, unit_marks
 from .series import month_grid
 
 #: Target column -> source columns, by preference after the configured one.
@@ -71,22 +72,34 @@ def feature_columns(pipeline: DataFrame) -> list[str]:
     return known + [f.name for f in pipeline.schema if isinstance(f.dataType, T.NumericType) and f.name not in known and f.name not in _NOT_FEATURES]
 
 
-def load_pipeline(pipeline: DataFrame, catalog: Catalog, reference: DataFrame, configured: dict[str, str] | None = None, check_units: bool = True) -> DataFrame:
+def load_pipeline(
+    pipeline: DataFrame, catalog: Catalog, reference: DataFrame, configured: dict[str, str] | None = None, check_units: bool = True, counters: Counters | None = None
+) -> DataFrame:
     """(Product_Group, BU, Date, features, rows): named, dated, mapped to groups and units, with numbers for features.
 
     Rows without a date, a known group or a unit go; so do units that the group does not list. Facts are
     summed by name, unit and month as they are written, and kept: only those sums, of rows facts each, meet
-    the catalog, and the facts are read once for names and sums.
+    the catalog, and the facts are read once for names and sums. counters are told of the facts that are read
+    and that go, under pipeline; what meets the catalog is then kept, too.
     """
     renamed = rename_pipeline(pipeline, configured)
     features = feature_columns(renamed)
-    dated = renamed.withColumn("Date", month_start(as_date(renamed, "Timestamp"))).filter("Date is not null")
+    dated = renamed.withColumn("Date", month_start(as_date(renamed, "Timestamp")))
+    dated = dated if counters else dated.filter("Date is not null")
     sums = [F.coalesce(F.sum(zero_number(F.col(c))), F.lit(0.0)).alias(c) for c in features]
-    dated = kept(dated.groupBy("SF_Product_Name", "BU", "Date").agg(*sums, F.count("*").alias(ROWS)))
+    dated = dated.groupBy("SF_Product_Name", "BU", "Date").agg(*sums, F.count("*").alias(ROWS))
+    if counters:
+        dated = counters.keep(dated, "pipeline", read=F.sum(ROWS), no_date=rows_where(F.col("Date").isNull(), ROWS)).filter("Date is not null")
+    else:
+        dated = kept(dated)
     resolved = resolve_names(dated.select(F.col("SF_Product_Name").alias("name")), catalog, reference)
-    mapped = normalize_units(map_names(dated, resolved), catalog).filter("BU is not null")
-    checked = valid_units(mapped, catalog.units, "pass") if check_units else mapped
-    return checked.select("Product_Group", "BU", "Date", *features, ROWS)
+    mapped = normalize_units(map_names(dated, resolved, keep_unmapped=counters is not None), catalog)
+    mapped = unit_marks(mapped, catalog.units, "pass") if check_units else mapped.withColumn("_allowed", F.lit(True))
+    group, unit, listed = F.col("Product_Group").isNotNull(), F.col("BU").isNotNull(), F.col("_allowed")
+    if counters:
+        gone = {"no_group": ~group, "no_unit": group & ~unit, "unit_not_listed": group & unit & ~listed, "loaded": group & unit & listed}
+        mapped = counters.keep(mapped, "pipeline", **{reason: rows_where(c, ROWS) for reason, c in gone.items()})
+    return mapped.filter(group & unit & listed).select("Product_Group", "BU", "Date", *features, ROWS)
 
 
 def coverage(loaded: DataFrame) -> DataFrame:
@@ -129,12 +142,22 @@ def pipeline_features(monthly: DataFrame, lags: DataFrame, settings: Settings) -
     return apply_lags(grid, lags, features)
 
 
-def backlog_monthly(backlog: DataFrame, skus: DataFrame, by_bu: bool = True) -> DataFrame:
-    """(Product_Group, BU, Date, Backlog) by normalised product code; blank units go if series are by unit."""
+def backlog_monthly(backlog: DataFrame, skus: DataFrame, by_bu: bool = True, counters: Counters | None = None) -> DataFrame:
+    """(Product_Group, BU, Date, Backlog) by normalised product code; blank units go if series are by unit.
+
+    counters are told of the facts that are read and that go, under backlog.
+    """
     renamed = rename_backlog(backlog)
-    rows = renamed.select("Product", clean_key(F.col("BU")).alias("BU"), month_start(as_date(renamed, "Month")).alias("Date"), zero_number(F.col("Backlog")).alias("Backlog")).filter("Date is not null")
-    rows = rows.filter("BU <> ''") if by_bu else rows.withColumn("BU", F.lit(""))
-    mapped = map_products(rows.groupBy("Product", "BU", "Date").agg(F.sum("Backlog").alias("Backlog")), skus, "normalized")
+    rows = renamed.select("Product", clean_key(F.col("BU")).alias("BU"), month_start(as_date(renamed, "Month")).alias("Date"), zero_number(F.col("Backlog")).alias("Backlog"))
+    dated, known = F.col("Date").isNotNull(), F.col("BU") != "" if by_bu else F.lit(True)
+    rows = rows if by_bu else rows.withColumn("BU", F.lit(""))
+    rows = rows if counters else rows.filter(dated & known)
+    sums = rows.groupBy("Product", "BU", "Date").agg(F.sum("Backlog").alias("Backlog"), F.count("*").alias(ROWS))
+    if counters:
+        sums = counters.keep(sums, "backlog", read=F.sum(ROWS), no_date=rows_where(~dated, ROWS), no_unit=rows_where(dated & ~known, ROWS)).filter(dated & known)
+    mapped = map_products(sums, skus, "normalized", keep_unmapped=counters is not None)
+    if counters:
+        mapped = counters.keep(mapped, "backlog", no_group=rows_where(F.col("Product_Group").isNull(), ROWS)).filter("Product_Group is not null")
     return mapped.groupBy(*KEY, "Date").agg(F.sum("Backlog").alias("Backlog"))
 
 

@@ -59,10 +59,10 @@ def resolve_names(names: DataFrame, catalog: Catalog, reference: DataFrame) -> D
     return out.select("name", F.coalesce(*[F.col(f"_group{i}") for i in range(len(steps))]).alias("Product_Group"))
 
 
-def map_names(facts: DataFrame, resolved: DataFrame, product: str = "SF_Product_Name") -> DataFrame:
-    """facts with Product_Group by resolved names; rows with an unknown name go."""
+def map_names(facts: DataFrame, resolved: DataFrame, product: str = "SF_Product_Name", keep_unmapped: bool = False) -> DataFrame:
+    """facts with Product_Group by resolved names; rows with an unknown name go, or stay with a null group."""
     found = resolved.filter("Product_Group is not null").withColumnRenamed("name", "_name")
-    return facts.withColumn("_name", stripped(F.col(product))).join(found, "_name").drop("_name")
+    return facts.withColumn("_name", stripped(F.col(product))).join(found, "_name", "left" if keep_unmapped else "inner").drop("_name")
 
 
 def unmapped_names(resolved: DataFrame) -> DataFrame:
@@ -96,14 +96,19 @@ def normalize_units(facts: DataFrame, catalog: Catalog, unit: str = "BU") -> Dat
     return out.withColumn(unit, F.coalesce("_code", "_by_name", F.upper("_text"))).drop("_text", "_lower", "_code", "_by_name")
 
 
-def valid_units(facts: DataFrame, units: DataFrame, unlisted: str = "pass") -> DataFrame:
-    """Rows whose unit the group lists. Groups that list none pass or drop."""
+def unit_marks(facts: DataFrame, units: DataFrame, unlisted: str = "pass", mark: str = "_allowed") -> DataFrame:
+    """facts with a boolean column mark: whether the group lists the row's unit. Groups that list none pass or drop."""
     listed = units.select("Product_Group", "BU").distinct()
-    marked = facts.join(listed.withColumn("_listed", F.lit(True)), ["Product_Group", "BU"], "left")
+    marked = facts.join(listed.withColumn(mark, F.lit(True)), ["Product_Group", "BU"], "left")
     if unlisted == "drop":
-        return marked.filter("_listed").drop("_listed")
+        return marked.withColumn(mark, F.coalesce(F.col(mark), F.lit(False)))
     some = listed.select("Product_Group").distinct().withColumn("_some", F.lit(True))
-    return marked.join(some, "Product_Group", "left").filter("_listed or _some is null").drop("_listed", "_some")
+    return marked.join(some, "Product_Group", "left").withColumn(mark, F.coalesce(F.col(mark), F.col("_some").isNull())).drop("_some")
+
+
+def valid_units(facts: DataFrame, units: DataFrame, unlisted: str = "pass") -> DataFrame:
+    """Rows whose unit the group lists. Groups that list none pass or drop."""
+    return unit_marks(facts, units, unlisted).filter("_allowed").drop("_allowed")
 
 
 def requested_groups(groups: DataFrame, names: list[str] | None) -> tuple[DataFrame, DataFrame]:

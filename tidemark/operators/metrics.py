@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import KEY, Settings
+from ..functions.distributions import chi_squared_tail
 
 
 def holdout_metrics(pairs: DataFrame, keys: tuple[str, ...] = KEY, actual: str = "actual", forecast: str = "forecast") -> DataFrame:
@@ -86,22 +88,30 @@ def seasonal_naive(series: DataFrame, holdout: int, season: int = 12, value: str
     return rows.filter(F.col("_back") <= holdout).select(*keys, "Date", F.col(value).alias("actual"), "forecast")
 
 
-def ljung_box(residuals: DataFrame, lags: int = 12, value: str = "resid", keys: tuple[str, ...] = KEY) -> DataFrame:
-    """(keys, n, statistic, p_value) at an even number of lags, where the tail of chi-squared is a finite sum."""
-    if lags % 2:
-        raise ValueError("the closed sum needs an even number of lags")
+def ljung_box_lags(residuals: DataFrame, lags: Sequence[int], value: str = "resid", keys: tuple[str, ...] = KEY) -> DataFrame:
+    """(keys, n, lag, statistic, p_value) at each of the lags, odd ones too; null where a series has no more rows than the lag."""
     w = Window.partitionBy(*keys)
-    rows = residuals.filter(F.col(value).isNotNull()).withColumn("_x", F.col(value) - F.avg(value).over(w))
+    rows = residuals.filter(F.col(value).isNotNull() & ~F.isnan(value)).withColumn("_x", F.col(value) - F.avg(value).over(w))
     order = w.orderBy("Date")
-    products = rows.withColumns({f"_p{k}": F.col("_x") * F.lag("_x", k).over(order) for k in range(1, lags + 1)})
-    sums = products.groupBy(*keys).agg(F.count("*").alias("n"), F.sum(F.col("_x") * F.col("_x")).alias("_v"), *[F.coalesce(F.sum(f"_p{k}"), F.lit(0.0)).alias(f"_p{k}") for k in range(1, lags + 1)])
+    most = max(lags)
+    products = rows.withColumns({f"_p{k}": F.col("_x") * F.lag("_x", k).over(order) for k in range(1, most + 1)})
+    sums = products.groupBy(*keys).agg(F.count("*").alias("n"), F.sum(F.col("_x") * F.col("_x")).alias("_v"), *[F.sum(f"_p{k}").alias(f"_p{k}") for k in range(1, most + 1)])
     n = F.col("n")
-    q = reduce(Column.__add__, [F.try_divide(F.pow(F.try_divide(f"_p{k}", "_v"), F.lit(2)), n - k) for k in range(1, lags + 1)]) * n * (n + 2)
-    half, term, terms = q / 2, F.lit(1.0), []
-    for k in range(lags // 2):
-        term = term * half / k if k else term
-        terms.append(term)
-    return sums.select(*keys, "n", q.alias("statistic"), (F.exp(-half) * reduce(Column.__add__, terms)).alias("p_value"))
+    terms = [F.try_divide(F.pow(F.try_divide(f"_p{k}", "_v"), F.lit(2)), F.when(n > k, n - k)) for k in range(1, most + 1)]
+    parts = sums.select(*keys, "n", F.array(*terms).alias("_terms"))
+    at = F.explode(F.array(*[F.lit(k) for k in sorted(set(lags))])).alias("lag")
+    # A lag that has no product makes the sum null.
+    q = F.aggregate(F.slice("_terms", 1, F.col("lag")), F.lit(0.0), lambda total, t: total + t) * n * (n + 2)
+    rows = parts.select(*keys, "n", "_terms", at).select(*keys, "n", "lag", q.alias("statistic"))
+    return rows.withColumn("p_value", chi_squared_tail(F.col("statistic"), F.col("lag"), sorted(set(lags))))
+
+
+def ljung_box(residuals: DataFrame, lags: int | Sequence[int] = 12, value: str = "resid", keys: tuple[str, ...] = KEY) -> DataFrame:
+    """(keys, n, statistic, p_value) at the lag, or at that of several lags whose probability is least, the smallest lag on ties."""
+    asked = (lags,) if isinstance(lags, int) else tuple(lags)
+    rows = ljung_box_lags(residuals, asked, value, keys)
+    least = F.min_by("statistic", F.struct(F.col("p_value").isNull(), "p_value", "lag"))
+    return rows.groupBy(*keys).agg(F.max("n").alias("n"), least.alias("statistic"), F.min("p_value").alias("p_value"))
 
 
 def best_lags(scores: DataFrame, keys: tuple[str, ...]) -> DataFrame:

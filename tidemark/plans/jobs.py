@@ -10,6 +10,7 @@ from ..config import KEY, Settings
 from ..kept import kept
 from ..operators import features, mapping, series
 from ..operators.catalog import Catalog, parse_catalog
+from ..operators.counters import Counters
 from ..operators.metrics import holdout_metrics
 from ..sources import readers
 from .forecast import forecast_run, run_totals
@@ -41,36 +42,53 @@ def asked_groups(catalog: Catalog, names: list[str] | None) -> DataFrame:
     return groups
 
 
-def read_demand(spark: SparkSession, inputs: Inputs, catalog: Catalog, settings: Settings, groups: DataFrame, match: str = "lower") -> DataFrame:
-    """Monthly demand of the groups; raises if a month cannot be read, with samples."""
-    cleaned = series.require_months(series.clean_actuals(readers.read_actuals(spark, inputs.actuals)))
-    return series.monthly_demand(cleaned, catalog.skus.join(groups.select("Product_Group"), "Product_Group", "left_semi"), match, settings.by_bu)
+def read_demand(
+    spark: SparkSession, inputs: Inputs, catalog: Catalog, settings: Settings, groups: DataFrame, match: str = "lower", counters: Counters | None = None
+) -> DataFrame:
+    """Monthly demand of the groups, kept; raises if a month cannot be read, with samples.
 
+    Facts are read once: they are counted while they are summed, and read again only to name samples of bad months.
+    """
+    counters = counters or Counters()
+    cleaned = series.clean_actuals(readers.read_actuals(spark, inputs.actuals))
+    skus = catalog.skus.join(groups.select("Product_Group"), "Product_Group", "left_semi")
+    demand = kept(series.monthly_demand(cleaned, skus, match, settings.by_bu, counters=counters))
+    if counters.of("actuals", "bad_date"):
+        series.require_months(cleaned)
+    return demand
 
-def read_features(spark: SparkSession, inputs: Inputs, catalog: Catalog, settings: Settings) -> tuple[DataFrame | None, DataFrame | None]:
-    """(pipeline features, backlog features), each None where there is no input for it."""
+
+def read_features(spark: SparkSession, inputs: Inputs, catalog: Catalog, settings: Settings, counters: Counters | None = None) -> tuple[DataFrame | None, DataFrame | None]:
+    """(pipeline features, backlog features), each None where there is no input for it; their monthly sums are kept."""
+    counters = counters or Counters()
     pipeline = backlog = None
     if inputs.pipeline:
         raw = readers.read_pipeline(spark, inputs.pipeline, inputs.pipeline_encoding)
-        loaded = features.load_pipeline(raw, catalog, readers.read_reference(spark, inputs.reference))
-        pipeline = features.pipeline_features(features.pipeline_monthly(loaded, settings.by_bu), catalog.groups, settings)
+        loaded = features.load_pipeline(raw, catalog, readers.read_reference(spark, inputs.reference), counters=counters)
+        pipeline = features.pipeline_features(kept(features.pipeline_monthly(loaded, settings.by_bu)), catalog.groups, settings)
     if inputs.backlog:
-        monthly = features.backlog_monthly(readers.read_backlog(spark, inputs.backlog), catalog.skus, settings.by_bu)
+        monthly = kept(features.backlog_monthly(readers.read_backlog(spark, inputs.backlog), catalog.skus, settings.by_bu, counters))
         backlog = features.backlog_features(monthly, settings.current_month, settings.horizon, settings.max_months)
     return pipeline, backlog
 
 
 def forecast_job(spark: SparkSession, inputs: Inputs, folder: str, settings: Settings, groups: list[str] | None = None, kind: str = "csv") -> DataFrame:
-    """Writes forecast, metrics, skipped and rejected under folder, and returns the run's totals, a row."""
+    """Writes forecast, metrics, skipped, rejected and counts under folder, and returns the run's totals, a row.
+
+    counts tells how many facts of each source were read and why others went; they are counted as they pass.
+    """
+    counters = Counters()
     catalog = read_catalog(spark, inputs)
     asked = asked_groups(catalog, groups)
-    pipeline, backlog = read_features(spark, inputs, catalog, settings)
-    report, pairs, short = forecast_run(read_demand(spark, inputs, catalog, settings, asked), asked, catalog.unit_names, settings, pipeline, backlog)
+    pipeline, backlog = read_features(spark, inputs, catalog, settings, counters)
+    demand = read_demand(spark, inputs, catalog, settings, asked, counters=counters)
+    report, pairs, short = forecast_run(demand, asked, catalog.unit_names, settings, pipeline, backlog)
     report = kept(report)
     readers.write_report(report, f"{folder}/forecast", (*KEY, "Date"), kind)
     readers.write_report(holdout_metrics(pairs), f"{folder}/metrics", KEY, kind)
     readers.write_report(short, f"{folder}/skipped", KEY, kind)
     readers.write_report(catalog.rejected, f"{folder}/rejected", ("row_id",), kind)
+    readers.write_report(counters.table(spark), f"{folder}/counts", ("source", "reason"), kind)
     return run_totals(report)
 
 

@@ -130,7 +130,7 @@ def order_selection(series: DataFrame, settings: Settings) -> DataFrame:
     good = good.withColumn("mae_h3", F.when(F.expr("ok_h3 = folds_h3 and ok_h3 > 0"), F.col("mae_h3")))
     best = kept(best_candidate(good.join(keep, [*KEY, "candidate"])))
     residuals = best.select(*KEY, F.posexplode("resid").alias("Date", "resid"))
-    tests = ljung_box(residuals, settings.season).select(*KEY, F.col("p_value").alias("ljung_box_pvalue"))
+    tests = ljung_box(residuals, settings.ljung_box_lags or settings.season).select(*KEY, F.col("p_value").alias("ljung_box_pvalue"))
     missing_h3 = F.when(F.col("is_volatile") & F.col("mae_h3").isNull(), "h3_unavailable")
     chosen = best.join(tests, list(KEY), "left").select(
         series_label(F.col("Product_Group"), F.col("BU")).alias("series_key"), F.col("Product_Group").alias("group"), F.col("BU").alias("bu"), F.lit("sarima_selected").alias("status"),
