@@ -55,6 +55,9 @@ class Scratch:
         df.write.parquet(f"{self.folder}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.folder}/{name}")
+
     def drop(self, *names: str) -> None:
         """Deletes tables, and lets Spark's cleaner take the shuffle files of steps that nothing refers to."""
         jvm = self.spark.sparkContext._jvm

@@ -10,25 +10,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import cut, document_key, spread_join
+from .common import cut, spread_join
 from .components import connected_components
 
 BITS = 64
 
 
-def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
-    """64-bit SimHash of the word shingles of a UTF-8 text, A-Z in lower case; zero without words."""
+def shingle_hashes(text: bytes, shingle: int, seed: int) -> np.ndarray:
+    """XXH64 of the word shingles of a UTF-8 text, A-Z in lower case, repeats included; a shorter text is one shingle."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, dtype=np.uint64)
     joined = b" ".join(words)
     if len(words) <= shingle:
-        hashes = np.array([xxh64_intdigest(joined, seed)], dtype=np.uint64)
-    else:
-        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        ends = np.cumsum(lengths + 1) - 1
-        begins = (ends - lengths)[: len(words) - shingle + 1].tolist()
-        hashes = np.array([xxh64_intdigest(joined[a:b], seed) for a, b in zip(begins, ends[shingle - 1 :].tolist(), strict=True)], dtype=np.uint64)
+        return np.array([xxh64_intdigest(joined, seed)], dtype=np.uint64)
+    lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    ends = np.cumsum(lengths + 1) - 1
+    begins = (ends - lengths)[: len(words) - shingle + 1].tolist()
+    return np.array([xxh64_intdigest(joined[a:b], seed) for a, b in zip(begins, ends[shingle - 1 :].tolist(), strict=True)], dtype=np.uint64)
+
+
+def print_of(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes; zero without hashes."""
     ones = np.zeros(BITS, dtype=np.int64)
     for at in range(0, len(hashes), 1 << 16):
         part = hashes[at : at + (1 << 16)].astype("<u8").view(np.uint8)
@@ -36,6 +39,11 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
+    """64-bit SimHash of the word shingles of a UTF-8 text; zero without words."""
+    return print_of(shingle_hashes(text, shingle, seed))
+
+
 def fingerprints(rows: DataFrame, shingle: int, seed: int) -> DataFrame:
     """rows with the column text replaced by fp, its fingerprint; whole texts, hashed batch by batch."""
     others = [c for c in rows.columns if c != "text"]
@@ -107,20 +115,3 @@ def fingerprint_classes(prints: DataFrame) -> DataFrame:
     nodes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("node")))
     components = connected_components(links(nodes))
     return nodes.join(components, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-
-
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
-    """docs less its near-duplicates: one row of each component of simhash_components stays, with all its columns.
-
-    The row with the smallest id stays, null ids coming last; of rows with one id and different texts the one
-    with the smallest hash of both; of rows that repeat id and text any one. Rows are told apart by id and
-    text, so that a text stays whatever becomes of another one under its id. An empty table gives no rows.
-    """
-    keyed = docs.select(F.struct("*").alias("doc"), document_key(F.col(id_col), F.col(text_col)).alias("key"))
-    rows = docs.select(F.col(id_col).alias("id"), document_key(F.col(id_col), F.col(text_col)).alias("key"), F.col(text_col).cast("string").alias("text"))
-    order = F.struct(F.col("id").isNull().alias("last"), "id", "key")
-    prints = cut(fingerprints(rows, shingle, seed).select("key", order.alias("doc_id"), "fp"))
-    first = fingerprint_classes(prints).select(F.col("component_id.key").alias("key")).distinct()
-    kept = spread_join(prints.groupBy("key").agg(F.count("*").alias("times")), first, "key")
-    once, again = (spread_join(keyed, kept.filter(f"times {sign} 1").select("key"), "key") for sign in ("=", ">"))
-    return once.unionByName(again.dropDuplicates(["key"])).select("doc.*")
