@@ -13,7 +13,7 @@ from tidemark.llm.language_id import UNKNOWN, add_languages
 from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.packing import pack_documents
-from tidemark.llm.simhash import drop_near_duplicates
+from tidemark.llm.near_dedup import drop_near_duplicates
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +33,7 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id; null ids come last."""
+    """One document of each group of near-duplicates (five words, 0.8), the one with the smallest id; null ids come last."""
     return drop_near_duplicates(docs)
 
 
