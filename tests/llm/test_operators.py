@@ -12,7 +12,7 @@ import pytest
 import xxhash
 
 from tests.conftest import SMALL
-from tidemark.llm import common, exact_dedup, language_id, line_dedup, lm_scoring, mixing, packing, quality, simhash, suffix_dedup, topk
+from tidemark.llm import common, exact_dedup, language_id, line_dedup, lm_scoring, mixing, packing, quality, queries, simhash, suffix_dedup, topk
 
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 LONG = "\n".join(f"line {i} of a rather long text that goes on" for i in range(3000))
@@ -239,16 +239,32 @@ class TestExact:
                 out.append((i, keep, len(ids), kept, hashlib.sha256(t.encode()).hexdigest()))
         return Counter(out)
 
-    @pytest.mark.parametrize("bits", [None, 64, 1 << 20, 1 << 30])
-    def test_awkward(self, awkward, bits):
-        got = Counter(map(tuple, exact_dedup.exact_dedup(awkward, filter_bits=bits).collect()))
+    @pytest.mark.parametrize("bits, passes", [(None, None), (64, None), (1 << 20, None), (1 << 34, 1 << 36), (1 << 12, 1 << 10), (1 << 34, 1 << 33)])
+    def test_awkward(self, awkward, bits, passes):
+        got = Counter(map(tuple, exact_dedup.exact_dedup(awkward, filter_bits=bits, pass_bits=passes or exact_dedup.MOST_BITS).collect()))
         assert got == self.brute([(i, t) for i, t, _, _ in ROWS])
 
+    @pytest.mark.parametrize("bits", [1 << 16, 1 << 27, 1 << 30, 1 << 34])
+    def test_unique_rows_do_not_move(self, spark, bits):
+        """Whatever the filter's size, rows meet it by broadcast, and no exchange has their hashes."""
+        hashed = spark.range(50).selectExpr("id as doc_id", "unhex(sha2(cast(id div 2 as string), 256)) as sha").checkpoint()
+        flagged = exact_dedup.flagged_rows(hashed, 50, bits, 2)
+        assert flagged.filter("maybe_repeated").count() == 50
+        plan = flagged._jdf.queryExecution().executedPlan().toString()
+        moved = re.findall(r"Exchange (?:hash|range|SinglePartition)[^\n]*", plan)
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and moved and not any("sha" in m for m in moved)
+
+    def test_pages(self, spark):
+        keys = spark.range(3000).selectExpr("id", "cast(id as string) as k")
+        some = {r.id for r in exact_dedup.maybe_among(keys, keys.filter("id % 7 = 0").union(keys.filter("id = 0")), "k", 1 << 18).collect()}
+        assert set(range(0, 3000, 7)) <= some and len(some) < 450
+
     def test_table(self, docs, texts):
         assert Counter(map(tuple, exact_dedup.exact_dedup(docs).collect())) == self.brute(list(texts.items()))
 
     def test_empty(self, awkward):
         assert exact_dedup.exact_dedup(awkward.limit(0)).count() == 0
+        assert exact_dedup.exact_dedup(awkward.limit(0), filter_bits=1 << 12, pass_bits=1 << 10).count() == 0
 
 
 class TestModel:
@@ -482,6 +498,12 @@ class TestLines:
         assert [(r["_lines"].n_exact, r["_lines"].n_near) for r in rows] == [(99_999, 0), (0, 0), (0, 1), (0, 1), (0, 1), (0, 1), (0, 0), (100_000, 0)]
         assert [r.text for r in rows] == ["the same line again and again", line, "", "", "", "", edits[-1], ""]
 
+    @pytest.mark.parametrize("name", ["_lines", "_LINES"])
+    def test_query_on_a_table_with_its_prefix(self, awkward, tmp_path, name):
+        awkward.withColumn(name, awkward.kept).write.parquet(f"{tmp_path}/documents.parquet")
+        rows = queries.op7_line_dedup(awkward.sparkSession, str(tmp_path)).collect()
+        assert len(rows) == len(ROWS) and rows[0].asDict().keys() == {"doc_id", "n_lines", "n_exact", "n_near", "kept_sha256"}
+
     def test_clash_of_the_prefix(self, awkward):
         with pytest.raises(ValueError, match="n"):
             line_dedup.line_dedup(awkward, prefix="n")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, document_key, spread_join
-from .exact_dedup import maybe_among
+from .exact_dedup import bits_for, maybe_among
 
 #: Stripped from both ends of a line before it is compared.
 BLANK = " \t\r\x0b\x0c"
@@ -55,7 +55,7 @@ def alike_lines(scratch: Scratch, docs: DataFrame, firsts: DataFrame) -> DataFra
     halves = firsts.select("h", "g", "pos", F.explode("halves").alias("half"))
     shared = scratch.write("shared", halves.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half"))
     asked = scratch.write("asked", spread_join(halves, shared, "half").select("h", "g", "pos").distinct())
-    some = maybe_among(lines_of(docs), asked, "h")
+    some = maybe_among(lines_of(docs), asked, "h", bits_for(asked.count()))
     rows = spread_join(some.select("h", "g", position().alias("at"), "line"), asked, ["h", "g"]).filter("at = pos")
     return scratch.write("alike", rows.dropDuplicates(["h", "g"]).select("h", "g", "pos", "line"))
 
@@ -164,7 +164,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Equal lines are found by 128 bits of hashes; candidates for similar ones by hashes of halves, and of all
     but one segment, and then by the deletion neighbourhood of that segment.
     """
-    if prefix in docs.columns:
+    if prefix.lower() in (c.lower() for c in docs.columns):
         raise ValueError(f"docs has a column {prefix}; name another prefix")
     text = F.col(text_col)
     key = document_key(F.col(id_col), text)

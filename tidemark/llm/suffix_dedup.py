@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
 from .common import Scratch, running_totals, spread_join
-from .exact_dedup import maybe_among
+from .exact_dedup import bits_for, maybe_among
 
 #: Odd multiplier of the rolling hash modulo 2^64, and its inverse.
 BASE = 0x9E3779B97F4A7C15
@@ -331,7 +331,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     left = scratch.write("left", in_question(firsts).select(*WHOLE, F.col("first").alias("at")))
     scratch.drop("part-firsts")
     # Few of the parts are left: a filter keeps the bytes of the others from moving.
-    slices = spread_join(maybe_among(cut_up.drop("core"), left, "at"), left, [*WHOLE, "at"])
+    slices = spread_join(maybe_among(cut_up.drop("core"), left, "at", bits_for(left.count())), left, [*WHOLE, "at"])
     slices = scratch.write("slices", slices.select("base", "at", "n", "bytes"))
     scratch.drop("parts", "left")
     last = doubled(scratch, slices, lengths).withColumn("end", F.col("at") + threshold)
