@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,10 +18,11 @@ from .simhash import links, print_of, shingle_hashes
 
 #: Bands of minima and minima of a band: texts at a similarity of 0.8 agree in one band or more with a probability of 0.95.
 BANDS, WIDTH = 16, 8
-#: Shingles whose minima are taken at once, and rounds in which buckets are compared with their first text alone.
-CHUNK, ROUNDS = 1 << 10, 2
+#: Texts whose hashes are held at once, shingles whose minima are taken at once, and rounds in which buckets are compared with their first text alone.
+ROWS, CHUNK, ROUNDS = 256, 1 << 10, 2
 
 
+@cache
 def multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """n hash functions h -> a h + b modulo 2^64, of which the upper half counts; a is odd."""
     seeds = np.array([xxhash.xxh64_intdigest(i.to_bytes(4, "little"), 7) for i in range(2 * n)], dtype=np.uint64)
@@ -46,11 +48,21 @@ def similarity(x: np.ndarray, y: np.ndarray) -> float:
     return common / (len(both) - common) if len(both) else 1.0
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """batches in parts of ROWS rows, so that few texts' hashes are held at once; what Arrow holds back is given up in the end."""
+    try:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                yield batch.slice(at, ROWS)
+    finally:
+        pa.default_memory_pool().release_unused()
+
+
 def described(rows: DataFrame, shingle: int, seed: int) -> DataFrame:
     """rows (key, node, text) as (key, node, fp, shape, bands); shape is equal for equal sets of shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             prints, shapes, bands = [], [], []
             for x in batch.column(2):
                 hashes = shingle_hashes(x.as_buffer().to_pybytes() if x.is_valid else b"", shingle, seed)
@@ -69,7 +81,7 @@ def shingle_sets(rows: DataFrame, shingle: int, seed: int) -> DataFrame:
     """rows (key, node, text) as (node, shingles): the different hashes of a text's shingles, as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = [np.unique(shingle_hashes(x.as_buffer().to_pybytes() if x.is_valid else b"", shingle, seed)).astype("<u8").tobytes() for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
 
@@ -86,7 +98,7 @@ def judged(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     both = spread_join(spread_join(pairs, side("b", "y"), "b"), side("a", "x"), "a").select("a", "b", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             similar = [similarity(read_set(x), read_set(y)) >= least for x, y in zip(batch.column(2), batch.column(3), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(similar, pa.bool_())], names=["a", "b", "similar"])
 
