@@ -11,6 +11,8 @@ from tidemark.functions import matrices
 from tidemark.functions.distributions import chi_squared_tail
 from tidemark.operators import diagnostics, lag_moments, metrics
 from tidemark.operators.counters import Counters, rows_where
+from tidemark.operators.notes import notes_in_order
+from tidemark.sources import readers
 
 KEY = ("Product_Group", "BU")
 
@@ -138,3 +140,38 @@ def test_counters(spark):
     assert none.count() == 0
     assert counters.rows == [("a", "read", 4), ("a", "blank", 1), ("a", "weight", 8), ("b", "read", 0), ("b", "blank", 0)]
     assert counters.of("a", "blank") == 1 and counters.table(spark).count() == 5
+
+
+def test_notes_in_order(spark):
+    rows = [("a", 3, "late"), ("a", 1, "first"), ("a", 2, "late"), ("a", 9, "first"), ("a", 2, "also"), ("a", None, "no place"), ("a", 5, ""), ("b", 1, None), ("c", 7, "x"), ("c", 7, "x")]
+    got = notes_in_order(spark.createDataFrame(rows, "k string, position int, note string").repartition(5), ("k",)).collect()
+    assert {r.k: (r.n_notes, r.notes) for r in got} == {"a": (4, "first; also; late; no place"), "b": (0, ""), "c": (1, "x")}
+    assert notes_in_order(spark.createDataFrame([], "k string, position int, note string"), ("k",)).count() == 0
+
+
+def test_encoding_of_each_file(spark, tmp_path):
+    text = "Product,Größe\ncafé,1\n\"naïve, quoted\",2\n"
+    (tmp_path / "utf8.csv").write_bytes(b"\xef\xbb\xbf" + text.encode("utf-8"))
+    (tmp_path / "latin1.csv").write_bytes(text.encode("latin-1"))
+    (tmp_path / "ascii.csv").write_bytes(b"Product,Gr\xf6\xdfe\nplain,3\n")
+    both = readers.read_table(spark, str(tmp_path), readers.AUTO)
+    assert both.count() == 5 and sorted(r[0] for r in both.collect()) == sorted(["café", "naïve, quoted"] * 2 + ["plain"])
+    for name in ("utf8", "latin1"):
+        one = readers.read_table(spark, f"{tmp_path}/{name}.csv", readers.AUTO)
+        assert one.columns == ["Product", "Größe"] and sorted(map(tuple, one.collect())) == [("café", "1"), ("naïve, quoted", "2")]
+    assert {r.file.rsplit("/", 1)[1]: r.is_utf8 for r in readers.file_encodings(spark, str(tmp_path)).collect()} == {"utf8.csv": True, "latin1.csv": False, "ascii.csv": False}
+
+
+def test_rows_set_aside(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Product,Timestamp,Revenue\nA,2021-01-01,1\nshort,2021-01-01\nlong,2021-01-01,1,2\nB,never,1\n\"C, D\",2021-02-01,3\n")
+    (tmp_path / "b.csv").write_text("Product,Timestamp,Revenue\nE,,5\n,2021-01-01,6\n")
+    checks = {"no date": lambda df: F.try_to_timestamp("Timestamp").isNull(), "no product": lambda df: F.col("Product").isNull()}
+    good, rejected = readers.read_checked(spark, str(tmp_path), checks)
+    assert good.columns == ["Product", "Timestamp", "Revenue"] and sorted(r.Product for r in good.collect()) == ["A", "C, D"]
+    got = sorted((r.source_file.rsplit("/", 1)[1], r.reason, r.line) for r in rejected.collect())
+    assert got == [
+        ("a.csv", "no date", "B,never,1"), ("a.csv", readers.FIELDS, "long,2021-01-01,1,2"), ("a.csv", readers.FIELDS, "short,2021-01-01"),
+        ("b.csv", "no date", "E,,5"), ("b.csv", "no product", ",2021-01-01,6"),
+    ]
+    # A column alone, and a count, see the same rows.
+    assert good.select("Product").count() == 2 and rejected.count() == 5 and good.count() + rejected.count() == 7

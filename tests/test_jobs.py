@@ -54,14 +54,17 @@ def test_unknown_groups_and_months(spark, inputs, tmp_path):
 
 def test_counts_of_what_goes(spark, inputs, tmp_path):
     sold = ["2021-01-01,A1,EU,1", "never,A1,EU,1", ",A1,EU,1", "2021-01-01,NOPE,EU,1", "2021-01-01,NOPE,EU,2", "2021-01-01,A1,,1", "2021-01-01,A1,XX,1", "2021-01-01,A1,Europe,1"]
-    (tmp_path / "pipeline.csv").write_text("CloseDate,Product_Name,Business_Unit_Code,Revenue\n" + "\n".join(sold) + "\n")
+    sold += ["2021-01-01,A1,EU", "2021-01-01,A1,EU,1,1", "2021-01-01,Größe,EU,9"]
+    (tmp_path / "pipeline.csv").write_bytes(("CloseDate,Product_Name,Business_Unit_Code,Revenue\n" + "\n".join(sold) + "\n").encode("latin-1"))
     owed = ["A1,2021-01-01,EU,1", "A1,,EU,1", "A1,2021-01-01,,1", "Q9,2021-01-01,EU,1", "Q9,2021-01-01,EU,1"]
     (tmp_path / "backlog.csv").write_text("SKU,Date,Business_Unit,Backlog\n" + "\n".join(owed) + "\n")
     few = jobs.Inputs(inputs.actuals, inputs.catalog, str(tmp_path / "pipeline.csv"), None, str(tmp_path / "backlog.csv"))
     jobs.forecast_job(spark, few, str(tmp_path / "out"), SETTINGS, ["G1"], kind="parquet")
     counts = {(r.source, r.reason): r.rows for r in spark.read.parquet(f"{tmp_path}/out/counts").collect()}
     assert counts["actuals", "no_group"] == 6  # those of G2, which is not asked for
-    assert [counts["pipeline", r] for r in ("read", "no_date", "no_group", "no_unit", "unit_not_listed", "loaded")] == [8, 2, 2, 1, 1, 2]
+    assert [counts["pipeline", r] for r in ("read", "no_date", "no_group", "no_unit", "unit_not_listed", "loaded")] == [9, 2, 3, 1, 1, 2]
+    aside = sorted((r.reason, r.line) for r in spark.read.parquet(f"{tmp_path}/out/quarantine").collect())
+    assert aside == [("no date", ",A1,EU,1"), ("no date", "never,A1,EU,1"), (readers.FIELDS, "2021-01-01,A1,EU"), (readers.FIELDS, "2021-01-01,A1,EU,1,1")]
     assert [counts["backlog", r] for r in ("read", "no_date", "no_unit", "no_group")] == [5, 1, 1, 2]
 
 

@@ -1,7 +1,8 @@
-"""Registered queries of the analyses that need more than one pass of plain SQL: lags, matrices, tails, counters."""
+"""Registered queries of analyses and of reading: lags, matrices, tails, counts, notes, encodings and rows set aside."""
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 from itertools import combinations
 
@@ -9,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FEATURES, KEY
-from ..kept import kept
+from ..kept import kept, shared_folder
 from ..operators import diagnostics, features, metrics, series
 from ..operators.counters import Counters
 from ..operators.lag_moments import lag_errors
+from ..operators.notes import notes_in_order
+from ..sources import readers
 from ..sources import star_schema as star
 from .registry import SETTINGS, _catalog, _demand, _dense, _pipe, _prepared, _rounded, _with_prepared, query
 
@@ -190,3 +193,48 @@ def run_counts(spark: SparkSession, folder: str) -> DataFrame:
     owed = owed.withColumns({"Month": F.when(digit("Backlog") != 3, F.col("Month").cast("string")).otherwise("-"), "BU": F.when(digit("Backlog") != 7, F.col("BU")).otherwise("")})
     kept(features.backlog_monthly(owed, catalog.skus, counters=counters))
     return counters.table(spark)
+
+
+@query(
+    """SELECT l_returnflag, l_linestatus, count(*)::INT AS n_notes, string_agg(note, '; ' ORDER BY first, note) AS notes FROM (
+  SELECT l_returnflag, l_linestatus, note, min(position) AS first FROM (
+    SELECT l_returnflag, l_linestatus, l_orderkey * 10 + l_linenumber AS position,
+      CASE WHEN l_quantity % 7 = 0 THEN 'discount of ' || (l_orderkey % 11) WHEN l_quantity % 7 = 1 THEN 'line ' || l_linenumber END AS note FROM lineitem)
+  WHERE note IS NOT NULL GROUP BY ALL) GROUP BY ALL"""
+)
+def notes_of_series(spark: SparkSession, folder: str) -> DataFrame:
+    """Notes that repeat on most lines of a few series, each told once, in the order of its first line."""
+    kind = F.col("l_quantity").cast("int") % 7
+    note = F.when(kind == 0, F.concat(F.lit("discount of "), (F.col("l_orderkey") % 11).cast("string"))).when(kind == 1, F.concat(F.lit("line "), F.col("l_linenumber").cast("string")))
+    lines = star.table(spark, folder, "lineitem").select("l_returnflag", "l_linestatus", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("position"), note.alias("note"))
+    return notes_in_order(lines, ("l_returnflag", "l_linestatus"))
+
+
+@query(
+    """SELECT coalesce(reason, 'kept') AS reason, count(*) AS rows, sum(o_orderkey)::BIGINT AS keys FROM (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 20 IN (3, 4) THEN 'number of fields' WHEN o_orderkey % 20 = 5 THEN 'no date' END AS reason FROM orders) GROUP BY ALL"""
+)
+def quarantined_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders written as text, some lines short, some long, some without a date: what is kept, and what is set aside and why."""
+    path = f"{shared_folder(spark)}/orders-{uuid.uuid4()}"
+    at = F.col("o_orderkey") % 20
+    fields = [F.col("o_orderkey").cast("string"), F.when(at == 5, "soon").otherwise(F.col("o_orderdate").cast("date").cast("string")), F.col("o_totalprice").cast("string")]
+    line = F.when(at == 3, F.concat_ws(",", *fields[:2])).when(at == 4, F.concat_ws(",", *fields, F.lit("more"))).otherwise(F.concat_ws(",", *fields))
+    lines = star.table(spark, folder, "orders").select(line.alias("value"), "o_orderkey")
+    # Each file begins with a header, as exports in parts do.
+    parts = lines.select("value", F.spark_partition_id().alias("part"), F.lit(1).alias("nr"))
+    heads = parts.select("part").distinct().select(F.lit("key,day,price").alias("value"), "part", F.lit(0).alias("nr"))
+    parts.unionByName(heads).repartition("part").sortWithinPartitions("part", "nr").select("value", "part").write.partitionBy("part").text(path)
+    good, rejected = readers.read_checked(spark, f"{path}/*", {"no date": lambda df: F.try_to_timestamp("day").isNull()})
+    sides = good.select(F.lit("kept").alias("reason"), F.col("key").cast("long").alias("key")), rejected.select("reason", F.split("line", ",")[0].cast("long").alias("key"))
+    return sides[0].unionByName(sides[1]).groupBy("reason").agg(F.count("*").alias("rows"), F.sum("key").alias("keys"))
+
+
+@query("SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'Größe ' WHEN 1 THEN 'café ' ELSE 'plain ' END || c_name AS c_name FROM customer")
+def mixed_encodings(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers in files of two encodings in one folder, read without being told which is which."""
+    path, at = f"{shared_folder(spark)}/customers-{uuid.uuid4()}", F.col("c_custkey") % 3
+    named = star.table(spark, folder, "customer").select("c_custkey", F.concat(F.when(at == 0, "Größe ").when(at == 1, "café ").otherwise("plain "), "c_name").alias("c_name"))
+    for rest, encoding in ((0, "UTF-8"), (1, "ISO-8859-1")):
+        named.filter(F.col("c_custkey") % 2 == rest).write.mode("append").csv(path, header=True, encoding=encoding)
+    return readers.read_table(spark, path, readers.AUTO).select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name")

@@ -20,14 +20,17 @@ from .selection import order_selection, recommended_orders
 
 @dataclass(frozen=True)
 class Inputs:
-    """Paths of CSV files or, by their suffix, Parquet tables; pipeline, reference and backlog may be missing."""
+    """Paths of CSV files or, by their suffix, Parquet tables; pipeline, reference and backlog may be missing.
+
+    With pipeline_encoding auto, each pipeline file is UTF-8 if its bytes are, else Latin-1.
+    """
 
     actuals: str
     catalog: str
     pipeline: str | None = None
     reference: str | None = None
     backlog: str | None = None
-    pipeline_encoding: str = "UTF-8"
+    pipeline_encoding: str = readers.AUTO
 
 
 def read_catalog(spark: SparkSession, inputs: Inputs) -> Catalog:
@@ -73,9 +76,10 @@ def read_features(spark: SparkSession, inputs: Inputs, catalog: Catalog, setting
 
 
 def forecast_job(spark: SparkSession, inputs: Inputs, folder: str, settings: Settings, groups: list[str] | None = None, kind: str = "csv") -> DataFrame:
-    """Writes forecast, metrics, skipped, rejected and counts under folder, and returns the run's totals, a row.
+    """Writes forecast, metrics, skipped, rejected, counts and quarantine under folder, and returns the run's totals, a row.
 
     counts tells how many facts of each source were read and why others went; they are counted as they pass.
+    quarantine has the lines of a pipeline CSV that are broken (which are not read) or have no date.
     """
     counters = Counters()
     catalog = read_catalog(spark, inputs)
@@ -89,6 +93,11 @@ def forecast_job(spark: SparkSession, inputs: Inputs, folder: str, settings: Set
     readers.write_report(short, f"{folder}/skipped", KEY, kind)
     readers.write_report(catalog.rejected, f"{folder}/rejected", ("row_id",), kind)
     readers.write_report(counters.table(spark), f"{folder}/counts", ("source", "reason"), kind)
+    if inputs.pipeline:
+        bad = lambda df, c: features.as_date(df, c).isNull()
+        aside = readers.set_aside(spark, inputs.pipeline, features.PIPELINE_SYNONYMS["Timestamp"], bad, inputs.pipeline_encoding)
+        if aside is not None:
+            readers.write_report(aside, f"{folder}/quarantine", (), kind)
     return run_totals(report)
 
 
