@@ -26,7 +26,7 @@ def lag_errors(pairs: DataFrame, max_lag: int = 6, holdout: int = 6, keys: tuple
     train, test = F.col("_back") > holdout, F.col("_back") <= holdout
     fit = lambda c: F.when(train, F.col(c))
     sums = rows.groupBy(*keys, "lag").agg(
-        F.count_if(train).alias("n_train"), F.coalesce(F.regr_slope(fit("_y"), fit("_x")), F.lit(0.0)).alias("slope"),
+        F.count_if(train).alias("n_train"), F.when(F.min(fit("_x")) != F.max(fit("_x")), F.regr_slope(fit("_y"), fit("_x"))).otherwise(F.lit(0.0)).alias("slope"),
         F.avg(fit("_y")).alias("_mean_y"), F.avg(fit("_x")).alias("_mean_x"), F.collect_list(F.when(test, F.struct(F.col("_y").alias("y"), F.col("_x").alias("x")))).alias("_test"),
     )
     lines = sums.filter("n_train > 0").withColumn("intercept", F.col("_mean_y") - F.col("slope") * F.col("_mean_x"))

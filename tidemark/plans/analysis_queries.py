@@ -30,8 +30,9 @@ met AS (
   SELECT a.grp, a.bu, a.feature, k AS lag, a.y, b.x, a.n - a.rn < 6 AS test FROM placed a, (SELECT unnest(range(0, 7)) AS k)
   JOIN placed b ON a.grp = b.grp AND a.bu = b.bu AND a.feature = b.feature AND b.rn = a.rn - k),
 lines AS (
-  SELECT grp, bu, feature, lag, count(*) AS n_train, coalesce(regr_slope(y, x), 0) AS slope, avg(y) - coalesce(regr_slope(y, x), 0) * avg(x) AS intercept
-  FROM met WHERE NOT test GROUP BY ALL),
+  SELECT grp, bu, feature, lag, n_train, slope, mean_y - slope * mean_x AS intercept FROM (
+    SELECT grp, bu, feature, lag, count(*) AS n_train, CASE WHEN min(x) <> max(x) THEN regr_slope(y, x) ELSE 0 END AS slope, avg(y) AS mean_y, avg(x) AS mean_x
+    FROM met WHERE NOT test GROUP BY ALL)),
 lag_errors AS (
   SELECT l.*, e.mae FROM lines l JOIN (
     SELECT m.grp, m.bu, m.feature, m.lag, avg(abs(y - intercept - slope * x)) AS mae FROM met m JOIN lines l
