@@ -91,14 +91,14 @@ def _vif_sql(columns: list[str], reported: str) -> str:
         more, last = _determinants(k, left, name)
         steps += [*more, f"{name}_det AS ({last})"]
     for j, c in enumerate(columns):
-        selects.append(f"SELECT e.grp AS Product_Group, e.bu AS BU, '{c}' AS variable, m.det / w.det AS vif, n AS n_obs FROM entries e JOIN w_det w USING (grp, bu) JOIN d{j}_det m USING (grp, bu) WHERE ok_{j} AND (" + " + ".join(f"ok_{i}::INT" for i in range(k)) + ") >= 2")
+        selects.append(f"SELECT e.grp AS Product_Group, e.bu AS BU, '{c}' AS variable, m.det / w.det AS vif, n AS n_obs FROM entries e JOIN w_det w USING (grp, bu) JOIN d{j}_det m USING (grp, bu) WHERE w.det > 1e-9 AND ok_{j} AND (" + " + ".join(f"ok_{i}::INT" for i in range(k)) + ") >= 2")
     return _with_prepared(f"SELECT * FROM (WITH {', '.join(steps)} SELECT Product_Group, BU, variable, {reported}, n_obs FROM ({' UNION ALL '.join(selects)}))")
 
 
 @query(_vif_sql(list(FEATURES), "round(vif, 3) AS vif"))
 def vif_all_features(spark: SparkSession, folder: str) -> DataFrame:
-    """All six features: the sweep operator in Spark against determinants in SQL."""
-    out = diagnostics.vif_report(_prepared(spark, folder), list(FEATURES), 12).filter("vif is not null")
+    """All six features of series without tied ones: the sweep operator in Spark against determinants in SQL."""
+    out = diagnostics.vif_report(_prepared(spark, folder), list(FEATURES), 12).filter("vif is not null and condition_number < double('infinity')")
     return _rounded(out.select(*KEY, "variable", "vif", "n_obs"), 3)
 
 
