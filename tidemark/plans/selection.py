@@ -19,34 +19,60 @@ from ..tasks import run_tasks
 NEVER = 1 << 30
 SELECTION = ("series_key", "group", "bu", "status", "order", "seasonal_order", "mean_mae_h1", "mae_h3", "aicc", "ljung_box_pvalue", "fallback_model", "volatility_class", "warnings")
 
+# The search space. Each order and seasonal part with the months from which a stable and a volatile
+# series tries it (None: never), for a season of 12 months; and what volatile series try first, in this order.
+ORDERS = [
+    # (p, d, q), stable, volatile
+    ((1, 0, 0), 0, 0),
+    ((0, 0, 1), 0, 0),
+    ((1, 0, 1), 0, 0),
+    ((2, 0, 0), 48, 32),
+    ((0, 0, 2), 48, 32),
+    ((2, 0, 1), 60, 36),
+    ((1, 0, 2), 60, 36),
+    ((2, 0, 2), 60, 36),
+    ((0, 1, 0), 0, 0),
+    ((1, 1, 0), 0, 0),
+    ((0, 1, 1), 0, 0),
+    ((1, 1, 1), 0, 0),
+    ((2, 1, 0), 48, 32),
+    ((0, 1, 2), 48, 32),
+    ((2, 1, 1), 60, 0),
+    ((1, 1, 2), 60, 0),
+    ((2, 1, 2), 60, 0),
+]
+SEASONAL_PARTS = [
+    # (P, D, Q), stable, volatile
+    ((0, 0, 0), 0, 0),
+    ((0, 1, 0), 24, 24),
+    ((1, 0, 0), 24, 24),
+    ((0, 0, 1), 24, 24),
+    ((0, 1, 1), None, 24),
+    ((1, 0, 1), 48, 48),
+    ((1, 1, 0), None, 48),
+    ((1, 1, 1), 48, 48),
+]
+VOLATILE_FIRST_SEASONAL = [(0, 1, 1), (1, 1, 0), (1, 1, 1)]
+VOLATILE_FIRST_ORDERS = [(1, 1, 0), (0, 1, 1), (1, 1, 1), (2, 1, 1)]
+
 
 def candidate_table(season: int = 12) -> list[tuple]:
     """(volatile, p, d, q, seas_p, seas_d, seas_q, min_n, matched, preferred, complexity), one row per model to try.
 
-    Each part of an order opens up at a length: higher orders at 48 and 60 months (32 and 36 for volatile
-    series), seasonal parts with two and four seasons. A pair is matched if both differences are equal;
-    volatile series try matched pairs only, beginning with the preferred ones.
+    Seasonal parts open with so many seasons. A pair is matched if both differences are equal; volatile series
+    try matched pairs only, beginning with the preferred ones.
     """
-    # Levels open with lengths, seasonal parts with (stable, volatile) lengths, and pairs come first in this order.
-    two, four = 2 * season, 4 * season
-    opens = {False: {1: 0, 2: 48, 3: 60}, True: {1: 0, 2: 32, 3: 36}}
-    seasonal = [((0, 0, 0), 0, 0), ((0, 1, 0), two, two), ((1, 0, 0), two, two), ((0, 0, 1), two, two), ((0, 1, 1), NEVER, two), ((1, 0, 1), four, four), ((1, 1, 0), NEVER, four), ((1, 1, 1), four, four)]
-    first_seasonal = [(0, 1, 1), (1, 1, 0), (1, 1, 1)]
-    first_orders = [(1, 1, 0), (0, 1, 1), (1, 1, 1), (2, 1, 1)]
-    preferred = {(o, s): 4 * i + j for i, s in enumerate(first_seasonal) for j, o in enumerate(first_orders)}
+    first = {(o, s): i for i, (s, o) in enumerate(product(VOLATILE_FIRST_SEASONAL, VOLATILE_FIRST_ORDERS))}
     rows = []
-    for volatile, p, d, q in product((False, True), range(3), (0, 1), range(3)):
-        if (p, d, q) == (0, 0, 0):
-            continue
-        # Single terms up to order 1, a pure second order, then mixed ones with a second order.
-        level = 1 if max(p, q) < 2 else 2 if min(p, q) == 0 else 3
-        least = 0 if volatile and d == 1 and p * q else opens[volatile][level]
-        for (sp, sd, sq), stable_n, volatile_n in seasonal:
-            if volatile and d != sd:
+    for kind, volatile in ((1, False), (2, True)):
+        for order, part in product(ORDERS, SEASONAL_PARTS):
+            matched = order[0][1] == part[0][1]
+            if part[kind] is None or volatile and not matched:
                 continue
-            place = preferred.get(((p, d, q), (sp, sd, sq)), NEVER) if volatile else NEVER
-            rows.append((volatile, p, d, q, sp, sd, sq, max(least, volatile_n if volatile else stable_n), d == sd, place, p + d + q + sp + sd + sq))
-    return [r for r in rows if r[7] < NEVER]
+            place = first.get((order[0], part[0]), NEVER) if volatile else NEVER
+            least = max(order[kind], part[kind] * season // 12)
+            rows.append((volatile, *order[0], *part[0], least, matched, place, sum(order[0]) + sum(part[0])))
+    return rows
 
 
 def candidates(spark: SparkSession, series: DataFrame, season: int = 12) -> DataFrame:
