@@ -10,6 +10,7 @@ from fractions import Fraction
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
 from tidemark.llm import common, exact_dedup, language_id, line_dedup, lm_scoring, mixing, packing, quality, queries, simhash, suffix_dedup, topk
@@ -94,6 +95,27 @@ class TestLanguage:
         sample = language_id.training_texts(docs.selectExpr("*", "false as held_out"), 40, 30_000, 700)
         assert {k: len(v) for k, v in sample.items()} == dict.fromkeys(said, 38 * 701 - 1)
 
+    def test_most_languages(self, spark):
+        said = {"de": "der schnelle braune fuchs ", "fr": "le renard brun saute ", "en": "the quick brown fox jumps "}
+        rows = [(i, text, lang) for k, (lang, text) in enumerate(said.items()) for i in range(100 * k, 100 * k + 20 + 5 * k)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        # Those with the most labelled rows are learned.
+        got = {r.lang_pred for r in language_id.identify_languages(docs, max_langs=2).collect()}
+        assert got == {"fr", "en"}
+        added = language_id.add_languages(docs, "found", max_langs=1)
+        assert {r.lang_pred for r in added.select("found.lang_pred").collect()} == {"en"}
+
+    def test_memory_of_many_labels(self):
+        rng = np.random.default_rng(5)
+        texts = {f"l{i:03d}": "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzäöüßéèñ "), 600)) for i in range(200)}
+        asked = [texts["l007"][100:400], texts["l150"][:200], None, "12"]
+        small, large = language_id.CrossParser(texts, 512, dense=1 << 20), language_id.CrossParser(texts, 512)
+        assert small(asked)[0] == large(asked)[0] == ["l007", "l150", "und", "und"]
+        assert small(asked)[1].tolist() == large(asked)[1].tolist()
+        size = lambda p: sum(t.to.nbytes + (0 if t.owner is None else t.owner.nbytes + t.base.nbytes) for t in p.tables)
+        assert all(t.owner is not None for t in small.tables) and all(t.owner is None for t in large.tables)
+        assert size(small) < size(large) / 2 and size(large) <= 4 * language_id.DENSE
+
     @pytest.mark.parametrize("dense", [1 << 23, 0])
     def test_automaton_holds_exactly_the_substrings(self, dense):
         text = "abracadabra"
@@ -169,6 +191,18 @@ class TestQuality:
         assert quality.score_quality(awkward.limit(0), labels).count() == 0
         assert {r.score for r in quality.score_quality(awkward, labels.limit(0)).collect()} == {0.5}
 
+    def test_rows_are_bounded(self, spark):
+        """One id with many texts: the bound is one of rows, and a text that repeats is learned once."""
+        texts = [f"word{i} good text {i % 7}" for i in range(60)]
+        docs = spark.createDataFrame([(2, t) for t in texts + texts[:20] * 3], "doc_id long, text string").repartition(5)
+        labels = spark.createDataFrame([(2, 1)], "doc_id long, quality int")
+        order = [r.text for r in docs.distinct().orderBy(F.xxhash64("text")).collect()]
+        for bound, most in ((1, 1 << 28), (7, 1 << 28), (60, 1), (60, 1 << 28)):
+            taken = order[: 1 if most == 1 else bound]
+            alone = spark.createDataFrame([(2, t) for t in taken] + [(None, t) for t in order], docs.schema)
+            weights = [quality.train(d.select("doc_id", "text"), labels, "quality", n, b, 2, 10, 2, 0.5, 1.0, 0.02, 0.1) for d, n, b in ((docs, bound, most), (alone, 1000, 1 << 28))]
+            assert weights[0].any() and weights[0].tolist() == weights[1].tolist()
+        assert {r.score for r in quality.score_quality(docs, labels, max_bytes=0).collect()} == {0.5}
 
     def test_ftrl_against_plain_python(self):
         rng = np.random.default_rng(11)

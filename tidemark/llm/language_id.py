@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 from .common import id_bucket
 
 UNKNOWN = "und"
+#: Entries that the automata of all languages may have in tables by state and code, four bytes each.
+DENSE = 1 << 26
 
 
 def letters_only(text: str) -> np.ndarray:
@@ -108,10 +110,12 @@ def suffix_automaton(codes: np.ndarray, size: int, dense: int = 1 << 23) -> Tran
 class CrossParser:
     """Phrases that a text needs when each is the longest one that a language's training text holds."""
 
-    def __init__(self, texts: dict[str, str], block: int):
+    def __init__(self, texts: dict[str, str], block: int, dense: int = DENSE):
         self.langs, self.block = sorted(texts), block
         self.alphabet = Alphabet(list(texts.values()))
-        self.tables = [suffix_automaton(self.alphabet(letters_only(texts[k])), self.alphabet.size) for k in self.langs]
+        # The automata share the room; one that needs more than its part takes the form that follows its transitions.
+        dense = min(1 << 23, dense // max(1, len(self.langs)))
+        self.tables = [suffix_automaton(self.alphabet(letters_only(texts[k])), self.alphabet.size, dense) for k in self.langs]
         # A phrase costs the bits that point into the training text, as in the cross-entropy of parsing.
         self.bits = [math.log2(len(texts[k]) + 2) for k in self.langs]
 
@@ -176,13 +180,15 @@ def training_texts(rows: DataFrame, max_docs: int, max_chars: int, max_chars_per
 _parsers: dict[tuple, CrossParser] = {}
 
 
-def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = 40, max_chars: int = 30_000, block: int = 512, max_chars_per_doc: int = 5_000) -> DataFrame:
+def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = 40, max_chars: int = 30_000, block: int = 512, max_chars_per_doc: int = 5_000, max_langs: int = 200) -> DataFrame:
     """One row per input row: doc_id, held_out, lang_pred, score.
 
     Learns from labelled rows outside the fold (crc32 of the id modulo 4 is not 2): per language a sample of
     max_docs documents of any length, each cut at max_chars_per_doc characters and together at max_chars,
-    of at most 200 languages, those with the most labelled rows, becomes a suffix automaton (letters in lower case, everything else one separator). max_chars_per_doc
-    bounds a document's share of the training sample only. A whole text is then parsed into longest matches
+    of at most max_langs languages, those with the most labelled rows (ties: the smaller name), becomes a suffix
+    automaton (letters in lower case, everything else one separator). max_chars_per_doc bounds a document's
+    share of the training sample only. The automata's tables have DENSE entries in all or are sparse, so that
+    many labels cost time but not memory. A whole text is then parsed into longest matches
     by each automaton, and the language that needs the fewest bits of phrases wins; ties go to the smaller
     name. No phrase crosses a multiple of block characters, so that all blocks are parsed side by side.
 
@@ -192,14 +198,14 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.withColumn("held_out", id_bucket(F.col("doc_id"), 4) == 2)
-    out = predicted(rows.select("doc_id", "held_out", "text"), training_texts(rows, max_docs, max_chars, max_chars_per_doc), block, ["doc_id", "held_out"])
+    out = predicted(rows.select("doc_id", "held_out", "text"), training_texts(rows, max_docs, max_chars, max_chars_per_doc, max_langs), block, ["doc_id", "held_out"])
     return out.select("doc_id", "held_out", "found.lang_pred", "found.score")
 
 
-def add_languages(docs: DataFrame, prefix: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = 40, max_chars: int = 30_000, block: int = 512, max_chars_per_doc: int = 5_000) -> DataFrame:
+def add_languages(docs: DataFrame, prefix: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = 40, max_chars: int = 30_000, block: int = 512, max_chars_per_doc: int = 5_000, max_langs: int = 200) -> DataFrame:
     """docs, all columns and rows as they are, with a struct column prefix (lang_pred, score) as identify_languages finds it."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    sample = training_texts(rows.withColumn("held_out", id_bucket(F.col("doc_id"), 4) == 2), max_docs, max_chars, max_chars_per_doc)
+    sample = training_texts(rows.withColumn("held_out", id_bucket(F.col("doc_id"), 4) == 2), max_docs, max_chars, max_chars_per_doc, max_langs)
     packed = docs.select(F.struct("*").alias("doc"), F.col(text_col).cast("string").alias("text"))
     return predicted(packed, sample, block, ["doc"]).select("doc.*", F.col("found").alias(prefix))
 

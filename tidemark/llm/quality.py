@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import id_bucket
@@ -76,35 +76,46 @@ def train_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], size: int, epochs
     return weights(np.arange(size + 1))
 
 
-def train(rows: DataFrame, labels: DataFrame, label_col: str, max_rows: int, shards: int, bits: int, epochs: int, alpha: float, beta: float, l1: float, l2: float) -> np.ndarray:
-    """Mean of the weights of shards of a bounded sample: the max_rows labelled rows with the smallest hashes."""
+def train(rows: DataFrame, labels: DataFrame, label_col: str, max_rows: int, max_bytes: int, shards: int, bits: int, epochs: int, alpha: float, beta: float, l1: float, l2: float) -> np.ndarray:
+    """Mean of the weights of shards of a bounded sample: the labelled texts with the smallest hashes, max_rows and about max_bytes of them."""
     usable = labels.select(F.col("doc_id"), F.col(label_col).cast("int").alias("label")).filter(f"doc_id is not null and label in (0, 1) and {_HELD_OUT} <> 1")
     sample = usable.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    texts = rows.select("doc_id", "text").join(F.broadcast(sample), "doc_id").withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(shards)))
+    labelled = rows.select("doc_id", "text").join(F.broadcast(sample), "doc_id").withColumn("key", F.xxhash64("text"))
+    # An id may have many rows: the bound is one of different texts, of which a few numbers each are sorted.
+    sizes = labelled.groupBy("doc_id", "key").agg(F.max(F.coalesce(F.octet_length("text"), F.lit(0))).alias("bytes"))
+    first = (F.xxhash64("doc_id"), F.col("doc_id"), F.col("key"))
+    bounded = sizes.orderBy(*first).limit(max_rows)
+    before = F.coalesce(F.sum("bytes").over(Window.orderBy(*first).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    chosen = bounded.withColumn("before", before).filter(F.col("before") < max_bytes).select("doc_id", "key")
+    texts = labelled.join(F.broadcast(chosen), ["doc_id", "key"])
+    shard = F.pmod(F.xxhash64("doc_id", "key", F.lit(3)), F.lit(shards))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each text as the indices of its features and how often they occur, so that no text is shuffled."""
         features = Features(bits)
         for batch in batches:
-            found = [np.unique(features(x.as_buffer().to_pybytes() if x.is_valid else b""), return_counts=True) for x in batch.column(3)]
+            found = [np.unique(features(x.as_buffer().to_pybytes() if x.is_valid else b""), return_counts=True) for x in batch.column(4)]
             packed = [pa.array([f[k].astype("<u4").tobytes() for f in found], pa.binary()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *packed], names=["doc_id", "label", "shard", "at", "count"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *packed], names=["doc_id", "key", "label", "shard", "at", "count"])
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(order=[zlib.crc32(str(i).encode()) for i in pdf.doc_id]).sort_values(["order", "doc_id"])
+        pdf = pdf.assign(order=[zlib.crc32(str(i).encode()) for i in pdf.doc_id]).sort_values(["order", "doc_id", "key"])
         examples = []
         for at, count, y in zip(pdf["at"], pdf["count"], pdf["label"], strict=True):
             n = np.frombuffer(count, dtype="<u4")
             examples.append((np.frombuffer(at, dtype="<u4").astype(np.int64), n * (MASS / n.sum()), int(y)))
         w = train_ftrl(examples, 1 << bits, epochs, alpha, beta, l1, l2)
         at = np.flatnonzero(w)
-        return pd.DataFrame({"feature": at, "weight": w[at]})
+        return pd.DataFrame({"shard": pdf["shard"].iloc[0], "feature": at, "weight": w[at]})
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    texts = texts.select("doc_id", "label", "shard", "text").mapInArrow(hashed, f"doc_id {kind}, label int, shard bigint, at binary, count binary")
-    parts = texts.groupBy("shard").applyInPandas(fit, "feature bigint, weight double")
+    found = texts.select("doc_id", "key", "label", shard.alias("shard"), "text")
+    found = found.mapInArrow(hashed, f"doc_id {kind}, key bigint, label int, shard bigint, at binary, count binary").dropDuplicates(["doc_id", "key"])
+    parts = found.groupBy("shard").applyInPandas(fit, "shard bigint, feature bigint, weight double")
+    # In the order of the shards, so that a rerun adds the same numbers in the same order.
+    weights = F.transform(F.array_sort(F.collect_list(F.struct("shard", "weight"))), lambda x: x["weight"])
     out = np.zeros((1 << bits) + 1, dtype=np.float64)
-    for r in parts.groupBy("feature").agg((F.sum("weight") / F.lit(shards)).alias("weight")).toLocalIterator():
+    for r in parts.groupBy("feature").agg((F.aggregate(weights, F.lit(0.0), lambda a, b: a + b) / F.lit(shards)).alias("weight")).toLocalIterator():
         out[r.feature] = r.weight
     return out
 
@@ -119,6 +130,7 @@ def score_quality(
     text_col: str = "text",
     label_col: str = "quality",
     max_rows: int = 20_000,
+    max_bytes: int = 1 << 28,
     shards: int = 4,
     bits: int = 18,
     epochs: int = 6,
@@ -130,7 +142,9 @@ def score_quality(
     """One row per input row: doc_id, held_out, score, predicted.
 
     Learns from a bounded sample of labelled documents outside the fold (crc32 of the id modulo 3 is not 1):
-    the max_rows with the smallest hashes, in shards that train side by side and whose weights are averaged.
+    the max_rows different texts of an id with the smallest hashes, those within max_bytes of text (and the one
+    that reaches it), in shards that train side by side and whose weights are averaged. Rows that repeat id and
+    text are learned once.
     A whole text's n-grams (words and their shapes, alone and in pairs) are hashed to 2^bits weights; the
     score is the logistic of their mean weight and the bias, a sparse dot product.
 
@@ -140,7 +154,7 @@ def score_quality(
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     labels = labels.select(F.col(id_col).alias("doc_id"), label_col)
-    weights = train(rows, labels, label_col, max_rows, shards, bits, epochs, alpha, beta, l1, l2)
+    weights = train(rows, labels, label_col, max_rows, max_bytes, shards, bits, epochs, alpha, beta, l1, l2)
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
