@@ -194,12 +194,12 @@ class TestQuality:
     def test_rows_are_bounded(self, spark):
         """One id with many texts: the bound is one of rows, and a text that repeats is learned once."""
         texts = [f"word{i} good text {i % 7}" for i in range(60)]
-        docs = spark.createDataFrame([(2, t) for t in texts + texts[:20] * 3], "doc_id long, text string").repartition(5)
-        labels = spark.createDataFrame([(2, 1)], "doc_id long, quality int")
+        docs = spark.createDataFrame([(1, t) for t in texts + texts[:20] * 3], "doc_id long, text string").repartition(5)
+        labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
         order = [r.text for r in docs.distinct().orderBy(F.xxhash64("text")).collect()]
         for bound, most in ((1, 1 << 28), (7, 1 << 28), (60, 1), (60, 1 << 28)):
             taken = order[: 1 if most == 1 else bound]
-            alone = spark.createDataFrame([(2, t) for t in taken] + [(None, t) for t in order], docs.schema)
+            alone = spark.createDataFrame([(1, t) for t in taken] + [(None, t) for t in order], docs.schema)
             weights = [quality.train(d.select("doc_id", "text"), labels, "quality", n, b, 2, 10, 2, 0.5, 1.0, 0.02, 0.1) for d, n, b in ((docs, bound, most), (alone, 1000, 1 << 28))]
             assert weights[0].any() and weights[0].tolist() == weights[1].tolist()
         assert {r.score for r in quality.score_quality(docs, labels, max_bytes=0).collect()} == {0.5}
