@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import matrices
 from tidemark.functions.distributions import chi_squared_tail
-from tidemark.operators import diagnostics, lag_moments, metrics
+from tidemark.operators import diagnostics, lag_moments, metrics, moment_store
 from tidemark.operators.counters import Counters, rows_where
 from tidemark.operators.notes import notes_in_order
 from tidemark.sources import readers
@@ -175,3 +175,47 @@ def test_rows_set_aside(spark, tmp_path):
     ]
     # A column alone, and a count, see the same rows.
     assert good.select("Product").count() == 2 and rejected.count() == 5 and good.count() + rejected.count() == 7
+
+
+class TestMomentStore:
+    COLUMNS = ["a", "b", "c"]
+
+    def facts(self, spark):
+        """Several rows a month, with gaps, a column that never varies, one that is too short, and large values."""
+        rng = np.random.default_rng(4)
+        rows = []
+        for g in ("g", "h", "still", "short", "gone"):
+            for i in range(3 if g == "short" else 90):
+                a, b, c = 1e9 + rng.standard_normal(3)
+                a = 0.1 if g == "still" else a
+                gaps = [rng.random() < 0.2 for _ in range(4)]
+                values = [None if gap or (g == "gone" and k == 2) else float(v) for k, (gap, v) in enumerate(zip(gaps, (a, b, c, a + b), strict=True))]
+                rows.append((g, "EU", date(2020 + i // 36, i // 3 % 12 + 1, i % 3 + 1), *values))
+        return spark.createDataFrame(rows, "Product_Group string, BU string, Date date, a double, b double, c double, y double")
+
+    def close(self, got, want, key):
+        got, want = ({tuple(r[c] for c in key): r.asDict() for r in df.collect()} for df in (got, want))
+        assert got.keys() == want.keys() and want
+        for at, row in want.items():
+            for name, value in row.items():
+                flat = lambda v: [x for x in (v if isinstance(v, list) else [v])]
+                for x, y in zip(flat(got[at][name]), flat(value), strict=True):
+                    assert x == (pytest.approx(y, rel=1e-5, abs=1e-5) if isinstance(y, float) else y), (at, name)
+
+    def test_months_merge_to_all_rows(self, spark, tmp_path):
+        data, store = self.facts(spark), str(tmp_path / "store")
+        every = [*self.COLUMNS, "y"]
+        late = (F.dayofmonth("Date") == 2) & (F.month("Date") < 5)
+        for batch, rows in (("1", F.year("Date") == 2020), ("2", F.year("Date") > 2020)):
+            moment_store.add_facts(data.filter(rows & ~late), every, store, batch)
+        for _ in range(2):  # a batch that runs again counts once
+            moment_store.add_facts(data.filter(late), every, store, "3")
+        kept = moment_store.read_store(spark, store)
+        assert kept.agg(F.sum("n")).first()[0] == data.count()
+        pairs = (*KEY, "variable_x", "variable_y")
+        self.close(moment_store.merged_correlations(kept, self.COLUMNS, 12, "y"), diagnostics.pairwise_correlations(data, self.COLUMNS, 12, "y"), pairs)
+        self.close(moment_store.merged_moments(kept, every, 12), diagnostics.complete_moments(data, every, 12, KEY), KEY)
+
+    def test_no_rows(self, spark):
+        none = moment_store.month_moments(self.facts(spark).limit(0), self.COLUMNS)
+        assert moment_store.merged_moments(none, self.COLUMNS, 12).count() == moment_store.merged_correlations(none, self.COLUMNS, 12).count() == 0

@@ -111,7 +111,12 @@ def vif_report(data: DataFrame, columns: list[str], min_obs: int, keys: tuple[st
     A column that follows from the others has an infinite factor, and so have those; the condition number is
     then infinite. Sums are one exchange on the keys, and matrices are worked on as arrays, a row a series.
     """
-    solved = inflation(complete_moments(data, columns, min_obs, keys), columns, 0, keys)
+    return vif_of_moments(complete_moments(data, columns, min_obs, keys), columns, keys)
+
+
+def vif_of_moments(moments: DataFrame, columns: list[str], keys: tuple[str, ...] = ANALYSIS_KEY) -> DataFrame:
+    """The report of vif_report, from moments as complete_moments or a store of them has."""
+    solved = inflation(moments, columns, 0, keys)
     each = F.posexplode(F.array(*map(F.lit, columns))).alias("_at", "variable")
     rows = solved.select(*keys, "valid", "counts", "vif", "condition_number", each).filter(F.get("valid", F.col("_at")))
     note = F.when(F.col("vif").isNull(), TOO_FEW).otherwise("")

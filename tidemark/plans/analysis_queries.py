@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 
 from ..config import FEATURES, KEY
 from ..kept import kept, shared_folder
-from ..operators import diagnostics, features, metrics, series
+from ..operators import diagnostics, features, metrics, moment_store, series
 from ..operators.counters import Counters
 from ..operators.lag_moments import lag_errors
 from ..operators.notes import notes_in_order
 from ..sources import readers
 from ..sources import star_schema as star
-from .registry import SETTINGS, _catalog, _demand, _dense, _pipe, _prepared, _rounded, _with_prepared, query
+from .registry import ORACLES, SETTINGS, _catalog, _demand, _dense, _pipe, _prepared, _rounded, _with_prepared, query
 
 _LAG_FEATURES = ("Quantity", "New_Quotes")
 
@@ -102,6 +102,35 @@ def vif_all_features(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(out.select(*KEY, "variable", "vif", "n_obs"), 3)
 
 
+def _stored(spark: SparkSession, folder: str, columns: list[str]) -> DataFrame:
+    """A store filled by three batches: even months, then odd ones, in which a part of the groups comes late."""
+    data = kept(_prepared(spark, folder).select(*KEY, "Date", *columns))
+    even, late = F.month("Date") % 2 == 0, F.crc32(F.col("Product_Group").cast("binary")) % 2 == 1
+    store = f"{shared_folder(spark)}/moments-{uuid.uuid4()}"
+    for batch, rows in (("even", even), ("odd", ~even & ~late), ("late", ~even & late)):
+        moment_store.add_facts(data.filter(rows), columns, store, batch, KEY)
+    return moment_store.read_store(spark, store, KEY)
+
+
+@query()
+def stored_correlation(spark: SparkSession, folder: str) -> DataFrame:
+    """Correlations merged from a store of monthly moments equal those of all rows."""
+    columns = ["Revenue", "Quantity", "New_Quotes"]
+    store = _stored(spark, folder, [*columns, "Actual_Quantity"])
+    return _rounded(moment_store.merged_correlations(store, columns, 12, "Actual_Quantity", KEY))
+
+
+ORACLES["stored_correlation"] = ORACLES["pairwise_correlation"]
+
+
+@query(_vif_sql(list(FEATURES), "round(vif, 3) AS vif"))
+def stored_vif(spark: SparkSession, folder: str) -> DataFrame:
+    """Inflation factors of all six features from a store of monthly moments."""
+    moments = moment_store.merged_moments(_stored(spark, folder, list(FEATURES)), list(FEATURES), 12, KEY)
+    out = diagnostics.vif_of_moments(moments, list(FEATURES), KEY).filter("vif is not null and condition_number < double('infinity')")
+    return _rounded(out.select(*KEY, "variable", "vif", "n_obs"), 3)
+
+
 _TIED = ["Revenue", "Quantity", "New_Quotes"]
 
 
