@@ -74,3 +74,27 @@ def test_order_selection_and_lag_jobs(spark, inputs, tmp_path):
     assert {r.series_key for r in report} == {"G1__EU", "G2__EU"} and len(orders) == sum(r.status == "sarima_selected" for r in report)
     lags = jobs.lag_job(spark, inputs, str(tmp_path), SETTINGS)
     assert lags.count() == readers.read_table(spark, f"{tmp_path}/lags").count() > 0
+
+
+def test_diagnostics_job(spark, inputs, tmp_path):
+    unmapped = jobs.diagnostics_job(spark, inputs, str(tmp_path), kind="parquet").first()
+    # Products match exactly here: the 48 rows of b2 are not those of the catalog's B2.
+    assert (unmapped.missing_pipeline_mappings, unmapped.missing_actual_mappings) == (0, 48)
+    read = lambda name: spark.read.parquet(f"{tmp_path}/{name}").collect()
+    # Only pipeline facts named like a group, or as the reference tells, have a product group here.
+    assert not read("correlations") and not read("collinearity")
+    months = [f"{y}-{m:02d}-01" for y in range(2021, 2025) for m in range(1, 13)]
+    sold = [f"{d},{name},EU,{10 * i},{i % 7 + 1},{3 * (i % 7) + i},1,0,0" for name in ("G1", "Sold", "Other") for i, d in enumerate(months)]
+    (tmp_path / "pipeline.csv").write_text("CloseDate,Product_Name,Business_Unit_Code,Revenue,Quantity,Open_Opportunities,New_Quotes,Revenue_new_orders,Quantity_new_orders\n" + "\n".join(sold) + "\n")
+    named = jobs.Inputs(inputs.actuals, inputs.catalog, str(tmp_path / "pipeline.csv"))
+    jobs.diagnostics_job(spark, named, f"{tmp_path}/named", kind="parquet")
+    read = lambda name: spark.read.parquet(f"{tmp_path}/named/{name}").collect()
+    assert {(r.Product_Group, r.variable_x, r.variable_y) for r in read("correlations")} == {
+        ("G1", x, y) for x, y in [("Revenue", "Quantity"), ("Revenue", "Open_Opportunities"), ("Revenue", "Actual_Quantity"), ("Quantity", "Open_Opportunities"), ("Quantity", "Actual_Quantity"), ("Open_Opportunities", "Actual_Quantity")]
+    }
+    # Open_Opportunities follows from the other two.
+    assert {(r.variable, r.vif) for r in read("collinearity")} == {(c, float("inf")) for c in ("Revenue", "Quantity", "Open_Opportunities")}
+    assert {r.variable for r in read("too_few")} == {"New_Quotes", "Revenue_new_orders", "Quantity_new_orders"}
+    assert len(read("stationarity")) == 7 and sum(r.is_constant for r in read("stationarity")) == 3
+    with pytest.raises(ValueError, match="pipeline"):
+        jobs.diagnostics_job(spark, jobs.Inputs(inputs.actuals, inputs.catalog), str(tmp_path))

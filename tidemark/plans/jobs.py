@@ -6,15 +6,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..config import KEY, Settings
+from ..config import FEATURES, KEY, Settings
 from ..kept import kept
-from ..operators import features, mapping, series
+from ..operators import diagnostics, features, mapping, series
 from ..operators.catalog import Catalog, parse_catalog
 from ..operators.counters import Counters
 from ..operators.metrics import holdout_metrics
 from ..sources import readers
 from .forecast import forecast_run, run_totals
 from .lag_sweep import lag_sweep
+from .prepared import prepared_dataset
 from .selection import order_selection, recommended_orders
 
 
@@ -123,3 +124,27 @@ def lag_job(spark: SparkSession, inputs: Inputs, folder: str, settings: Settings
     report = kept(lag_sweep(read_demand(spark, inputs, catalog, settings, catalog.groups), chosen, catalog.groups, settings))
     readers.write_report(report, f"{folder}/lags", (), kind)
     return report
+
+
+def diagnostics_job(spark: SparkSession, inputs: Inputs, folder: str, min_obs: int = 12, kind: str = "csv") -> DataFrame:
+    """Writes stationarity, correlations, collinearity, too_few and unmapped under folder, and returns the last, a row.
+
+    All are of the dataset that aligns pipeline features with actual quantities by group, unit and month.
+    too_few has the variables of each series that are left out of correlations and collinearity: those with
+    fewer than min_obs values and those that do not vary.
+    """
+    if not inputs.pipeline:
+        raise ValueError("diagnostics need pipeline data")
+    rows = kept(readers.read_catalog(spark, inputs.catalog))
+    raw = features.rename_pipeline(readers.read_pipeline(spark, inputs.pipeline, inputs.pipeline_encoding))
+    data, unmapped = prepared_dataset(readers.read_actuals(spark, inputs.actuals), raw, rows, readers.read_reference(spark, inputs.reference))
+    data, unmapped = kept(data), kept(unmapped)
+    used = [c for c in FEATURES if c in data.columns]
+    every = [*used, "Actual_Quantity"]
+    readers.write_report(diagnostics.stationarity_report(data, every, min_obs), f"{folder}/stationarity", (*KEY, "variable"), kind)
+    readers.write_report(diagnostics.pairwise_correlations(data, used, min_obs, "Actual_Quantity"), f"{folder}/correlations", (*KEY, "variable_x", "variable_y"), kind)
+    readers.write_report(diagnostics.vif_report(data, used, min_obs), f"{folder}/collinearity", (*KEY, "variable"), kind)
+    too_few = diagnostics.valid_columns(data, every, min_obs).filter("not is_valid")
+    readers.write_report(too_few, f"{folder}/too_few", (*KEY, "variable"), kind)
+    readers.write_report(unmapped, f"{folder}/unmapped", (), kind)
+    return unmapped
