@@ -68,6 +68,17 @@ def test_counts_of_what_goes(spark, inputs, tmp_path):
     assert [counts["backlog", r] for r in ("read", "no_date", "no_unit", "no_group")] == [5, 1, 1, 2]
 
 
+def test_baseline_job(spark, inputs, tmp_path):
+    totals = jobs.baseline_job(spark, inputs, str(tmp_path), SETTINGS, kind="parquet").first()
+    assert (totals.models, totals.forecasts) == (1, 12)
+    read = lambda name: spark.read.parquet(f"{tmp_path}/{name}").collect()
+    report = sorted(read("baseline"), key=lambda r: r.Date)
+    assert [r.Date for r in report] == [f"2025-{m:02d}" for m in range(1, 13)] and {r.Model_Type for r in report} == {"SEASONAL_NAIVE"}
+    assert all(0 <= r.Lower_CI <= r.Forecast <= r.Upper_CI for r in report)
+    assert [(r.Product_Group, r.n, r.reason) for r in read("baseline_skipped")] == [("G2", 6, "insufficient data")]
+    assert len(read("baseline_metrics")) == 1
+
+
 def test_order_selection_and_lag_jobs(spark, inputs, tmp_path):
     orders = jobs.order_selection_job(spark, inputs, str(tmp_path), SETTINGS).collect()
     report = spark.read.parquet(f"{tmp_path}/order_selection").collect()

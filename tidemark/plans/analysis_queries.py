@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 from ..config import FEATURES, KEY
 from ..kept import kept, shared_folder
-from ..operators import diagnostics, features, metrics, moment_store, series
+from ..operators import diagnostics, features, metrics, moment_store, series, series_store
 from ..operators.counters import Counters
 from ..operators.lag_moments import lag_errors
+from ..operators.naive_drift import naive_phases
 from ..operators.notes import notes_in_order
 from ..sources import readers
 from ..sources import star_schema as star
+from .forecast import phase_report
 from .registry import ORACLES, SETTINGS, _catalog, _demand, _dense, _pipe, _prepared, _rounded, _with_prepared, query
 
 _LAG_FEATURES = ("Quantity", "New_Quotes")
@@ -268,3 +270,71 @@ def mixed_encodings(spark: SparkSession, folder: str) -> DataFrame:
     for rest, encoding in ((0, "UTF-8"), (1, "ISO-8859-1")):
         named.filter(F.col("c_custkey") % 2 == rest).write.mode("append").csv(path, header=True, encoding=encoding)
     return readers.read_table(spark, path, readers.AUTO).select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name")
+
+
+_NAIVE = """cut AS (SELECT grp, bu, d, v FROM demand WHERE d <= DATE '2001-06-01'),
+months AS (
+  SELECT g.grp, g.bu, g.d, v, row_number() OVER w - 1 AS rn, count(*) OVER (PARTITION BY g.grp, g.bu) AS n, max(g.d) OVER (PARTITION BY g.grp, g.bu) AS last
+  FROM (SELECT grp, bu, unnest(range(min(d), max(d) + INTERVAL 1 MONTH, INTERVAL 1 MONTH))::DATE AS d FROM cut GROUP BY grp, bu) g
+  LEFT JOIN cut c ON g.grp = c.grp AND g.bu = c.bu AND g.d = c.d WINDOW w AS (PARTITION BY g.grp, g.bu ORDER BY g.d)),
+trained AS (SELECT m.*, phase, n - held AS train FROM months m, (VALUES ('holdout', 6), ('full', 0)) p (phase, held) WHERE n >= 12 AND rn < n - held),
+changes AS (
+  SELECT a.grp, a.bu, a.phase, avg(a.v - b.v) AS drift, stddev_samp(a.v - b.v) AS deviation FROM trained a JOIN trained b
+  ON a.grp = b.grp AND a.bu = b.bu AND a.phase = b.phase AND b.rn = a.rn - 12 WHERE a.v - b.v IS NOT NULL GROUP BY ALL HAVING count(*) >= 2),
+places AS (SELECT grp, bu, phase, n, train, last, rn % 12 AS place, arg_max(v, rn) AS v, max(rn) AS seen FROM trained WHERE v IS NOT NULL GROUP BY ALL),
+fits AS (
+  SELECT grp, bu, phase FROM places JOIN changes USING (grp, bu, phase) GROUP BY ALL HAVING count(*) = 12 AND max(train - seen) <= 12),
+fitted AS (
+  SELECT grp, bu, phase, n, last, t, v + k * drift AS f, 1.2815515655446004 * deviation * sqrt(k) AS width FROM (
+    SELECT p.*, drift, deviation, t, (t - seen) / 12 AS k FROM places p JOIN fits USING (grp, bu, phase) JOIN changes USING (grp, bu, phase), unnest(range(train, n + 12)) AS s (t)
+    WHERE t % 12 = place)),
+pairs AS (SELECT f.grp, f.bu, v AS a, f FROM fitted f JOIN months m ON m.grp = f.grp AND m.bu = f.bu AND m.rn = f.t WHERE phase = 'holdout' AND v IS NOT NULL),
+measures AS (
+  SELECT grp, bu, avg(f - a) / nullif(avg(a), 0) * 100 AS bias, sum(abs(f - a)) / nullif(sum(abs(a)), 0) * 100 AS mae, sqrt(avg((f - a) * (f - a))) AS rmse,
+    avg(CASE WHEN a <> 0 THEN abs((f - a) / a) END) * 100 AS mape, stddev_pop(a) / nullif(abs(avg(a)), 0) * 100 AS cov FROM pairs GROUP BY ALL),
+chosen AS (SELECT * FROM fitted f WHERE t >= n AND (phase = 'full' OR NOT EXISTS (FROM fits x WHERE x.grp = f.grp AND x.bu = f.bu AND x.phase = 'full')))"""
+
+
+@query(
+    f"""SELECT * FROM (WITH {_NAIVE} SELECT grp AS Product_Group, bu AS BU, coalesce(name, '') AS BU_Name, 'SEASONAL_NAIVE' AS Model_Type,
+  'Seasonal naive with drift (12)' AS Model_Used, 'N/A' AS SARIMA_Params, 'None' AS Exogenous_Used, strftime(last + to_months((t - n + 1)::INT), '%Y-%m') AS Date,
+  round_even(greatest(f, 0), 0) AS Forecast, round_even(greatest(f - width, 0), 0) AS Lower_CI, round_even(greatest(f + width, 0), 0) AS Upper_CI,
+  round_even(mae, 2) AS "MAE%", round_even(bias, 2) AS "Bias%", round_even(rmse, 2) AS RMSE, round_even(mape, 2) AS MAPE, round_even(cov, 2) AS CoV
+FROM chosen LEFT JOIN measures USING (grp, bu) LEFT JOIN units ON code = bu)"""
+)
+def naive_forecast_report(spark: SparkSession, folder: str) -> DataFrame:
+    """All columns of the report, by a model that Spark folds over each series: holdout, refit, and the holdout's
+    forecast for series of which a month of the last year is missing, so that they have no refit."""
+    fitted, _ = naive_phases(_demand(spark, folder), SETTINGS, max_age=12)
+    return phase_report(kept(fitted), _catalog(spark, folder).unit_names, SETTINGS)[0]
+
+
+@query(
+    f"""SELECT * FROM (WITH {_NAIVE}, short AS (SELECT grp, bu, any_value(n) AS n FROM months GROUP BY ALL)
+SELECT grp AS Product_Group, bu AS BU, n, CASE WHEN n < 12 THEN 'insufficient data' WHEN full_ THEN 'full' WHEN held THEN 'holdout' ELSE 'no fit' END AS outcome FROM (
+  SELECT s.*, EXISTS (FROM fits x WHERE x.grp = s.grp AND x.bu = s.bu AND phase = 'full') AS full_, EXISTS (FROM fits x WHERE x.grp = s.grp AND x.bu = s.bu AND phase = 'holdout') AS held
+  FROM short s))"""
+)
+def naive_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    """What becomes of each series: too short, forecast by its refit, by its holdout's fit, or not at all."""
+    cut = kept(series.prepared_series(_demand(spark, folder), SETTINGS))
+    fitted, short = naive_phases(cut, SETTINGS, max_age=12)
+    fits = fitted.groupBy(*KEY).agg(F.bool_or(F.col("phase") == "full").alias("_full"))
+    rows = series.series_lengths(cut).join(short.select(*KEY, "reason"), list(KEY), "left").join(fits, list(KEY), "left")
+    outcome = F.coalesce("reason", F.when(F.col("_full"), "full").when(~F.col("_full"), "holdout").otherwise("no fit"))
+    return rows.select(*KEY, "n", outcome.alias("outcome"))
+
+
+@query(ORACLES["actuals_with_features"].partition(star.SQL_VIEWS.strip())[2].strip())
+def stores_that_meet(spark: SparkSession, folder: str) -> DataFrame:
+    """Demand and pipeline features in bucketed stores: four months are written wrong at first, and then again."""
+    name, late = uuid.uuid4().hex, (F.col("Date") >= "1999-11-01") & (F.col("Date") < "2000-03-01")
+    pipe, demand, buckets = kept(_pipe(spark, folder).select(*KEY, "Date", "Revenue", "Quantity")), kept(_demand(spark, folder)), 4
+    stores = []
+    for kind, rows, values in (("actuals", demand, ["Actuals"]), ("features", pipe, ["Revenue", "Quantity"])):
+        table = f"{kind}_{name}"
+        stores.append(series_store.open_store(spark, table, values, f"{shared_folder(spark)}/{table}", buckets))
+        wrong = rows.withColumns({v: F.when(late, -1.0).otherwise(F.col(v)) for v in values})
+        series_store.replace_months(wrong, table, buckets)
+        series_store.replace_months(rows.filter(late), table, buckets)
+    return _rounded(series_store.meet(*(spark.table(f"{kind}_{name}") for kind in ("actuals", "features"))), 2)

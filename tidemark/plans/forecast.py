@@ -78,6 +78,33 @@ def fit_strategy(y: np.ndarray, x: np.ndarray | None, future: np.ndarray | None,
         return None
 
 
+def phase_report(fitted: DataFrame, unit_names: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
+    """(report of 16 columns, holdout pairs) of the rows of both phases, whatever model they are from.
+
+    fitted: (Product_Group, BU, last_month, strategy, phase, step, actual, forecast, lower, upper, descriptor,
+    sarima_params, exog). Step 1 is the first month after the history; the holdout's months have steps up to 0.
+    Months ahead are those of phase full, and the holdout's own where a series has no full fit.
+    """
+    value = lambda c: clipped(F.col(c), settings.non_negative).alias(c)
+    rows = fitted.select(
+        *KEY, "phase", "strategy", F.add_months("last_month", F.col("step")).alias("Date"), "step", F.nanvl("actual", F.lit(None)).alias("actual"),
+        "descriptor", "sarima_params", "exog", F.col("forecast").alias("raw"), value("forecast"), value("lower"), value("upper"),
+    )
+    pairs = rows.filter("phase = 'holdout' and step <= 0").select(*KEY, "Date", "actual", F.col("raw").alias("forecast"))
+    metrics = holdout_metrics(pairs)
+    ahead = rows.filter("step >= 1")
+    has_full = ahead.filter("phase = 'full' and step = 1").select(*KEY, F.lit(True).alias("_full"))
+    chosen = ahead.join(has_full, list(KEY), "left").filter("phase = 'full' or _full is null")
+    out = chosen.join(metrics, list(KEY), "left").join(unit_names, "BU", "left")
+    exog = F.coalesce(F.nullif(F.array_join("exog", ", "), F.lit("")), F.lit("None"))
+    report = out.select(
+        "Product_Group", "BU", F.coalesce("BU_Name", F.lit("")).alias("BU_Name"), F.col("strategy").alias("Model_Type"), F.col("descriptor").alias("Model_Used"), F.col("sarima_params").alias("SARIMA_Params"), exog.alias("Exogenous_Used"),
+        F.date_format("Date", "yyyy-MM").alias("Date"), *[F.bround(c, 0).alias(n) for c, n in (("forecast", "Forecast"), ("lower", "Lower_CI"), ("upper", "Upper_CI"))],
+        *[two_digits(F.col(c)).alias(n) for c, n in (("mae_percent", "MAE%"), ("bias_percent", "Bias%"), ("rmse", "RMSE"), ("mape", "MAPE"), ("cov", "CoV"))],
+    )
+    return report, pairs
+
+
 def forecast_run(demand: DataFrame, groups: DataFrame, unit_names: DataFrame, settings: Settings, pipeline: DataFrame | None = None, backlog: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(report of 16 columns, holdout pairs, skipped series with reasons).
 
@@ -115,21 +142,7 @@ def forecast_run(demand: DataFrame, groups: DataFrame, unit_names: DataFrame, se
         return [head | {"step": h + 1 - (len(y) - train), "actual": held[h], "forecast": float(m), "lower": float(a), "upper": float(b)} for h, (m, a, b) in enumerate(zip(mean, lower, upper, strict=True))]
 
     fitted = kept(run_tasks(tasks, fit, TASK_SCHEMA))
-    value = lambda c: clipped(F.col(c), settings.non_negative).alias(c)
-    # step 1 is the first month after the history; the holdout's months have steps up to 0
-    fitted = fitted.join(planned.select(*KEY, "last_month", "strategy"), list(KEY)).select(*KEY, "phase", "strategy", F.add_months("last_month", F.col("step")).alias("Date"), "step", F.nanvl("actual", F.lit(None)).alias("actual"), "descriptor", "sarima_params", "exog", F.col("forecast").alias("raw"), value("forecast"), value("lower"), value("upper"))
-    pairs = fitted.filter("phase = 'holdout' and step <= 0").select(*KEY, "Date", "actual", F.col("raw").alias("forecast"))
-    metrics = holdout_metrics(pairs)
-    ahead = fitted.filter("step >= 1")
-    has_full = ahead.filter("phase = 'full' and step = 1").select(*KEY, F.lit(True).alias("_full"))
-    chosen = ahead.join(has_full, list(KEY), "left").filter("phase = 'full' or _full is null")
-    out = chosen.join(metrics, list(KEY), "left").join(unit_names, "BU", "left")
-    exog = F.coalesce(F.nullif(F.array_join("exog", ", "), F.lit("")), F.lit("None"))
-    report = out.select(
-        "Product_Group", "BU", F.coalesce("BU_Name", F.lit("")).alias("BU_Name"), F.col("strategy").alias("Model_Type"), F.col("descriptor").alias("Model_Used"), F.col("sarima_params").alias("SARIMA_Params"), exog.alias("Exogenous_Used"),
-        F.date_format("Date", "yyyy-MM").alias("Date"), *[F.bround(c, 0).alias(n) for c, n in (("forecast", "Forecast"), ("lower", "Lower_CI"), ("upper", "Upper_CI"))],
-        *[two_digits(F.col(c)).alias(n) for c, n in (("mae_percent", "MAE%"), ("bias_percent", "Bias%"), ("rmse", "RMSE"), ("mape", "MAPE"), ("cov", "CoV"))],
-    )
+    report, pairs = phase_report(fitted.join(planned.select(*KEY, "last_month", "strategy"), list(KEY)), unit_names, settings)
     return report, pairs, short
 
 

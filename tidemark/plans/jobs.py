@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import FEATURES, KEY, Settings
 from ..kept import kept
@@ -12,8 +13,9 @@ from ..operators import diagnostics, features, mapping, series
 from ..operators.catalog import Catalog, parse_catalog
 from ..operators.counters import Counters
 from ..operators.metrics import holdout_metrics
+from ..operators.naive_drift import naive_phases
 from ..sources import readers
-from .forecast import forecast_run, run_totals
+from .forecast import forecast_run, phase_report, run_totals
 from .lag_sweep import lag_sweep
 from .prepared import prepared_dataset
 from .selection import order_selection, recommended_orders
@@ -102,6 +104,28 @@ def forecast_job(spark: SparkSession, inputs: Inputs, folder: str, settings: Set
     return run_totals(report)
 
 
+def baseline_job(spark: SparkSession, inputs: Inputs, folder: str, settings: Settings, groups: list[str] | None = None, kind: str = "csv", max_age: int = 24) -> DataFrame:
+    """Writes baseline, baseline_metrics and baseline_skipped under folder, and returns the run's totals, a row.
+
+    The forecast of a model without features, the seasonal naive one with drift, to set a forecast run against;
+    it has the same columns, and the same months are held out. Series with too few months are skipped, and so are
+    those that have a place in the year without a value of the last max_age months.
+    """
+    catalog = read_catalog(spark, inputs)
+    asked = asked_groups(catalog, groups)
+    cut = kept(series.prepared_series(read_demand(spark, inputs, catalog, settings, asked), settings))
+    fitted, short = naive_phases(cut, settings, max_age)
+    fitted = kept(fitted)
+    report, pairs = phase_report(fitted, catalog.unit_names, settings)
+    report = kept(report)
+    unfit = series.series_lengths(cut).join(short.select(*KEY), list(KEY), "left_anti").join(fitted.select(*KEY), list(KEY), "left_anti")
+    skipped = short.unionByName(unfit.select(*KEY, "n", F.lit("no fit").alias("reason")))
+    readers.write_report(report, f"{folder}/baseline", (*KEY, "Date"), kind)
+    readers.write_report(holdout_metrics(pairs), f"{folder}/baseline_metrics", KEY, kind)
+    readers.write_report(skipped, f"{folder}/baseline_skipped", KEY, kind)
+    return run_totals(report)
+
+
 def order_selection_job(spark: SparkSession, inputs: Inputs, folder: str, settings: Settings, groups: list[str] | None = None, kind: str = "parquet") -> DataFrame:
     """Writes the order selection and the recommended orders (as JSON text) under folder, and returns the latter."""
     catalog = read_catalog(spark, inputs)
