@@ -199,3 +199,24 @@ class TestNearest:
         heaps.merge()
         want = neighbours([(i, v) for i, v in enumerate(values.tolist())], 1, 3)
         assert Counter((q, i, s) for q, s, i in zip(*(x.tolist() for x in heaps.best), strict=True)) == Counter((q, i, s) for q, _, i, s in want if q < 7)
+
+
+def test_mix_of_small_sources_as_in_sql(spark, tmp_path):
+    """Sources of under 512 blocks have shorter ones, in SQL too."""
+    import duckdb
+    from pyspark.sql import functions as F
+
+    from tidemark.llm.queries import ORACLES, QUERIES
+
+    i = F.col("id")
+    source = F.when(i % 1500 == 1, "few").when(i % 600 == 2, "less").when(i % 7 == 0, None).otherwise("most")
+    docs = spark.range(3000).select(i.alias("doc_id"), F.expr("repeat('word ', int(id * 37 % 900))").alias("text"), source.alias("source"))
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op8_mix_sources"](spark, str(tmp_path)).collect()
+    c = duckdb.connect()
+    c.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = {r[0]: r[1:] for r in c.sql(f"SELECT doc_id, size, source_size, taken FROM ({ORACLES['op8_mix_sources']})").fetchall()}
+    assert {r.doc_id: (r.size, r.source_size, r.taken) for r in got} == want
+    total = sum(r.size for r in got)
+    block = total // 131072
+    assert block > 1 and min(r.source_size for r in got) < 512 * block

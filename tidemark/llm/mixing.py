@@ -155,23 +155,27 @@ opened AS (SELECT *, cap > level * weight AS is_open FROM leveled),
 targets AS (
   SELECT src, source_size, CASE WHEN is_open THEN (SELECT max_by(level, left_weight) FROM opened WHERE is_open) * weight ELSE cap::DOUBLE END AS target
   FROM opened),
-ranges AS (
-  SELECT *, coalesce(sum(target) OVER (ORDER BY src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS low FROM targets),
 params AS (SELECT t AS total, greatest(1, least(1024, t // 131072)) AS block FROM (SELECT sum(source_size)::BIGINT AS t FROM sizes)),
+shares AS (
+  SELECT *, target * (block::DOUBLE / length::DOUBLE) AS share
+  FROM (SELECT *, greatest(1, least(block, source_size // 512))::BIGINT AS length FROM targets, params)),
+ranges AS (
+  SELECT *, coalesce(sum(share) OVER (ORDER BY src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS low FROM shares),
+wholes AS (SELECT any_value(block) AS block, any_value(total) AS total, sum(share - target) AS more FROM shares),
 slots AS (
-  SELECT i AS slot, ((i::HUGEINT * 11400714819323198485::HUGEINT) % 18446744073709551616::HUGEINT)::DOUBLE / 18446744073709551616::DOUBLE * total::DOUBLE AS place
-  FROM (SELECT unnest(range(total // block + 1)) AS i, total FROM params)),
+  SELECT i AS slot, ((i::HUGEINT * 11400714819323198485::HUGEINT) % 18446744073709551616::HUGEINT)::DOUBLE / 18446744073709551616::DOUBLE * (greatest(total, 1)::DOUBLE + more) AS place
+  FROM (SELECT unnest(range(floor((total + more) / block)::BIGINT + 1)) AS i, total, more FROM wholes)),
 ranked AS (
-  SELECT r.src, row_number() OVER (PARTITION BY r.src ORDER BY slot) - 1 AS rank, (r.source_size + block - 1) // block AS blocks
-  FROM slots JOIN ranges r ON place < r.low + r.target AND place >= r.low, params),
+  SELECT r.src, row_number() OVER (PARTITION BY r.src ORDER BY slot) - 1 AS rank, (r.source_size + length - 1) // length AS blocks
+  FROM slots JOIN ranges r ON place < r.low + r.share AND place >= r.low),
 uses AS (SELECT src, rank % blocks AS block_no, count(*) AS uses FROM ranked WHERE rank // blocks < 3 GROUP BY ALL),
 placed AS (
   SELECT *, sum(size) OVER (PARTITION BY src ORDER BY place, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT - size AS begin FROM sized),
 parts AS (
-  SELECT doc_id, src, begin, size, unnest(range(begin // block, (begin + size - 1) // block + 1)) AS block_no, block
-  FROM placed, params WHERE size > 0),
+  SELECT doc_id, src, begin, size, unnest(range(begin // length, (begin + size - 1) // length + 1)) AS block_no, length
+  FROM placed JOIN shares USING (src) WHERE size > 0),
 used AS (
-  SELECT doc_id, begin, sum((least(begin + size, (p.block_no + 1) * block) - greatest(begin, p.block_no * block)) * uses)::BIGINT AS taken
+  SELECT doc_id, begin, sum((least(begin + size, (p.block_no + 1) * length) - greatest(begin, p.block_no * length)) * uses)::BIGINT AS taken
   FROM parts p JOIN uses u ON p.src = u.src AND p.block_no = u.block_no GROUP BY doc_id, begin)
 SELECT s.doc_id, s.size, t.source_size, t.target, coalesce(CASE WHEN s.size > 0 THEN u.taken END, 0) AS taken
 FROM placed s JOIN targets t ON s.src = t.src LEFT JOIN used u ON s.doc_id IS NOT DISTINCT FROM u.doc_id AND s.begin = u.begin
