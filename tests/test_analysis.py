@@ -219,3 +219,27 @@ class TestMomentStore:
     def test_no_rows(self, spark):
         none = moment_store.month_moments(self.facts(spark).limit(0), self.COLUMNS)
         assert moment_store.merged_moments(none, self.COLUMNS, 12).count() == moment_store.merged_correlations(none, self.COLUMNS, 12).count() == 0
+
+
+@pytest.mark.parametrize("noise", [0.1, 0.03, 0.003])
+def test_vif_sql_of_close_features(spark, noise):
+    """Features that large tables bring near to each other are not tied; a series in which one follows from the others is left out."""
+    import duckdb
+    import pandas as pd
+
+    from tidemark.config import FEATURES
+    from tidemark.plans.analysis_queries import _swept_vif_sql
+
+    rng, columns, frames = np.random.default_rng(5), list(FEATURES), []
+    for g in ("a", "b", "still", "tied"):
+        values = pd.DataFrame(rng.gamma(4, 1000, 80)[:, None] * (1 + noise * rng.standard_normal((80, 6))), columns=columns).assign(grp=g, bu="EU")
+        values["Quantity"] = 0.5 if g == "still" else 2 * values["Revenue"] + values["New_Quotes"] if g == "tied" else values["Quantity"]
+        frames.append(values)
+    prepared = pd.concat(frames)
+    with duckdb.connect() as c:
+        c.register("prepared", prepared)
+        want = {r[:3]: r[3:] for r in c.sql(_swept_vif_sql(columns, "round(vif, 3) AS vif")).fetchall()}
+    data = spark.createDataFrame(prepared.rename(columns={"grp": "Product_Group", "bu": "BU"}))
+    got = diagnostics.vif_report(data, columns, 12).filter("vif is not null and condition_number < double('infinity')")
+    got = {(r.Product_Group, r.BU, r.variable): (round(r.vif, 3), r.n_obs) for r in got.collect()}
+    assert got == want and len(got) == 17

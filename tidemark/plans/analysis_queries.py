@@ -97,9 +97,51 @@ def _vif_sql(columns: list[str], reported: str) -> str:
     return _with_prepared(f"SELECT * FROM (WITH {', '.join(steps)} SELECT Product_Group, BU, variable, {reported}, n_obs FROM ({' UNION ALL '.join(selects)}))")
 
 
-@query(_vif_sql(list(FEATURES), "round(vif, 3) AS vif"))
+def _swept(k: int) -> str:
+    """Common table expressions that sweep the correlations r of entries as inflation_factors does: the largest pivot first, only pivots above 1e-10.
+
+    swept has m, the inverse where done holds for all columns. spread has the ends of the eigenvalues, from squares of r and m.
+    """
+    at = lambda m, i, j: f"{m}[({i}) * {k} + {j} + 1]"
+    times = lambda a, b: f"list_transform(range({k * k}), lambda e: list_sum(list_transform(range({k}), lambda x: {at(a, f'e // {k}', 'x')} * {at(b, 'x', f'e % {k}')})))"
+    trace = lambda m: f"list_sum(list_transform(range({k}), lambda y: {at(m, 'y', 'y')}))"
+    scaled = lambda m: f"list_transform({m}, lambda v: v / {trace(m)})"
+    value = (
+        f"CASE WHEN e // {k} = p AND e % {k} = p THEN 1 / d WHEN e // {k} = p THEN m[e + 1] / d WHEN e % {k} = p THEN -m[e + 1] / d"
+        f" ELSE m[e + 1] - {at('m', f'e // {k}', 'p')} * {at('m', 'p', f'e % {k}')} / d END"
+    )
+    return f"""sweeps AS (
+  SELECT grp, bu, n, ok, r, r AS m, list_transform(range({k}), lambda i: false) AS done, 0 AS step FROM entries
+  UNION ALL SELECT grp, bu, n, ok, r, CASE WHEN d > 1e-10 THEN list_transform(range({k * k}), lambda e: {value}) ELSE m END,
+    list_transform(range({k}), lambda i: done[i + 1] OR (d > 1e-10 AND i = p)), step + 1
+  FROM (SELECT *, list_max(pivots) AS d, list_position(pivots, list_max(pivots)) - 1 AS p FROM (
+    SELECT *, list_transform(range({k}), lambda i: CASE WHEN done[i + 1] THEN -1.0::DOUBLE ELSE {at('m', 'i', 'i')} END) AS pivots FROM sweeps WHERE step < {k}))),
+swept AS (SELECT * FROM sweeps WHERE step = {k}),
+squares AS (
+  SELECT grp, bu, r, m, {scaled('r')} AS a, {scaled('m')} AS b, 0 AS step FROM swept WHERE list_bool_and(done)
+  UNION ALL SELECT grp, bu, r, m, {scaled('aa')}, {scaled('bb')}, step + 1 FROM (SELECT *, {times('a', 'a')} AS aa, {times('b', 'b')} AS bb FROM squares WHERE step < 14)),
+spread AS (
+  SELECT grp, bu, {trace('ra')} / {trace('a')} AS most, {trace('b')} / {trace('mb')} AS least
+  FROM (SELECT *, {times('r', 'a')} AS ra, {times('m', 'b')} AS mb FROM squares WHERE step = 14))"""
+
+
+def _swept_vif_sql(columns: list[str], reported: str, prepared: str = "prepared") -> str:
+    """Inflation factors of the series without tied columns, by the rule of diagnostics.inflation; columns that do not vary have a unit row."""
+    k = len(columns)
+    ok = [f"(count({c}) >= 12 AND min({c}) <> max({c}))" for c in columns]
+    entry = lambda i, j: "1.0::DOUBLE" if i == j else f"CASE WHEN {ok[i]} AND {ok[j]} THEN corr({columns[i]}, {columns[j]}) ELSE 0 END"
+    entries = ", ".join(entry(min(i, j), max(i, j)) for i in range(k) for j in range(k))
+    names = ", ".join(f"'{c}'" for c in columns)
+    return f"""SELECT * FROM (WITH RECURSIVE entries AS (SELECT grp, bu, count(*) AS n, [{", ".join(ok)}] AS ok, [{entries}] AS r FROM {prepared} GROUP BY grp, bu),
+{_swept(k)}
+SELECT Product_Group, BU, variable, {reported}, n_obs FROM (
+  SELECT grp AS Product_Group, bu AS BU, [{names}][i + 1] AS variable, m[i * {k + 1} + 1] AS vif, n AS n_obs
+  FROM swept JOIN spread USING (grp, bu), (SELECT unnest(range({k})) AS i) WHERE least > 1e-12 * most AND ok[i + 1] AND len(list_filter(ok, lambda x: x)) >= 2))"""
+
+
+@query(_with_prepared(_swept_vif_sql(list(FEATURES), "round(vif, 3) AS vif")))
 def vif_all_features(spark: SparkSession, folder: str) -> DataFrame:
-    """All six features of series without tied ones: the sweep operator in Spark against determinants in SQL."""
+    """All six features of series without tied ones: the sweep operator in Spark and in SQL."""
     out = diagnostics.vif_report(_prepared(spark, folder), list(FEATURES), 12).filter("vif is not null and condition_number < double('infinity')")
     return _rounded(out.select(*KEY, "variable", "vif", "n_obs"), 3)
 
