@@ -75,3 +75,27 @@ def test_report_columns(spark):
     assert tuple(report.columns) == REPORT and rows and len(rows) % 12 == 0
     assert all(r.Lower_CI <= r.Forecast <= r.Upper_CI and r.Lower_CI >= 0 for r in rows)
     assert compare_scenarios(demand, read.groups, read.unit_names, SETTINGS, None, None).count() > 0
+
+
+def _above(plan, leaf, node):
+    """How many nodes of a class are above the relation with a column, on the way down to it; None if it is not there."""
+    children = [plan.children().apply(i) for i in range(plan.children().size())]
+    if not children:
+        return 0 if f"{leaf}#" in plan.toString() else None
+    found = [n for n in (_above(c, leaf, node) for c in children) if n is not None]
+    return found and max(found) + (plan.nodeName() == node) if found else None
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan()
+
+
+def test_lines_move_by_order_and_by_part_only(spark):
+    from tidemark.sources import star_schema
+
+    assert _above(_optimized(star_schema.pipeline(spark, SMALL)), "l_orderkey", "Join") == 2
+
+
+def test_names_are_summed_before_their_groups_repeat_them(spark):
+    """Summed by name, and then by group: each line of a name with 25 groups was 25 rows to be summed."""
+    assert _above(_optimized(registry._prepared(spark, SMALL)), "l_orderkey", "Aggregate") == 2

@@ -17,6 +17,7 @@ def prepared_dataset(actuals: DataFrame, pipeline: DataFrame, catalog_rows: Data
 
     Products match exactly after stripping, the last catalog row of a SKU wins; units must be listed; dates
     are as given. Every month of pipeline data has a row, with a null quantity where there are no actuals.
+    Pipeline facts are summed by name, unit and date before a name's groups repeat them.
     """
     skus, units = analysis_skus(catalog_rows), analysis_units(catalog_rows)
     groups = catalog_rows.select(stripped(F.col("group_key")).alias("Product_Group")).filter("Product_Group <> ''").distinct()
@@ -27,10 +28,11 @@ def prepared_dataset(actuals: DataFrame, pipeline: DataFrame, catalog_rows: Data
     quantity = valid_units(sold.dropna(subset=["Product_Group", "BU", "Date"]), units, "drop").groupBy("Product_Group", "BU", "Date").agg(F.coalesce(F.sum("Actuals"), F.lit(0.0)).alias("Actual_Quantity"))
     known = reference.join(groups, stripped(reference["group_key"]) == groups["Product_Group"], "left_semi").select(stripped(F.col("salesforce_product_name")).alias("SF_Product_Name")).union(groups).filter("SF_Product_Name <> ''").distinct()
     named = pipeline.withColumn("SF_Product_Name", stripped(F.col("SF_Product_Name"))).join(known, "SF_Product_Name", "left_semi")
-    mapped = reference_or_group(named.withColumns({"BU": stripped(F.col("BU")), "Date": as_date(pipeline, "Timestamp")}), reference, groups)
-    missing_pipeline = mapped.agg(F.count_if(F.col("Product_Group").isNull()).alias("missing_pipeline_mappings"))
     features = [c for c in FEATURES if c in pipeline.columns]
     number = lambda c: currency_number(F.col(c)) if dict(pipeline.dtypes)[c] == "string" else F.col(c).cast("double")
+    named = named.groupBy("SF_Product_Name", stripped(F.col("BU")).alias("BU"), as_date(pipeline, "Timestamp").alias("Date")).agg(*[F.sum(number(c)).alias(c) for c in features], F.count("*").alias("_rows"))
+    mapped = reference_or_group(named, reference, groups)
+    missing_pipeline = mapped.agg(F.coalesce(F.sum(F.when(F.col("Product_Group").isNull(), F.col("_rows"))), F.lit(0)).alias("missing_pipeline_mappings"))
     rows = valid_units(mapped.dropna(subset=["Product_Group", "BU", "Date"]), units, "drop")
-    sums = rows.groupBy("Product_Group", "BU", "Date").agg(*[F.coalesce(F.sum(number(c)), F.lit(0.0)).alias(c) for c in features])
+    sums = rows.groupBy("Product_Group", "BU", "Date").agg(*[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in features])
     return sums.join(quantity, ["Product_Group", "BU", "Date"], "left"), missing_pipeline.join(missing_actuals)

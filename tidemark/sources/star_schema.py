@@ -50,21 +50,25 @@ def catalog(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
-    """(Timestamp, SF_Product_Name, BU, six features); names in five forms and some that no group has."""
-    orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("_k"), "o_custkey", "o_orderstatus", "o_orderdate")
-    lines = table(spark, folder, "lineitem").select("l_orderkey", F.col("l_partkey").alias("p_partkey"), "l_quantity", "l_extendedprice")
-    part = table(spark, folder, "part").select("p_partkey", "p_name", "p_brand")
-    rows = _region_of(lines.join(orders, "l_orderkey").join(part, "p_partkey"), spark, folder, "customer", "custkey")
+    """(Timestamp, SF_Product_Name, BU, six features); names in five forms and some that no group has.
+
+    Orders get their units, and parts their names, before lines meet them: lines move by order and by part only.
+    """
     k, n = F.col("p_partkey"), F.col("p_partkey").cast("string")
     name = (
         F.when(k % 17 == 0, F.concat(F.lit("UNKNOWN-"), n)).when(k % 5 == 0, F.col("p_name")).when(k % 5 == 1, F.concat(F.lit("  "), F.upper("p_name"), F.lit(" ")))
         .when(k % 5 == 2, F.lower("p_brand")).when(k % 5 == 3, F.concat(F.lit("Prod_"), n)).otherwise(F.concat(F.lit("Prod_ "), n))
     )
+    part = table(spark, folder, "part").select("p_partkey", name.alias("SF_Product_Name"))
     code = F.substring("r_name", 1, 2)
     unit = F.when(F.col("o_custkey") % 3 == 0, code).when(F.col("o_custkey") % 3 == 1, F.col("r_name")).otherwise(F.lower(code))
+    orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("_k"), "o_custkey", "o_orderstatus", "o_orderdate")
+    orders = _region_of(orders, spark, folder, "customer", "custkey").select("l_orderkey", "o_orderstatus", "o_orderdate", unit.alias("BU"))
+    lines = table(spark, folder, "lineitem").select("l_orderkey", F.col("l_partkey").alias("p_partkey"), "l_quantity", "l_extendedprice")
+    rows = lines.join(orders, "l_orderkey").join(part, "p_partkey")
     opened = F.col("o_orderstatus") == "O"
     return rows.select(
-        F.col("o_orderdate").alias("Timestamp"), name.alias("SF_Product_Name"), unit.alias("BU"), F.col("l_extendedprice").alias("Revenue"), F.col("l_quantity").alias("Quantity"),
+        F.col("o_orderdate").alias("Timestamp"), "SF_Product_Name", "BU", F.col("l_extendedprice").alias("Revenue"), F.col("l_quantity").alias("Quantity"),
         F.when(F.col("o_orderstatus") == "P", 1.0).otherwise(0.0).alias("Open_Opportunities"), F.lit(1.0).alias("New_Quotes"),
         F.when(opened, F.col("l_extendedprice")).otherwise(0.0).alias("Revenue_new_orders"), F.when(opened, F.col("l_quantity")).otherwise(0.0).alias("Quantity_new_orders"),
     )
