@@ -99,3 +99,22 @@ def test_lines_move_by_order_and_by_part_only(spark):
 def test_names_are_summed_before_their_groups_repeat_them(spark):
     """Summed by name, and then by group: each line of a name with 25 groups was 25 rows to be summed."""
     assert _above(_optimized(registry._prepared(spark, SMALL)), "l_orderkey", "Aggregate") == 2
+
+
+def test_facts_meet_the_catalog_before_they_are_summed(spark):
+    """A sum by product, unit and month has nearly as many rows as there are facts, which then moved twice."""
+    from tidemark.operators import features, series
+    from tidemark.sources import star_schema
+
+    skus = registry._catalog(spark, SMALL).skus
+    assert _above(_optimized(series.monthly_demand(series.clean_actuals(star_schema.actuals(spark, SMALL)), skus)), "l_partkey", "Aggregate") == 1
+    assert _above(_optimized(features.backlog_monthly(star_schema.backlog(spark, SMALL), skus)), "l_partkey", "Aggregate") == 1
+
+
+def test_facts_of_several_groups_count_once(spark):
+    from tidemark.operators import mapping
+
+    skus = spark.createDataFrame([("a", "P1"), ("b", "P1"), ("a", "P1"), ("c", "P2")], "Product_Group string, sku string")
+    facts = spark.createDataFrame([("p1",), ("P2",), ("p3",)], "Product string")
+    rows = mapping.map_products(facts, skus, keep_unmapped=True, once="once").collect()
+    assert sorted((r.Product, r.Product_Group or "", r.once) for r in rows) == [("P2", "c", True), ("p1", "a", True), ("p1", "b", False), ("p3", "", True)]

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 #: Text that stands for a missing value after a CSV round trip.
 MISSING = ("nan", "None")
+#: The characters that Unicode has as white space.
+WHITE_SPACE = "\t\n\v\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy/MM/dd", "M/d/yyyy", "MMM yyyy", "MMM-yyyy", "d-MMM-yyyy", "yyyyMMdd")
 
 
 def stripped(c: Column) -> Column:
     """Without white space of any kind at either end."""
-    return F.regexp_replace(c.cast("string"), r"(?U)^\s+|\s+$", "")
+    return F.trim(c.cast("string"), F.lit(WHITE_SPACE))
 
 
 def clean_key(c: Column, lower: bool = False) -> Column:
@@ -27,7 +29,7 @@ def clean_key(c: Column, lower: bool = False) -> Column:
 def normalize_code(c: Column) -> Column:
     """A product code in upper case without spaces, one ITEM or PROD prefix and leading underscores."""
     text = F.replace(F.upper(stripped(c)), F.lit(" "), F.lit(""))
-    return F.coalesce(F.regexp_replace(F.regexp_replace(text, "^(ITEM_|ITEM|PROD_|PROD)", ""), "^_+", ""), F.lit(""))
+    return F.coalesce(F.regexp_replace(text, "^(ITEM|PROD)?_*", ""), F.lit(""))
 
 
 def double_or_null(c: Column) -> Column:
@@ -63,10 +65,10 @@ def month_start(c: Column) -> Column:
 
 def split_list(c: Column, trim: bool = False) -> Column:
     """Values of a list field: split at the first of | ; and line feed that occurs. Blanks inside stay unless trim."""
-    text = F.regexp_replace(c.cast("string"), "\r", "")
+    text = F.replace(c.cast("string"), F.lit("\r"), F.lit(""))
     text = stripped(text) if trim else text
     split = reduce(lambda rest, d: F.when(F.contains(text, F.lit(d)), F.split(text, "\\" + d if d == "|" else d)).otherwise(rest), ("\n", ";", "|"), F.array(text))
-    values = F.transform(split, stripped) if trim else F.transform(split, lambda x: F.regexp_replace(x, "\n+$", ""))
+    values = F.transform(split, stripped) if trim else F.transform(split, lambda x: F.when(F.contains(x, F.lit("\n")), F.regexp_replace(x, "\n+$", "")).otherwise(x))
     return F.coalesce(F.filter(values, lambda x: x != ""), F.array().cast("array<string>"))
 
 

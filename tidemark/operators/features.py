@@ -152,13 +152,14 @@ def backlog_monthly(backlog: DataFrame, skus: DataFrame, by_bu: bool = True, cou
     dated, known = F.col("Date").isNotNull(), F.col("BU") != "" if by_bu else F.lit(True)
     rows = rows if by_bu else rows.withColumn("BU", F.lit(""))
     rows = rows if counters else rows.filter(dated & known)
-    sums = rows.groupBy("Product", "BU", "Date").agg(F.sum("Backlog").alias("Backlog"), F.count("*").alias(ROWS))
-    if counters:
-        sums = counters.keep(sums, "backlog", read=F.sum(ROWS), no_date=rows_where(~dated, ROWS), no_unit=rows_where(dated & ~known, ROWS)).filter(dated & known)
-    mapped = map_products(sums, skus, "normalized", keep_unmapped=counters is not None)
-    if counters:
-        mapped = counters.keep(mapped, "backlog", no_group=rows_where(F.col("Product_Group").isNull(), ROWS)).filter("Product_Group is not null")
-    return mapped.groupBy(*KEY, "Date").agg(F.sum("Backlog").alias("Backlog"))
+    if not counters:
+        return map_products(rows, skus, "normalized").groupBy(*KEY, "Date").agg(F.sum("Backlog").alias("Backlog"))
+    rows = map_products(rows, skus, "normalized", keep_unmapped=True, once="_once")
+    sums = rows.groupBy(*KEY, "Date").agg(F.sum("Backlog").alias("Backlog"), F.count_if("_once").alias(ROWS))
+    group = F.col("Product_Group").isNotNull()
+    gone = {"no_date": ~dated, "no_unit": dated & ~known, "no_group": dated & known & ~group}
+    sums = counters.keep(sums, "backlog", read=F.sum(ROWS), **{reason: rows_where(c, ROWS) for reason, c in gone.items()}).filter(dated & known & group)
+    return sums.groupBy(*KEY, "Date").agg(F.sum("Backlog").alias("Backlog"))
 
 
 def backlog_features(monthly: DataFrame, current_month: date, horizon: int, max_months: int = 1200) -> DataFrame:

@@ -11,15 +11,18 @@ from .catalog import Catalog
 _MATCH = {"lower": lambda c: clean_key(c, lower=True), "exact": clean_key, "normalized": normalize_code}
 
 
-def map_products(facts: DataFrame, skus: DataFrame, match: str = "lower", product: str = "Product", keep_unmapped: bool = False) -> DataFrame:
+def map_products(facts: DataFrame, skus: DataFrame, match: str = "lower", product: str = "Product", keep_unmapped: bool = False, once: str | None = None) -> DataFrame:
     """facts with Product_Group, once for each group that lists the product (SKUs listed twice count once).
 
-    match is lower, exact or normalized. Rows that no group lists go, or stay with a null group. The lookup
-    is a dimension, which Spark broadcasts when it is small.
+    match is lower, exact or normalized. Rows that no group lists go, or stay with a null group. once names
+    a column that is true in one row of each fact. The lookup is a dimension, which Spark broadcasts when it is small.
     """
     key = _MATCH[match]
     lookup = skus.select(key(F.col("sku")).alias("_sku"), "Product_Group").filter("_sku <> ''").distinct()
-    return facts.withColumn("_sku", key(F.col(product))).join(lookup, "_sku", "left" if keep_unmapped else "inner").drop("_sku")
+    if once:
+        lookup = lookup.withColumn(once, F.min("Product_Group").over(Window.partitionBy("_sku")) == F.col("Product_Group"))
+    out = facts.withColumn("_sku", key(F.col(product))).join(lookup, "_sku", "left" if keep_unmapped else "inner").drop("_sku")
+    return out.withColumn(once, F.coalesce(once, F.lit(True))) if once else out
 
 
 def unmapped_count(facts: DataFrame) -> DataFrame:

@@ -39,24 +39,24 @@ def require_months(cleaned: DataFrame) -> DataFrame:
 def monthly_demand(cleaned: DataFrame, skus: DataFrame, match: str = "lower", by_bu: bool = True, keep_blank_bu: bool = True, counters: Counters | None = None) -> DataFrame:
     """(Product_Group, BU, Date, Actuals): demand per group, unit and month; BU is empty if units are put together.
 
-    Facts are summed by product first, so that only one row per product, unit and month meets the catalog.
-    counters are told of the facts that are read and that go, under actuals; bad_date are those of no_date
-    that name a month.
+    Facts move once, to meet the catalog, and are then few sums. counters are told of the facts that are read
+    and that go, under actuals; bad_date are those of no_date that name a month.
     """
     known = F.lit(True) if keep_blank_bu else F.col("BU") != ""
     unit = F.col("BU") if by_bu else F.lit("")
     dated, good = F.col("Date").isNotNull(), F.col("_known")
     rows = cleaned.withColumn("_known", known)
     rows = rows if counters else rows.filter(dated & good)
-    named = F.count("Month") if "Month" in cleaned.columns else F.count("*")
-    sums = rows.groupBy("Product", unit.alias("BU"), "Date", "_known").agg(F.sum("Actuals").alias("Actuals"), F.count("*").alias("_rows"), named.alias("_named"))
-    if counters:
-        gone = {"no_date": rows_where(~dated, "_rows"), "bad_date": rows_where(~dated, "_named"), "no_unit": rows_where(dated & ~good, "_rows")}
-        sums = counters.keep(sums, "actuals", read=F.sum("_rows"), **gone).filter(dated & good)
-    mapped = map_products(sums, skus, match, keep_unmapped=counters is not None)
-    if counters:
-        mapped = counters.keep(mapped, "actuals", no_group=rows_where(F.col("Product_Group").isNull(), "_rows")).filter("Product_Group is not null")
-    return mapped.groupBy("Product_Group", "BU", "Date").agg(F.coalesce(F.sum("Actuals"), F.lit(0.0)).alias("Actuals"))
+    named = F.count_if(F.col("_once") & F.col("Month").isNotNull()) if "Month" in cleaned.columns else F.count_if("_once")
+    if not counters:
+        mapped = map_products(rows.withColumn("BU", unit), skus, match)
+        return mapped.groupBy("Product_Group", "BU", "Date").agg(F.coalesce(F.sum("Actuals"), F.lit(0.0)).alias("Actuals"))
+    rows = map_products(rows.withColumn("BU", unit), skus, match, keep_unmapped=True, once="_once")
+    sums = rows.groupBy("Product_Group", "BU", "Date", "_known").agg(F.sum("Actuals").alias("Actuals"), F.count_if("_once").alias("_rows"), named.alias("_named"))
+    group = F.col("Product_Group").isNotNull()
+    gone = {"no_date": rows_where(~dated, "_rows"), "bad_date": rows_where(~dated, "_named"), "no_unit": rows_where(dated & ~good, "_rows"), "no_group": rows_where(dated & good & ~group, "_rows")}
+    sums = counters.keep(sums, "actuals", read=F.sum("_rows"), **gone).filter(dated & good & group)
+    return sums.groupBy("Product_Group", "BU", "Date").agg(F.coalesce(F.sum("Actuals"), F.lit(0.0)).alias("Actuals"))
 
 
 def demand_levels(cleaned: DataFrame, skus: DataFrame, match: str = "lower") -> DataFrame:

@@ -44,9 +44,10 @@ lag_errors AS (
 
 def _lag_errors(spark: SparkSession, folder: str) -> DataFrame:
     """Lines through demand and each pipeline feature of the months that have both, at lags 0 to 6."""
-    grid = series.month_grid(_pipe(spark, folder), end=SETTINGS.current_month)
+    read = _catalog(spark, folder)
+    grid = series.month_grid(_pipe(spark, folder, read), end=SETTINGS.current_month)
     long = grid.select(*KEY, "Date", F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in _LAG_FEATURES])).alias("f"))
-    pairs = _demand(spark, folder).join(long.select(*KEY, "Date", "f.feature", "f.value"), [*KEY, "Date"])
+    pairs = _demand(spark, folder, read).join(long.select(*KEY, "Date", "f.feature", "f.value"), [*KEY, "Date"])
     return lag_errors(pairs, SETTINGS.max_lag, SETTINGS.holdout)
 
 

@@ -38,35 +38,41 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def _catalog_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Kept, as each lookup reads it; few rows of long lists, dealt round so that they are split side by side."""
+    return kept(star.catalog(spark, folder).repartition(spark.sparkContext.defaultParallelism))
+
+
 def _catalog(spark: SparkSession, folder: str) -> Catalog:
-    """Kept, as each of its lookups reads it."""
-    return parse_catalog(kept(star.catalog(spark, folder)))
+    return parse_catalog(_catalog_rows(spark, folder))
 
 
-def _demand(spark: SparkSession, folder: str) -> DataFrame:
-    return series.monthly_demand(series.clean_actuals(star.actuals(spark, folder)), _catalog(spark, folder).skus)
+def _demand(spark: SparkSession, folder: str, read: Catalog | None = None) -> DataFrame:
+    return series.monthly_demand(series.clean_actuals(star.actuals(spark, folder)), (read or _catalog(spark, folder)).skus)
 
 
 def _dense(spark: SparkSession, folder: str) -> DataFrame:
     return series.month_grid(_demand(spark, folder))
 
 
-def _pipe(spark: SparkSession, folder: str) -> DataFrame:
-    return features.pipeline_monthly(features.load_pipeline(star.pipeline(spark, folder), _catalog(spark, folder), star.reference(spark, folder)))
+def _pipe(spark: SparkSession, folder: str, read: Catalog | None = None) -> DataFrame:
+    return features.pipeline_monthly(features.load_pipeline(star.pipeline(spark, folder), read or _catalog(spark, folder), star.reference(spark, folder)))
 
 
-def _pipe_features(spark: SparkSession, folder: str, settings: Settings = SETTINGS) -> DataFrame:
-    return features.pipeline_features(_pipe(spark, folder), _catalog(spark, folder).groups, settings)
+def _pipe_features(spark: SparkSession, folder: str, settings: Settings = SETTINGS, read: Catalog | None = None) -> DataFrame:
+    read = read or _catalog(spark, folder)
+    return features.pipeline_features(_pipe(spark, folder, read), read.groups, settings)
 
 
-def _backlog(spark: SparkSession, folder: str) -> DataFrame:
-    monthly = features.backlog_monthly(star.backlog(spark, folder), _catalog(spark, folder).skus)
+def _backlog(spark: SparkSession, folder: str, read: Catalog | None = None) -> DataFrame:
+    monthly = features.backlog_monthly(star.backlog(spark, folder), (read or _catalog(spark, folder)).skus)
     return features.backlog_features(monthly, SETTINGS.current_month, SETTINGS.horizon)
 
 
-def _store(spark: SparkSession, folder: str) -> DataFrame:
-    grid = series.month_grid(_pipe(spark, folder), end=SETTINGS.current_month)
-    return features.feature_store(grid, _backlog(spark, folder))
+def _store(spark: SparkSession, folder: str, read: Catalog | None = None) -> DataFrame:
+    read = read or _catalog(spark, folder)
+    grid = series.month_grid(_pipe(spark, folder, read), end=SETTINGS.current_month)
+    return features.feature_store(grid, _backlog(spark, folder, read))
 
 
 def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -221,8 +227,9 @@ FROM (SELECT grp, bu, unnest(range(DATE '2000-07-01', DATE '2001-08-01', INTERVA
 LEFT JOIN (SELECT * FROM pipe_grid FULL JOIN backlog_feat USING (grp, bu, d)) s ON g.grp = s.grp AND g.bu = s.bu AND g.d = s.d
 QUALIFY sum(coalesce(abs(Revenue), 0) + coalesce(abs(Backlog), 0)) OVER (PARTITION BY g.grp, g.bu) > 1e-8""")
 def feature_slice(spark: SparkSession, folder: str) -> DataFrame:
-    spans = _demand(spark, folder).select(*KEY).distinct().select(*KEY, F.lit(date(2000, 7, 1)).alias("first_month"), F.lit(date(2001, 7, 1)).alias("last_month"))
-    return _rounded(features.slice_store(_store(spark, folder).select("Date", *KEY, "sf_Revenue", "backlog_Backlog"), spans), 2)
+    read = _catalog(spark, folder)
+    spans = _demand(spark, folder, read).select(*KEY).distinct().select(*KEY, F.lit(date(2000, 7, 1)).alias("first_month"), F.lit(date(2001, 7, 1)).alias("last_month"))
+    return _rounded(features.slice_store(_store(spark, folder, read).select("Date", *KEY, "sf_Revenue", "backlog_Backlog"), spans), 2)
 
 
 @query("""SELECT d AS Date, grp AS Product_Group, bu AS BU, mode, f.feature, round(f.value, 2) AS value FROM (
@@ -248,8 +255,9 @@ def future_extrapolation(spark: SparkSession, folder: str) -> DataFrame:
 
 def _prepared(spark: SparkSession, folder: str) -> DataFrame:
     """Pipeline rows with units as codes, as the dataset takes no other form."""
-    pipe = mapping.normalize_units(star.pipeline(spark, folder), _catalog(spark, folder)).withColumn("Timestamp", F.trunc(F.col("Timestamp").cast("date"), "MM"))
-    return prepared_dataset(star.actuals(spark, folder), pipe, star.catalog(spark, folder), star.reference(spark, folder))[0]
+    rows = _catalog_rows(spark, folder)
+    pipe = mapping.normalize_units(star.pipeline(spark, folder), parse_catalog(rows)).withColumn("Timestamp", F.trunc(F.col("Timestamp").cast("date"), "MM"))
+    return prepared_dataset(star.actuals(spark, folder), pipe, rows, star.reference(spark, folder))[0]
 
 
 _PREPARED = f"""prepared AS (
@@ -418,14 +426,15 @@ def ljung_box(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _run(spark: SparkSession, folder: str) -> tuple[DataFrame, Catalog]:
-    return _demand(spark, folder), _catalog(spark, folder)
+    read = _catalog(spark, folder)
+    return _demand(spark, folder, read), read
 
 
 @query()
 def forecast_report(spark: SparkSession, folder: str) -> DataFrame:
     demand, read = _run(spark, folder)
     used = replace(SETTINGS, use_pipeline=True, use_backlog=True)
-    return forecast_run(demand, read.groups, read.unit_names, used, _pipe_features(spark, folder), _backlog(spark, folder))[0]
+    return forecast_run(demand, read.groups, read.unit_names, used, _pipe_features(spark, folder, read=read), _backlog(spark, folder, read))[0]
 
 
 @query()
@@ -438,7 +447,7 @@ def order_selection_report(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def lag_sweep_report(spark: SparkSession, folder: str) -> DataFrame:
     demand, read = _run(spark, folder)
-    store = features.feature_store(_pipe_features(spark, folder), None)
+    store = features.feature_store(_pipe_features(spark, folder, read=read), None)
     chosen = features.select_mode(store, read.groups, SETTINGS).select("Date", *KEY, F.explode("features").alias("f")).select("Date", *KEY, "f.feature", "f.value")
     return lag_sweep(demand, chosen, read.groups, SETTINGS)
 
@@ -472,7 +481,8 @@ def scenario_compare(spark: SparkSession, folder: str) -> DataFrame:
 @query("""SELECT grp AS Product_Group, bu AS BU, s.d AS Date, v AS Actuals, round(coalesce(Revenue, 0), 2) AS Revenue, round(coalesce(Quantity, 0), 2) AS Quantity
 FROM demand s LEFT JOIN pipe USING (grp, bu, d)""")
 def actuals_with_features(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(features.merge_with_actuals(_demand(spark, folder), _pipe(spark, folder).select(*KEY, "Date", "Revenue", "Quantity")), 2)
+    demand, read = _run(spark, folder)
+    return _rounded(features.merge_with_actuals(demand, _pipe(spark, folder, read).select(*KEY, "Date", "Revenue", "Quantity")), 2)
 
 
 @query("""SELECT count(*) AS lines, count(DISTINCT grp) AS groups, count(DISTINCT bu) AS units, count(DISTINCT part) AS products, count(*) FILTER (grp IS NULL) AS unmapped
